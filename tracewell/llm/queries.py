@@ -5,11 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracewell.llm import quality_rules
+from tracewell.llm import quality_rules, toxicity
 from tracewell.llm.common import saved, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out")
+    return toxicity.scored(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = saved(quality_rules.statistics(table(spark, sf_dir, "documents")), "quality-statistics")
     rules = quality_rules.learn(stats, table(spark, sf_dir, "labels"))
@@ -17,7 +25,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_quality_rules": op8_quality_rules}
+    return {"op1_toxicity": op1_toxicity, "op8_quality_rules": op8_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
