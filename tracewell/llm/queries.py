@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import quality_rules, toxicity
+from tracewell.llm import byte_bpe, packing, quality_rules, token_files, toxicity, warc
 from tracewell.llm.common import saved, table
 
 
@@ -18,14 +18,40 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read(warc.write(table(spark, sf_dir, "pages")))
+    number = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1)
+    page_id, refers_to = number("record_id").try_cast("bigint"), number("refers_to").try_cast("bigint")
+    return records.select(page_id.alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), refers_to.alias("refers_to"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = saved(quality_rules.statistics(table(spark, sf_dir, "documents")), "quality-statistics")
     rules = quality_rules.learn(stats, table(spark, sf_dir, "labels"))
     return quality_rules.judged(stats, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read(token_files.write(table(spark, sf_dir, "documents")), "bigint")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_toxicity": op1_toxicity, "op8_quality_rules": op8_quality_rules}
+    return {
+        "op1_toxicity": op1_toxicity,
+        "op3_warc": op3_warc,
+        "op4_byte_bpe": op4_byte_bpe,
+        "op8_quality_rules": op8_quality_rules,
+        "op9_token_files": op9_token_files,
+        "op10_packing": op10_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
