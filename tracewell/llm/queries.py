@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import byte_bpe, packing, quality_rules, token_files, toxicity, warc
+from tracewell.llm import byte_bpe, chat, packing, quality_rules, token_files, toxicity, warc
 from tracewell.llm.common import saved, table
 
 
@@ -29,6 +29,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, "assistant", told)], "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.read_back(chat.formatted(turns))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = saved(quality_rules.statistics(table(spark, sf_dir, "documents")), "quality-statistics")
     rules = quality_rules.learn(stats, table(spark, sf_dir, "labels"))
@@ -48,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op3_warc": op3_warc,
         "op4_byte_bpe": op4_byte_bpe,
+        "op5_chat": op5_chat,
         "op8_quality_rules": op8_quality_rules,
         "op9_token_files": op9_token_files,
         "op10_packing": op10_packing,
