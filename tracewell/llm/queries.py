@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import byte_bpe, chat, packing, quality_rules, token_files, toxicity, warc
+from tracewell.llm import byte_bpe, chat, ngram_join, packing, quality_rules, token_files, toxicity, warc
 from tracewell.llm.common import saved, table
 
 
@@ -18,6 +18,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read(warc.write(table(spark, sf_dir, "pages")))
     number = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1)
@@ -53,6 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_ngram_join": op2_ngram_join,
         "op3_warc": op3_warc,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_chat": op5_chat,
