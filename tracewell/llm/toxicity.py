@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm import wordhash
@@ -211,28 +211,30 @@ def _train(slots: np.ndarray, rows: list, prior: float, penalty: float, counterf
     return Model(full, float(b))
 
 
-def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score, predicted) of every row, from its whole text."""
-    weights, bias = model.weights, model.bias
-    shared = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float64), bias))  # SLOTS numbers, whatever the input
+def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
+    """The score of a row's whole text, as a column of `docs`."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS numbers, whatever the input
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, b = shared.value
+    @F.arrow_udf("double")
+    def scores(texts: pa.Array) -> pa.Array:
+        w, bias = shared.value.weights, shared.value.bias
         used = w != 0
-        for batch in batches:
-            texts = batch.column(1)
-            data, offsets = wordhash.text_bytes(texts)
-            z = np.full(len(texts), b)
-            step = 512
-            for a in range(0, len(texts), step):
-                part = offsets[a : a + step + 1]
-                of, hashes = wordhash.word_hashes(data, part, True, PREFIXES)
-                slots = _slots(hashes)
-                hit = used[slots] & (slots >= 0)
-                kind, word = np.nonzero(hit)
-                pairs = np.unique(of[word].astype(np.int64) * SLOTS + slots[kind, word])
-                z[a : a + len(part) - 1] += np.bincount(pairs // SLOTS, w[pairs % SLOTS], len(part) - 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))], names=[key, "score"])
-
-    out = docs.select(key, text).mapInArrow(score, f"{key} {dict(docs.dtypes)[key]}, score double")
+        data, offsets = wordhash.text_bytes(texts)
+        z = np.full(len(texts), bias)
+        step = 512
+        for a in range(0, len(texts), step):
+            part = offsets[a : a + step + 1]
+            of, hashes = wordhash.word_hashes(data, part, True, PREFIXES)
+            slots = _slots(hashes)
+            kind, word = np.nonzero(used[slots] & (slots >= 0))
+            pairs = np.unique(of[word].astype(np.int64) * SLOTS + slots[kind, word])
+            z[a : a + len(part) - 1] += np.bincount(pairs // SLOTS, w[pairs % SLOTS], len(part) - 1)
+        return pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))
+
+    return scores(F.col(text))
+
+
+def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, score, predicted) of every row, from its whole text."""
+    out = docs.select(key, score(docs, model, text).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
