@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import byte_bpe, chat, ngram_join, packing, quality_rules, token_files, toxicity, warc
+from tracewell.llm import byte_bpe, chat, html_wrappers, ngram_join, packing, quality_rules, token_files, toxicity, warc
 from tracewell.llm.common import saved, table
 
 
@@ -40,6 +40,10 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.formatted(turns))
 
 
+def op7_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = saved(quality_rules.statistics(table(spark, sf_dir, "documents")), "quality-statistics")
     rules = quality_rules.learn(stats, table(spark, sf_dir, "labels"))
@@ -61,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc": op3_warc,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_chat": op5_chat,
+        "op7_html_wrappers": op7_html_wrappers,
         "op8_quality_rules": op8_quality_rules,
         "op9_token_files": op9_token_files,
         "op10_packing": op10_packing,
