@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import byte_bpe, chat, html_wrappers, ngram_join, packing, quality_rules, token_files, toxicity, warc
+from tracewell.llm import byte_bpe, chat, collision_search, html_wrappers, ngram_join, packing, quality_rules, token_files, toxicity, warc
 from tracewell.llm.common import saved, table
 
 
@@ -40,6 +40,10 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.formatted(turns))
 
 
+def op6_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_search.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op7_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_wrappers.extracted(table(spark, sf_dir, "pages"))
 
@@ -65,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc": op3_warc,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_chat": op5_chat,
+        "op6_collision_search": op6_collision_search,
         "op7_html_wrappers": op7_html_wrappers,
         "op8_quality_rules": op8_quality_rules,
         "op9_token_files": op9_token_files,
