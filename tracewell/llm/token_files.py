@@ -2,7 +2,8 @@
 
 Documents are range-partitioned and sorted by key; partition k writes shard k:
 
-* `tokens-k.bin`: the ids of its documents end to end, little-endian unsigned 32-bit;
+* `tokens-k.bin`: the ids of its documents end to end, little-endian unsigned numbers of the narrowest
+  width, 16 or 32 bits, that holds the vocabulary's ids;
 * `tokens-k.idx`: a header, the keys in order, and the index: levels of bit arrays in which each key
   owns one bit (a key that collides with another goes on to the next level), so that the number of
   bits set before a key's own is its slot, and per slot a 32-bit fingerprint, offset and count.
@@ -43,6 +44,11 @@ def key_hash(key: object, number: int = 0) -> int:
     return xxhash.xxh3_64_intdigest(f"{number}\0{key!r}")
 
 
+def id_type(vocabulary: int) -> str:
+    """The numpy type of the narrowest ids below `vocabulary`."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
 class PerfectHash:
     """A minimal perfect hash of distinct 64-bit numbers to 0 .. n - 1."""
 
@@ -154,17 +160,19 @@ def numbered(keys: list) -> list[tuple[object, int]]:
 
 
 def write(docs: DataFrame, key: str = "doc_id", text: str = "text", folder: str | None = None, end_id: int | None = 2, shards: int | None = None, vocabulary: str = tokens.WORD_FILE) -> DataFrame:
-    """Write the shards; returns their list (folder, shard, docs, ids, start), where start is the
+    """Write the shards; returns their list (folder, shard, docs, ids, kind, start), where kind
+    is the type of the ids and start is the
     number of ids in all shards before. It's one row a shard."""
     spark = docs.sparkSession
     folder = folder or shared_dir(spark, "token-files")
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    tail = [] if end_id is None else [end_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, shard = tokens.word_tokens(vocabulary), TaskContext.get().partitionId()
         files, root = store(folder)
         out, keys, counts = None, [], []
+        kind = id_type(max(coder.library.get_vocab_size(), *[t + 1 for t in tail], 1))
         part = f"{root}/.tokens-{shard}.{uuid.uuid4().hex}"
         for b in batches:
             if b.num_rows and out is None:
@@ -172,18 +180,19 @@ def write(docs: DataFrame, key: str = "doc_id", text: str = "text", folder: str
                 out = files.open_output_stream(part)
             keys += b.column(0).to_pylist()
             for ids in coder.encode(b.column(1).to_pylist()):
-                counts.append(len(ids + tail) // 4)
-                out.write(ids + tail)
+                row = np.append(np.frombuffer(ids, "<u4"), tail).astype(kind)
+                counts.append(len(row))
+                out.write(row.tobytes())
         if out is None:
             return
         out.close()
         files.move(part, f"{root}/tokens-{shard}.bin")
         put(folder, f"tokens-{shard}.idx", Index.build(keys, np.array(counts, np.int64)).to_bytes())
-        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((folder, pa.string()), (shard, pa.int32()), (len(keys), pa.int64()), (sum(counts), pa.int64()))], names=["folder", "shard", "docs", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((folder, pa.string()), (shard, pa.int32()), (len(keys), pa.int64()), (sum(counts), pa.int64()), (kind, pa.string()))], names=["folder", "shard", "docs", "ids", "kind"])
 
     order = [F.col(key), F.xxhash64(text)]
     rows = docs.select(key, text).repartitionByRange(shards, *order).sortWithinPartitions(*order)
-    written = saved(rows.mapInArrow(run, "folder string, shard int, docs bigint, ids bigint"), "token-shards")
+    written = saved(rows.mapInArrow(run, "folder string, shard int, docs bigint, ids bigint, kind string"), "token-shards")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return written.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
@@ -201,10 +210,11 @@ def read(shards: DataFrame, key_type: str, key: str = "doc_id", with_ids: bool =
                     raise ValueError(f"shard {r['shard']}: a key of the list isn't in its index")
                 files, root = store(r["folder"])
                 with files.open_input_file(f"{root}/tokens-{r['shard']}.bin") as data:
-                    if data.size() != 4 * r["ids"]:
-                        raise ValueError(f"shard {r['shard']}: payload of {data.size()} bytes, not {4 * r['ids']}")
+                    size = np.dtype(r["kind"]).itemsize
+                    if data.size() != size * r["ids"]:
+                        raise ValueError(f"shard {r['shard']}: payload of {data.size()} bytes, not {size * r['ids']}")
                     for a in range(0, len(offsets), 1000):
-                        part = [data.read_at(4 * int(n), 4 * int(o)) for o, n in zip(offsets[a : a + 1000], counts[a : a + 1000], strict=True)]
+                        part = [np.frombuffer(data.read_at(size * int(n), size * int(o)), r["kind"]).astype("<u4").tobytes() for o, n in zip(offsets[a : a + 1000], counts[a : a + 1000], strict=True)]
                         cols = [index.keys[a : a + 1000], (offsets[a : a + 1000] + r["start"]).tolist(), counts[a : a + 1000].tolist(), [zlib.crc32(p) for p in part], part]
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (keys, pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)][: 4 + with_ids], names=[key, "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids])
 
