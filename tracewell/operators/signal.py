@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 CHUNK = 1 << 20  # samples of a channel in one window partition
 SESSION = ["blockname", "channel"]
@@ -87,35 +88,45 @@ def paired(streams: DataFrame, signals: DataFrame, value: str = "au_smooth_ma",
     return signal.join(control, [*keys, "control_wavelength"])
 
 
-def polynomial_fit(df: DataFrame, keys: list[str], x: str, y: str, degree: int, out: str) -> DataFrame:
-    """Adds `out`, the least-squares polynomial of `y` on `x` in each group, at every row.
+def polynomial_fits(df: DataFrame, keys: list[str], fits: list[tuple[str, str, int, str]]) -> DataFrame:
+    """For each (x, y, degree, out) adds `out`, the least-squares polynomial of y on x in each group.
 
-    One aggregate gathers the mean and spread of x, a second the moments of the scaled x, with
+    One aggregate gathers the mean and spread of every x, a second the moments of the scaled x, with
     map-side sums; the small normal equations are solved a group, and the coefficients come back in a
-    join. Rows with a null x or y don't count. With fewer distinct x than coefficients the lowest
-    degree that fits is used."""
-    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    scale = known.groupBy(*keys).agg(F.avg(x).alias("_m"), F.greatest(F.stddev_pop(x), F.lit(1e-300)).alias("_s"))
-    scale = scale.withColumn("_s", F.when(F.col("_s") < 1e-200, 1.0).otherwise(F.col("_s")))
-    t = (F.col(x) - F.col("_m")) / F.col("_s")
-    moments = known.join(scale, keys).select(*keys, "_m", "_s", t.alias("_t"), F.col(y).alias("_y"))
-    power = [F.lit(1.0)]
-    for _ in range(2 * degree):
-        power.append(power[-1] * F.col("_t"))
-    sums = [F.sum(p) for p in power] + [F.sum(power[k] * F.col("_y")) for k in range(degree + 1)]
-    gathered = moments.groupBy(*keys, "_m", "_s").agg(F.array(*sums).alias("_sums"))
+    join. Rows with a null x or y don't count for their fit. With fewer distinct x than coefficients
+    the least solution is taken."""
+    xs = list(dict.fromkeys(f[0] for f in fits))
+    spread = lambda x: F.when(F.stddev_pop(x) > 1e-200, F.stddev_pop(x)).otherwise(1.0)
+    scale = df.groupBy(*keys).agg(*[F.avg(x).alias(f"_m_{x}") for x in xs], *[spread(x).alias(f"_s_{x}") for x in xs])
+    scaled = df.join(scale, keys)
+    sums = []
+    for i, (x, y, degree, _) in enumerate(fits):
+        t = F.when(F.col(y).isNotNull(), (F.col(x) - F.col(f"_m_{x}")) / F.col(f"_s_{x}"))
+        power = [F.when(t.isNotNull(), 1.0)]
+        for _ in range(2 * degree):
+            power.append(power[-1] * t)
+        sums.append(F.array(*[F.coalesce(F.sum(p), F.lit(0.0)) for p in power], *[F.coalesce(F.sum(power[k] * F.col(y)), F.lit(0.0)) for k in range(degree + 1)]).alias(f"_c{i}"))
+    moved = [f"_{n}_{x}" for n in "ms" for x in xs]
+    gathered = scaled.groupBy(*keys, *moved).agg(*sums)
+    degrees = [f[2] for f in fits]
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.assign(_c=[_solved(np.asarray(s), degree) for s in b["_sums"]]).drop(columns="_sums")
+            yield b.assign(**{f"_c{i}": [_solved(np.asarray(s), d) for s in b[f"_c{i}"]] for i, d in enumerate(degrees)})
+
+    solved = gathered.mapInPandas(solve, gathered.schema)
+    out = df.join(solved, keys, "left")
+    for i, (x, _, degree, name) in enumerate(fits):
+        at = (F.col(x) - F.col(f"_m_{x}")) / F.col(f"_s_{x}")
+        value = F.lit(0.0)
+        for k in range(degree, -1, -1):
+            value = value * at + F.element_at(f"_c{i}", k + 1)
+        out = out.withColumn(name, value)
+    return out.drop(*moved, *[f"_c{i}" for i in range(len(fits))])
 
-    kinds = dict(df.dtypes)
-    fits = gathered.mapInPandas(solve, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", _m double, _s double, _c array<double>")
-    at = (F.col(x) - F.col("_m")) / F.col("_s")
-    value = F.lit(0.0)
-    for k in range(degree, -1, -1):
-        value = value * at + F.element_at("_c", k + 1)
-    return df.join(fits, keys, "left").withColumn(out, value).drop("_m", "_s", "_c")
+
+def polynomial_fit(df: DataFrame, keys: list[str], x: str, y: str, degree: int, out: str) -> DataFrame:
+    return polynomial_fits(df, keys, [(x, y, degree, out)])
 
 
 def _solved(sums: np.ndarray, degree: int) -> list[float]:
@@ -130,7 +141,7 @@ def huber_fit(df: DataFrame, keys: list[str], x: str, y: str, out: str, degree:
 
     A group is the samples of one channel of one session and is fitted in one task."""
     known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, x, y)
-    schema = known.schema.add(out, "double")
+    schema = StructType([*known.schema.fields, StructField(out, DoubleType())])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         return pdf.assign(**{out: _huber(pdf[x].to_numpy(float), pdf[y].to_numpy(float), degree, epsilon, alpha, rounds)}).drop_duplicates()
@@ -181,9 +192,11 @@ DELTAS = ["delta_signal_fitted_control", "delta_signal_poly", "delta_control_pol
 def fitted(pairs: DataFrame, degree_control: int = 3, degree_time: int = 4, model: str = "polynomial", keys: list[str] | None = None) -> DataFrame:
     """Fits of a session's paired signals, their residuals, z-scores and dF/F."""
     keys = keys or FIT_KEYS
-    out = huber_fit(pairs, keys, "control", "signal", "control_fitted") if model == "huber" else polynomial_fit(pairs, keys, "control", "signal", degree_control, "control_fitted")
-    out = polynomial_fit(out, keys, "time", "signal", degree_time, "poly_signal")
-    out = polynomial_fit(out, keys, "time", "control", degree_time, "poly_control")
+    fits = [("time", "signal", degree_time, "poly_signal"), ("time", "control", degree_time, "poly_control")]
+    if model == "huber":
+        out = polynomial_fits(huber_fit(pairs, keys, "control", "signal", "control_fitted"), keys, fits)
+    else:
+        out = polynomial_fits(pairs, keys, [("control", "signal", degree_control, "control_fitted"), *fits])
     out = out.withColumns({
         "delta_signal_fitted_control": F.col("signal") - F.col("control_fitted"),
         "delta_signal_poly": F.col("signal") - F.col("poly_signal"),
