@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import codecs
 import os
+import re
 import sys
 from array import array
 from collections.abc import Iterator
@@ -92,12 +93,28 @@ class WordTokens(_Memo):
         super().__init__()
         self.library = Tokenizer.from_file(path(name))
         self.library.encode_special_tokens = True  # such strings in a text are ordinary text
+        # A plain word, of letters that need no normalising but lower case, and a mark after it.
+        self._plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)").fullmatch
+        self._bytes = dict(enumerate(byte_letters()))
 
     def parts(self, text: str) -> list[str]:
         return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
     def new(self, parts: list[str]) -> list[bytes]:
-        return [_packed(e.ids) for e in self.library.encode_batch(parts, add_special_tokens=False)]
+        """Plain words go straight to the library's model, other parts through its whole chain."""
+        out, rest = [], []
+        tokenize = self.library.model.tokenize
+        for i, p in enumerate(parts):
+            if (m := self._plain(p)) is None:
+                rest.append(i)
+                out.append(b"")
+                continue
+            word = m[1].lower()
+            ids = [t.id for t in tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(self._bytes))]
+            out.append(_packed(ids + [t.id for t in tokenize(m[2])] if m[2] else ids))
+        for i, e in zip(rest, self.library.encode_batch_fast([parts[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = _packed(e.ids)
+        return out
 
 
 def read_ranks(name: str) -> dict[bytes, int]:
