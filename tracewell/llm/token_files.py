@@ -121,7 +121,9 @@ class Index:
         slot = self.perfect.slots(hashes)
         there = slot >= 0
         there[there] = self.prints[slot[there]] == fingerprints(hashes[there])
-        return np.where(there, self.offsets[slot], -1), np.where(there, self.counts[slot], -1)
+        offsets, counts = np.full(len(keys), -1, np.int64), np.full(len(keys), -1, np.int64)
+        offsets[there], counts[there] = self.offsets[slot[there]], self.counts[slot[there]]
+        return offsets, counts
 
     def to_bytes(self) -> bytes:
         table = pa.table({"key": pa.array(self.keys)})
