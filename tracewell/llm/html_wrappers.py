@@ -13,7 +13,7 @@ footers, sidebars, notices, adverts, forms and reader comments goes (by element
 page has an article or main element, text outside it goes; otherwise slots whose text most pages
 share, and groups that are nearly all links, go.
 
-Defined cases: a null page is empty, an empty page has the empty text; a null url or one without a
+Defined cases: a null page is empty, an empty page has the empty text; a quote left open in a tag ends with the tag; a null url or one without a
 host is a host of its own name ""; elements nested deeper than DEPTH hang at that depth; repeated
 rows are extracted each. Extra columns are ignored.
 """

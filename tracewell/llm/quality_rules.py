@@ -24,15 +24,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 NOT_SYMBOL = r"[^#*$%&|<>]+"
 WINDOW = 5
-#: Statistics that rules may test, as expressions over the base counts.
+#: Statistics that rules may test, as SQL over the base counts.
 RATIOS = {
-    "words": F.col("n_words").cast("double"),
-    "mean_word": F.try_divide(F.col("word_chars"), F.col("n_words")),
-    "symbol_share": F.try_divide(F.col("n_symbols"), F.col("n_words")),
-    "dup_line_share": F.try_divide(F.col("n_dup_lines"), F.col("n_lines")),
-    "repeat_share": F.try_divide(F.col("n_repeat_words"), F.col("n_words")),
-    "words_a_line": F.try_divide(F.col("n_words"), F.col("n_lines")),
-    "distinct_share": F.try_divide(F.col("n_distinct"), F.col("n_words")),
+    "words": "CAST(n_words AS DOUBLE)",
+    "mean_word": "try_divide(word_chars, n_words)",
+    "symbol_share": "try_divide(n_symbols, n_words)",
+    "dup_line_share": "try_divide(n_dup_lines, n_lines)",
+    "repeat_share": "try_divide(n_repeat_words, n_words)",
+    "words_a_line": "try_divide(n_words, n_lines)",
+    "distinct_share": "try_divide(n_distinct, n_words)",
 }
 BINS = 24
 
@@ -125,7 +125,7 @@ class Test:
     at: float
 
     def column(self) -> Column:
-        value = F.coalesce(RATIOS[self.stat], F.lit(0.0))
+        value = F.coalesce(F.expr(RATIOS[self.stat]), F.lit(0.0))
         return value >= self.at if self.above else value < self.at
 
     def __str__(self) -> str:
@@ -165,7 +165,7 @@ def learn(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     known = labels.where(F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).alias("_low"), F.max(label).alias("_high"))
     known = known.where(F.col("_low") == F.col("_high")).select(F.col(key), (F.col("_low") == 0).alias("_bad"))
     rows = stats.join(known, key).where(~base_failed())
-    rows = rows.select("_bad", (F.pmod(F.xxhash64(F.lit("grow"), F.col(key)), F.lit(3)) < 2).alias("_grow"), *[F.coalesce(v, F.lit(0.0)).alias(k) for k, v in RATIOS.items()])
+    rows = rows.select("_bad", (F.pmod(F.xxhash64(F.lit("grow"), F.col(key)), F.lit(3)) < 2).alias("_grow"), *[F.coalesce(F.expr(v), F.lit(0.0)).alias(k) for k, v in RATIOS.items()])
     rows = rows.persist()
     try:
         return _cover(rows, max_rules, max_tests, min_hits, min_precision)
