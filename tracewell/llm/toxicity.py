@@ -121,7 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "t
     z = odds / spread
     strength = np.where(df.sum(0) >= 5, np.abs(z), 0)
     slots = np.argsort(-strength, kind="stable")[:chosen]
-    slots = np.sort(slots[strength[slots] >= 3.5])
+    slots = np.sort(slots[strength[slots] >= 2.5])
     narrowed = rows.select("y", "text").mapInArrow(_narrowed(slots), "y int, slots binary, pairs binary").collect()  # at most `sample` short rows
     return _train(slots, narrowed, prior, penalty, counterfactual)
 
