@@ -39,6 +39,7 @@ from tracewell.llm.components import components
 
 BELOW = np.uint64(int(0.22 * 2**64))  # hashes whose frequency is counted
 FREQUENT = 400  # classes that make an n-gram a frequent one
+HOT = 10_000  # classes with more than one in so many documents are called common
 BLOCK_CLASSES, BLOCK_GRAMS = 200, 400_000
 
 
@@ -337,11 +338,15 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     is `percent` / 100 or more."""
     key_type = dict(docs.dtypes)[key]
     sig = saved(signatures(docs, key, text, size, percent), "signatures")
-    classes = saved(sig.where("n > 0").groupBy("cls").agg(F.min("key").alias("first"), F.max("n").alias("n")), "classes")
+    classes = saved(sig.where("n > 0").groupBy("cls").agg(F.min("key").alias("first"), F.max("n").alias("n"), F.count("*").alias("copies")), "classes")
 
     # One row a class, with its tokens: the row of its first key (several, where that key repeats).
-    one = sig.join(classes.select("cls", "first"), (sig["key"].eqNullSafe(F.col("first"))) & (sig["cls"] == classes["cls"])).select(sig["cls"], sig["n"], "tokens", "bits")
-    one = one.dropDuplicates(["cls"])
+    # Copies of the most common classes, of which there are HOT at most, go before the shuffle.
+    total = classes.agg(F.sum("copies")).first()[0] or 0
+    hot = classes.where(F.col("copies") > total / HOT).select("cls", F.col("first").alias("_hot"), F.lit(True).alias("_is_hot"))
+    rows = sig.where("n > 0").join(F.broadcast(hot), "cls", "left").where(F.col("_is_hot").isNull() | F.col("key").eqNullSafe(F.col("_hot"))).drop("_hot", "_is_hot")
+    is_first = F.coalesce(F.col("key") == F.col("first"), F.col("key").isNull() & F.col("first").isNull())
+    one = rows.join(classes.select("cls", "first"), "cls").where(is_first).select("cls", "n", "tokens", "bits").dropDuplicates(["cls"])
     postings = one.select(F.explode("tokens").alias("token"), "cls").repartition("token").sortWithinPartitions("token")
     shared = postings.mapInArrow(_runs, "token bigint, cls bigint, frequent boolean")
     shared = shared.groupBy("cls").agg(F.collect_list(F.struct("token", "frequent")).alias("shared"))  # at most a class's own tokens
