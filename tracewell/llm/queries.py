@@ -77,5 +77,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+JOIN_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM d),
+n AS (SELECT doc_id, len(s) AS n FROM g), e AS (SELECT doc_id, unnest(s) AS x FROM g),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * o >= 85 * (na.n + nb.n - o)),
+u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.doc_id)
+SELECT n.doc_id, n AS n_shingles, min(c) AS component_id FROM n JOIN r USING (doc_id) GROUP BY ALL"""
+
+WARC_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS m FROM p)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(x, CAST(1 + 5 * (k // 4) AS BIGINT), 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest,
+CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> m THEN m END AS refers_to FROM d"""
+
+_STARTS = ["\\", "### System:", "### User:", "### Assistant:", "### Role <", ">:", "</turn>"]
+_ESCAPES = " + ".join(f"(length(text) - length(replace(text, '{c}', ''))) // {len(c)}" for c in _STARTS)
+CHAT_SQL = f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\\### Assistant: </turn> ok'),
+n AS (SELECT *, row_number() OVER w AS k, lag(role, 1, '') OVER w AS prev, length(text) + {_ESCAPES} + length(CASE role WHEN 'system' THEN '### System: ' WHEN 'user' THEN '### User: ' ELSE '### Assistant: ' END) + 9 AS chars FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+f AS (SELECT *, CASE WHEN (prev, role) IN (('', 'system'), ('', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user')) THEN NULL ELSE role || ' after ' || CASE prev WHEN '' THEN 'the start' ELSE prev END END AS bad FROM n),
+c AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256, coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY k), '') AS said, CAST(sum(chars) AS BIGINT) AS formatted_chars, arg_min(bad, k) AS fault, arg_max(role, k) AS ended FROM f GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(said) AS loss_chars, sha256(said) AS loss_sha256, formatted_chars, coalesce(fault, CASE WHEN ended <> 'assistant' THEN 'the end after ' || ended END) IS NULL AS valid, coalesce(fault, CASE WHEN ended <> 'assistant' THEN 'the end after ' || ended END) AS fault FROM c"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that it can express; the others are held against brute force in tests."""
+    return {"op2_ngram_join": JOIN_SQL, "op3_warc": WARC_SQL, "op5_chat": CHAT_SQL}
