@@ -30,8 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewell.llm.common import saved
+
 DEPTH = 60
 HOSTS = 5000  # wrappers that a task holds before it passes them on
+SHARES, SALTED = 1000, 1000  # hosts with more than one in SHARES pages are cut in parts of about SALTED
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*+)([^>]*+)>|<[!?][^>]*+>", re.DOTALL)
 _KIND = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "select", "canvas", "audio", "video"}
@@ -316,11 +319,18 @@ def _rows(held: dict[str, list]) -> pa.RecordBatch:
 
 
 def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:
-    """(key, url, text, n_chars) of every row. Pages meet their host's wrapper in an equi-join, which
-    Spark splits where a host has very many pages."""
-    wrappers = infer(pages, url, body)
+    """(key, url, text, n_chars) of every row. Pages meet their host's wrapper in an equi-join on host
+    and salt: hosts with more than one in SHARES pages, at most SHARES of them, are dealt over a salt
+    for every SALTED pages, with a copy of their wrapper each."""
+    wrappers = saved(infer(pages, url, body), "wrappers")
+    total = wrappers.agg(F.sum("pages")).first()[0] or 0
+    salts = F.when(F.col("pages") > total / SHARES, F.ceil(F.col("pages") / SALTED)).otherwise(1).cast("int")
+    copies = wrappers.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    large = wrappers.where(F.col("pages") > total / SHARES).select("host", salts.alias("_salts"))
     rows = pages.select(F.col(key), F.col(url).alias("url"), F.coalesce(F.col(body), F.lit("")).alias("html"), host_of(url).alias("host"))
-    met = rows.join(wrappers, "host").select(key, "url", "html", "wrapper", "pages")
+    rows = rows.join(F.broadcast(large), "host", "left")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(key, "html"), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
+    met = rows.join(copies, ["host", "salt"]).select(key, "url", "html", "wrapper", "pages")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list] = {}
