@@ -73,7 +73,7 @@ def _slots(hashes: list[np.ndarray]) -> np.ndarray:
 def features(texts: pa.Array) -> Iterator[np.ndarray]:
     """Distinct sorted slots of each text."""
     data, offsets = wordhash.text_bytes(texts)
-    step = 256
+    step = 128
     for a in range(0, len(texts), step):
         part = offsets[a : a + step + 1]
         docs, hashes = wordhash.word_hashes(data, part, True, PREFIXES)
@@ -221,7 +221,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
         used = w != 0
         data, offsets = wordhash.text_bytes(texts)
         z = np.full(len(texts), bias)
-        step = 512
+        step = 128
         for a in range(0, len(texts), step):
             part = offsets[a : a + step + 1]
             of, hashes = wordhash.word_hashes(data, part, True, PREFIXES)

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20  # bytes hashed at once
+CHUNK = 1 << 18  # bytes hashed at once
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INV = np.uint64(pow(int(_R), -1, 1 << 64))
 _BYTES = np.random.default_rng(20_240_601).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
