@@ -52,3 +52,19 @@ def test_hosts_have_their_own_wrappers(spark):
     assert got == sorted((k, f"own {k}" if k % 2 else f"{k}\nown {k}") for k, _, _ in rows)
     assert {(r.host, r.pages) for r in h.infer(df).collect()} == {("a.net", 7), ("b.net", 6)}
     assert h.extracted(df.limit(0)).collect() == []
+
+
+def test_copies_do_not_outvote_their_own_text(spark):
+    copy, other = "<div id=content><h2>T</h2><p>Body</p></div>", "<div id=content><h2>T</h2><p>Else {}</p></div>"
+    rows = [(k, "http://c.net/", copy) for k in range(3)] + [(10 + k, "http://d.net/", copy) for k in range(5)] + [(20 + k, "http://d.net/", other.format(k)) for k in range(3)]
+    got = {r.page_id: r.text for r in h.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {k: "T\nBody" for k in range(3)} | {10 + k: "Body" for k in range(5)} | {20 + k: f"Else {k}" for k in range(3)}
+
+
+def test_only_shared_text_is_template():
+    one_offs = ["<div class=a>First</div>", "<table><tr><td>Second</table>", "<section>Third</section>"]
+    assert [text_of(*one_offs, which=k) for k in range(3)] == ["First", "Second", "Third"]
+    mostly = [f"<div>{'Welcome' if k else 'Own'}</div><p>Story {k}</p>" for k in range(6)]
+    assert text_of(*mostly) == "Own\nStory 0" and text_of(*mostly, which=2) == "Story 2"
+    alike = [f"<!-- {k} --><div><h2>T</h2><p>Body</p></div>" for k in range(3)]
+    assert text_of(*alike) == "T\nBody"

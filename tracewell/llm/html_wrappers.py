@@ -5,13 +5,15 @@ other fold into one repeated group. The wrapper of a host is a union-free expres
 trees: two trees are aligned element by element, what only one of them has becomes an optional
 group, what follows its like becomes a repeated one, and text becomes a slot. Alignment is repeated
 over all pages of the host: each task folds its pages into one wrapper a host, and those few are
-folded again by host, so no host's pages ever meet in one task. A slot counts its pages, characters
-and characters in links, and keeps the text that most of its pages share.
+folded again by host, so no host's pages ever meet in one task. Pages of a host with equal html count
+once, so copies do not outvote the rest. A slot counts its pages, characters and characters in links,
+and keeps the text that most of its pages share.
 
 A page is then aligned with its host's wrapper, and the slots decide: text inside menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments goes (by element or class); if the
-page has an article or main element, text outside it goes; otherwise slots whose text most pages
-share, and groups that are nearly all links, go.
+page has an article or main element, text outside it goes; otherwise text that most of the host's
+distinct pages, three at least, share in a slot, and groups that are nearly all links, go. Shared text
+stays where nothing else would be left of a page.
 
 Defined cases: a null page is empty, an empty page has the empty text; a quote left open in a tag ends with the tag; a null url or one without a
 host is a host of its own name ""; elements nested deeper than DEPTH hang at that depth; repeated
@@ -60,11 +62,11 @@ def _node(key: str) -> list:
 
 
 class Page:
-    """A page's tree and its texts, each with its node chain and block number."""
+    """A page's tree and its texts, each with its element, slot and block number."""
 
     def __init__(self, source: str) -> None:
         self.root = _node("")
-        self.texts: list[tuple[str, tuple, int, bool]] = []  # text, chain of nodes, block, in a link
+        self.texts: list[tuple[str, list, list | None, int]] = []  # text, element, slot, block
         stack, names = [self.root], [""]
         block = links = at = 0
         while at < len(source):
@@ -123,16 +125,17 @@ class Page:
 
     def _text(self, raw: str, stack: list, block: int, link: bool) -> None:
         text = entities.unescape(raw)
-        self.texts.append((text, tuple(stack), block, link))
+        top, place = stack[-1], None
         if text.strip():
-            top = stack[-1]
             if not top[3] or top[3][-1][0] != TEXT:
                 top[3].append([TEXT, False, False, [], [1, 0, 0, 0, 1]])
-            slot = top[3][-1][4]
+            place = top[3][-1]
+            slot = place[4]
             n = len(text.strip())
             slot[1] += n
             slot[2] += n * link
             slot[3] = zlib.crc32(text.strip().encode("utf-8", "replace"), slot[3])
+        self.texts.append((text, top, place, block))
 
 
 def fold(node: list) -> list:
@@ -149,8 +152,10 @@ def fold(node: list) -> list:
 
 
 def _slots(a: list, b: list, same_page: bool) -> list:
+    if same_page:  # a page has one vote, and none where the brothers differ
+        return [a[0], a[1] + b[1], a[2] + b[2], a[3], min(a[4], b[4]) if a[3] == b[3] else 0]
     votes, kept = (a[4] + b[4], a[3]) if a[3] == b[3] else (a[4] - b[4], a[3]) if a[4] >= b[4] else (b[4] - a[4], b[3])
-    return [a[0] if same_page else a[0] + b[0], a[1] + b[1], a[2] + b[2], kept, votes]
+    return [a[0] + b[0], a[1] + b[1], a[2] + b[2], kept, votes]
 
 
 def _align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
@@ -213,9 +218,9 @@ def _is_main(key: str) -> bool:
     return name in ("article", "main") or bool(kinds and name in ("div", "section") and _MAIN.search(kinds))
 
 
-def _template(node: list | None, pages: int) -> bool:
-    """Whether a slot's text is shared by most pages of the host."""
-    return bool(node and node[4] and pages >= 3 and not node[1] and node[4][4] > 0.5 * node[4][0])
+def _template(text: list, slot: list | None, pages: int) -> bool:
+    """Whether a page's text is the one that most of the host's pages have in that slot."""
+    return bool(slot and slot[4] and pages >= 3 and slot[4][4] > 0.5 * pages and slot[4][3] == text[4][3])
 
 
 def _linked(node: list) -> tuple[int, int]:
@@ -230,12 +235,13 @@ def _linked(node: list) -> tuple[int, int]:
 
 
 def main_text(source: str, wrapper: list, pages: int) -> str:
-    """The main text of a page of `wrapper`'s host, which has `pages` pages."""
+    """The main text of a page of `wrapper`'s host, which has `pages` distinct pages."""
     page = Page(source)
     kept: dict[int, bool] = {}  # by node: whether its own text is kept
     has_main = False
     todo: list[tuple[list, list | None, bool, bool, bool]] = [(page.root, wrapper, False, False, False)]
     inside: dict[int, bool] = {}
+    shared: set[int] = set()  # slots whose text is template
     while todo:
         node, like, away, in_main, linkish = todo.pop()
         if node[0]:
@@ -251,24 +257,27 @@ def main_text(source: str, wrapper: list, pages: int) -> str:
                 groups[-1][1].append(child)
             else:
                 groups.append((child[0], [child]))
-        own = True
         for i, j in _align([g[0] for g in groups], [x[0] for x in like[3]] if like else []):
             if i < 0:
                 continue
             match = like[3][j] if j >= 0 else None
             for child in groups[i][1]:
                 if child[0] == TEXT:
-                    own = own and not _template(match, pages)
+                    if not in_main and _template(child, match, pages):
+                        shared.add(id(child))
                 else:
                     todo.append((child, match, away, in_main, linkish))
-        kept[id(node)] = not away and (in_main or (own and not linkish))
+        kept[id(node)] = not away and (in_main or not linkish)
         inside[id(node)] = in_main
+    texts = [t for t in page.texts if kept.get(id(t[1]), False) and (inside[id(t[1])] or not has_main)]
+    return _joined([t for t in texts if id(t[2]) not in shared]) or _joined(texts)
+
+
+def _joined(texts: list[tuple]) -> str:
+    """Texts of one block on a line."""
     blocks: list[str] = []
     last, parts = -1, []
-    for text, chain, block, _ in page.texts:
-        top = id(chain[-1])
-        if not kept.get(top, False) or (has_main and not inside.get(top, False)):
-            continue
+    for text, _, _, block in texts:
         if block != last:
             blocks.append("".join(parts))
             last, parts = block, []
@@ -282,40 +291,43 @@ def host_of(url: str) -> Column:
 
 
 def infer(pages: DataFrame, url: str = "url", body: str = "html") -> DataFrame:
-    """(host, wrapper, pages): one row a host, the wrapper as JSON."""
+    """(host, wrapper, pages, distinct): one row a host, the wrapper as JSON, over the distinct pages."""
 
     def from_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
         for b in batches:
-            for host, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                one = held.setdefault(host, [None, 0])
-                one[0], one[1] = merge(one[0], fold(Page(source).root)), one[1] + 1
+            for host, source, n in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                one = held.setdefault(host, [None, 0, 0])
+                one[:] = merge(one[0], fold(Page(source).root)), one[1] + n, one[2] + 1
             if len(held) > HOSTS:
                 yield _rows(held)
                 held = {}
         yield _rows(held)
 
     def from_wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, one = None, [None, 0]
+        last, one = None, [None, 0, 0]
         for b in batches:
             done: dict[str, list] = {}
-            for host, wrapper, n in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            for host, wrapper, n, m in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 if last is not None and host != last:
                     done[last] = one
                 if host != last:
-                    last, one = host, [None, 0]
-                one = [merge(one[0], json.loads(wrapper)), one[1] + n]
+                    last, one = host, [None, 0, 0]
+                one = [merge(one[0], json.loads(wrapper)), one[1] + n, one[2] + m]
             yield _rows(done)
         if last is not None:
             yield _rows({last: one})
 
-    schema = "host string, wrapper string, pages bigint"
+    schema = "host string, wrapper string, pages bigint, distinct bigint"
     rows = pages.select(host_of(url).alias("host"), F.coalesce(F.col(body), F.lit("")).alias("html"))
+    # Equal pages meet by their hash: copies within a task go before the shuffle.
+    rows = rows.groupBy("host", F.xxhash64("html").alias("_hash")).agg(F.first("html").alias("html"), F.count("*").alias("copies"))
+    rows = rows.select("host", "html", "copies")
     return rows.mapInArrow(from_pages, schema).repartition("host").sortWithinPartitions("host").mapInArrow(from_wrappers, schema)
 
 
 def _rows(held: dict[str, list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([json.dumps(x[0]) for x in held.values()], pa.string()), pa.array([x[1] for x in held.values()], pa.int64())], names=["host", "wrapper", "pages"])
+    return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([json.dumps(x[0]) for x in held.values()], pa.string()), pa.array([x[1] for x in held.values()], pa.int64()), pa.array([x[2] for x in held.values()], pa.int64())], names=["host", "wrapper", "pages", "distinct"])
 
 
 def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:
@@ -330,7 +342,7 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", body: st
     rows = pages.select(F.col(key), F.col(url).alias("url"), F.coalesce(F.col(body), F.lit("")).alias("html"), host_of(url).alias("host"))
     rows = rows.join(F.broadcast(large), "host", "left")
     rows = rows.withColumn("salt", F.pmod(F.xxhash64(key, "html"), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
-    met = rows.join(copies, ["host", "salt"]).select(key, "url", "html", "wrapper", "pages")
+    met = rows.join(copies, ["host", "salt"]).select(key, "url", "html", "wrapper", "distinct")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list] = {}
