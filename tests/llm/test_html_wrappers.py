@@ -68,3 +68,12 @@ def test_only_shared_text_is_template():
     assert text_of(*mostly) == "Own\nStory 0" and text_of(*mostly, which=2) == "Story 2"
     alike = [f"<!-- {k} --><div><h2>T</h2><p>Body</p></div>" for k in range(3)]
     assert text_of(*alike) == "T\nBody"
+
+
+def test_deep_pages_keep_their_article_and_lose_their_menus(spark):
+    deep = "<div id=page><article><p>Start</p>" + "<div>" * 3000 + "deep<nav>menu</nav><div class=comments>reader</div>" + "</div>" * 3000 + "<p>End</p></article><p>Side</p></div>"
+    rows = [(k, "http://e.net/", deep.replace("deep", f"deep {k}")) for k in range(3)]
+    got = {r.page_id: r.text for r in h.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)).collect()}
+    assert got == {k: f"Start\ndeep {k}\nEnd" for k in range(3)}
+    wrapper = h.merge(h.fold(h.Page(ARTICLE).root), h.fold(h.Page("<p>a<p>b<hr><div>x</div>").root))
+    assert h.unpacked(h.packed(wrapper)) == wrapper

@@ -16,8 +16,8 @@ distinct pages, three at least, share in a slot, and groups that are nearly all
 stays where nothing else would be left of a page.
 
 Defined cases: a null page is empty, an empty page has the empty text; a quote left open in a tag ends with the tag; a null url or one without a
-host is a host of its own name ""; elements nested deeper than DEPTH hang at that depth; repeated
-rows are extracted each. Extra columns are ignored.
+host is a host of its own name ""; elements may nest to any depth; repeated rows are extracted each. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 
 from tracewell.llm.common import saved
 
-DEPTH = 60
 HOSTS = 5000  # wrappers that a task holds before it passes them on
 SHARES, SALTED = 1000, 1000  # hosts with more than one in SHARES pages are cut in parts of about SALTED
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*+)([^>]*+)>|<[!?][^>]*+>", re.DOTALL)
@@ -68,6 +67,7 @@ class Page:
         self.root = _node("")
         self.texts: list[tuple[str, list, list | None, int]] = []  # text, element, slot, block
         stack, names = [self.root], [""]
+        opened: dict[str, int] = {}  # elements in the stack by name
         block = links = at = 0
         while at < len(source):
             m = _TAG.search(source, at)
@@ -97,28 +97,37 @@ class Page:
             if name in _VOID:
                 continue
             if closing:
-                if name in names:
-                    while names.pop() != name:
-                        stack.pop()
-                    stack.pop()
+                if opened.get(name):
+                    k = len(names) - 1
+                    while names[k] != name:
+                        k -= 1
+                    self._cut(stack, names, opened, k)
                     links = 0
                 continue
             if name in _CLOSES_P:
-                self._close(stack, names, {"p"})
+                self._close(stack, names, opened, {"p"})
             if name in _OWN_KIND:
-                self._close(stack, names, _OWN_KIND[name])
+                self._close(stack, names, opened, _OWN_KIND[name])
             kinds = sorted({w.lower() for k in _KIND.findall(m[3] or m[6] or "") for w in "".join(k).split()})
             node = _node(".".join([name, *kinds]))
             stack[-1][3].append(node)
-            if len(stack) < DEPTH:
-                stack.append(node)
-                names.append(name)
+            stack.append(node)
+            names.append(name)
+            opened[name] = opened.get(name, 0) + 1
 
     @staticmethod
-    def _close(stack: list, names: list[str], kinds: set[str]) -> None:
+    def _cut(stack: list, names: list[str], opened: dict[str, int], k: int) -> None:
+        for name in names[k:]:
+            opened[name] -= 1
+        del names[k:], stack[k:]
+
+    @classmethod
+    def _close(cls, stack: list, names: list[str], opened: dict[str, int], kinds: set[str]) -> None:
+        if not any(opened.get(x) for x in kinds):
+            return
         for k in range(len(names) - 1, 0, -1):
             if names[k] in kinds:
-                del names[k:], stack[k:]
+                cls._cut(stack, names, opened, k)
                 return
             if names[k] in _SCOPE:
                 return
@@ -140,15 +149,22 @@ class Page:
 
 def fold(node: list) -> list:
     """Brothers of one kind that follow each other become one repeated group."""
-    out: list[list] = []
-    for child in node[3]:
-        child = fold(child)
-        if out and out[-1][0] == child[0]:
-            out[-1] = _merged(out[-1], child, same_page=True)
-            out[-1][1] = True
-        else:
-            out.append(child)
-    return [node[0], node[1], node[2], out, list(node[4]) if node[4] else None]
+    order, todo = [], [node]
+    while todo:
+        order.append(todo.pop())
+        todo += order[-1][3]
+    folded: dict[int, list] = {}
+    for x in reversed(order):  # children before their parents
+        out: list[list] = []
+        for child in x[3]:
+            child = folded.pop(id(child))
+            if out and out[-1][0] == child[0]:
+                out[-1] = _merged(out[-1], child, same_page=True)
+                out[-1][1] = True
+            else:
+                out.append(child)
+        folded[id(x)] = [x[0], x[1], x[2], out, list(x[4]) if x[4] else None]
+    return folded[id(node)]
 
 
 def _slots(a: list, b: list, same_page: bool) -> list:
@@ -183,21 +199,54 @@ def _align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 def _merged(a: list, b: list, same_page: bool = False) -> list:
     """The least union-free expression over both: unmatched children are optional."""
-    children = []
-    for i, j in _align([x[0] for x in a[3]], [x[0] for x in b[3]]):
-        if i >= 0 and j >= 0:
-            children.append(_merged(a[3][i], b[3][j], same_page))
-        else:
-            one = a[3][i] if i >= 0 else b[3][j]
-            children.append([one[0], one[1], True, one[3], one[4]])
-    slot = _slots(a[4], b[4], same_page) if a[4] and b[4] else a[4] or b[4]
-    return [a[0], a[1] or b[1], a[2] or b[2], children, slot]
+
+    def both(x: list, y: list) -> list:
+        slot = _slots(x[4], y[4], same_page) if x[4] and y[4] else x[4] or y[4]
+        return [x[0], x[1] or y[1], x[2] or y[2], [], slot]
+
+    top = both(a, b)
+    todo = [(a, b, top)]
+    while todo:
+        a, b, node = todo.pop()
+        for i, j in _align([x[0] for x in a[3]], [x[0] for x in b[3]]):
+            if i >= 0 and j >= 0:
+                node[3].append(both(a[3][i], b[3][j]))
+                if a[3][i][3] or b[3][j][3]:
+                    todo.append((a[3][i], b[3][j], node[3][-1]))
+            else:
+                one = a[3][i] if i >= 0 else b[3][j]
+                node[3].append([one[0], one[1], True, one[3], one[4]])
+    return top
 
 
 def merge(a: list | None, b: list) -> list:
     return b if a is None else _merged(a, b)
 
 
+def packed(node: list) -> str:
+    """A wrapper as JSON: its nodes from the top, each with the number of its children."""
+    out, todo = [], [node]
+    while todo:
+        x = todo.pop()
+        out.append([x[0], int(x[1]), int(x[2]), len(x[3]), x[4]])
+        todo += reversed(x[3])
+    return json.dumps(out, separators=(",", ":"))
+
+
+def unpacked(text: str) -> list:
+    nodes = json.loads(text)
+    top: list[list] = []
+    todo = [(top, 1)]
+    for key, repeated, optional, n, slot in nodes:
+        while len(todo[-1][0]) == todo[-1][1]:
+            todo.pop()
+        node = [key, bool(repeated), bool(optional), [], slot]
+        todo[-1][0].append(node)
+        if n:
+            todo.append((node[3], n))
+    return top[0]
+
+
 def expression(node: list) -> str:
     """The wrapper as a regular expression over tokens, for reading."""
     inner = "".join(map(expression, node[3]))
@@ -313,7 +362,7 @@ def infer(pages: DataFrame, url: str = "url", body: str = "html") -> DataFrame:
                     done[last] = one
                 if host != last:
                     last, one = host, [None, 0, 0]
-                one = [merge(one[0], json.loads(wrapper)), one[1] + n, one[2] + m]
+                one = [merge(one[0], unpacked(wrapper)), one[1] + n, one[2] + m]
             yield _rows(done)
         if last is not None:
             yield _rows({last: one})
@@ -327,7 +376,7 @@ def infer(pages: DataFrame, url: str = "url", body: str = "html") -> DataFrame:
 
 
 def _rows(held: dict[str, list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([json.dumps(x[0]) for x in held.values()], pa.string()), pa.array([x[1] for x in held.values()], pa.int64()), pa.array([x[2] for x in held.values()], pa.int64())], names=["host", "wrapper", "pages", "distinct"])
+    return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([packed(x[0]) for x in held.values()], pa.string()), pa.array([x[1] for x in held.values()], pa.int64()), pa.array([x[2] for x in held.values()], pa.int64())], names=["host", "wrapper", "pages", "distinct"])
 
 
 def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:
@@ -352,7 +401,7 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", body: st
                 if wrapper not in known:
                     if len(known) > 200:
                         known = {}
-                    known[wrapper] = json.loads(wrapper)
+                    known[wrapper] = unpacked(wrapper)
                 texts.append(main_text(source, known[wrapper], n))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[key, "url", "text", "n_chars"])
 
