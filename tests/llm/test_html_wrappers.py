@@ -77,3 +77,15 @@ def test_deep_pages_keep_their_article_and_lose_their_menus(spark):
     assert got == {k: f"Start\ndeep {k}\nEnd" for k in range(3)}
     wrapper = h.merge(h.fold(h.Page(ARTICLE).root), h.fold(h.Page("<p>a<p>b<hr><div>x</div>").root))
     assert h.unpacked(h.packed(wrapper)) == wrapper
+
+
+def test_slots_decide_inside_an_article_too():
+    box = "<div class=x1>Join our club</div>"
+    links = "<ul><li><a href=1>more {0}</a><li><a href=2>and {0}</a></ul>"
+    pages = [f"<article><h1>Head {k}</h1>{box}<p>Story {k} with a <a href=1>link</a></p>{links.format(k)}</article>" for k in range(4)]
+    assert text_of(*pages, which=2) == "Head 2\nStory 2 with a link"
+    own = pages[:3] + [f"<article><h1>Head 3</h1><div class=x1>Own box</div><p>Story 3</p></article>"]
+    assert text_of(*own, which=3) == "Head 3\nOwn box\nStory 3"
+    assert text_of(pages[0]) == "Head 0\nJoin our club\nStory 0 with a link\nmore 0\nand 0"
+    alike = [f"<!-- {k} --><article><p>Same</p></article>" for k in range(3)]
+    assert text_of(*alike) == "Same"

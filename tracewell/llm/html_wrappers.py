@@ -11,9 +11,10 @@ and keeps the text that most of its pages share.
 
 A page is then aligned with its host's wrapper, and the slots decide: text inside menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments goes (by element or class); if the
-page has an article or main element, text outside it goes; otherwise text that most of the host's
-distinct pages, three at least, share in a slot, and groups that are nearly all links, go. Shared text
-stays where nothing else would be left of a page.
+page has an article or main element, text outside it goes. In what is left, inside an article or
+without one, text that most of the host's distinct pages, three at least, share in a slot goes, and so
+do repeated groups that are nearly all links; inside an article, only those that most of the pages
+have. Text that the wrapper alone decides on stays where nothing else would be left of a page.
 
 Defined cases: a null page is empty, an empty page has the empty text; a quote left open in a tag ends with the tag; a null url or one without a
 host is a host of its own name ""; elements may nest to any depth; repeated rows are extracted each. Extra
@@ -272,15 +273,16 @@ def _template(text: list, slot: list | None, pages: int) -> bool:
     return bool(slot and slot[4] and pages >= 3 and slot[4][4] > 0.5 * pages and slot[4][3] == text[4][3])
 
 
-def _linked(node: list) -> tuple[int, int]:
-    chars = links = 0
+def _linked(node: list) -> tuple[bool, int]:
+    """Whether a group is nearly all links, and the most pages that one of its slots has."""
+    chars = links = pages = 0
     todo = [node]
     while todo:
         x = todo.pop()
         if x[4]:
-            chars, links = chars + x[4][1], links + x[4][2]
+            chars, links, pages = chars + x[4][1], links + x[4][2], max(pages, x[4][0])
         todo += x[3]
-    return chars, links
+    return chars > 0 and links > 0.8 * chars, pages
 
 
 def main_text(source: str, wrapper: list, pages: int) -> str:
@@ -290,15 +292,16 @@ def main_text(source: str, wrapper: list, pages: int) -> str:
     has_main = False
     todo: list[tuple[list, list | None, bool, bool, bool]] = [(page.root, wrapper, False, False, False)]
     inside: dict[int, bool] = {}
+    linked: dict[int, bool] = {}
     shared: set[int] = set()  # slots whose text is template
     while todo:
         node, like, away, in_main, linkish = todo.pop()
         if node[0]:
             in_main = in_main or (not away and _is_main(node[0]))
             away = away or _away(node[0], in_main)
-            if like is not None and not in_main and like[1]:
-                chars, links = _linked(like)
-                linkish = linkish or (chars > 0 and links > 0.8 * chars)
+            if like is not None and like[1] and not (away or linkish):
+                nearly, having = _linked(like)
+                linkish = nearly and (not in_main or (pages >= 3 and having > 0.5 * pages))
         has_main = has_main or (in_main and not away)
         groups: list[tuple[str, list]] = []
         for child in node[3]:
@@ -312,14 +315,17 @@ def main_text(source: str, wrapper: list, pages: int) -> str:
             match = like[3][j] if j >= 0 else None
             for child in groups[i][1]:
                 if child[0] == TEXT:
-                    if not in_main and _template(child, match, pages):
+                    if _template(child, match, pages):
                         shared.add(id(child))
                 else:
                     todo.append((child, match, away, in_main, linkish))
-        kept[id(node)] = not away and (in_main or not linkish)
+        kept[id(node)] = not away
+        linked[id(node)] = linkish
         inside[id(node)] = in_main
     texts = [t for t in page.texts if kept.get(id(t[1]), False) and (inside[id(t[1])] or not has_main)]
-    return _joined([t for t in texts if id(t[2]) not in shared]) or _joined(texts)
+    texts = [t for t in texts if has_main or not linked[id(t[1])]]
+    left = _joined([t for t in texts if id(t[2]) not in shared and not linked[id(t[1])]])
+    return left or _joined(texts)
 
 
 def _joined(texts: list[tuple]) -> str:
