@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tracewell.llm import collision_search
@@ -52,3 +53,22 @@ def test_few_rows_and_none(spark):
     assert run(spark, [(0, [1.0, 0.0]), (1, [-1.0, 0.0]), (2, [0.5, 0.5])]) == {0: [(1, 2, 0.5), (2, 1, -1.0)]}
     assert run(spark, []) == {}
     assert run(spark, [(0, [1.0])]) == {}
+
+
+def test_repeated_ids_keep_their_answers(spark, monkeypatch):
+    monkeypatch.setattr(collision_search, "MOST", 7)
+    others = [(k, [float(k), 1.0]) for k in range(1, 13)]
+    got = run(spark, others + [(20, [1.0, 0.0])] * 30, k=5)
+    assert [(r, k) for r, k, _ in got[20]] == [(1, 12), (2, 11), (3, 10), (4, 9), (5, 8)]
+    got = run(spark, others + [(20, [1.0, 0.0]), (20, [0.0, 2.0]), (20, [1.0, 0.0])], k=2)
+    assert sorted(got[20]) == [(1, 1, 2.0), (1, 12, 12.0), (2, 2, 2.0), (2, 11, 11.0)]
+    got = run(spark, [(0, [1.0, 0.0]), (1, [0.5, 0.0])] + [(2, [2.0, 0.0])] * 3, k=4)
+    assert got == {0: [(1, 2, 2.0), (2, 2, 2.0), (3, 2, 2.0), (4, 1, 0.5)]}
+
+
+def test_blocks_are_cut_inside_a_batch():
+    n = 20
+    batch = pa.RecordBatch.from_arrays([pa.array([2] * n, pa.int32()), pa.array([0] * n, pa.int32()), pa.array(range(n), pa.int64()), pa.array([[float(k), 1.0] for k in range(n)], pa.list_(pa.float32())), pa.array([1] * n, pa.int64())], names=["dimension", "block", "id", "v", "copies"])
+    cut = [np.frombuffer(b.column(2)[0].as_py(), "<i8").tolist() for b in collision_search._packed("block", 7)(iter([batch, batch]))]
+    assert [len(x) for x in cut] == [7, 7, 7, 7, 7, 5] and sum(cut, []) == [*range(n), *range(n)]
+    assert collision_search.MOST < 65536

@@ -1,12 +1,14 @@
 """Nearest neighbours by collision counting over single projections (query-aware hashing).
 
 Vectors are scaled by the largest norm and lifted by one coordinate to unit length, so that a larger
-inner product with a query is a smaller distance. The index deals all vectors in blocks of bounded
-size by a hash of their id; a block keeps its vectors and, for each of `PROJECTIONS` random lines,
+inner product with a query is a smaller distance. Rows equal in id and vector become one row with their
+number. The index deals these rows in blocks by a hash of id and vector and cuts blocks above `MOST`
+rows; a block keeps its vectors and, for each of `PROJECTIONS` random lines,
 the sorted projections of its rows and each row's place among them. A query opens a window around its own projection on
 every line, found by two binary searches, and counts, row by row, in how many windows it lies. Virtual
 rehashing widens the windows step by step until enough rows collide often enough; those are verified
-on the original vectors in double precision, and the best of each block meet by query.
+on the original vectors in double precision, and the best of each block meet by query, a distinct pair
+of id and vector.
 
 Recall: the windows and the share of rows verified are set so that recall against brute force is
 above 0.9 on vectors without any structure, the hardest case; tests measure it. The lines are drawn
@@ -14,8 +16,9 @@ from a fixed seed; nothing is fitted but the largest norm, which comes from all
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part,
 neither as queries nor as candidates; queries see vectors of their own dimension only; equal scores
-go by the smaller id; equal vectors have equal scores; rows that repeat an id are candidates each,
-and a query has an answer once for each of its rows' ids; a null id takes no part. With fewer
+go by the smaller id; equal vectors have equal scores; rows that repeat an id are candidates each (of
+other ids); a query id with several distinct vectors has a whole answer for each of them, one with
+equal vectors has one; a null id takes no part. With fewer
 candidates than asked for, all are returned; an empty table gives no rows.
 """
 
@@ -30,7 +33,8 @@ from pyspark.sql import functions as F
 
 from tracewell.llm.common import saved
 
-BLOCK = 8192  # vectors of an index block, on average; 65,535 at most
+BLOCK = 8192  # vectors of an index block, on average
+MOST = 32768  # of any block; places within it are 16-bit numbers
 QUERIES = 1024  # queries that visit a block together
 PROJECTIONS = 128
 FIRST_WINDOW, WIDEN = 1.35, 1.06  # half width of the first window on a line, and its growth
@@ -48,11 +52,12 @@ def lines(dimension: int) -> np.ndarray:
 
 
 class Block:
-    """An index block: ids in ascending order, their vectors, and the sorted lines."""
+    """An index block: ids in ascending order, their vectors and copies, and the sorted lines."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float) -> None:
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray, largest: float) -> None:
+        assert len(ids) < 65536
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
+        self.ids, self.vectors, self.copies = ids[order], vectors[order], copies[order]
         short = self.vectors / largest
         lifted = np.concatenate([short, np.sqrt(np.maximum(0.0, 1 - (short * short).sum(1)))[:, None]], axis=1)
         along = (lifted @ lines(vectors.shape[1])).T
@@ -105,32 +110,38 @@ class Block:
                 bound = np.partition(scores, len(rows) - k)[len(rows) - k]
                 rows, scores = rows[scores >= bound], scores[scores >= bound]
             best = np.lexsort((self.ids[rows], -scores))[:k]
+            best = np.repeat(best, np.minimum(self.copies[rows][best], k))[:k]
             yield self.ids[rows][best], scores[best]
 
 
-def _packed(name: str, size: int | None):
-    """Rows of a block, which follow each other, as one row of ids and vectors."""
+def _packed(name: str, size: int):
+    """Rows of a block, which follow each other, as one row of ids, vectors and copies for every
+    `size` of them at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, ids, parts = None, [], []
+        last, ids, parts, copies, held = None, [], [], [], 0
 
         def row() -> pa.RecordBatch:
-            vectors = np.concatenate(parts).astype("<f8")
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((*last, np.concatenate(ids).astype("<i8").tobytes(), vectors.tobytes()), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["dimension", name, f"{name}_ids", f"{name}_vectors"])
+            cells = [np.concatenate(x).astype(t).tobytes() for x, t in ((ids, "<i8"), (parts, "<f8"), (copies, "<i8"))]
+            types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((*last, *cells), types, strict=True)], names=["dimension", name, f"{name}_ids", f"{name}_vectors", f"{name}_copies"])
 
         for b in batches:
             dimension, block = b.column(0).to_numpy(), b.column(1).to_numpy()
             flat = b.column(3).flatten().to_numpy(zero_copy_only=False).astype(float)
             at = np.concatenate([[0], np.cumsum(dimension)])
-            cuts = np.flatnonzero(np.concatenate([[True], (dimension[1:] != dimension[:-1]) | (block[1:] != block[:-1])]))
+            cuts = np.flatnonzero(np.concatenate([[True], (dimension[1:] != dimension[:-1]) | (block[1:] != block[:-1])])[: len(block)])
             for i, j in zip(cuts, [*cuts[1:], len(block)], strict=True):
                 now = (int(dimension[i]), int(block[i]))
-                if last is not None and (now != last or (size and sum(map(len, ids)) >= size)):
-                    yield row()
-                    ids, parts = [], []
-                last = now
-                ids.append(b.column(2).to_numpy()[i:j])
-                parts.append(flat[at[i] : at[j]].reshape(j - i, now[0]))
+                while i < j:
+                    if last is not None and (now != last or held >= size):
+                        yield row()
+                        ids, parts, copies, held = [], [], [], 0
+                    last, to = now, min(j, i + size - held)
+                    ids.append(b.column(2).to_numpy()[i:to])
+                    parts.append(flat[at[i] : at[to]].reshape(to - i, now[0]))
+                    copies.append(b.column(4).to_numpy()[i:to])
+                    held, i = held + to - i, to
         if last is not None:
             yield row()
 
@@ -139,36 +150,42 @@ def _packed(name: str, size: int | None):
 
 def search(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` rows with the largest inner product found for each
-    query, a row whose id is divisible by `every`, nearest first."""
+    query, an id divisible by `every` with one of its vectors, nearest first."""
     rows = vectors.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(vector).alias("v")).where(usable(F.col("v")))
     squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     size, largest = rows.agg(F.count("*"), F.sqrt(F.max(squares))).first()
     blocks = max(1, -(-size // BLOCK))
-    dealt = rows.select(F.size("v").alias("dimension"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "v")
+    # Equal rows of a task are counted before the shuffle, so no id or vector, however common, is a hot key.
+    counted = rows.groupBy("id", "v").agg(F.count("*").alias("copies"))
+    dealt = counted.select(F.size("v").alias("dimension"), F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("block"), "id", "v", "copies")
     spread = min(blocks, 4096)
     index = dealt.repartition(max(spread, 2), "dimension", "block").sortWithinPartitions("dimension", "block", "id")
-    index = saved(index.mapInArrow(_packed("block", None), "dimension int, block int, block_ids binary, block_vectors binary"), "index")
-    asked = dealt.where(F.col("id") % every == 0).withColumn("block", F.pmod(F.xxhash64(F.lit("query"), "id"), F.lit(max(1, -(-size // (every * QUERIES))))).cast("int"))
+    index = index.mapInArrow(_packed("block", MOST), "dimension int, block int, block_ids binary, block_vectors binary, block_copies binary")
+    index = saved(index.withColumn("piece", F.monotonically_increasing_id()), "index")
+    asked = dealt.where(F.col("id") % every == 0).withColumn("block", F.pmod(F.xxhash64(F.lit("query"), "id", "v"), F.lit(max(1, -(-size // (every * QUERIES))))).cast("int"))
     asked = asked.repartition("dimension", "block").sortWithinPartitions("dimension", "block", "id")
-    asked = saved(asked.mapInArrow(_packed("batch", None), "dimension int, batch int, batch_ids binary, batch_vectors binary"), "queries")
+    asked = asked.mapInArrow(_packed("batch", 4 * QUERIES), "dimension int, batch int, batch_ids binary, batch_vectors binary, batch_copies binary")
+    asked = saved(asked.drop("batch_copies").withColumn("asked", F.monotonically_increasing_id()), "queries")
     # Every batch of queries visits every block, whatever the data: the query set is stated.
     visits = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    met = index.join(visits, ["dimension", "block"]).select("dimension", "block", "block_ids", "block_vectors", "batch_ids", "batch_vectors")
+    met = index.join(visits, ["dimension", "block"]).select("dimension", "piece", "block_ids", "block_vectors", "block_copies", "asked", "batch_ids", "batch_vectors")
     bound = float(largest or 1.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = None, None
         for b in batches:
             for r in range(b.num_rows):
-                dimension, block = b.column(0)[r].as_py(), b.column(1)[r].as_py()
-                if last != (dimension, block):
-                    ids = np.frombuffer(b.column(2)[r].as_py(), "<i8")
-                    held, last = Block(ids, np.frombuffer(b.column(3)[r].as_py(), "<f8").reshape(len(ids), dimension), bound), (dimension, block)
-                asked_ids = np.frombuffer(b.column(4)[r].as_py(), "<i8")
-                asked_vectors = np.frombuffer(b.column(5)[r].as_py(), "<f8").reshape(len(asked_ids), dimension)
+                dimension, piece = b.column(0)[r].as_py(), b.column(1)[r].as_py()
+                if last != piece:
+                    ids, copies = (np.frombuffer(b.column(c)[r].as_py(), "<i8") for c in (2, 4))
+                    held, last = Block(ids, np.frombuffer(b.column(3)[r].as_py(), "<f8").reshape(len(ids), dimension), copies, bound), piece
+                asked_ids = np.frombuffer(b.column(6)[r].as_py(), "<i8")
+                asked_vectors = np.frombuffer(b.column(7)[r].as_py(), "<f8").reshape(len(asked_ids), dimension)
                 found = list(held.nearest(asked_ids, asked_vectors, k))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(asked_ids, [len(i) for i, _ in found])), pa.array(np.concatenate([i for i, _ in found])), pa.array(np.concatenate([s for _, s in found]))], names=["query_id", "vec_id", "score"])
+                times = [len(i) for i, _ in found]
+                n, which = sum(times), np.repeat(np.arange(len(asked_ids)), times)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, b.column(5)[r].as_py(), np.int64)), pa.array(which), pa.array(asked_ids[which]), pa.array(np.concatenate([i for i, _ in found])), pa.array(np.concatenate([s for _, s in found]))], names=["asked", "place", "query_id", "vec_id", "score"])
 
-    found = met.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = met.mapInArrow(run, "asked bigint, place bigint, query_id bigint, vec_id bigint, score double")
+    best = Window.partitionBy("asked", "place").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
