@@ -118,3 +118,35 @@ def test_bitmap_bound_is_never_below_the_overlap(percent):
         both = len(np.intersect1d(a, b))
         if 100 * both >= percent * (len(a) + len(b) - both):
             assert ngram_join._tile(rows, percent)
+
+
+def test_no_group_meets_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
+    sizes, once = spark.sparkContext.accumulator(0), ngram_join._against
+
+    def watched(size, percent):
+        run = once(size, percent)
+
+        def counted(pdf):
+            sizes.add(len(pdf) > 40)
+            return run(pdf)
+
+        return counted
+
+    monkeypatch.setattr(ngram_join, "_against", watched)
+    shared = " ".join(f"s{i}" for i in range(60))  # with 14 words of their own: Jaccard 0.67
+    docs = [(k, shared + " " + " ".join(f"own{k}x{i}" for i in range(14))) for k in range(120)] + [(200, shared + " end")]
+    monkeypatch.setattr(ngram_join, "_tile", lambda rows, percent: [(rows[0][0], r[0]) for r in rows[1:]])
+    assert found(spark, docs) == brute(docs, 4, 85)
+    assert sizes.value == 0
+
+
+def test_null_ids_find_their_own_text_only(spark, monkeypatch):
+    seen = []
+    saved = ngram_join.saved
+    monkeypatch.setattr(ngram_join, "saved", lambda df, kind: seen.append((kind, out := saved(df, kind))) or out)
+    base = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(12)]
+    rows = [(None, t) for t in base] + [(None, t + " more") for t in base] + [(None, base[0])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted((r.n_shingles, r.component_id) for r in ngram_join.joined(df).collect()) == [(37, None)] * 13 + [(38, None)] * 12
+    assert dict(seen)["members"].count() == 24

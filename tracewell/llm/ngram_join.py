@@ -12,8 +12,10 @@
 4. Components of possible links are cut in blocks of bounded size. In a block the sorted arrays of
    the n-grams are intersected exactly, skipping only pairs already connected. Between blocks of
    one component, all classes are held against the root of its largest cluster, then the classes
-   that stay outside that cluster against all other blocks. So no link between two clusters is
-   missed, and no group, however large, meets in one task.
+   that stay outside that cluster, in batches of a block's size, against all blocks. So no link
+   between two clusters is missed, and a task holds the texts of one block and one batch at a time.
+   Where most of a large component stays outside, all its blocks meet all its batches: that work is
+   quadratic in the component.
 
 Equality of n-grams is equality of 64-bit hashes. Defined cases: null and empty texts, and texts
 without a word, have no n-gram and are linked with nothing; fewer words than n make one n-gram of
@@ -84,21 +86,21 @@ def gram_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def signatures(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """(key, n, cls, tokens, bits): cls is the hash of the whole set; tokens are its hashes below
+    """(key, hash, n, cls, tokens, bits): hash is that of the text, cls is the hash of the whole set; tokens are its hashes below
     BELOW, filled up to the prefix length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, cls, toks, bits = [], [], [], []
-            for grams in gram_sets(b.column(1), size):
+            for grams in gram_sets(b.column(2), size):
                 n.append(len(grams))
                 cls.append(_set_hash(grams))
                 cut = max(int(np.searchsorted(grams, BELOW)), prefix_length(len(grams), percent) if len(grams) else 0)
                 toks.append(grams[:cut].view(np.int64))
                 bits.append(bitmap(grams, width(len(grams))) if len(grams) else b"")
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(toks, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["key", "n", "cls", "tokens", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(toks, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["key", "hash", "n", "cls", "tokens", "bits"])
 
-    return docs.select(key, text).mapInArrow(run, f"key {dict(docs.dtypes)[key]}, n bigint, cls bigint, tokens array<bigint>, bits binary")
+    return docs.select(key, F.xxhash64(text), text).mapInArrow(run, f"key {dict(docs.dtypes)[key]}, hash bigint, n bigint, cls bigint, tokens array<bigint>, bits binary")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,7 +340,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     is `percent` / 100 or more."""
     key_type = dict(docs.dtypes)[key]
     sig = saved(signatures(docs, key, text, size, percent), "signatures")
-    classes = saved(sig.where("n > 0").groupBy("cls").agg(F.min("key").alias("first"), F.max("n").alias("n"), F.count("*").alias("copies")), "classes")
+    classes = saved(sig.where("n > 0").groupBy("cls").agg(F.min("key").alias("first"), F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash"))["hash"].alias("hash"), F.max("n").alias("n"), F.count("*").alias("copies")), "classes")
 
     # One row a class, with its tokens: the row of its first key (several, where that key repeats).
     # Copies of the most common classes, of which there are HOT at most, go before the shuffle.
@@ -368,8 +370,10 @@ def _verified(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str
     members = possible.select(F.col("node").alias("cls"), F.col("root").alias("comp")).join(classes, "cls")
     sizes = members.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_GRAMS)).alias("blocks"))
     members = members.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
-    held = saved(texts.join(members, F.col("_key").eqNullSafe(F.col("first"))).select("comp", "block", "blocks", "cls", "text"), "members")
+    # A class's text is found by key and hash, as null and repeated keys do not tell texts apart.
+    texts = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
+    held = texts.join(members, F.col("_key").eqNullSafe(F.col("first")) & (F.col("_hash") == F.col("hash")))
+    held = saved(held.select("comp", "block", "blocks", "cls", "n", "text").dropDuplicates(["cls"]), "members")
     local = held.groupBy("comp", "block").applyInPandas(_block(size, percent), "cls bigint, root bigint, comp bigint, block int")
     local = saved(local, "block-clusters")
 
@@ -377,7 +381,7 @@ def _verified(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str
     wide = held.where("blocks > 1").join(local.select("cls", "root"), "cls")
     counted = local.groupBy("comp", "root").agg(F.count("*").alias("c"))
     largest = counted.groupBy("comp").agg(F.max_by("root", F.struct("c", "root")).alias("lead"))
-    lead = wide.join(largest, "comp").where("cls = lead").select("comp", "cls", "root", "text", "blocks")
+    lead = wide.join(largest, "comp").where("cls = lead").select("comp", "cls", "n", "root", "text", "blocks")
     spread = lead.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))).withColumn("guest", F.lit(True))
     first = saved(_meet(wide, spread, size, percent), "first-links")
     merged = components(first)
@@ -394,6 +398,12 @@ def _verified(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str
 
 
 def _meet(own: DataFrame, guests: DataFrame, size: int, percent: int) -> DataFrame:
-    columns = ["comp", "block", "cls", "root", "text", "guest"]
-    both = own.withColumn("guest", F.lit(False)).select(columns).unionByName(guests.select(columns))
-    return both.groupBy("comp", "block").applyInPandas(_against(size, percent), "u bigint, v bigint")
+    """Links of guests with each block they visit. A component's guests come in batches of a block's
+    size, and each batch meets each block apart."""
+    columns = ["comp", "block", "batch", "cls", "root", "text", "guest"]
+    batches = guests.select("comp", "cls", "n").dropDuplicates(["cls"]).groupBy("comp")
+    batches = batches.agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("batches"))
+    dealt = guests.join(batches, "comp").withColumn("batch", F.pmod(F.xxhash64(F.lit("guest"), "cls"), F.col("batches")).cast("int"))
+    hosts = own.join(batches, "comp").withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1))).withColumn("guest", F.lit(False))
+    both = hosts.select(columns).unionByName(dealt.select(columns))
+    return both.groupBy("comp", "block", "batch").applyInPandas(_against(size, percent), "u bigint, v bigint")
