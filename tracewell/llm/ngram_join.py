@@ -1,4 +1,5 @@
-"""Jaccard join of documents on word n-grams, exact, with its connected components.
+"""Connected components of the exact Jaccard join of documents on word n-grams. Pairs already connected
+are skipped, so the links themselves, and their number for a document, are not produced.
 
 1. A pass over the texts hashes each document's distinct n-grams. Documents of equal sets form one
    class; only classes take part from here on.
