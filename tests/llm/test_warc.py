@@ -16,7 +16,7 @@ def pages(spark, rows):
 
 def test_revisits_name_the_largest_page(spark):
     rows = [(1, "http://a/", "<p>x</p>", "k"), (5, "http://b/", "<p>x</p>", "k"), (3, None, "<p>x</p>", "k"), (4, "u\r\nv", None, "k"), (2, "u", "", "k"), (9, "u", "é", "k")]
-    got = {r.record_id: r for r in warc.read(warc.write(pages(spark, rows).drop("_largest")), with_payload=True).collect()}
+    got = {r.record_id: r for r in warc.read(warc.write(pages(spark, rows)), with_payload=True).collect()}
     page = lambda k: got[f"<urn:page:{k}>"]
     assert len(got) == 6
     assert (page(5).warc_type, page(5).refers_to, page(5).payload) == ("response", None, b"<p>x</p>")
@@ -71,3 +71,53 @@ def test_gap_log(spark, tmp_path):
     assert data[gap.start : gap.end] == b"garbage" and warc.read(files).count() == 2
     (tmp_path / "b.warc.gz").write_bytes(b"")
     assert warc.read(spark.createDataFrame([(f"file://{tmp_path}", "b.warc.gz")], "folder string, name string")).count() == 0
+
+
+def test_names_of_extra_columns_do_not_matter(spark):
+    rows = [(k, "u", "same" if k < 3 else f"own {k}", "x", 7, "y", "z") for k in range(5)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, _largest string, _sha1 int, _refers string, sha1 string")
+    got = {r.record_id: (r.warc_type, r.refers_to) for r in warc.read(warc.write(df)).collect()}
+    assert got == {f"<urn:page:{k}>": ("revisit", "<urn:page:2>") if k < 2 else ("response", None) for k in range(5)}
+
+
+def test_headers_and_payloads_of_any_length(spark):
+    long_url, big = "http://x/" + "u" * (2 << 20), "<p>" + "p" * 30_000_000
+    rows = [(1, long_url, "a"), (2, "u", big), (3, "u", "b"), (4, long_url, "b")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(1)
+    got = {r.record_id: r for r in warc.read(warc.write(df)).collect()}
+    assert {k: (r.warc_type, r.payload_bytes, r.payload_digest) for k, r in got.items()} == {
+        "<urn:page:1>": ("response", 1, sha("a")),
+        "<urn:page:2>": ("response", len(big), sha(big)),
+        "<urn:page:3>": ("revisit", 1, sha("b")),
+        "<urn:page:4>": ("response", 1, sha("b")),
+    }
+    assert got["<urn:page:1>"].target_uri == long_url
+
+
+def test_large_payload_in_one_member():
+    body = b"x" * (100 << 20)
+    data = warc.member(warc.page_record("1", "u", body, warc.digest(body), None)) + record(2)
+    first, second = warc.salvage(data)
+    assert first.payload == body and second.headers["warc-record-id"] == "<urn:page:2>"
+
+
+def test_reading_costs_in_proportion_to_the_file(monkeypatch):
+    taken = 0
+    real = warc.zlib.decompressobj
+
+    class Counting:
+        def __init__(self, bits):
+            self.inner = real(bits)
+
+        def decompress(self, part):
+            nonlocal taken
+            taken += len(part)
+            return self.inner.decompress(part)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    monkeypatch.setattr(warc.zlib, "decompressobj", Counting)
+    data = b"".join(record(k) for k in range(3000))
+    assert sum(isinstance(r, warc.Record) for r in warc.salvage(data)) == 3000
+    assert taken <= len(data) + 3000 * warc.FIRST_SLICE

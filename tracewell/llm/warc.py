@@ -8,13 +8,14 @@ goes on from there, and logs the bytes between as a quarantined gap.
 
 Defined cases: a null body is an empty payload; rows that repeat an id and a payload are all
 responses if the id is the largest; a null id is smaller than any other; an empty table writes no
-file. Extra columns are ignored.
+file. Headers and payloads have any length. Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,6 +32,8 @@ VERSION = b"WARC/1.1"
 GZIP = b"\x1f\x8b\x08"
 FILE_BYTES = 64 << 20  # an archive is closed at about this size
 END = b"\r\n\r\n"
+MARK = re.compile(rb"\x1f\x8b\x08|WARC/1\.")  # where a record can start
+FIRST_SLICE, LAST_SLICE = 4 << 10, 1 << 20  # packed bytes given to the inflater at once
 
 
 @dataclass(frozen=True)
@@ -90,7 +93,7 @@ def page_record(page_id: str, url: str, payload: bytes, sha1: str, refers_to: st
 
 def parse(data: bytes, at: int, start: int, end: int | None = None) -> Record:
     """The plain record at `data[at:]`; start and end are its place in the file."""
-    stop = data.find(END, at, at + (1 << 20))
+    stop = data.find(END, at)
     if not data.startswith(b"WARC/", at) or stop < 0:
         raise Broken("no version line")
     headers = {}
@@ -116,17 +119,26 @@ def parse(data: bytes, at: int, start: int, end: int | None = None) -> Record:
     return found
 
 
+def inflated(data: bytes, at: int) -> tuple[bytes, int]:
+    """The content of the gzip member that starts at `at`, and where it ends. The inflater gets
+    slices that grow with the member, so a short one costs little however much follows it."""
+    inflate, parts, view, step = zlib.decompressobj(31), [], memoryview(data), FIRST_SLICE
+    try:
+        while not inflate.eof and at < len(data):
+            parts.append(inflate.decompress(view[at : at + step]))
+            at, step = min(at + step, len(data)), min(2 * step, LAST_SLICE)
+    except zlib.error as e:
+        raise Broken(f"member: {e}") from None
+    if not inflate.eof:
+        raise Broken("member without its end")
+    return b"".join(parts), at - len(inflate.unused_data)
+
+
 def _at(data: bytes, at: int) -> Record:
     """The record that starts at `at`, packed or plain."""
     if data.startswith(GZIP, at):
-        inflate = zlib.decompressobj(31)
-        try:
-            plain = inflate.decompress(data[at:] if len(data) - at < 1 << 16 else memoryview(data)[at:])
-            if not inflate.eof:
-                raise Broken("member without its end")
-        except zlib.error as e:
-            raise Broken(f"member: {e}") from None
-        return parse(plain, 0, at, len(data) - len(inflate.unused_data))
+        plain, end = inflated(data, at)
+        return parse(plain, 0, at, end)
     return parse(data, at, at)
 
 
@@ -137,33 +149,29 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
         try:
             found = _at(data, at)
         except Broken as e:
-            to, reason = at + 1, str(e)
-            while True:
-                marks = [k for k in (data.find(GZIP, to), data.find(b"WARC/1.", to)) if k >= 0]
-                to = min(marks, default=len(data))
-                if to == len(data):
-                    break
+            found, reason, to = None, str(e), at + 1
+            while found is None and (mark := MARK.search(data, to)):
                 try:
-                    _at(data, to)
-                    break
+                    found = _at(data, mark.start())
                 except Broken:
-                    to += 1
-            yield Gap(at, to, reason)
-            at = to
-        else:
-            yield found
-            at = found.end
-
-
-def with_types(pages: DataFrame, key: str = "page_id", body: str = "html", least: int = 0) -> DataFrame:
-    """`pages` with _refers: the largest id of those with the same payload of `least` bytes or more
-    (null: this page is that one, or its payload is smaller). One row a payload is joined back on
-    its digest, an equi-join that Spark splits where one payload is very common."""
-    sized = pages.withColumn(body, F.coalesce(F.col(body), F.lit(""))).withColumn("_sha1", F.unhex(F.sha1(F.col(body).cast("binary"))))
-    firsts = sized.groupBy("_sha1").agg(F.max(key).alias("_largest"))
-    joined = sized.join(firsts, "_sha1")
-    other = (F.octet_length(body) >= least) & ~F.col(key).eqNullSafe(F.col("_largest"))
-    return joined.withColumn("_refers", F.when(other, F.col("_largest"))).drop("_largest")
+                    to = mark.start() + 1
+            yield Gap(at, found.start if found else len(data), reason)
+        if found is None:
+            return
+        yield found
+        at = found.end
+
+
+def with_types(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html", least: int = 0) -> DataFrame:
+    """(key, url, body, sha1, refers) of every page: refers is the largest id of those with the same
+    payload of `least` bytes or more (null: this page is that one, or its payload is smaller). One
+    row a payload is joined back on its digest, an equi-join that Spark splits where one payload is
+    very common."""
+    sized = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.coalesce(F.col(body), F.lit("")).alias("body"))
+    sized = sized.withColumn("sha1", F.unhex(F.sha1(F.col("body").cast("binary"))))
+    firsts = sized.groupBy("sha1").agg(F.max("key").alias("largest"))
+    other = (F.octet_length("body") >= least) & ~F.col("key").eqNullSafe(F.col("largest"))
+    return sized.join(firsts, "sha1").select("key", "url", "body", "sha1", F.when(other, F.col("largest")).alias("refers"))
 
 
 def write(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html", folder: str | None = None, least: int = 0) -> DataFrame:
@@ -196,7 +204,7 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", body: str =
             close()
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["folder", "name", "bytes", "records"])
 
-    rows = with_types(pages, key, body, least).select(key, url, body, "_sha1", "_refers")
+    rows = with_types(pages, key, url, body, least)
     return saved(rows.mapInArrow(run, "folder string, name string, bytes bigint, records bigint"), "warc-list")
 
 
@@ -234,5 +242,6 @@ def read(archives: DataFrame, with_payload: bool = False, gaps: bool = False) ->
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], arrow[kinds[n]]) for k, n in enumerate(names)], names=names)
 
+    # Dealt by ranges of name, which gives each task as many files as the next; a hash of few names does not.
     n = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return archives.repartition(n, "name").mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names))
+    return archives.repartitionByRange(n, "name").mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names))
