@@ -89,3 +89,99 @@ def test_slots_decide_inside_an_article_too():
     assert text_of(pages[0]) == "Head 0\nJoin our club\nStory 0 with a link\nmore 0\nand 0"
     alike = [f"<!-- {k} --><article><p>Same</p></article>" for k in range(3)]
     assert text_of(*alike) == "Same"
+
+
+def test_repeated_sequences_and_wide_lists_stay_small():
+    page = "<article>" + "".join(f"<h2>Head {k}</h2><p>Text {k}</p>" for k in range(10_000)) + "</article>"
+    wrapper = h.merge(h.fold(h.Page(page).root), h.fold(h.Page("<article><h2>One</h2><p>Only</p></article>").root))
+    assert h.expression(wrapper) == "<article>(<h2>#text</h2><p>#text</p>)+</article>"
+    assert h.main_text(page, wrapper, 2).count("\n") == 19_999
+    mixed = "<article>" + "".join(f"<{x}>t{k}</{x}>" for k in range(300) for x in ("p", "ul", "pre")[k % 7 % 3 : k % 5 % 3 + 1]) + "</article>"
+    wrapper = h.merge(h.merge(None, h.fold(h.Page(mixed).root)), h.fold(h.Page("<article><p>a</p><h2>b</h2></article>").root))
+    assert len(h.packed(wrapper)) < 1000
+    assert h.main_text("<article><p>a</p><h2>b</h2></article>", wrapper, 2) == "a\nb"
+    assert h.main_text(mixed, wrapper, 2).split() == [f"t{k}" for k in range(300) for _ in ("p", "ul", "pre")[k % 7 % 3 : k % 5 % 3 + 1]]
+
+
+def test_own_ids_and_classes_do_not_let_a_wrapper_grow():
+    def page(k):
+        return f"<div id=post-{k}-{'ab' * k}><article class='post p{k}'><h1>Head {k}</h1><p>Story {k}</p></article></div>"
+
+    wrapper = None
+    for k in range(300):
+        wrapper = h.merge(wrapper, h.fold(h.Page(page(k)).root))
+    assert len(h.packed(wrapper)) < 400
+    slugs = None
+    for k in range(500):
+        slugs = h.merge(slugs, h.fold(h.Page(f"<div class=own{'ab' * k}>Menu {k}</div><article>Story {k}</article>").root))
+    assert len(h.packed(slugs)) < 20_000
+    assert h.main_text("<div class=ownab>Menu 1</div><article>Story 1</article>", slugs, 500) == "Story 1"
+
+
+def test_text_comes_through_the_wrapper():
+    page = "<article><h1>Head</h1><p>Body</p></article>"
+    assert text_of(page) == "Head\nBody"
+    assert h.main_text(page, h.merge(None, h.fold(h.Page("").root)), 1) == ""
+
+
+def test_attributes_are_matched_whole():
+    assert text_of("<article><p data-id='comments'>Stays</p><p id=comments>Goes</p><p aria-role=x class = 'Comment'>Goes too</p></article>") == "Stays"
+
+
+def test_near_copies_of_an_article_keep_their_text():
+    pages = [f"<!-- {k} --><article><h1>Same head</h1><p>The same long story</p><div class=x1>{'Own' if k else 'Else'}</div></article>" for k in range(4)]
+    assert text_of(*pages, which=2) == "Same head\nThe same long story\nOwn"
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for page in ("<a" * 200_000, "<a '\">" * 30_000, "<script>" + "</script" * 50_000, "<svg>" * 20_000, "<!-" * 100_000):
+        h.Page(page)
+    assert time.perf_counter() - began < 20
+
+
+def test_articles_against_an_independent_reader(spark):
+    """The standard library's parser over the given pages: text of the article, a line a block."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.skip, self.inside = [""], [], 0
+
+        def handle_starttag(self, tag, attrs):
+            kinds = dict(attrs).get("class") or ""
+            if tag == "article":
+                self.inside += 1
+            if self.skip or tag in ("nav", "aside", "form", "script", "style") or any(k in ("comments", "ad", "cookie") for k in kinds.split()):
+                self.skip += [tag] if tag not in ("br", "input", "img", "hr") else []
+            if tag == "br":
+                self.out[-1] += " "
+            elif tag not in ("b", "i", "a", "em", "strong", "span"):
+                self.out.append("")
+
+        def handle_endtag(self, tag):
+            if tag == "article":
+                self.inside -= 1
+            if self.skip and tag in self.skip:
+                while self.skip.pop() != tag:
+                    pass
+            if tag not in ("b", "i", "a", "em", "strong", "span", "br"):
+                self.out.append("")
+
+        def handle_data(self, data):
+            if self.inside and not self.skip:
+                self.out[-1] += data
+
+    def plain(source):
+        r = Reader()
+        r.feed(source or "")
+        r.close()
+        return "\n".join(t for t in (" ".join(x.split()) for x in r.out) if t)
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {r.page_id: plain(r.html) for r in pages.collect()}
+    got = {r.page_id: r.text for r in h.extracted(pages).collect()}
+    assert len(want) > 100 and got == want

@@ -1,24 +1,30 @@
 """Main text of web pages by wrappers inferred for each host.
 
-A page's tokens make a tree of elements and text slots; brothers of the same kind that follow each
-other fold into one repeated group. The wrapper of a host is a union-free expression over such
-trees: two trees are aligned element by element, what only one of them has becomes an optional
-group, what follows its like becomes a repeated one, and text becomes a slot. Alignment is repeated
-over all pages of the host: each task folds its pages into one wrapper a host, and those few are
-folded again by host, so no host's pages ever meet in one task. Pages of a host with equal html count
-once, so copies do not outvote the rest. A slot counts its pages, characters and characters in links,
-and keeps the text that most of its pages share.
-
-A page is then aligned with its host's wrapper, and the slots decide: text inside menus, headers,
-footers, sidebars, notices, adverts, forms and reader comments goes (by element or class); if the
-page has an article or main element, text outside it goes. In what is left, inside an article or
-without one, text that most of the host's distinct pages, three at least, share in a slot goes, and so
-do repeated groups that are nearly all links; inside an article, only those that most of the pages
-have. Text that the wrapper alone decides on stays where nothing else would be left of a page.
-
-Defined cases: a null page is empty, an empty page has the empty text; a quote left open in a tag ends with the tag; a null url or one without a
-host is a host of its own name ""; elements may nest to any depth; repeated rows are extracted each. Extra
-columns are ignored.
+A page's tokens make a tree of elements and text slots. Brothers of one kind that follow each other
+fold into a repeated element, sequences of brothers that follow each other (a heading and its
+paragraphs, say) into a repeated group. The wrapper of a host is a union-free expression over such
+trees: two trees are aligned list by list of brothers, what only one of them has becomes optional,
+what one of them repeats becomes a repeated group in both, and text becomes a slot. Lists of more
+than `MANY` different brothers become one repeated group of optional members, which bounds a wrapper
+and the cost of aligning. Alignment is repeated over all pages of the host: each task folds its
+pages into one wrapper a host, and those few are folded again by host, so no host's pages ever meet
+in one task. Pages of a host with equal html count once, so copies do not outvote the rest. A slot
+counts its pages, characters and characters in links, and keeps the text that most of its pages share.
+
+Extraction aligns a page with its host's wrapper and takes the text of the slots that the wrapper's
+elements leave: those inside menus, headers, footers, sidebars, notices, adverts, forms and reader
+comments (by element or class) go; where the page has an article or main element, those outside it
+go. In what is left, text that most of the host's distinct pages, three at least, share in a slot goes,
+and so do repeated groups that are nearly all links (inside an article, only those that most of the
+pages have). Shared text that makes up half of a page's article or more stays: such pages are near
+copies, not a template. Text that the wrapper alone decides on stays where nothing else would be left
+of a page. Elements that the wrapper lacks are judged like their parents; a wrapper without any
+element gives no text.
+
+Defined cases: a null page is empty, an empty page has the empty text; a quote left open in a tag, or
+a tag with quotes of more than `LONGEST` characters, ends at the first `>`; a null url or one without a
+host is a host of its own name ""; elements may nest to any depth; repeated rows are extracted each.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,8 +43,11 @@ from tracewell.llm.common import saved
 
 HOSTS = 5000  # wrappers that a task holds before it passes them on
 SHARES, SALTED = 1000, 1000  # hosts with more than one in SHARES pages are cut in parts of about SALTED
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*+)([^>]*+)>|<[!?][^>]*+>", re.DOTALL)
-_KIND = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+MANY, PERIOD = 64, 6  # different brothers of a list that is aligned in order; brothers of a repeated sequence
+LONGEST = 1 << 16
+_NAME = re.compile(r"<(/?)([a-zA-Z][\w:-]*+)")
+_ATTRIBUTES = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_KIND = re.compile(r"(?<![\w-])(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "select", "canvas", "audio", "video"}
 _VOID = {"br", "img", "hr", "meta", "link", "input", "wbr", "area", "base", "col", "embed", "source", "track", "param"}
 _INLINE = {"b", "i", "em", "strong", "span", "u", "small", "sub", "sup", "code", "mark", "font", "br", "img", "wbr", "abbr", "cite", "q", "s", "time", "var", "kbd", "samp", "del", "ins", "label", "tt", "big", "bdi", "bdo", "data", "dfn", "acronym", "strike"}
@@ -53,39 +62,64 @@ _AWAY_WORDS = re.compile(
 _HEADER = re.compile(r"(?:^|[^a-z])(?:header|site-?header|page-?header|topbar)(?:$|[^a-z])")
 _MAIN = re.compile(r"(?:^|[^a-z])(?:articlebody|main|article)(?:$|[^a-z])")
 
-# A node: [key, repeated, optional, children, slot]; a slot: [pages, chars, link chars, hash, votes].
-TEXT = "#"
+# A node: [key, repeated, optional, children, slot, blocks of a page's own text]; a slot: [pages, chars,
+# link chars, hash, votes]. The key of an element is its name and kinds, that of a repeated sequence its
+# members' keys in brackets.
+TEXT, ANY = "#", "(*)"
 
 
 def _node(key: str) -> list:
-    return [key, False, False, [], None]
+    return [key, False, False, [], None, []]
+
+
+def _says(word: str) -> bool:
+    return bool(_AWAY_WORDS.search(word) or _HEADER.search(word) or _MAIN.search(word))
+
+
+def _key(name: str, attributes: str) -> str:
+    """The name with its classes and roles, numbers in them left open; an id only where it names a kind
+    of content, as ids are often a page's own."""
+    kinds = set()
+    for kind, *values in _KIND.findall(attributes):
+        for w in "".join(values).lower().split():
+            w = re.sub(r"[|().]", "_", re.sub(r"\d+", "0", w))
+            if kind.lower() != "id" or _says(w):
+                kinds.add(w)
+    return ".".join([name, *sorted(kinds)])
+
+
+def _plain(key: str) -> str:
+    """A key without the kinds that tell nothing about content."""
+    name, *kinds = key.split(".")
+    return ".".join([name, *(k for k in kinds if _says(k))])
 
 
 class Page:
-    """A page's tree and its texts, each with its element, slot and block number."""
+    """A page's tree, and its texts by block."""
 
     def __init__(self, source: str) -> None:
         self.root = _node("")
-        self.texts: list[tuple[str, list, list | None, int]] = []  # text, element, slot, block
+        self.lines: dict[int, list[str]] = {}
         stack, names = [self.root], [""]
         opened: dict[str, int] = {}  # elements in the stack by name
-        block = links = at = 0
-        while at < len(source):
-            m = _TAG.search(source, at)
-            stop = m.start() if m else len(source)
-            if stop > at:
-                self._text(source[at:stop], stack, block, links > 0)
-            if m is None:
-                break
-            at = m.end()
-            name = (m[2] or m[5] or "").lower()
+        block = links = at = done = 0
+        last = source.rfind(">")
+        while (at := source.find("<", at)) >= 0:
+            tag = self._tag(source, at, last)
+            if tag is None:
+                at += 1
+                continue
+            if at > done:
+                self._text(source[done:at], stack, block, links > 0)
+            at, name, closing, attributes = tag
+            done = at
             if not name:
                 continue
-            closing = bool(m[1] or m[4])
             if name in _RAW:
-                if not closing and not (m[3] or "").endswith("/"):
-                    end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(source, at)
-                    at = end.end() if end else len(source)
+                if not closing and not attributes.endswith("/"):
+                    end = re.compile(rf"</{re.escape(name)}\b", re.IGNORECASE).search(source, at)
+                    close = source.find(">", end.end()) if end else -1
+                    at = done = close + 1 if close >= 0 else len(source)
                 continue
             if name in _INLINE:
                 if name == "br":
@@ -109,12 +143,33 @@ class Page:
                 self._close(stack, names, opened, {"p"})
             if name in _OWN_KIND:
                 self._close(stack, names, opened, _OWN_KIND[name])
-            kinds = sorted({w.lower() for k in _KIND.findall(m[3] or m[6] or "") for w in "".join(k).split()})
-            node = _node(".".join([name, *kinds]))
+            node = _node(_key(name, attributes))
             stack[-1][3].append(node)
             stack.append(node)
             names.append(name)
             opened[name] = opened.get(name, 0) + 1
+        if done < len(source):
+            self._text(source[done:], stack, block, links > 0)
+
+    @staticmethod
+    def _tag(source: str, at: int, last: int) -> tuple[int, str, bool, str] | None:
+        """End, name, whether it closes, and attributes of the tag at a `<`; no name: a comment or
+        declaration; None: text. `last` is the place of the last `>`."""
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4)
+            return (end + 3 if end >= 0 else len(source)), "", False, ""
+        if at > last:
+            return None
+        if source[at + 1 : at + 2] in ("!", "?"):
+            return source.find(">", at) + 1, "", False, ""
+        m = _NAME.match(source, at)
+        if m is None:
+            return None
+        q = _ATTRIBUTES.match(source, m.end(), m.end() + LONGEST)
+        if q is not None:
+            return q.end(), m[2].lower(), bool(m[1]), q[1]
+        end = source.find(">", m.end())
+        return None if end < 0 else (end + 1, m[2].lower(), bool(m[1]), source[m.end() : end])
 
     @staticmethod
     def _cut(stack: list, names: list[str], opened: dict[str, int], k: int) -> None:
@@ -135,21 +190,28 @@ class Page:
 
     def _text(self, raw: str, stack: list, block: int, link: bool) -> None:
         text = entities.unescape(raw)
-        top, place = stack[-1], None
-        if text.strip():
-            if not top[3] or top[3][-1][0] != TEXT:
-                top[3].append([TEXT, False, False, [], [1, 0, 0, 0, 1]])
-            place = top[3][-1]
-            slot = place[4]
-            n = len(text.strip())
-            slot[1] += n
-            slot[2] += n * link
-            slot[3] = zlib.crc32(text.strip().encode("utf-8", "replace"), slot[3])
-        self.texts.append((text, top, place, block))
-
-
-def fold(node: list) -> list:
-    """Brothers of one kind that follow each other become one repeated group."""
+        self.lines.setdefault(block, []).append(text)
+        bare = text.strip()
+        if not bare:
+            return
+        top = stack[-1]
+        if not top[3] or top[3][-1][0] != TEXT:
+            top[3].append([TEXT, False, False, [], [1, 0, 0, 0, 1], []])
+        slot, blocks = top[3][-1][4], top[3][-1][5]
+        slot[1] += len(bare)
+        slot[2] += len(bare) * link
+        slot[3] = zlib.crc32(bare.encode("utf-8", "replace"), slot[3])
+        if not blocks or blocks[-1] != block:
+            blocks.append(block)
+
+    def joined(self, blocks: list[int]) -> str:
+        """Texts of the blocks in page order, each on a line of its own."""
+        return "\n".join(t for t in (" ".join("".join(self.lines[b]).split()) for b in sorted(blocks)) if t)
+
+
+def fold(node: list, own: bool = False) -> list:
+    """A page's tree with its repeated elements and sequences folded; `own` keeps the numbers of the
+    text blocks, as extraction needs them."""
     order, todo = [], [node]
     while todo:
         order.append(todo.pop())
@@ -158,16 +220,72 @@ def fold(node: list) -> list:
     for x in reversed(order):  # children before their parents
         out: list[list] = []
         for child in x[3]:
-            child = folded.pop(id(child))
-            if out and out[-1][0] == child[0]:
-                out[-1] = _merged(out[-1], child, same_page=True)
-                out[-1][1] = True
-            else:
-                out.append(child)
-        folded[id(x)] = [x[0], x[1], x[2], out, list(x[4]) if x[4] else None]
+            _add(out, folded.pop(id(child)))
+        out = _sequences(out)
+        out = _anything(out) if len(out) > MANY else out
+        folded[id(x)] = [x[0], x[1], x[2], out, list(x[4]) if x[4] else None, list(x[5]) if own else []]
     return folded[id(node)]
 
 
+def _add(out: list[list], node: list) -> None:
+    """Add a brother; one of the kind of the last becomes its repetition."""
+    if out and out[-1][0] == node[0]:
+        out[-1] = _merged(out[-1], node, same_page=True)
+        out[-1][1] = True
+    else:
+        out.append(node)
+
+
+def _sequences(nodes: list[list]) -> list[list]:
+    """Sequences of up to PERIOD brothers that follow each other become repeated groups."""
+    for p in range(2, PERIOD + 1):
+        if len(nodes) < 2 * p:
+            break
+        keys = [x[0] for x in nodes]
+        out, i = [], 0
+        while i < len(nodes):
+            members = keys[i : i + p]
+            if keys[i + p : i + 2 * p] == members and not any(k[:1] == "(" for k in members):
+                while keys[i : i + p] == members:
+                    _add(out, [f"({'|'.join(members)})", False, False, nodes[i : i + p], None, []])
+                    i += p
+            else:
+                out.append(nodes[i])
+                i += 1
+        nodes = out
+    return nodes
+
+
+def _grouped(nodes: list[list], key: str) -> list[list]:
+    """Brothers with each stretch that a sequence's members make put in its group."""
+    members = key[1:-1].split("|")
+    p, out, i = len(members), [], 0
+    while i < len(nodes):
+        if nodes[i][0] == members[0] and [x[0] for x in nodes[i : i + p]] == members:
+            _add(out, [key, False, False, nodes[i : i + p], None, []])
+            i += p
+        else:
+            _add(out, nodes[i])
+            i += 1
+    return out
+
+
+def _anything(nodes: list[list]) -> list[list]:
+    """All brothers as one repeated group of optional members, those of a kind as one."""
+    if len(nodes) == 1 and nodes[0][0] == ANY:
+        return nodes
+    members: dict[str, list] = {}
+    todo = list(reversed(nodes))
+    while todo:
+        x = todo.pop()
+        if x[0][:1] == "(":
+            todo += reversed(x[3])
+            continue
+        one = [_plain(x[0]), True, True, x[3], x[4], x[5]]
+        members[one[0]] = _merged(members[one[0]], one, same_page=True) if one[0] in members else one
+    return [[ANY, True, False, list(members.values()), None, []]]
+
+
 def _slots(a: list, b: list, same_page: bool) -> list:
     if same_page:  # a page has one vote, and none where the brothers differ
         return [a[0], a[1] + b[1], a[2] + b[2], a[3], min(a[4], b[4]) if a[3] == b[3] else 0]
@@ -198,25 +316,47 @@ def _align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return out
 
 
+def _by_key(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Pairs of places of equal members, whatever their order."""
+    there = {k: j for j, k in enumerate(b)}
+    out = [(i, there.pop(k, -1)) for i, k in enumerate(a)]
+    return out + [(-1, j) for j in sorted(there.values())]
+
+
+def _brothers(key: str, a: list[list], b: list[list]) -> tuple[list[list], list[list], list[tuple[int, int]]]:
+    """The children of two nodes of that key with the same groups in both, and their alignment."""
+    if key == ANY:
+        return a, b, _by_key([x[0] for x in a], [x[0] for x in b])
+    keys = dict.fromkeys(x[0] for x in [*a, *b] if x[0][:1] == "(")
+    for k in () if ANY in keys else keys:
+        a, b = _grouped(a, k), _grouped(b, k)
+    if ANY not in keys:
+        pairs = _align([x[0] for x in a], [x[0] for x in b])
+        if len(pairs) <= MANY:
+            return a, b, pairs
+    return (a := _anything(a) if a else a), (b := _anything(b) if b else b), _align([x[0] for x in a], [x[0] for x in b])
+
+
 def _merged(a: list, b: list, same_page: bool = False) -> list:
     """The least union-free expression over both: unmatched children are optional."""
 
     def both(x: list, y: list) -> list:
         slot = _slots(x[4], y[4], same_page) if x[4] and y[4] else x[4] or y[4]
-        return [x[0], x[1] or y[1], x[2] or y[2], [], slot]
+        return [x[0], x[1] or y[1], x[2] or y[2], [], slot, x[5] + y[5]]
 
     top = both(a, b)
     todo = [(a, b, top)]
     while todo:
         a, b, node = todo.pop()
-        for i, j in _align([x[0] for x in a[3]], [x[0] for x in b[3]]):
+        left, right, pairs = _brothers(a[0], a[3], b[3])
+        for i, j in pairs:
             if i >= 0 and j >= 0:
-                node[3].append(both(a[3][i], b[3][j]))
-                if a[3][i][3] or b[3][j][3]:
-                    todo.append((a[3][i], b[3][j], node[3][-1]))
+                node[3].append(both(left[i], right[j]))
+                if left[i][3] or right[j][3]:
+                    todo.append((left[i], right[j], node[3][-1]))
             else:
-                one = a[3][i] if i >= 0 else b[3][j]
-                node[3].append([one[0], one[1], True, one[3], one[4]])
+                one = left[i] if i >= 0 else right[j]
+                node[3].append([one[0], one[1], True, one[3], one[4], one[5]])
     return top
 
 
@@ -241,7 +381,7 @@ def unpacked(text: str) -> list:
     for key, repeated, optional, n, slot in nodes:
         while len(todo[-1][0]) == todo[-1][1]:
             todo.pop()
-        node = [key, bool(repeated), bool(optional), [], slot]
+        node = [key, bool(repeated), bool(optional), [], slot, []]
         todo[-1][0].append(node)
         if n:
             todo.append((node[3], n))
@@ -251,7 +391,8 @@ def unpacked(text: str) -> list:
 def expression(node: list) -> str:
     """The wrapper as a regular expression over tokens, for reading."""
     inner = "".join(map(expression, node[3]))
-    body = "#text" if node[0] == TEXT else f"<{node[0]}>{inner}</{node[0].split('.')[0]}>" if node[0] else inner
+    element = node[0] and node[0][0] != "("
+    body = "#text" if node[0] == TEXT else f"<{node[0]}>{inner}</{node[0].split('.')[0]}>" if element else inner
     mark = ("*" if node[2] else "+") if node[1] else ("?" if node[2] else "")
     return f"({body}){mark}" if mark else body
 
@@ -270,75 +411,57 @@ def _is_main(key: str) -> bool:
 
 def _template(text: list, slot: list | None, pages: int) -> bool:
     """Whether a page's text is the one that most of the host's pages have in that slot."""
-    return bool(slot and slot[4] and pages >= 3 and slot[4][4] > 0.5 * pages and slot[4][3] == text[4][3])
+    return bool(slot and slot[4] and pages >= 3 and text[4][4] and slot[4][4] > 0.5 * pages and slot[4][3] == text[4][3])
 
 
-def _linked(node: list) -> tuple[bool, int]:
-    """Whether a group is nearly all links, and the most pages that one of its slots has."""
-    chars = links = pages = 0
-    todo = [node]
+def links(wrapper: list) -> dict[int, tuple[bool, int]]:
+    """For each repeated node of a wrapper (by identity) whether it is nearly all links, and the most
+    pages that one of its slots has."""
+    order, todo = [], [wrapper]
     while todo:
-        x = todo.pop()
-        if x[4]:
-            chars, links, pages = chars + x[4][1], links + x[4][2], max(pages, x[4][0])
-        todo += x[3]
-    return chars > 0 and links > 0.8 * chars, pages
-
-
-def main_text(source: str, wrapper: list, pages: int) -> str:
-    """The main text of a page of `wrapper`'s host, which has `pages` distinct pages."""
+        order.append(todo.pop())
+        todo += order[-1][3]
+    sums: dict[int, tuple[int, int, int]] = {}
+    for x in reversed(order):
+        below = [sums[id(c)] for c in x[3]]
+        chars, linked, pages = (x[4][1], x[4][2], x[4][0]) if x[4] else (0, 0, 0)
+        sums[id(x)] = chars + sum(b[0] for b in below), linked + sum(b[1] for b in below), max([pages, *(b[2] for b in below)])
+    return {id(x): (n[0] > 0 and n[1] > 0.8 * n[0], n[2]) for x in order if x[1] for n in (sums[id(x)],)}
+
+
+def main_text(source: str, wrapper: list, pages: int, linked: dict[int, tuple[bool, int]] | None = None) -> str:
+    """The main text of a page of `wrapper`'s host, which has `pages` distinct pages; `linked` is what
+    `links` says of the wrapper."""
+    if not wrapper[3]:
+        return ""
+    linked = links(wrapper) if linked is None else linked
     page = Page(source)
-    kept: dict[int, bool] = {}  # by node: whether its own text is kept
     has_main = False
-    todo: list[tuple[list, list | None, bool, bool, bool]] = [(page.root, wrapper, False, False, False)]
-    inside: dict[int, bool] = {}
-    linked: dict[int, bool] = {}
-    shared: set[int] = set()  # slots whose text is template
+    found: list[tuple[list[int], int, bool, bool, bool]] = []  # blocks, chars, inside the main part, linkish, shared
+    todo: list[tuple[list, list | None, bool, bool, bool]] = [(fold(page.root, own=True), wrapper, False, False, False)]
     while todo:
         node, like, away, in_main, linkish = todo.pop()
-        if node[0]:
+        if node[0] and node[0][0] != "(":
             in_main = in_main or (not away and _is_main(node[0]))
             away = away or _away(node[0], in_main)
-            if like is not None and like[1] and not (away or linkish):
-                nearly, having = _linked(like)
-                linkish = nearly and (not in_main or (pages >= 3 and having > 0.5 * pages))
+        if like is not None and like[1] and not (away or linkish):
+            nearly, having = linked.get(id(like), (False, 0))
+            linkish = nearly and (not in_main or (pages >= 3 and having > 0.5 * pages))
         has_main = has_main or (in_main and not away)
-        groups: list[tuple[str, list]] = []
-        for child in node[3]:
-            if groups and groups[-1][0] == child[0]:
-                groups[-1][1].append(child)
-            else:
-                groups.append((child[0], [child]))
-        for i, j in _align([g[0] for g in groups], [x[0] for x in like[3]] if like else []):
+        mine, theirs, pairs = _brothers(node[0], node[3], like[3] if like else [])
+        for i, j in pairs:
             if i < 0:
                 continue
-            match = like[3][j] if j >= 0 else None
-            for child in groups[i][1]:
-                if child[0] == TEXT:
-                    if _template(child, match, pages):
-                        shared.add(id(child))
-                else:
-                    todo.append((child, match, away, in_main, linkish))
-        kept[id(node)] = not away
-        linked[id(node)] = linkish
-        inside[id(node)] = in_main
-    texts = [t for t in page.texts if kept.get(id(t[1]), False) and (inside[id(t[1])] or not has_main)]
-    texts = [t for t in texts if has_main or not linked[id(t[1])]]
-    left = _joined([t for t in texts if id(t[2]) not in shared and not linked[id(t[1])]])
-    return left or _joined(texts)
-
-
-def _joined(texts: list[tuple]) -> str:
-    """Texts of one block on a line."""
-    blocks: list[str] = []
-    last, parts = -1, []
-    for text, _, _, block in texts:
-        if block != last:
-            blocks.append("".join(parts))
-            last, parts = block, []
-        parts.append(text)
-    blocks.append("".join(parts))
-    return "\n".join(t for t in (" ".join(b.split()) for b in blocks) if t)
+            child, match = mine[i], theirs[j] if j >= 0 else None
+            if child[0] != TEXT:
+                todo.append((child, match, away, in_main, linkish))
+            elif not away:
+                found.append((child[5], child[4][1], in_main, linkish, _template(child, match, pages)))
+    texts = [x for x in found if x[2] or not has_main]
+    texts = [x for x in texts if has_main or not x[3]]
+    copied = has_main and 2 * sum(x[1] for x in texts if x[4]) >= sum(x[1] for x in texts)
+    left = [x for x in texts if not x[3] and (copied or not x[4])]
+    return page.joined([b for x in left for b in x[0]]) or page.joined([b for x in texts for b in x[0]])
 
 
 def host_of(url: str) -> Column:
@@ -400,15 +523,16 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", body: st
     met = rows.join(copies, ["host", "salt"]).select(key, "url", "html", "wrapper", "distinct")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list] = {}
+        known: dict[str, tuple[list, dict]] = {}
         for b in batches:
             texts = []
             for source, wrapper, n in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
                 if wrapper not in known:
                     if len(known) > 200:
                         known = {}
-                    known[wrapper] = unpacked(wrapper)
-                texts.append(main_text(source, known[wrapper], n))
+                    like = unpacked(wrapper)
+                    known[wrapper] = like, links(like)
+                texts.append(main_text(source, known[wrapper][0], n, known[wrapper][1]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[key, "url", "text", "n_chars"])
 
     return met.mapInArrow(run, f"{key} {dict(pages.dtypes)[key]}, url string, text string, n_chars bigint")
