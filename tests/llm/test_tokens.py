@@ -14,7 +14,7 @@ from tracewell.llm import byte_bpe, packing, token_files, tokens
 from tracewell.llm.common import get, store
 
 ODD = list("aàÉßΣσ 　\t\n\r\x0b\x0c\x1c\x85\xa0 ́'sS<|>endoftext0٣½🙂👨‍👩‍👧한글漢字​.,!#")
-TEXTS = ["", None, "Hello, wörld. It's 42!", "<|endoftext|> x", "a" * 3000, "ÀÉ straße; naïve"]
+TEXTS = ["", None, "Hello, wörld. It's 42!", "<|endoftext|> x", "a <|endoftext|> b<|startoftext|>c <|ENDOFTEXT|>", "a" * 3000, "ÀÉ straße; naïve"]
 
 
 def noise(seed, n=300):
@@ -24,9 +24,7 @@ def noise(seed, n=300):
 
 @pytest.fixture(scope="module")
 def word_library():
-    t = Tokenizer.from_file(public_tokenizers.path(tokens.WORD_FILE))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(tokens.WORD_FILE))
 
 
 def word_ids(library, text, tail):
@@ -59,7 +57,7 @@ def test_byte_ids_equal_the_reference_and_decode(spark):
         ids = e.encode_ordinary(text or "")
         assert got[k].n_tokens == len(ids)
         assert got[k].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
-        assert got[k].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+        assert got[k].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest() and got[k].n_chars == len(text or "")
     back = byte_bpe.decoded(byte_bpe.encoded(df)).collect()
     assert {r.doc_id: r.text for r in back} == {k: t or "" for k, t in enumerate(texts)}
 
@@ -170,3 +168,55 @@ def test_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert packing.pack(df).collect() == [] and byte_bpe.round_trip(df).collect() == []
     assert token_files.read(token_files.write(df), "bigint").collect() == []
+
+
+def test_special_strings_are_tokens_as_in_the_plain_call(word_library):
+    (got,) = tokens.word_tokens().encode(["a <|endoftext|> b"])
+    assert np.frombuffer(got, "<u4").tolist() == word_ids(word_library, "a <|endoftext|> b", []) == [320, 49407, 321]
+
+
+def test_another_chain_gets_whole_texts(tmp_path):
+    from tokenizers import models, pre_tokenizers
+
+    t = Tokenizer(models.BPE(vocab={"a": 0, " ": 1, "a ": 2, "b": 3}, merges=[("a", " ")]))
+    t.save(str(tmp_path / "own.json"))
+    coder = tokens.WordTokens(str(tmp_path / "own.json"))
+    assert not coder.by_blanks and tokens.word_tokens().by_blanks
+    assert np.frombuffer(next(coder.encode(["a b"])), "<u4").tolist() == t.encode("a b").ids == [2, 3]
+
+
+def test_memo_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO", 50_000)
+    coder = tokens.WordTokens(tokens.WORD_FILE)
+    for k in range(40):
+        list(coder.encode([" ".join(f"w{k}x{i}" for i in range(300)) + " " + "y" * 5000], group=1))
+        assert sum(map(coder._bytes_of, coder.known.items())) < 250_000 and not any(len(p) > tokens.LONG for p in coder.known)
+
+
+def test_lookup_reads_only_what_is_asked(spark, word_library, tmp_path):
+    rows = [(k, t) for k, t in enumerate(TEXTS + noise(9, 120))] + [(5, "again")] * 3 + [(None, "none")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    shards = token_files.write(df, folder=f"file://{tmp_path}/l", shards=6)
+    asked = spark.createDataFrame([(k,) for k in [3, 5, 77, 77, 100, -4, 10**9, None]], "doc_id bigint")
+    whole = {r.start: (r.doc_id, r.ids) for r in token_files.read(shards, "bigint", with_ids=True).collect()}
+    got = {r.doc_id: r for r in token_files.lookup(shards, asked).collect()}
+    assert set(got) == {3, 5, 77, 100}
+    for k, r in got.items():
+        assert whole[r.start] == (k, r.ids) and r.n_tokens == len(r.ids) // 4
+        assert r.start == min(s for s, (d, _) in whole.items() if d == k)
+    assert token_files.lookup(shards, asked.where("doc_id < 0")).collect() == []
+
+
+def test_lengths_are_ranked_in_bounded_buckets(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RUN", 50)
+    rows = [(7, "word " * 3)] * 400 + [(8, "word " * 63)] * 30 + [(k, "word " * 200) for k in range(9, 20)]
+    df = spark.createDataFrame([(k, t, 1, 2) for k, t in rows], "doc_id bigint, text string, _row int, length int").repartition(5)
+    got = packing.pack(df, capacity=64).collect()
+    places = collections.defaultdict(list)
+    for p in got:
+        places[p.sequence_id].append((p.offset, p.length))
+    assert len(got) == 400 + 30 + 11 * 4
+    for v in places.values():
+        v.sort()
+        assert [o for o, _ in v] == np.concatenate([[0], np.cumsum([n for _, n in v])[:-1]]).tolist() and sum(n for _, n in v) <= 64
+    assert len(places) <= -(-sum(p.length for p in got) // 64) + 1

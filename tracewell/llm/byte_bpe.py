@@ -48,17 +48,20 @@ def decoded(rows: DataFrame, key: str = "doc_id", ids: str = "ids", vocabulary:
 
 
 def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = tokens.BYTE_FILE) -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256): each text is encoded and its ids are decoded in
-    the same task, so the ids themselves never leave it."""
+    """(key, n_tokens, ids_sha256, decoded_sha256, n_chars): each text is encoded and its ids are decoded
+    in the same task, so the ids themselves never leave it; n_chars is where the offsets end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokens.byte_tokens(vocabulary)
         for b in batches:
-            n, of_ids, of_bytes = [], [], []
+            n, of_ids, of_bytes, chars = [], [], [], []
             for ids in coder.encode(b.column(1).to_pylist()):
                 n.append(len(ids) // 4)
                 of_ids.append(hashlib.sha256(ids).hexdigest())
-                of_bytes.append(hashlib.sha256(coder.decode(np.frombuffer(ids, "<u4"))).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
+                numbers = np.frombuffer(ids, "<u4")
+                data = coder.decode(numbers)
+                of_bytes.append(hashlib.sha256(data).hexdigest())
+                chars.append(int(coder.offsets(numbers, data)[1][-1]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string()), pa.array(chars, pa.int64())], names=[key, "n_tokens", "ids_sha256", "decoded_sha256", "n_chars"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.select(key, text).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_chars bigint")

@@ -12,12 +12,14 @@ and so are the gaps of open sequences; a superstep sweeps runs, not rows:
    run has no successor does it open new sequences.
 
 The supersteps see counts by length, so what the driver holds is bounded by `capacity`, whatever
-the input. All rows stay in Spark: a piece's rank within its length is its row number in a salted
-bucket of that length plus the bucket's start, and one join on (length, rank range) against the
-bounded plan gives it its sequence and offset.
+the input. All rows stay in Spark: a piece's rank within its length is its row number in a bucket of
+that length (one for every `RUN` pieces) plus the bucket's start, and one join on (length, rank range)
+against the bounded plan gives it its sequence and offset. Pieces as long as a sequence fill one each,
+without a shuffle.
 
 Defined cases: a null text is empty and holds only the end id; repeated rows are packed each; ties
-in length are ranked by a hash of the key, then the key; an empty table gives no rows.
+in length are ranked by the number of their row in the written table; an empty table gives no rows;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from tracewell.llm import tokens
 from tracewell.llm.common import saved
 
 CAPACITY = 2048
-SALTS = 64
+RUN = 100_000  # pieces of one length that are ranked in one task, about
 
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = 0, vocabulary: str = tokens.WORD_FILE, with_ids: bool = False) -> DataFrame:
@@ -125,27 +127,32 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return out
 
 
-def packed(rows: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
-    """`rows` of `pieces`, read twice, with sequence_id and offset."""
+def packed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """`rows` with sequence_id and offset, from their `length` and `_row`, a number of its own for
+    each row; read three times. Sequences of full pieces have negative numbers."""
     spark = rows.sparkSession
-    salt = F.pmod(F.xxhash64(key, "piece"), F.lit(SALTS)).cast("int")
-    bucket = Window.partitionBy("length", "_salt").orderBy(key, "piece")
-    ranked = rows.withColumn("_salt", salt).withColumn("_in", F.row_number().over(bucket) - 1)
-    sizes = rows.groupBy("length", salt.alias("_salt")).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("_from", F.coalesce(F.sum("_n").over(before), F.lit(0)))  # capacity x SALTS rows at most
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # capacity rows at most
+    columns = [c for c in rows.columns if c != "_row"]
+    full = rows.where(F.col("length") == capacity).select(*columns, (-1 - F.col("_row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    rows = rows.where(F.col("length") < capacity)
+    counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
+    buckets = spark.createDataFrame([(n, -(-c // RUN)) for n, c in counts.items()] or [(0, 1)], "length bigint, _buckets int")
+    rows = rows.join(F.broadcast(buckets), "length").withColumn("_bucket", F.pmod(F.xxhash64("_row"), F.col("_buckets")).cast("int"))
+    ranked = rows.withColumn("_in", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("_row")) - 1)
+    sizes = rows.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_from", F.coalesce(F.sum("_n").over(before), F.lit(0)))  # a row for every RUN pieces
     steps = spark.createDataFrame(plan(counts, capacity) or [(0, 0, 0, 1, 0, 0)], "_length bigint, _first bigint, _pieces bigint, _each bigint, _sequence bigint, _offset bigint")
-    placed = ranked.join(starts.select("length", "_salt", "_from"), ["length", "_salt"]).withColumn("_rank", F.col("_from") + F.col("_in"))
+    placed = ranked.join(starts.select("length", "_bucket", "_from"), ["length", "_bucket"]).withColumn("_rank", F.col("_from") + F.col("_in"))
     met = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_first") + F.col("_pieces"))
     placed = placed.join(F.broadcast(steps), met)  # the plan's size follows capacity, not the input
     at = F.col("_rank") - F.col("_first")
     placed = placed.withColumn("sequence_id", F.expr("_sequence + (_rank - _first) div _each"))
     placed = placed.withColumn("offset", F.col("_offset") + at % F.col("_each") * F.col("length"))
-    return placed.select(*rows.columns, "sequence_id", "offset")
+    return full.unionByName(placed.select(full.columns))
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = 0, vocabulary: str = tokens.WORD_FILE, with_ids: bool = False) -> DataFrame:
     """Tokenise and pack. The pieces, without ids some tens of bytes each, are written once in the
     shared folder and read for the counts and for the placing."""
-    return packed(saved(pieces(docs, key, text, capacity, end_id, vocabulary, with_ids), "pieces"), key, capacity)
+    rows = pieces(docs, key, text, capacity, end_id, vocabulary, with_ids).withColumn("_row", F.monotonically_increasing_id())
+    return packed(saved(rows, "pieces"), capacity)

@@ -162,13 +162,15 @@ def numbered(keys: list) -> list[tuple[object, int]]:
 
 
 def write(docs: DataFrame, key: str = "doc_id", text: str = "text", folder: str | None = None, end_id: int | None = 2, shards: int | None = None, vocabulary: str = tokens.WORD_FILE) -> DataFrame:
-    """Write the shards; returns their list (folder, shard, docs, ids, kind, start), where kind
-    is the type of the ids and start is the
-    number of ids in all shards before. It's one row a shard."""
+    """Write the shards; returns their list (folder, shard, docs, ids, kind, first, last, start), one
+    row a shard: kind is the type of the ids, first and last are its least and largest keys (null keys
+    don't count), start is the number of ids in all shards before."""
     spark = docs.sparkSession
     folder = folder or shared_dir(spark, "token-files")
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tail = [] if end_id is None else [end_id]
+    key_type = dict(docs.dtypes)[key]
+    key_arrow = _arrow(key_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, shard = tokens.word_tokens(vocabulary), TaskContext.get().partitionId()
@@ -190,15 +192,30 @@ def write(docs: DataFrame, key: str = "doc_id", text: str = "text", folder: str
         out.close()
         files.move(part, f"{root}/tokens-{shard}.bin")
         put(folder, f"tokens-{shard}.idx", Index.build(keys, np.array(counts, np.int64)).to_bytes())
-        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((folder, pa.string()), (shard, pa.int32()), (len(keys), pa.int64()), (sum(counts), pa.int64()), (kind, pa.string()))], names=["folder", "shard", "docs", "ids", "kind"])
+        named = [k for k in keys if k is not None]
+        ends = [(k, key_arrow) for k in ((named[0], named[-1]) if named else (None, None))]
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((folder, pa.string()), (shard, pa.int32()), (len(keys), pa.int64()), (sum(counts), pa.int64()), (kind, pa.string()), *ends)], names=["folder", "shard", "docs", "ids", "kind", "first", "last"])
 
     order = [F.col(key), F.xxhash64(text)]
     rows = docs.select(key, text).repartitionByRange(shards, *order).sortWithinPartitions(*order)
-    written = saved(rows.mapInArrow(run, "folder string, shard int, docs bigint, ids bigint, kind string"), "token-shards")
+    written = saved(rows.mapInArrow(run, f"folder string, shard int, docs bigint, ids bigint, kind string, first {key_type}, last {key_type}"), "token-shards")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return written.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
 
+def _payload(folder: str, shard: int, size: int) -> pa.NativeFile:
+    """A shard's open payload of `size` bytes."""
+    files, root = store(folder)
+    data = files.open_input_file(f"{root}/tokens-{shard}.bin")
+    if data.size() != size:
+        raise ValueError(f"shard {shard}: payload of {data.size()} bytes, not {size}")
+    return data
+
+
+def _arrow(key_type: str) -> pa.DataType:
+    return pa.int64() if key_type in ("bigint", "long") else pa.int32() if key_type == "int" else pa.string()
+
+
 def read(shards: DataFrame, key_type: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """(key, start, n_tokens, ids_crc32[, ids]) of every document, each found through its shard's
     index; start counts the ids of all documents before it."""
@@ -210,16 +227,44 @@ def read(shards: DataFrame, key_type: str, key: str = "doc_id", with_ids: bool =
                 offsets, counts = index.find(numbered(index.keys))
                 if len(offsets) and (offsets < 0).any():
                     raise ValueError(f"shard {r['shard']}: a key of the list isn't in its index")
-                files, root = store(r["folder"])
-                with files.open_input_file(f"{root}/tokens-{r['shard']}.bin") as data:
-                    size = np.dtype(r["kind"]).itemsize
-                    if data.size() != size * r["ids"]:
-                        raise ValueError(f"shard {r['shard']}: payload of {data.size()} bytes, not {size * r['ids']}")
+                size = np.dtype(r["kind"]).itemsize
+                with _payload(r["folder"], r["shard"], size * r["ids"]) as data:
                     for a in range(0, len(offsets), 1000):
                         part = [np.frombuffer(data.read_at(size * int(n), size * int(o)), r["kind"]).astype("<u4").tobytes() for o, n in zip(offsets[a : a + 1000], counts[a : a + 1000], strict=True)]
                         cols = [index.keys[a : a + 1000], (offsets[a : a + 1000] + r["start"]).tolist(), counts[a : a + 1000].tolist(), [zlib.crc32(p) for p in part], part]
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (keys, pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)][: 4 + with_ids], names=[key, "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids])
 
-    keys = pa.int64() if key_type in ("bigint", "long") else pa.int32() if key_type == "int" else pa.string()
+    keys = _arrow(key_type)
     n = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return shards.repartition(n, "shard").mapInArrow(run, f"{key} {key_type}, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * with_ids)
+
+
+def lookup(shards: DataFrame, asked: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, start, n_tokens, ids) of the distinct keys of `asked` that the shards hold, the ids as
+    little-endian unsigned 32-bit numbers; of rows that repeat a key, the first. Null keys find
+    nothing. Keys meet the list of shards, one row each and as many as `write` was asked for, by
+    range; then each task opens the index of its shard and reads only what it finds."""
+    key_type = dict(asked.dtypes)[key]
+    keys = asked.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct()
+    near = keys.join(F.broadcast(shards), F.col("_key").between(F.col("first"), F.col("last")))
+    # A key that ends one shard and starts the next is looked up in the first of them.
+    near = near.groupBy("_key").agg(F.min(F.struct("shard", "folder", "ids", "kind", "start")).alias("_at")).select("_key", "_at.*")
+    near = near.repartition("shard", F.pmod(F.xxhash64("_key"), F.lit(8))).sortWithinPartitions("shard", "_key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, index = None, None
+        for b in batches:
+            shard = b.column(1).to_numpy()
+            cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])[: len(shard)]).tolist()
+            for i, j in zip(cuts, [*cuts[1:], len(shard)], strict=True):
+                r = b.slice(i, 1).to_pylist()[0]
+                if held != r["shard"]:
+                    held, index = r["shard"], Index.from_bytes(get(r["folder"], f"tokens-{r['shard']}.idx"))
+                some = b.column(0).slice(i, j - i).to_pylist()
+                offsets, counts = index.find([(k, 0) for k in some])
+                size = np.dtype(r["kind"]).itemsize
+                with _payload(r["folder"], r["shard"], size * r["ids"]) as data:
+                    rows = [(k, int(o) + r["start"], int(n), np.frombuffer(data.read_at(size * int(n), size * int(o)), r["kind"]).astype("<u4").tobytes()) for k, o, n in zip(some, offsets, counts, strict=True) if o >= 0]
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], t) for c, t in enumerate((_arrow(key_type), pa.int64(), pa.int64(), pa.binary()))], names=[key, "start", "n_tokens", "ids"])
+
+    return near.mapInArrow(run, f"{key} {key_type}, start bigint, n_tokens bigint, ids binary")

@@ -3,12 +3,14 @@
 Both encoders cut a text in parts that the tokenizer treats one by one anyway, keep each part's ids
 in a bounded memo of the worker process, and hand parts not yet seen to the library in one batch.
 
-* `WordTokens` (`word_bpe_49k.json`): that tokenizer drops white space, so parts are the stretches
-  between blanks.
+* `WordTokens` (a tokenizer file): a tokenizer that drops white space, as `word_bpe_49k.json` does, gets
+  the stretches between blanks as parts; whether a file is one of those is read from its chain
+  (`DROPS_SPACE`), and any other gets whole texts. Strings of special tokens within a text become
+  those tokens, as in the library's own call.
 * `ByteTokens` (a table of byte-level ranks): parts are the matches of the public pattern. A BPE
-  model is built from the ranks: a token's rank is the priority of every pair that makes it. Where
-  two pairs make one token the order between them isn't fixed by the ranks, so each new part is
-  held against the `tiktoken` library once, which wins.
+  model is built from the ranks: a token's rank is the priority of every pair that makes it. The
+  ranks leave one thing open: which of two equal tokens is made first. A part in which no pair of
+  bytes repeats holds no token twice; any other is held against the `tiktoken` library, which wins.
 
 A null text is an empty one; an empty text has no ids (an end id, if asked for, is still added).
 """
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+import json
 import os
 import re
 import sys
@@ -28,7 +31,19 @@ import numpy as np
 import pyarrow as pa
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-MEMO = 1_200_000  # parts remembered by a worker, some 250 bytes each
+MEMO, LONG = 160 << 20, 256  # bytes, at most, of the parts that a worker remembers; longer parts are not kept
+#: The chain of a tokenizer whose parts between blanks can be encoded one by one.
+DROPS_SPACE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
 WORD_FILE = "word_bpe_49k.json"
 BYTE_FILE = "byte_bpe_multi_50k.tiktoken"
 _LOADED: dict[tuple[str, str], object] = {}
@@ -65,6 +80,7 @@ class _Memo:
 
     def __init__(self) -> None:
         self.known: dict[str, bytes] = {"": b""}
+        self.held = 0  # bytes of the parts known, at most
 
     def parts(self, text: str) -> list[str]:
         raise NotImplementedError
@@ -78,12 +94,22 @@ class _Memo:
             known = self.known
             missing = list({p for parts in cut for p in parts if p not in known})
             if missing:
-                if len(known) + len(missing) > MEMO:  # the older half stays: frequent parts come early
-                    self.known = known = dict(islice(known.items(), MEMO // 2))
+                if self.held > MEMO:  # the older half stays: frequent parts come early
+                    self.known = known = dict(islice(known.items(), len(known) // 2))
+                    self.held = sum(map(self._bytes_of, known.items()))
                     missing = list({p for parts in cut for p in parts if p not in known})
                 known.update(zip(missing, self.new(missing), strict=True))
             for parts in cut:
                 yield b"".join(map(known.__getitem__, parts))
+            for p in missing:
+                if len(p) > LONG:
+                    del known[p]
+                else:
+                    self.held += self._bytes_of((p, known[p]))
+
+    @staticmethod
+    def _bytes_of(item: tuple[str, bytes]) -> int:
+        return 200 + 4 * len(item[0]) + len(item[1])
 
 
 class WordTokens(_Memo):
@@ -92,20 +118,21 @@ class WordTokens(_Memo):
 
         super().__init__()
         self.library = Tokenizer.from_file(path(name))
-        self.library.encode_special_tokens = True  # such strings in a text are ordinary text
+        chain = json.loads(self.library.to_str())
+        self.by_blanks = all(chain.get(k) == v for k, v in DROPS_SPACE.items()) and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] for t in chain["added_tokens"])
         # A plain word, of letters that need no normalising but lower case, and a mark after it.
         self._plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)").fullmatch
         self._bytes = dict(enumerate(byte_letters()))
 
     def parts(self, text: str) -> list[str]:
-        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if self.by_blanks else [text]
 
     def new(self, parts: list[str]) -> list[bytes]:
         """Plain words go straight to the library's model, other parts through its whole chain."""
         out, rest = [], []
         tokenize = self.library.model.tokenize
         for i, p in enumerate(parts):
-            if (m := self._plain(p)) is None:
+            if not self.by_blanks or (m := self._plain(p)) is None:
                 rest.append(i)
                 out.append(b"")
                 continue
@@ -151,15 +178,15 @@ class ByteTokens(_Memo):
         self.library = Tokenizer(models.BPE(vocab={spelled[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True))
         self.library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.parts = regex.compile(public_tokenizers.PATTERN).findall
-        self.reference = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        self.reference = tiktoken.Encoding("parts", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.lengths = np.array([len(t) for t in self.table], np.int64)
 
     def new(self, parts: list[str]) -> list[bytes]:
         out = []
         for p, e in zip(parts, self.library.encode_batch(parts, add_special_tokens=False), strict=True):
-            ids = e.ids
-            exact = self.reference(p.encode())
-            out.append(_packed(ids if ids == exact else exact))
+            data = p.encode()
+            once = len({data[k : k + 2] for k in range(len(data) - 1)}) == len(data) - 1
+            out.append(_packed(e.ids if once or not data else self.reference(p)))
         return out
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -167,11 +194,12 @@ class ByteTokens(_Memo):
         table = self.table
         return b"".join([table[i] for i in ids.tolist()])
 
-    def offsets(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def offsets(self, ids: np.ndarray, data: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Start of each token in bytes and in characters, each with the end as a last number. A
-        token that starts inside a character has the place of that character."""
+        token that starts inside a character has the place of that character. `data`: the bytes of
+        the ids, where they are known."""
         ends = np.concatenate([[0], np.cumsum(self.lengths[ids])])
-        data = np.frombuffer(self.decode(ids), np.uint8)
+        data = np.frombuffer(self.decode(ids) if data is None else data, np.uint8)
         heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         inside = np.append((data & 0xC0) == 0x80, False)
         return ends, heads[ends] - inside[ends]
