@@ -53,6 +53,33 @@ def test_counterfactuals_take_the_weight_off_a_group(spark):
     assert plain > 1 and abs(fair) < 0.5 * plain
 
 
+def test_counterfactuals_spare_neutral_mentions(spark):
+    """Held-out clean texts that name the group: fewer are taken for toxic, and no toxic one is lost."""
+    docs, labels = corpus(6, n=1600, biased=True)
+    y = dict(labels)
+    found = {}
+    for c in (0.0, 100.0):
+        d, m = model(spark, docs, labels, counterfactual=c)
+        got = {r.doc_id: r for r in toxicity.scored(d, m).collect()}
+        held = [k for k, _ in docs if zlib.crc32(str(k).encode()) % 5 == 0]
+        neutral = [k for k in held if not y[k] and dict(docs)[k].startswith("women")]
+        assert len(neutral) > 10
+        found[c] = np.mean([got[k].score for k in neutral]), np.mean([got[k].predicted for k in held if y[k]])
+    assert found[100.0][0] < 0.7 * found[0.0][0] and found[100.0][1] >= 0.97
+
+
+def test_swaps_look_at_the_words_of_a_sentence(spark):
+    names = toxicity._names((("Aa", "bb", "cc"),))
+    assert toxicity._swapped("x (aa) y. Aa!\nz bb, q", names) == {("x (aa) y.", "x (bb) y."), ("x (aa) y.", "x (cc) y."), ("Aa!", "bb!"), ("Aa!", "cc!"), ("z bb, q", "z Aa, q"), ("z bb, q", "z cc, q")}
+    far = toxicity._swapped("w " * 500 + "aa" + " v" * 500, names)
+    assert {len(a.split()) for a, _ in far} == {2 * toxicity.NEAR + 1} and len(far) == 2
+    assert toxicity._swaps("none here", names) == []
+    docs, labels = corpus(3, biased=True)
+    slots = next(toxicity.features(pa.array(["women"])))
+    other, own = (model(spark, docs, labels, counterfactual=30.0, identities=i)[1].weights[slots].sum() for i in ((("aa", "bb"),), (("women", "people"),)))
+    assert abs(own) < 0.5 * other
+
+
 def test_defined_cases(spark):
     docs, labels = corpus(4, n=300)
     odd = [(1000, None), (1001, ""), (1002, "badword " * 200_000), (5, "w1"), (5, "w1")]

@@ -2,25 +2,48 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: list[str] = []  # folders asked for
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _own_folder() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='tracewell-')}"
+
+
 def shared_dir(spark: SparkSession, kind: str) -> str:
-    """A new folder below the cluster's spark.checkpoint.dir. Only where that setting is unset, as
-    in local tests, a temporary folder of this machine stands in."""
+    """A new folder below the cluster's spark.checkpoint.dir. Only in a local session without that
+    setting a temporary folder of this machine stands in; elsewhere executors wouldn't share it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        root = f"file://{tempfile.mkdtemp(prefix='tracewell-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = _own_folder()
+    _MADE.append(f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clear() -> int:
+    """Delete the folders that this process has asked for so far, and say how many were there. Tables
+    read from them are gone then, so it is for the end of a job."""
+    gone = 0
+    while _MADE:
+        files, folder = store(_MADE.pop())
+        if files.get_file_info(folder).type == fs.FileType.Directory:
+            files.delete_dir(folder)
+            gone += 1
+    return gone
 
 
 def saved(df: DataFrame, kind: str) -> DataFrame:

@@ -9,10 +9,11 @@ slur share them), each hashed to a slot, valued 1 where present. Three passes:
    weights are fitted on the driver;
 3. scores of every document.
 
-Counterfactual regularisation: in each sampled sentence-sized window that names a group
-(`IDENTITIES`), the name is swapped for every other name of its kind, and the squared change of the
-score's logit is penalised. A slot of a name therefore ends with a weight near that of its
-counterparts, and near zero when the swapped sentences are neutral.
+Counterfactual regularisation: wherever a sentence of a training row names a group (`identities`),
+the name is swapped for every other name of its kind, in the sentence or, if that is longer, the `NEAR`
+words on both sides, and the squared change of the score's logit is penalised. A slot of a name
+therefore ends with a weight near that of its counterparts, and near zero when the swapped sentences
+are neutral. Equal changes count once a row.
 
 Defined cases: a null text is an empty one and scores as the prior; null labels are no labels, and
 a document with both labels counts under neither; with no labels or one class only, the score is
@@ -21,6 +22,7 @@ the smoothed share of toxic labels. Repeated ids are scored row by row. Extra co
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +36,9 @@ from tracewell.llm.common import saved
 
 SLOTS = 1 << 18
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
+NEAR = 20  # words on each side of a name that a swap looks at
+_END = re.compile(r"(?<=[.!?])\s+|\n")
+_EDGE = ".,;:!?\"'()[]“”„«»…"
 #: Names of groups by kind: within a kind one name can stand for another.
 IDENTITIES = (
     ("women", "men", "girls", "boys"),
@@ -84,12 +89,8 @@ def features(texts: pa.Array) -> Iterator[np.ndarray]:
             yield found[1:] if len(found) and found[0] < 0 else found
 
 
-def _names() -> dict[str, tuple[str, ...]]:
-    return {x: tuple(y for y in kind if y != x) for kind in IDENTITIES for x in kind}
-
-
-def _name_slots(words: list[str]) -> np.ndarray:
-    return [np.asarray(x) for x in features(pa.array(words))]
+def _names(identities: tuple[tuple[str, ...], ...]) -> dict[str, tuple[str, ...]]:
+    return {x.lower(): tuple(y for y in kind if y != x) for kind in identities for x in kind}
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", folds: int = 5, sample: int = 20_000) -> DataFrame:
@@ -103,9 +104,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label
     return docs.select(key, "text").join(F.broadcast(taken), key)
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", sample: int = 20_000, chosen: int = 2048, penalty: float = 1.0, counterfactual: float = 10.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", sample: int = 20_000, chosen: int = 2048, penalty: float = 1.0, counterfactual: float = 10.0, identities: tuple[tuple[str, ...], ...] = IDENTITIES) -> Model:
     """Learn a model. `sample` bounds the labelled rows that it is fitted on, taken by a hash of the
-    key; scoring has no bound."""
+    key; scoring has no bound. `identities` are groups of single words that can stand for each other."""
     rows = saved(training_rows(docs, labels, key, label, sample=sample), "toxicity-sample")
     counts = rows.select("y", "text").mapInArrow(_counted, "y int, part int, n binary, docs long").groupBy("y", "part").agg(F.collect_list("n").alias("n"), F.sum("docs").alias("docs"))
     counts = counts.mapInArrow(_summed, "y int, part int, n binary, docs long").collect()  # two labels x PARTS arrays of fixed size
@@ -122,24 +123,35 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "t
     strength = np.where(df.sum(0) >= 5, np.abs(z), 0)
     slots = np.argsort(-strength, kind="stable")[:chosen]
     slots = np.sort(slots[strength[slots] >= 2.5])
-    narrowed = rows.select("y", "text").mapInArrow(_narrowed(slots), "y int, slots binary, pairs binary").collect()  # at most `sample` short rows
+    narrowed = rows.select("y", "text").mapInArrow(_narrowed(slots, identities), "y int, slots binary, pairs binary").collect()  # at most `sample` short rows
     return _train(slots, narrowed, prior, penalty, counterfactual)
 
 
 PARTS = 64
 
 
-def _swaps(text: str, names: dict, own: dict) -> list[int]:
-    """The counterfactuals of a text as pairs (slot, -1 gone | 1 new), each ended by (-1, 0)."""
-    out = []
-    said = {w.strip(".,;:!?\"'()") for w in text.lower().split()} & names.keys()
-    for w in sorted(said):
-        for other in names[w]:
-            gone, new = np.setdiff1d(own[w], own[other]), np.setdiff1d(own[other], own[w])
-            out += [x for s in gone for x in (int(s), -1)] + [x for s in new for x in (int(s), 1)] + [-1, 0]
+def _swapped(text: str, names: dict[str, tuple[str, ...]]) -> set[tuple[str, str]]:
+    """Parts of sentences that name a group, each with a counterpart."""
+    out = set()
+    for sentence in _END.split(text):
+        words = sentence.split()
+        for i, w in enumerate(words):
+            bare = w.strip(_EDGE)
+            for other in names.get(bare.lower(), ()):
+                near = words[max(0, i - NEAR) : i + NEAR + 1]
+                swap = [*words[max(0, i - NEAR) : i], w.replace(bare, other), *words[i + 1 : i + NEAR + 1]]
+                out.add((" ".join(near), " ".join(swap)))
     return out
 
 
+def _swaps(text: str, names: dict[str, tuple[str, ...]]) -> list[int]:
+    """The counterfactuals of a text as pairs (slot, -1 gone | 1 new), each ended by (-1, 0)."""
+    pairs = sorted(_swapped(text, names))
+    found = [np.asarray(x) for x in features(pa.array([s for p in pairs for s in p], pa.string()))]
+    changes = {(tuple(np.setdiff1d(a, b).tolist()), tuple(np.setdiff1d(b, a).tolist())) for a, b in zip(found[::2], found[1::2], strict=True)}
+    return [x for gone, new in sorted(changes) for x in [*(y for s in gone for y in (s, -1)), *(y for s in new for y in (s, 1)), -1, 0]]
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n, docs = np.zeros((2, SLOTS), np.int64), [0, 0]
     for b in batches:
@@ -156,19 +168,18 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sums, pa.binary()), b.column(3)], names=["y", "part", "n", "docs"])
 
 
-def _narrowed(slots: np.ndarray):
+def _narrowed(slots: np.ndarray, identities: tuple[tuple[str, ...], ...]):
     place = np.full(SLOTS, -1, np.int32)
     place[slots] = np.arange(len(slots), dtype=np.int32)
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = _names()
-        own = dict(zip(names, _name_slots(list(names)), strict=True))
+        names = _names(identities)
         for b in batches:
             kept, pairs = [], []
             for text, found in zip(b.column(1), features(b.column(1)), strict=True):
                 k = place[found]
                 kept.append(k[k >= 0].tobytes())
-                q = np.array(_swaps(text.as_py() or "", names, own), np.int32).reshape(-1, 2)
+                q = np.array(_swaps(text.as_py() or "", names), np.int32).reshape(-1, 2)
                 ends = q[:, 0] < 0
                 q[~ends, 0] = place[q[~ends, 0]]
                 pairs.append(q[ends | (q[:, 0] >= 0)].tobytes())
