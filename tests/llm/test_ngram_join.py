@@ -150,3 +150,45 @@ def test_null_ids_find_their_own_text_only(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert sorted((r.n_shingles, r.component_id) for r in ngram_join.joined(df).collect()) == [(37, None)] * 13 + [(38, None)] * 12
     assert dict(seen)["members"].count() == 24
+
+
+def test_large_tiles_are_cut_in_cells(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE", 6)
+    monkeypatch.setattr(ngram_join, "SAMPLED", 1)
+    cut, once = [], ngram_join._celled
+    monkeypatch.setattr(ngram_join, "_celled", lambda rows, sig: cut.append(once(rows, sig)) or cut[-1])
+    docs = corpus(11, 150)
+    assert found(spark, docs, size=4, percent=85) == brute(docs, 4, 85)
+    assert cut[0].select("cell").distinct().count() > 3
+
+
+def test_many_clusters_in_one_possible_component(spark, monkeypatch):
+    """A chain of near copies, none of which is close to most others: tasks stay at a block and a batch."""
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
+    most, once = spark.sparkContext.accumulator(0), ngram_join._against
+
+    def watched(size, percent):
+        run = once(size, percent)
+
+        def counted(pdf):
+            most.add(len(pdf) > 24)
+            return run(pdf)
+
+        return counted
+
+    monkeypatch.setattr(ngram_join, "_against", watched)
+    words = [f"w{i}" for i in range(400)]
+    docs = [(k, " ".join(words[2 * k : 2 * k + 100])) for k in range(0, 140, 3)] + [(1000 + k, " ".join(words[2 * k : 2 * k + 100])) for k in range(1, 140, 50)]
+    assert found(spark, docs) == brute(docs, 4, 85)
+    assert most.value == 0
+
+
+def test_sets_with_half_a_hash_in_common_stay_apart(spark):
+    rows = [(1, 11, 3, 5, 70), (2, 12, 3, 5, 70), (3, 13, 3, 5, 71), (4, 14, 4, 5, 72), (5, 15, 0, 0, 0)]
+    sig = spark.createDataFrame(rows, "key bigint, hash bigint, n bigint, cls bigint, check bigint")
+    told, classes = ngram_join._classes(sig)
+    by = {r.key: r.cls for r in told.collect()}
+    assert by[1] == by[2] and len({by[1], by[3], by[4]}) == 3
+    assert sorted((r.first, r.copies) for r in classes.collect()) == [(1, 2), (3, 1), (4, 1)]
+    whole, again = ngram_join._classes(sig.where("key in (1, 2)"))
+    assert whole.count() == 2 and [(r.cls, r.copies) for r in again.collect()] == [(5, 2)]

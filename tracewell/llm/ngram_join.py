@@ -1,22 +1,24 @@
 """Connected components of the exact Jaccard join of documents on word n-grams. Pairs already connected
 are skipped, so the links themselves, and their number for a document, are not produced.
 
-1. A pass over the texts hashes each document's distinct n-grams. Documents of equal sets form one
-   class; only classes take part from here on.
+1. A pass over the texts hashes each document's distinct n-grams. Documents of equal sets (by 128 bits
+   of hash) form one class; only classes take part from here on.
 2. Similar sets share an n-gram among their first ones in any fixed order (prefix filter). The order
    is by hash below a bound, first the n-grams few classes have, then the frequent ones, then the
    rest, so that a passage common to many documents seldom serves as a key.
 3. Classes that share such an n-gram meet in a tile; the tile of a frequent n-gram is cut in bands of
-   size, each meeting the next. Inside a tile classes are sorted by size, and for sizes close
-   enough the bit counts of hashed bitmap signatures bound the overlap from above. A pair that
+   size, each meeting the next, and a tile of more than `TILE` classes in sides that meet pair by pair
+   in cells, so a task holds two sides at most. Inside a tile classes are sorted by size, and for sizes
+   close enough the bit counts of hashed bitmap signatures bound the overlap from above. A pair that
    passes is a possible link; a tile emits possible links that connect what its pairs connect.
 4. Components of possible links are cut in blocks of bounded size. In a block the sorted arrays of
    the n-grams are intersected exactly, skipping only pairs already connected. Between blocks of
-   one component, all classes are held against the root of its largest cluster, then the classes
-   that stay outside that cluster, in batches of a block's size, against all blocks. So no link
+   one component, all classes are held against the root of its largest cluster. What stays outside
+   that cluster meets the blocks in batches of a block's size, first by larger signatures only; the
+   text of a class goes only to the blocks where the bit counts leave a link possible. So no link
    between two clusters is missed, and a task holds the texts of one block and one batch at a time.
-   Where most of a large component stays outside, all its blocks meet all its batches: that work is
-   quadratic in the component.
+   The work is quadratic only in classes of one component and of near sizes that stay outside its
+   largest cluster: by signatures in all, by texts in those whose similarity is just below the bound.
 
 Equality of n-grams is equality of 64-bit hashes. Defined cases: null and empty texts, and texts
 without a word, have no n-gram and are linked with nothing; fewer words than n make one n-gram of
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm import wordhash
@@ -43,7 +45,9 @@ from tracewell.llm.components import components
 BELOW = np.uint64(int(0.22 * 2**64))  # hashes whose frequency is counted
 FREQUENT = 400  # classes that make an n-gram a frequent one
 HOT = 10_000  # classes with more than one in so many documents are called common
+TILE, SAMPLED = 20_000, 16  # classes of a side; one class in SAMPLED is counted to find the large tiles
 BLOCK_CLASSES, BLOCK_GRAMS = 200, 400_000
+FINE = 8  # bits an n-gram of the larger signatures
 
 
 def _least_overlap(n: int, percent: int) -> int:
@@ -66,12 +70,18 @@ def bitmap(grams: np.ndarray, bits: int) -> bytes:
     return np.packbits(out, bitorder="little").tobytes()
 
 
-def _set_hash(grams: np.ndarray) -> int:
+def _set_hash(grams: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set: the number of its class, and the other half."""
     if not len(grams):
-        return 0
+        return 0, 0
     h = wordhash.mix(grams * np.uint64(0xD6E8FEB86659FD93) + np.uint64(len(grams)))
-    both = int(np.bitwise_xor.reduce(h)) + int(h.sum(dtype=np.uint64)) * 0x9E3779B97F4A7C15
-    return (both & (2**64 - 1)) - (both & 2**63) * 2
+    total = int(h.sum(dtype=np.uint64))
+    both = int(np.bitwise_xor.reduce(h)) + total * 0x9E3779B97F4A7C15
+    return _signed(both), _signed(total)
+
+
+def _signed(x: int) -> int:
+    return (x & (2**64 - 1)) - (x & 2**63) * 2
 
 
 def gram_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -87,21 +97,40 @@ def gram_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def signatures(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """(key, hash, n, cls, tokens, bits): hash is that of the text, cls is the hash of the whole set; tokens are its hashes below
-    BELOW, filled up to the prefix length."""
+    """(key, hash, n, cls, check, tokens, bits): hash is that of the text, cls and check are halves of
+    the hash of the whole set; tokens are its hashes below BELOW, filled up to the prefix length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, cls, toks, bits = [], [], [], []
+            n, cls, check, toks, bits = [], [], [], [], []
             for grams in gram_sets(b.column(2), size):
                 n.append(len(grams))
-                cls.append(_set_hash(grams))
+                one, other = _set_hash(grams)
+                cls.append(one)
+                check.append(other)
                 cut = max(int(np.searchsorted(grams, BELOW)), prefix_length(len(grams), percent) if len(grams) else 0)
                 toks.append(grams[:cut].view(np.int64))
                 bits.append(bitmap(grams, width(len(grams))) if len(grams) else b"")
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(toks, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["key", "hash", "n", "cls", "tokens", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(check, pa.int64()), pa.array(toks, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["key", "hash", "n", "cls", "check", "tokens", "bits"])
+
+    return docs.select(key, F.xxhash64(text), text).mapInArrow(run, f"key {dict(docs.dtypes)[key]}, hash bigint, n bigint, cls bigint, check bigint, tokens array<bigint>, bits binary")
+
+
+def _classes(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`sig`, and one row a class. Sets that differ in the second half of their hash only, of which ten
+    billion documents have a few, get a class of their own."""
+
+    def counted(rows: DataFrame) -> DataFrame:
+        named = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash"))["hash"]
+        return rows.where("n > 0").groupBy("cls").agg(F.min("key").alias("first"), named.alias("hash"), F.max("n").alias("n"), F.count("*").alias("copies"), F.min("check").alias("low"), F.max("check").alias("high"))
 
-    return docs.select(key, F.xxhash64(text), text).mapInArrow(run, f"key {dict(docs.dtypes)[key]}, hash bigint, n bigint, cls bigint, tokens array<bigint>, bits binary")
+    classes = saved(counted(sig), "classes")
+    mixed = classes.where("low <> high").select("cls", "low")
+    if not mixed.isEmpty():
+        apart = F.when(F.col("check") != F.col("low"), F.xxhash64("cls", "check")).otherwise(F.col("cls"))
+        sig = saved(sig.join(mixed, "cls", "left").withColumn("cls", apart).select(sig.columns), "signatures-apart")
+        classes = saved(counted(sig), "classes-apart")
+    return sig, classes.drop("low", "high")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,10 +253,7 @@ def _tile(rows: list[tuple[int, int, bytes, bool]], percent: int) -> list[tuple[
             near = a + np.flatnonzero(free[a:z] & (home[a:z] | home[i]))
             for w in set(words[near].tolist()):
                 some = near[words[near] == w]
-                k = min(w, words[i])
-                mine = _fold(np.frombuffer(rows[i][2], np.uint64)[None, :], k)
-                theirs = _fold(stacks[w][of[some]], k)
-                most = np.minimum(n[i] - np.bitwise_count(mine & ~theirs).sum(1, dtype=np.int64), n[some] - np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64))
+                most = _most(n[some], stacks[w][of[some]], n[i], np.frombuffer(rows[i][2], np.uint64))
                 hit = some[(100 + percent) * most >= percent * (n[i] + n[some])]
                 free[hit] = False
                 queue += hit.tolist()
@@ -244,11 +270,11 @@ def _tiles(percent: int):
 
         for b in batches:
             out = []
-            for token, band, *row in zip(*(b.column(k).to_pylist() for k in range(6)), strict=True):
-                if (token, band) != last:
+            for token, band, cell, *row in zip(*(b.column(k).to_pylist() for k in range(7)), strict=True):
+                if (token, band, cell) != last:
                     if len(rows) > 1:
                         out += edges(_tile(rows, percent))
-                    last, rows = (token, band), []
+                    last, rows = (token, band, cell), []
                     if len(seen.parent) > 1_000_000:
                         seen = _Union()
                 rows.append(tuple(row))
@@ -260,6 +286,21 @@ def _tiles(percent: int):
     return run
 
 
+def _celled(rows: DataFrame, sig: DataFrame) -> DataFrame:
+    """Rows of tiles with their cell: the classes of a large tile are dealt over sides, and each goes
+    to the cells of its side with every side. How many sides there are is estimated from one class in
+    SAMPLED, which changes the work's cut only."""
+    some = sig.where((F.col("n") > 0) & (F.pmod(F.xxhash64(F.lit("tiles"), "cls"), F.lit(SAMPLED)) == 0)).select("cls", "tokens").dropDuplicates(["cls"])
+    often = some.select(F.explode("tokens").alias("token")).groupBy("token").agg((F.count("*") * SAMPLED).alias("n")).where(F.col("n") > TILE)
+    often = saved(often.select("token", F.ceil(F.col("n") / TILE).cast("int").alias("sides")), "large-tiles")
+    columns = ["token", "band", "cell", "cls", "n", "bits", "home"]
+    if often.isEmpty():
+        return rows.withColumn("cell", F.lit(0)).select(columns)
+    sides = rows.join(often, "token", "left").withColumn("sides", F.coalesce("sides", F.lit(1)))
+    sides = sides.withColumn("_side", F.pmod(F.xxhash64("cls"), F.col("sides")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+    return sides.withColumn("cell", F.least("_side", "_other") * F.col("sides") + F.greatest("_side", "_other")).select(columns)
+
+
 class _Sets:
     """The n-gram sets of a block over dense numbers, to intersect one set with many exactly."""
 
@@ -284,21 +325,18 @@ class _Sets:
 
 
 def _sets_of(pdf: pd.DataFrame, size: int) -> tuple[pd.DataFrame, list[np.ndarray]]:
-    """Rows whose text has the set that their class names, one a class, and those sets."""
-    sets = list(gram_sets(pa.array(pdf["text"], pa.string()), size))
-    right = np.array([_set_hash(s) for s in sets]) == pdf["cls"].to_numpy()
-    pdf = pdf.assign(_i=np.arange(len(pdf)))[right].drop_duplicates("cls").sort_values("cls")
-    return pdf, [sets[i] for i in pdf["_i"]]
+    """Rows by class, and the sets of their texts."""
+    pdf = pdf.sort_values("cls")
+    return pdf, list(gram_sets(pa.array(pdf["text"], pa.string()), size))
 
 
 def _block(size: int, percent: int):
-    """Clusters of one block: (cls, root) with root the smallest class of its cluster."""
+    """Clusters of one block: (cls, root) with root the smallest class of its cluster; in components of
+    several blocks also n and the larger signature."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, sets = _sets_of(pdf, size)
         cls = pdf["cls"].to_numpy()
-        if not len(cls):
-            return pd.DataFrame({"cls": [], "root": [], "comp": [], "block": []})
         held = _Sets(sets)
         root = np.full(len(cls), -1)
         for first in range(len(cls)):
@@ -309,7 +347,38 @@ def _block(size: int, percent: int):
                 hit = held.linked(sets[queue.pop()], np.flatnonzero(root < 0), percent)
                 root[hit] = first
                 queue += hit.tolist()
-        return pd.DataFrame({"cls": cls, "root": cls[root], "comp": pdf["comp"].to_numpy(), "block": pdf["block"].to_numpy()})
+        bits = [bitmap(s, width(FINE * len(s))) if several else None for s, several in zip(sets, pdf["blocks"] > 1, strict=True)]
+        return pd.DataFrame({"cls": cls, "root": cls[root], "comp": pdf["comp"].to_numpy(), "block": pdf["block"].to_numpy(), "n": pdf["n"].to_numpy(), "bits": pd.Series(bits, dtype=object)})
+
+    return run
+
+
+def _most(n: np.ndarray, stack: np.ndarray, m: int, mine: np.ndarray) -> np.ndarray:
+    """Upper bounds of the overlap of sets of `n` n-grams, their signatures stacked, with a set of `m`."""
+    k = min(stack.shape[1], len(mine))
+    mine, theirs = _fold(mine[None, :], k), _fold(stack, k)
+    return np.minimum(m - np.bitwise_count(mine & ~theirs).sum(1, dtype=np.int64), n - np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64))
+
+
+def _possible(percent: int):
+    """Guests, and the block, for which the larger signatures leave a link with another cluster possible."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        guests, own = pdf[pdf["guest"]], pdf[~pdf["guest"]]
+        n, root = own["n"].to_numpy(), own["root"].to_numpy()
+        words = np.array([len(b) // 8 for b in own["bits"]])
+        stacks = {w: (np.flatnonzero(words == w), np.stack([np.frombuffer(b, np.uint64) for b, x in zip(own["bits"], words, strict=True) if x == w])) for w in set(words.tolist())}
+
+        def near(m: int, its_root: int, bits: bytes) -> bool:
+            mine = np.frombuffer(bits, np.uint64)
+            for rows, stack in stacks.values():
+                some = (root[rows] != its_root) & (100 * n[rows] >= percent * m) & (100 * m >= percent * n[rows])
+                if some.any() and ((100 + percent) * _most(n[rows][some], stack[some], m, mine) >= percent * (m + n[rows][some])).any():
+                    return True
+            return False
+
+        hit = [near(m, r, b) for m, r, b in zip(guests["n"], guests["root"], guests["bits"], strict=True)]
+        return guests[np.array(hit, bool)][["comp", "block", "batch", "cls"]]
 
     return run
 
@@ -340,8 +409,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     """(key, n_shingles, component_id) of every row of `docs`, linking sets whose Jaccard similarity
     is `percent` / 100 or more."""
     key_type = dict(docs.dtypes)[key]
-    sig = saved(signatures(docs, key, text, size, percent), "signatures")
-    classes = saved(sig.where("n > 0").groupBy("cls").agg(F.min("key").alias("first"), F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash"))["hash"].alias("hash"), F.max("n").alias("n"), F.count("*").alias("copies")), "classes")
+    sig, classes = _classes(saved(signatures(docs, key, text, size, percent), "signatures"))
 
     # One row a class, with its tokens: the row of its first key (several, where that key repeats).
     # Copies of the most common classes, of which there are HOT at most, go before the shuffle.
@@ -354,13 +422,18 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     shared = postings.mapInArrow(_runs, "token bigint, cls bigint, frequent boolean")
     shared = shared.groupBy("cls").agg(F.collect_list(F.struct("token", "frequent")).alias("shared"))  # at most a class's own tokens
     rows = one.join(shared, "cls").select("cls", "n", "tokens", "bits", "shared").mapInArrow(_prefixes(percent), "token bigint, band int, cls bigint, n bigint, bits binary, home boolean")
-    rows = rows.repartition("token", "band").sortWithinPartitions("token", "band")
+    rows = _celled(rows, sig).repartition("token", "band", "cell").sortWithinPartitions("token", "band", "cell")
     possible = components(rows.mapInArrow(_tiles(percent), "u bigint, v bigint"))
 
     clusters = saved(_verified(docs, classes, possible, key, text, size, percent), "clusters")
-    named = classes.join(clusters, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_class = named.join(least, "root").select("cls", "component_id")
+    named = classes.select("cls", "first").join(clusters, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    least = saved(named.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("_n")), "roots")
+    # The largest components, HOT at most, are broadcast, so that no task gets all classes of one.
+    count = least.agg(F.sum("_n")).first()[0] or 0
+    large = F.broadcast(least.where(F.col("_n") > count / HOT).select("root", "component_id"))
+    known = named.join(large, "root", "left").select("cls", "root", "component_id", F.col("component_id").isNull().alias("_open"))
+    small = known.where("_open").select("cls", "root").join(least.where(F.col("_n") <= count / HOT).select("root", "component_id"), "root", "left")
+    of_class = known.where("not _open").select("cls", "component_id").union(small.select("cls", "component_id"))
     out = sig.select("key", "n", "cls").join(of_class, "cls", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).cast(key_type)
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
@@ -369,42 +442,57 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 def _verified(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
     """(cls, root): the clusters that exact links make of the possible components."""
     members = possible.select(F.col("node").alias("cls"), F.col("root").alias("comp")).join(classes, "cls")
-    sizes = members.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_GRAMS)).alias("blocks"))
+    sizes = members.groupBy("comp").agg(_cut().alias("blocks"))
     members = members.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     # A class's text is found by key and hash, as null and repeated keys do not tell texts apart.
     texts = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
     held = texts.join(members, F.col("_key").eqNullSafe(F.col("first")) & (F.col("_hash") == F.col("hash")))
     held = saved(held.select("comp", "block", "blocks", "cls", "n", "text").dropDuplicates(["cls"]), "members")
-    local = held.groupBy("comp", "block").applyInPandas(_block(size, percent), "cls bigint, root bigint, comp bigint, block int")
+    local = held.groupBy("comp", "block").applyInPandas(_block(size, percent), "cls bigint, root bigint, comp bigint, block int, n bigint, bits binary")
     local = saved(local, "block-clusters")
 
     # Components of several blocks: first every block against the root of the largest cluster.
     wide = held.where("blocks > 1").join(local.select("cls", "root"), "cls")
     counted = local.groupBy("comp", "root").agg(F.count("*").alias("c"))
     largest = counted.groupBy("comp").agg(F.max_by("root", F.struct("c", "root")).alias("lead"))
-    lead = wide.join(largest, "comp").where("cls = lead").select("comp", "cls", "n", "root", "text", "blocks")
-    spread = lead.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))).withColumn("guest", F.lit(True))
-    first = saved(_meet(wide, spread, size, percent), "first-links")
-    merged = components(first)
-    now = local.join(merged.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
-    now = now.withColumn("up", F.coalesce("up", "root"))
-    lead_up = now.join(largest, "comp").where("cls = lead").select("comp", F.col("up").alias("lead_up"))
-    # Then the classes outside that cluster against all blocks.
-    outside = wide.join(now.select("cls", "up"), "cls").join(lead_up, "comp").where("up <> lead_up")
-    outside = outside.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))).withColumn("guest", F.lit(True))
-    second = _meet(wide.drop("root").join(now.select("cls", F.col("up").alias("root")), "cls"), outside.drop("root").withColumnRenamed("up", "root"), size, percent)
-    merged_again = components(second)
-    final = now.join(merged_again.select(F.col("node").alias("up"), F.col("root").alias("top")), "up", "left")
-    return final.select("cls", F.coalesce("top", "up").alias("root"))
+    lead = wide.join(largest, "comp").where("cls = lead").select("comp", "cls", "root", "text", "blocks")
+    spread = lead.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))).withColumn("batch", F.lit(0))
+    merged = components(_meet(wide, spread, size, percent))
+    now = local.join(merged.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left").withColumn("root", F.coalesce("up", "root")).drop("up")
+    now = saved(now, "lead-clusters")
+    # Then the classes outside that cluster against the blocks where a link is possible.
+    lead_root = now.join(largest, "comp").where("cls = lead").select("comp", F.col("root").alias("lead_root"))
+    several = now.where(F.col("bits").isNotNull())
+    outside = several.join(lead_root, "comp").where("root <> lead_root").drop("lead_root")
+    visits = saved(_visits(several, outside, percent), "visits")
+    guests = visits.join(wide.drop("root", "block", "comp"), "cls").join(now.select("cls", "root"), "cls")
+    second = _meet(wide.drop("root").join(now.select("cls", "root"), "cls"), guests, size, percent)
+    merged = components(second)
+    final = now.join(merged.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    return final.select("cls", F.coalesce("top", "root").alias("root"))
+
+
+def _cut() -> Column:
+    """How many blocks or batches hold the classes of a group."""
+    return F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int")
+
+
+def _visits(own: DataFrame, outside: DataFrame, percent: int) -> DataFrame:
+    """(comp, block, batch, cls): the blocks that each class of `outside` has to visit. Signatures of a
+    component's guests, in batches of a block's size, meet those of each block."""
+    columns = ["comp", "block", "batch", "cls", "n", "root", "bits", "guest"]
+    batches = outside.groupBy("comp").agg(_cut().alias("batches"))
+    blocks = own.groupBy("comp").agg(F.max("block").alias("_last"))
+    dealt = outside.drop("block").join(batches, "comp").withColumn("batch", F.pmod(F.xxhash64(F.lit("guest"), "cls"), F.col("batches")).cast("int"))
+    dealt = dealt.join(blocks, "comp").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_last")))).withColumn("guest", F.lit(True))
+    hosts = own.join(batches, "comp").withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1))).withColumn("guest", F.lit(False))
+    both = hosts.select(columns).unionByName(dealt.select(columns))
+    return both.groupBy("comp", "block", "batch").applyInPandas(_possible(percent), "comp bigint, block int, batch int, cls bigint")
 
 
 def _meet(own: DataFrame, guests: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links of guests with each block they visit. A component's guests come in batches of a block's
-    size, and each batch meets each block apart."""
+    """Links of guests, which name the blocks they visit and their batch, with those blocks."""
     columns = ["comp", "block", "batch", "cls", "root", "text", "guest"]
-    batches = guests.select("comp", "cls", "n").dropDuplicates(["cls"]).groupBy("comp")
-    batches = batches.agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("batches"))
-    dealt = guests.join(batches, "comp").withColumn("batch", F.pmod(F.xxhash64(F.lit("guest"), "cls"), F.col("batches")).cast("int"))
-    hosts = own.join(batches, "comp").withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1))).withColumn("guest", F.lit(False))
-    both = hosts.select(columns).unionByName(dealt.select(columns))
+    hosts = own.join(guests.select("comp", "block", "batch").distinct(), ["comp", "block"]).withColumn("guest", F.lit(False))
+    both = hosts.select(columns).unionByName(guests.withColumn("guest", F.lit(True)).select(columns))
     return both.groupBy("comp", "block", "batch").applyInPandas(_against(size, percent), "u bigint, v bigint")
