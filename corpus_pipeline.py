@@ -5,13 +5,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.llm import ngram_join, packing, quality_rules, toxicity
 from tracewell.llm.common import saved, table
 
 
+ROW = "_tracewell_row"
+
+
+def _with_row(docs: DataFrame) -> DataFrame:
+    """The key, the text and the whole row."""
+    return docs.select("doc_id", "text", F.struct("*").alias(ROW))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below one half, by a model fitted on the labelled ones."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -20,10 +28,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the learned decision list. Texts and their statistics
-    are written once, for learning and for the verdict."""
-    stats = saved(quality_rules.statistics(docs, keep=tuple(docs.columns)), "documents-statistics")
+    are written once, for learning and for the verdict; whole rows travel as one column, so that no
+    name of theirs clashes with a statistic."""
+    stats = saved(quality_rules.statistics(_with_row(docs), keep=("doc_id", ROW)), "documents-statistics")
     rules = quality_rules.learn(stats, table(spark, sf_dir, "labels"))
-    return quality_rules.judged(stats, rules).where("kept").select(docs.columns)
+    return quality_rules.judged(stats, rules).where("kept").select(f"{ROW}.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +40,9 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     that repeat an id and its text, one. Documents without an id stay."""
     found = ngram_join.joined(docs, size=5, percent=80)
     stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("n_chars")
-    kept = docs.join(stay, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(same)).where("_nth = 1").select(docs.columns)
-    return kept.unionByName(docs.where("doc_id is null"))
+    rows = _with_row(docs)
+    kept = rows.join(stay, "doc_id", "left_semi").groupBy("doc_id", F.xxhash64("text")).agg(F.first(ROW).alias(ROW))
+    return kept.select(f"{ROW}.*").unionByName(docs.where("doc_id is null"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
