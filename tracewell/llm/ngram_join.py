@@ -440,9 +440,12 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 
 
 def _verified(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """(cls, root): the clusters that exact links make of the possible components."""
-    members = possible.select(F.col("node").alias("cls"), F.col("root").alias("comp")).join(classes, "cls")
-    sizes = members.groupBy("comp").agg(_cut().alias("blocks"))
+    """(cls, root): the clusters that exact links make of the possible components.
+
+    What is known of a component is written before it is joined, and groups are dealt anew before they
+    are worked on: else Spark would keep the join's dealing by component, and so a component in a task."""
+    members = saved(possible.select(F.col("node").alias("cls"), F.col("root").alias("comp")).join(classes, "cls"), "possible")
+    sizes = saved(members.groupBy("comp").agg(_cut().alias("blocks")), "component-sizes")
     members = members.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     # A class's text is found by key and hash, as null and repeated keys do not tell texts apart.
     texts = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
@@ -454,14 +457,14 @@ def _verified(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str
     # Components of several blocks: first every block against the root of the largest cluster.
     wide = held.where("blocks > 1").join(local.select("cls", "root"), "cls")
     counted = local.groupBy("comp", "root").agg(F.count("*").alias("c"))
-    largest = counted.groupBy("comp").agg(F.max_by("root", F.struct("c", "root")).alias("lead"))
+    largest = saved(counted.groupBy("comp").agg(F.max_by("root", F.struct("c", "root")).alias("lead")), "largest")
     lead = wide.join(largest, "comp").where("cls = lead").select("comp", "cls", "root", "text", "blocks")
     spread = lead.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))).withColumn("batch", F.lit(0))
     merged = components(_meet(wide, spread, size, percent))
     now = local.join(merged.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left").withColumn("root", F.coalesce("up", "root")).drop("up")
     now = saved(now, "lead-clusters")
     # Then the classes outside that cluster against the blocks where a link is possible.
-    lead_root = now.join(largest, "comp").where("cls = lead").select("comp", F.col("root").alias("lead_root"))
+    lead_root = saved(now.join(largest, "comp").where("cls = lead").select("comp", F.col("root").alias("lead_root")), "lead-roots")
     several = now.where(F.col("bits").isNotNull())
     outside = several.join(lead_root, "comp").where("root <> lead_root").drop("lead_root")
     visits = saved(_visits(several, outside, percent), "visits")
@@ -481,12 +484,13 @@ def _visits(own: DataFrame, outside: DataFrame, percent: int) -> DataFrame:
     """(comp, block, batch, cls): the blocks that each class of `outside` has to visit. Signatures of a
     component's guests, in batches of a block's size, meet those of each block."""
     columns = ["comp", "block", "batch", "cls", "n", "root", "bits", "guest"]
+    outside = saved(outside, "outside")
     batches = outside.groupBy("comp").agg(_cut().alias("batches"))
-    blocks = own.groupBy("comp").agg(F.max("block").alias("_last"))
+    batches = saved(batches.join(own.groupBy("comp").agg(F.max("block").alias("_last")), "comp"), "batches")
     dealt = outside.drop("block").join(batches, "comp").withColumn("batch", F.pmod(F.xxhash64(F.lit("guest"), "cls"), F.col("batches")).cast("int"))
-    dealt = dealt.join(blocks, "comp").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_last")))).withColumn("guest", F.lit(True))
+    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_last")))).withColumn("guest", F.lit(True))
     hosts = own.join(batches, "comp").withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1))).withColumn("guest", F.lit(False))
-    both = hosts.select(columns).unionByName(dealt.select(columns))
+    both = hosts.select(columns).unionByName(dealt.select(columns)).repartition("comp", "block", "batch")
     return both.groupBy("comp", "block", "batch").applyInPandas(_possible(percent), "comp bigint, block int, batch int, cls bigint")
 
 
@@ -494,5 +498,5 @@ def _meet(own: DataFrame, guests: DataFrame, size: int, percent: int) -> DataFra
     """Links of guests, which name the blocks they visit and their batch, with those blocks."""
     columns = ["comp", "block", "batch", "cls", "root", "text", "guest"]
     hosts = own.join(guests.select("comp", "block", "batch").distinct(), ["comp", "block"]).withColumn("guest", F.lit(False))
-    both = hosts.select(columns).unionByName(guests.withColumn("guest", F.lit(True)).select(columns))
+    both = hosts.select(columns).unionByName(guests.withColumn("guest", F.lit(True)).select(columns)).repartition("comp", "block", "batch")
     return both.groupBy("comp", "block", "batch").applyInPandas(_against(size, percent), "u bigint, v bigint")
