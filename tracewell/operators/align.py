@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+FRAMES = 64  # stretches of a session
+
+
 def by_ticks(received: DataFrame, events: DataFrame, tick: str = "tick_clock_out", key: str = "blockname", order: tuple[str, ...] = ()) -> DataFrame:
     """Times of events on the recorder's clock: the k-th tick sent is the k-th received, other events
     keep their distance from the last tick sent; those before the first tick are dropped. `received`
@@ -24,14 +27,24 @@ def by_ticks(received: DataFrame, events: DataFrame, tick: str = "tick_clock_out
 
 
 def next_frame(events: DataFrame, frames: DataFrame, key: str, event_time: str, frame_time: str, frame_value: str) -> DataFrame:
-    """The value of the first frame at or after each event; events beyond the recording go. A union
-    in time order with a fill up, so one sort by session does it."""
-    e = events.withColumns({"_t": F.col(event_time), "_f": F.lit(1), frame_value: F.lit(None).cast(dict(frames.dtypes)[frame_value])})
+    """The value of the first frame at or after each event; events beyond the recording go. Sessions
+    are cut in FRAMES stretches of time. In each, a union in time order is filled up from behind, and
+    what no frame of the stretch answers takes the first frame of a later stretch."""
+    span = frames.groupBy(key).agg(F.min(frame_time).alias("_from"), F.greatest(F.lit(1e-9), (F.max(frame_time) - F.min(frame_time)).cast("double") / FRAMES).alias("_step"))
+    kind = dict(frames.dtypes)[frame_value]
+    e = events.withColumns({"_t": F.col(event_time), "_f": F.lit(1), frame_value: F.lit(None).cast(kind)})
     f = frames.select(key, F.col(frame_time).alias("_t"), F.lit(2).alias("_f"), frame_value)
-    both = e.unionByName(f, allowMissingColumns=True)
-    on = Window.partitionBy(key).orderBy("_t", "_f").rowsBetween(0, Window.unboundedFollowing)
-    filled = both.withColumn(frame_value, F.first(frame_value, ignorenulls=True).over(on))
-    return filled.where((F.col("_f") == 1) & F.col(frame_value).isNotNull()).drop("_t", "_f")
+    both = e.unionByName(f, allowMissingColumns=True).join(span, key)
+    part = F.greatest(F.lit(-1), F.least(F.lit(FRAMES), F.floor((F.col("_t") - F.col("_from")) / F.col("_step"))))
+    both = both.withColumn("_part", part.cast("int")).drop("_from", "_step")
+    firsts = both.where("_f = 2").groupBy(key, "_part").agg(F.min_by(frame_value, "_t").alias("_next"))
+    later = Window.partitionBy(key).orderBy("_part").rowsBetween(1, Window.unboundedFollowing)  # FRAMES + 2 rows a session
+    every = both.select(key).distinct().withColumn("_part", F.explode(F.sequence(F.lit(-1), F.lit(FRAMES))))
+    beyond = every.join(firsts, [key, "_part"], "left").select(key, "_part", F.first("_next", ignorenulls=True).over(later).alias("_next"))
+    on = Window.partitionBy(key, "_part").orderBy("_t", "_f").rowsBetween(0, Window.unboundedFollowing)
+    filled = both.withColumn(frame_value, F.first(frame_value, ignorenulls=True).over(on)).where("_f = 1")
+    filled = filled.join(beyond, [key, "_part"], "left").withColumn(frame_value, F.coalesce(frame_value, "_next"))
+    return filled.where(F.col(frame_value).isNotNull()).drop("_t", "_f", "_part", "_next")
 
 
 def local_delta(reference: DataFrame, external: DataFrame, names: list[str], key: str = "blockname", time: str = "event_ts") -> DataFrame:

@@ -9,24 +9,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewell.sources.scratch import saved
 
-def right_bin(t: Column, origin: Column, rate: float) -> Column:
+
+def right_bin(t: Column, origin: Column, rate: float | Column) -> Column:
     """Number of the right-closed bin of `t`, from 1; 0 or less lies outside."""
     return F.ceil((t - origin) * F.lit(rate)).cast("long")
 
 
-def downsample(streams: DataFrame, rate: float, keys: list[str], time: str = "time", measures: list[str] | None = None, session: list[str] | None = None) -> DataFrame:
-    """Means of the measures by bin of 1 / `rate`; bins start at the session's least time, rounded to
+def downsample(streams: DataFrame, rate: float | str, keys: list[str], time: str = "time", measures: list[str] | None = None, session: list[str] | None = None) -> DataFrame:
+    """Means of the measures by bin of 1 / `rate`, a number or a column of the session; bins start at the session's least time, rounded to
     hundredths (half to even). The last bin of each session is dropped, as it is seldom full."""
     session = session or keys[:2]
-    measures = measures or [c for c, t in streams.dtypes if c not in (*keys, time) and t in ("double", "float", "bigint", "int")]
+    own = [rate] if isinstance(rate, str) else []
+    per = F.col(rate) if own else F.lit(rate)
+    measures = measures or [c for c, t in streams.dtypes if c not in (*keys, *own, time) and t in ("double", "float", "bigint", "int")]
     # Every bin starts at the session's first sample, so one small aggregate is joined back.
     origin = streams.groupBy(session[0]).agg(F.bround(F.min(time), 2).alias("_t0"))
-    rows = streams.join(origin, session[0]).withColumn("_bin", right_bin(F.col(time), F.col("_t0"), rate)).where("_bin > 0")
-    means = rows.groupBy(*keys, "_t0", "_bin").agg(*[F.avg(m).alias(m) for m in measures])
+    rows = streams.join(origin, session[0]).withColumn("_bin", right_bin(F.col(time), F.col("_t0"), per)).where("_bin > 0")
+    means = rows.groupBy(*keys, *own, "_t0", "_bin").agg(*[F.avg(m).alias(m) for m in measures])
     last = means.groupBy(*session).agg(F.max("_bin").alias("_last"))
     out = means.join(last, session).where(F.col("_bin") < F.col("_last"))
-    return out.select(*keys, (F.col("_t0") + F.col("_bin") / F.lit(rate)).alias(time), *measures)
+    return out.select(*keys, (F.col("_t0") + F.col("_bin") / per).alias(time), *measures)
 
 
 def resample(df: DataFrame, keys: list[str], time: str, value: str, width: int) -> DataFrame:
@@ -47,7 +51,8 @@ def rebin(df: DataFrame, keys: list[str], time: str, before: int, after: int, wi
 
 def binned_counts(df: DataFrame, keys: list[str], time: str, start: int, end: int, width: int) -> DataFrame:
     """Counts by right-closed bins named by their left edge, with zero for the empty ones. Every
-    combination of the values of the grouping columns gets all bins."""
+    combination of the values of the grouping columns gets all bins: that table is the result's, so the
+    levels are crossed as asked for, and no row of `df` takes part in it."""
     n = (end - start) // width
     at = F.ceil((F.col(time) - start) / F.lit(width)).cast("long")
     counted = df.withColumn("_bin", at).where(F.col("_bin").between(1, n)).groupBy(*keys, "_bin").agg(F.count("*").alias("event_count"))
@@ -80,9 +85,14 @@ def warp(streams: DataFrame, periods: DataFrame, keys: list[str], time: str, mea
     """Time warping: `periods` has (session, response_set, period, start, end); the samples of each
     period are scaled to the unit stretch [period, period + 1), binned in `per_period` right-closed
     bins from -1 on, and averaged. The last bin of each set is dropped. Sample times and period ends
-    are whole numbers."""
+    are whole numbers. Samples meet periods in an equi-join on session and a time bucket as wide as the
+    session's mean period: a period goes to the buckets that it touches, some two on average."""
     session = keys[0]
-    at = streams.join(periods, session).where((F.col(time) >= F.col("start")) & (F.col(time) < F.col("end")))
+    widths = saved(periods.groupBy(session).agg(F.greatest(F.lit(1), F.ceil(F.avg(F.col("end") - F.col("start")))).alias("_width")), "period-widths")
+    touched = F.sequence(F.floor(F.col("start") / F.col("_width")), F.floor((F.col("end") - 1) / F.col("_width")))
+    spread = periods.where("start < end").join(widths, session).withColumn("_bucket", F.explode(touched)).drop("_width")
+    rows = streams.join(widths, session).withColumn("_bucket", F.floor(F.col(time) / F.col("_width"))).drop("_width")
+    at = rows.join(spread, [session, "_bucket"]).where((F.col(time) >= F.col("start")) & (F.col(time) < F.col("end"))).drop("_bucket")
     whole = Window.partitionBy(*keys, "response_set", "period")
     span = at.withColumns({"_a": F.min(time).over(whole), "_z": F.max(time).over(whole)})
     part = F.try_divide((F.col(time) - F.col("_a")).cast("double"), F.col("_z") - F.col("_a"))

@@ -6,7 +6,7 @@ Times of samples and events are whole microseconds; windows are open on both sid
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,31 +29,40 @@ def keep_apart(events: DataFrame, keys: list[str], time: str, gap: int) -> DataF
     return run.groupBy(*keys, "_run").applyInPandas(walk, run.schema).drop("_run")
 
 
-def around(series: DataFrame, events: DataFrame, keys: list[str], series_time: str, event_time: str, before: int, after: int, apart: bool = False) -> DataFrame:
+def _of(x: int | str) -> Column:
+    return F.col(x) if isinstance(x, str) else F.lit(x)
+
+
+def around(series: DataFrame, events: DataFrame, keys: list[str], series_time: str, event_time: str, before: int | str, after: int | str, apart: bool = False) -> DataFrame:
     """Samples strictly inside (event - before, event + after) of the same group, with `rel_time`.
+    `before` and `after` are numbers, or name columns that series and events both have, with one value
+    a group.
 
     An equi-join on group and time bucket: an event goes to the buckets that its window touches (two
     or three, as a bucket is as wide as a window), a sample to its own one."""
     if apart:
         events = keep_apart(events, keys, event_time, after)
-    width = before + after
-    low, high = F.floor((F.col(event_time) - before) / F.lit(width)), F.floor((F.col(event_time) + after) / F.lit(width))
+    width = _of(before) + _of(after)
+    low, high = F.floor((F.col(event_time) - _of(before)) / width), F.floor((F.col(event_time) + _of(after)) / width)
     spread = events.withColumn("_bucket", F.explode(F.sequence(low, high)))
-    rows = series.withColumn("_bucket", F.floor(F.col(series_time) / F.lit(width))).join(spread, [*keys, "_bucket"])
-    inside = (F.col(series_time) > F.col(event_time) - before) & (F.col(series_time) < F.col(event_time) + after)
+    told = [x for x in (before, after) if isinstance(x, str)]
+    rows = series.withColumn("_bucket", F.floor(F.col(series_time) / width)).drop(*told).join(spread, [*keys, "_bucket"])
+    inside = (F.col(series_time) > F.col(event_time) - _of(before)) & (F.col(series_time) < F.col(event_time) + _of(after))
     return rows.where(inside).withColumn("rel_time", F.col(series_time) - F.col(event_time)).drop("_bucket")
 
 
-def histogram(series: DataFrame, events: DataFrame, keys: list[str], series_time: str, event_time: str, event_keys: list[str], before: int, after: int, width: int, measures: list[str], more: list[str] | None = None) -> DataFrame:
+def histogram(series: DataFrame, events: DataFrame, keys: list[str], series_time: str, event_time: str, event_keys: list[str], before: int | str, after: int | str, width: int | str, measures: list[str], more: list[str] | None = None) -> DataFrame:
     """Peri-event time histogram: means of the measures by event and right-closed bin named by its
-    right edge; the last bin of each event is dropped."""
+    right edge; the last bin of each event is dropped. `before`, `after` and `width` are numbers, or name
+    columns: the first two of both tables, the width of the events."""
     rows = around(series, events, keys, series_time, event_time, before, after)
     by = [*keys, *(more or []), *event_keys, event_time]
-    rows = rows.withColumn("_bin", F.ceil((F.col("rel_time") + before) / F.lit(width)).cast("long"))
-    means = rows.groupBy(*by, "_bin").agg(*[F.avg(m).alias(m) for m in measures])
+    rows = rows.withColumn("_bin", F.ceil((F.col("rel_time") + _of(before)) / _of(width)).cast("long"))
+    told = [x for x in dict.fromkeys((before, width)) if isinstance(x, str)]
+    means = rows.groupBy(*by, *told, "_bin").agg(*[F.avg(m).alias(m) for m in measures])
     last = Window.partitionBy(*keys, *event_keys, event_time)
     kept = means.withColumn("_last", F.max("_bin").over(last)).where("_bin < _last")
-    return kept.select(*by, (F.col("_bin") * width - before).alias("time_rel"), *measures)
+    return kept.select(*by, (F.col("_bin") * _of(width) - _of(before)).alias("time_rel"), *measures)
 
 
 def local_zscore(peth: DataFrame, keys: list[str], start: int, end: int, measures: list[str], time: str = "time_rel") -> DataFrame:

@@ -94,7 +94,8 @@ def last_rows(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataF
 
 def sample_rows(df: DataFrame, keys: list[str], share: float) -> DataFrame:
     """A repeatable sample by a hash of the keys, whatever the partitions."""
-    return df.where(F.pmod(F.crc32(F.concat_ws("|", *keys)), F.lit(10_000)) < round(share * 10_000))
+    number = F.conv(F.substring(F.md5(F.concat_ws("|", *keys).cast("binary")), 1, 8), 16, 10).cast("long")
+    return df.where(number % 10_000 < round(share * 10_000))
 
 
 def united(tables: list[DataFrame]) -> DataFrame:

@@ -13,7 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+
+from tracewell.sources.scratch import saved
 
 CHUNK = 1 << 20  # samples of a channel in one window partition
 SESSION = ["blockname", "channel"]
@@ -88,8 +89,9 @@ def paired(streams: DataFrame, signals: DataFrame, value: str = "au_smooth_ma",
     return signal.join(control, [*keys, "control_wavelength"])
 
 
-def polynomial_fits(df: DataFrame, keys: list[str], fits: list[tuple[str, str, int, str]]) -> DataFrame:
-    """For each (x, y, degree, out) adds `out`, the least-squares polynomial of y on x in each group.
+def polynomial_fits(df: DataFrame, keys: list[str], fits: list[tuple[str, str, int | str, str]], most: int = 4) -> DataFrame:
+    """For each (x, y, degree, out) adds `out`, the least-squares polynomial of y on x in each group. A
+    degree is a number, or names a column with one value a group, `most` at most.
 
     One aggregate gathers the mean and spread of every x, a second the moments of the scaled x, with
     map-side sums; the small normal equations are solved a group, and the coefficients come back in a
@@ -100,79 +102,101 @@ def polynomial_fits(df: DataFrame, keys: list[str], fits: list[tuple[str, str, i
     scale = df.groupBy(*keys).agg(*[F.avg(x).alias(f"_m_{x}") for x in xs], *[spread(x).alias(f"_s_{x}") for x in xs])
     scaled = df.join(scale, keys)
     sums = []
-    for i, (x, y, degree, _) in enumerate(fits):
-        t = F.when(F.col(y).isNotNull(), (F.col(x) - F.col(f"_m_{x}")) / F.col(f"_s_{x}"))
+    tops = [most if isinstance(f[2], str) else f[2] for f in fits]
+    told = list(dict.fromkeys(f[2] for f in fits if isinstance(f[2], str)))
+    for i, (x, y, _, _) in enumerate(fits):
+        degree, t = tops[i], F.when(F.col(y).isNotNull(), (F.col(x) - F.col(f"_m_{x}")) / F.col(f"_s_{x}"))
         power = [F.when(t.isNotNull(), 1.0)]
         for _ in range(2 * degree):
             power.append(power[-1] * t)
         sums.append(F.array(*[F.coalesce(F.sum(p), F.lit(0.0)) for p in power], *[F.coalesce(F.sum(power[k] * F.col(y)), F.lit(0.0)) for k in range(degree + 1)]).alias(f"_c{i}"))
     moved = [f"_{n}_{x}" for n in "ms" for x in xs]
-    gathered = scaled.groupBy(*keys, *moved).agg(*sums)
-    degrees = [f[2] for f in fits]
+    gathered = scaled.groupBy(*keys, *moved).agg(*sums, *[F.max(c).alias(f"_d_{c}") for c in told])
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.assign(**{f"_c{i}": [_solved(np.asarray(s), d) for s in b[f"_c{i}"]] for i, d in enumerate(degrees)})
+            own = [b[f"_d_{f[2]}"] if isinstance(f[2], str) else [f[2]] * len(b) for f in fits]
+            yield b.assign(**{f"_c{i}": [_solved(np.asarray(s), top, min(top, int(d))) for s, d in zip(b[f"_c{i}"], own[i], strict=True)] for i, top in enumerate(tops)})
 
     solved = gathered.mapInPandas(solve, gathered.schema)
-    out = df.join(solved, keys, "left")
-    for i, (x, _, degree, name) in enumerate(fits):
-        at = (F.col(x) - F.col(f"_m_{x}")) / F.col(f"_s_{x}")
-        value = F.lit(0.0)
-        for k in range(degree, -1, -1):
-            value = value * at + F.element_at(f"_c{i}", k + 1)
-        out = out.withColumn(name, value)
+    out = df.join(solved.drop(*[f"_d_{c}" for c in told]), keys, "left")
+    for i, (x, _, _, name) in enumerate(fits):
+        out = out.withColumn(name, _polynomial(f"_c{i}", tops[i], (F.col(x) - F.col(f"_m_{x}")) / F.col(f"_s_{x}")))
     return out.drop(*moved, *[f"_c{i}" for i in range(len(fits))])
 
 
+def _polynomial(coefficients: str, degree: int, at: Column) -> Column:
+    value = F.lit(0.0)
+    for k in range(degree, -1, -1):
+        value = value * at + F.element_at(coefficients, k + 1)
+    return value
+
+
 def polynomial_fit(df: DataFrame, keys: list[str], x: str, y: str, degree: int, out: str) -> DataFrame:
     return polynomial_fits(df, keys, [(x, y, degree, out)])
 
 
-def _solved(sums: np.ndarray, degree: int) -> list[float]:
-    """Coefficients from the moments sum t**k (k to 2 * degree) and sum t**k * y."""
+def _solved(sums: np.ndarray, top: int, degree: int) -> list[float]:
+    """Coefficients of `degree` from the moments sum t**k (k to 2 * top) and sum t**k * y, filled up
+    with zeros to `top`."""
     grid = np.array([[sums[i + j] for j in range(degree + 1)] for i in range(degree + 1)])
-    return np.linalg.lstsq(grid, sums[2 * degree + 1 :], rcond=1e-12)[0].tolist()
+    return np.linalg.lstsq(grid, sums[2 * top + 1 :][: degree + 1], rcond=1e-12)[0].tolist() + [0.0] * (top - degree)
 
 
 def huber_fit(df: DataFrame, keys: list[str], x: str, y: str, out: str, degree: int = 4, epsilon: float = 1.35, alpha: float = 1e-4, rounds: int = 100) -> DataFrame:
     """Adds `out`, a robust polynomial of `y` on `x` in each group: the minimum of Huber's joint loss
     over coefficients and scale, by reweighted least squares on scaled features, converged.
 
-    A group is the samples of one channel of one session and is fitted in one task."""
-    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, x, y)
-    schema = StructType([*known.schema.fields, StructField(out, DoubleType())])
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.assign(**{out: _huber(pdf[x].to_numpy(float), pdf[y].to_numpy(float), degree, epsilon, alpha, rounds)}).drop_duplicates()
-
-    return df.join(known.groupBy(*keys).applyInPandas(fit, schema), [*keys, x, y], "left")
-
-
-def _huber(x: np.ndarray, y: np.ndarray, degree: int, epsilon: float, alpha: float, rounds: int) -> np.ndarray:
-    spread = x.std() or 1.0
-    t = (x - x.mean()) / spread
-    design = np.vander(t, degree + 1, increasing=True)
-    ridge = alpha * np.eye(degree + 1)
-    ridge[0, 0] = 0.0
-    sigma = max(1e-12, 1.4826 * float(np.median(np.abs(y - np.median(y)))))
-    weights = np.ones(len(y))
-    beta = np.zeros(degree + 1)
+    Every round is one aggregate of weighted moments over the groups still moving, so no group is held
+    in a task; what is known of a group (its coefficients and scale) is a row of a small table, written
+    each round. Rows with a null x or y don't count and get null."""
+    known = saved(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")), "huber-rows")
+    start = known.groupBy(*keys).agg(F.avg("_x").alias("_m"), F.when(F.stddev_pop("_x") > 0, F.stddev_pop("_x")).otherwise(1.0).alias("_s"), F.count("*").alias("_n"), F.percentile_approx("_y", 0.5, 10_000).alias("_mid"))
+    middle = known.join(start, keys).groupBy(*keys).agg(F.greatest(F.lit(1e-12), 1.4826 * F.percentile_approx(F.abs(F.col("_y") - F.col("_mid")), 0.5, 10_000)).alias("_sigma"))
+    state = start.drop("_mid").join(middle, keys).withColumns({"_c": F.lit(None).cast("array<double>"), "_done": F.lit(False)})
+    state = saved(state, "huber")
     for _ in range(rounds):
-        grid = design.T @ (design * weights[:, None]) / sigma + ridge
-        new = np.linalg.lstsq(grid, design.T @ (weights * y) / sigma, rcond=1e-12)[0]
-        r = np.abs(y - design @ new)
-        inside = r <= epsilon * sigma
-        # The scale that minimises n * sigma + sum of losses, for the split inside / outside.
-        free = len(y) - epsilon**2 * (~inside).sum()
-        if free > 0 and inside.any():
-            sigma = max(1e-12, float(np.sqrt((r[inside] ** 2).sum() / free)))
-        weights = np.where(r <= epsilon * sigma, 1.0, epsilon * sigma / np.maximum(r, 1e-300))
-        if np.max(np.abs(new - beta)) <= 1e-9 * (1 + np.max(np.abs(new))):
-            beta = new
+        moving = state.where("not _done")
+        if moving.isEmpty():
             break
-        beta = new
-    return design @ beta
+        moved = saved(_huber_round(known, moving, keys, degree, epsilon, alpha), "huber")
+        state = saved(state.where("_done").unionByName(moved), "huber")
+    fits = state.select(*keys, "_m", "_s", "_c")
+    value = _polynomial("_c", degree, (F.col(x) - F.col("_m")) / F.col("_s"))
+    return df.join(fits, keys, "left").withColumn(out, F.when(F.col(y).isNotNull(), value)).drop("_m", "_s", "_c")
+
+
+def _huber_round(known: DataFrame, state: DataFrame, keys: list[str], degree: int, epsilon: float, alpha: float) -> DataFrame:
+    """The state after one more round: moments under the weights that the old state gives."""
+    rows = known.join(state, keys)
+    t = (F.col("_x") - F.col("_m")) / F.col("_s")
+    rest = F.abs(F.col("_y") - _polynomial("_c", degree, t))
+    bound = epsilon * F.col("_sigma")
+    rows = rows.withColumns({"_t": t, "_r": rest}).withColumn("_w", F.when(F.col("_r").isNull() | (F.col("_r") <= bound), 1.0).otherwise(bound / F.col("_r")))
+    power = [F.col("_w")]
+    for _ in range(2 * degree):
+        power.append(power[-1] * F.col("_t"))
+    sums = F.array(*[F.sum(p) for p in power], *[F.sum(p * F.col("_y")) for p in power[: degree + 1]])
+    inside = F.col("_r") <= bound
+    gathered = rows.groupBy(*keys, "_m", "_s", "_n", "_sigma", "_c").agg(sums.alias("_sums"), F.sum(F.when(inside, F.col("_r") * F.col("_r"))).alias("_in"), F.count_if(~inside).alias("_out"))
+    ridge = alpha * np.eye(degree + 1)
+    ridge[0, 0] = 0.0
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for sums, sigma, old, n, inner, outer in zip(b["_sums"], b["_sigma"], b["_c"], b["_n"], b["_in"], b["_out"], strict=True):
+                grid = np.array([[sums[i + j] for j in range(degree + 1)] for i in range(degree + 1)]) / sigma + ridge
+                new = np.linalg.lstsq(grid, np.asarray(sums[2 * degree + 1 :]) / sigma, rcond=1e-12)[0]
+                # The scale that minimises n * sigma + sum of losses, for the split inside / outside.
+                free, scale = n - epsilon**2 * outer, sigma
+                if old is not None and free > 0 and inner == inner:
+                    scale = max(1e-12, float(np.sqrt(inner / free)))
+                done = old is not None and np.max(np.abs(new - np.asarray(old))) <= 1e-9 * (1 + np.max(np.abs(new))) and abs(scale - sigma) <= 1e-9 * sigma
+                out.append((scale, new.tolist(), bool(done)))
+            yield b[[*keys, "_m", "_s", "_n"]].assign(_sigma=[o[0] for o in out], _c=[o[1] for o in out], _done=[o[2] for o in out])
+
+    return gathered.mapInPandas(solve, state.select(*keys, "_m", "_s", "_n", "_sigma", "_c", "_done").schema)
 
 
 def normalised(df: DataFrame, keys: list[str], deltas: list[str]) -> DataFrame:
@@ -189,9 +213,10 @@ FIT_KEYS = ["blockname", "fiber_id", "signal_wavelength", "control_wavelength"]
 DELTAS = ["delta_signal_fitted_control", "delta_signal_poly", "delta_control_poly"]
 
 
-def fitted(pairs: DataFrame, degree_control: int = 3, degree_time: int = 4, model: str = "polynomial", keys: list[str] | None = None) -> DataFrame:
-    """Fits of a session's paired signals, their residuals, z-scores and dF/F."""
-    keys = keys or FIT_KEYS
+def fitted(pairs: DataFrame, degree_control: int | str = 3, degree_time: int | str = 4, model: str = "polynomial", keys: list[str] | None = None) -> DataFrame:
+    """Fits of a session's paired signals, their residuals, z-scores and dF/F. The pairs are written
+    once, as moments, coefficients and deviations each need a pass. Degrees are numbers or columns."""
+    keys, pairs = keys or FIT_KEYS, saved(pairs, "pairs")
     fits = [("time", "signal", degree_time, "poly_signal"), ("time", "control", degree_time, "poly_control")]
     if model == "huber":
         out = polynomial_fits(huber_fit(pairs, keys, "control", "signal", "control_fitted"), keys, fits)

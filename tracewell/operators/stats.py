@@ -18,6 +18,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tracewell.functions import dist
 
+CHUNK = 1 << 20  # rows of a series in one window partition
+
 
 def with_values(df: DataFrame, columns: dict[str, Callable[[pd.Series], float]]) -> DataFrame:
     """Adds double columns worked out row by row on a result of one row a group."""
@@ -91,16 +93,44 @@ def correlation(df: DataFrame, keys: list[str], x: str, y: str, p_value: bool =
     return with_values(out, {"p_value": lambda r: dist.t_two_sided(r["statistic"], r["parameter"])}) if p_value else out
 
 
+CUTS = 64  # ranges that a group is cut in
+
+
+def cumulated(rows: DataFrame, keys: list[str], value: str, sums: list[str]) -> DataFrame:
+    """Adds `_before_<c>`, the sum of c over the rows ahead of each in its group's order by value, and
+    `_whole_<c>`, that of the group. Groups are cut in CUTS ranges at quantiles of their values; sums run
+    within a range, and a small table of the ranges' sums adds the rest, so no task sorts a group."""
+    if not keys:
+        return cumulated(rows.withColumn("_one_group", F.lit(0)), ["_one_group"], value, sums).drop("_one_group")
+    bounds = rows.groupBy(*keys).agg(F.percentile_approx(F.col(value).cast("double"), [k / CUTS for k in range(1, CUTS)], 1000).alias("_bounds"))
+    placed = rows.join(bounds, keys).withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col(value)))).drop("_bounds")
+    totals = placed.groupBy(*keys, "_range").agg(*[F.sum(c).alias(c) for c in sums])
+    ahead, all_ = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
+    totals = totals.select(*keys, "_range", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"_before_{c}") for c in sums], *[F.sum(c).over(all_).alias(f"_whole_{c}") for c in sums])
+    inside = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    own = placed.withColumns({f"_own_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
+    met = own.join(totals, [*keys, "_range"])
+    return met.withColumns({f"_before_{c}": F.col(f"_before_{c}") + F.col(f"_own_{c}") for c in sums}).drop("_range", *[f"_own_{c}" for c in sums])
+
+
 def cross_correlation(df: DataFrame, keys: list[str], order: str, x: str, y: str, lags: int) -> DataFrame:
     """Correlation of x at t + lag with y at t for lags from -`lags` to `lags`: products are divided
     by the whole length and by the deviations of the whole series. `order` numbers the rows, which
-    lags need; rows with a null don't count."""
-    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    at = known.select(*keys, F.col(x).alias("_x"), F.col(y).alias("_y"), F.row_number().over(Window.partitionBy(*keys).orderBy(order)).alias("_i"))
+    lags need; rows with a null don't count. Numbered rows are cut in chunks with the rows just outside
+    as a halo, and all lags come from one sort."""
+    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("_n", F.lit(1))
+    at = cumulated(known.select(*keys, F.col(order).alias("_o"), F.col(x).alias("_x"), F.col(y).alias("_y"), "_n"), keys, "_o", ["_n"])
+    at = at.select(*keys, "_x", "_y", F.col("_before__n").alias("_i"))
     stats = at.groupBy(*keys).agg(F.avg("_x").alias("_mx"), F.avg("_y").alias("_my"), F.stddev_pop("_x").alias("_sx"), F.stddev_pop("_y").alias("_sy"), F.count("*").alias("_n"))
-    shifted = at.select(*keys, "_y", F.explode(F.sequence(F.lit(-lags), F.lit(lags))).alias("lag"), "_i").withColumn("_i", F.col("_i") + F.col("lag"))
-    met = at.drop("_y").join(shifted, [*keys, "_i"]).join(stats, keys)
-    out = met.groupBy(*keys, "lag", "_n", "_sx", "_sy").agg(F.sum((F.col("_x") - F.col("_mx")) * (F.col("_y") - F.col("_my"))).alias("_s"))
+    chunk = max(CHUNK, lags)
+    own = F.floor(F.col("_i") / chunk)
+    halo = at.withColumn("_own", own).withColumn("_chunk", F.explode(F.array_distinct(F.array(own, F.floor((F.col("_i") - lags) / chunk), F.floor((F.col("_i") + lags) / chunk)))))
+    on = Window.partitionBy(*keys, "_chunk").orderBy("_i")
+    steps = range(-lags, lags + 1)
+    met = halo.withColumns({f"_x{k + lags}": F.lead("_x", k).over(on) for k in steps}).where("_chunk = _own").join(stats, keys)
+    sums = met.groupBy(*keys, "_n", "_sx", "_sy").agg(*[F.sum((F.col(f"_x{k + lags}") - F.col("_mx")) * (F.col("_y") - F.col("_my"))).alias(f"_s{k + lags}") for k in steps])
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_s{k + lags}").alias("_s")) for k in steps]))
+    out = sums.select(*keys, "_n", "_sx", "_sy", pairs.alias("_p")).select(*keys, "_n", "_sx", "_sy", "_p.*").where("_s IS NOT NULL")
     return out.select(*keys, "lag", F.try_divide(F.col("_s"), F.col("_n") * F.col("_sx") * F.col("_sy")).alias("acf"))
 
 
@@ -109,22 +139,27 @@ def ks(df: DataFrame, keys: list[str], a: str, b: str, p_value: bool = True) ->
     values, so ties cost one row."""
     both = df.select(*keys, F.explode(F.array(F.struct(F.col(a).cast("double").alias("v"), F.lit(1).alias("one")), F.struct(F.col(b).cast("double").alias("v"), F.lit(0).alias("one")))).alias("_s")).select(*keys, "_s.*").where("v IS NOT NULL")
     counts = both.groupBy(*keys, "v").agg(F.sum("one").alias("_a"), F.sum(1 - F.col("one")).alias("_b"))
-    upto, whole = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*keys)
-    run = counts.withColumns({"_ca": F.sum("_a").over(upto), "_cb": F.sum("_b").over(upto), "_na": F.sum("_a").over(whole), "_nb": F.sum("_b").over(whole)})
+    run = cumulated(counts, keys, "v", ["_a", "_b"])
+    run = run.select(*keys, (F.col("_before__a") + F.col("_a")).alias("_ca"), (F.col("_before__b") + F.col("_b")).alias("_cb"), F.col("_whole__a").alias("_na"), F.col("_whole__b").alias("_nb"))
     out = run.groupBy(*keys).agg(F.max(F.abs(F.try_divide("_ca", "_na") - F.try_divide("_cb", "_nb"))).alias("statistic"), F.max("_na").alias("n1"), F.max("_nb").alias("n2"))
     return with_values(out, {"p_value": lambda r: dist.kolmogorov_upper(r["statistic"], r["n1"] * r["n2"] / (r["n1"] + r["n2"]))}) if p_value else out
 
 
-def ranked(df: DataFrame, keys: list[str], value: str, out: str = "_rank") -> DataFrame:
-    """Adds the average rank of a value in its group and `_ties`, the number of its equals."""
-    w, equal = Window.partitionBy(*keys).orderBy(value), Window.partitionBy(*keys, value)
-    return df.where(F.col(value).isNotNull()).withColumn("_ties", F.count("*").over(equal)).withColumn(out, F.rank().over(w) + (F.col("_ties") - 1) / 2)
+def ranked(df: DataFrame, keys: list[str], value: str, mark: str) -> DataFrame:
+    """(keys, mark, _n, _ties, _rank): for each value of a group and each mark (a column of few values)
+    the number of its rows, that of all rows with the value, and their average rank. Equal values are
+    counted before they are ordered."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value, mark).agg(F.count("*").alias("_n"))
+    values = counts.groupBy(*keys, value).agg(F.sum("_n").alias("_ties"), F.collect_list(F.struct(F.col(mark).alias("mark"), F.col("_n").alias("n"))).alias("_marks"))
+    run = cumulated(values, keys, value, ["_ties"])
+    out = run.select(*keys, "_ties", (F.col("_before__ties") + (F.col("_ties") + 1) / 2).alias("_rank"), F.explode("_marks").alias("_m"))
+    return out.select(*keys, F.col("_m.mark").alias(mark), F.col("_m.n").alias("_n"), "_ties", "_rank")
 
 
 def kruskal(df: DataFrame, keys: list[str], value: str, group: str, p_value: bool = True) -> DataFrame:
     """Kruskal-Wallis statistic, corrected for ties."""
-    rows = ranked(df.where(F.col(group).isNotNull()), keys, value)
-    per = rows.groupBy(*keys, group).agg(F.sum("_rank").alias("_r"), F.count("*").alias("_n"), F.sum(F.col("_ties") * F.col("_ties") - 1).alias("_t"))
+    rows = ranked(df.where(F.col(group).isNotNull()), keys, value, group)
+    per = rows.groupBy(*keys, group).agg(F.sum(F.col("_rank") * F.col("_n")).alias("_r"), F.sum("_n").alias("_n"), F.sum(F.col("_n") * (F.col("_ties") * F.col("_ties") - 1)).alias("_t"))
     out = per.groupBy(*keys).agg(F.sum(F.col("_r") * F.col("_r") / F.col("_n")).alias("_q"), F.sum("_n").alias("n"), F.count("*").alias("_g"), F.sum("_t").alias("_t"))
     n = F.col("n").cast("double")
     h = F.try_divide(12 * F.col("_q") / (n * (n + 1)) - 3 * (n + 1), 1 - F.try_divide(F.col("_t"), n * n * n - n))
@@ -140,8 +175,9 @@ def rank_sum(df: DataFrame, keys: list[str], a: str, b: str, p_value: bool = Tru
 
 
 def _rank_sum(both: DataFrame, keys: list[str], p_value: bool, exact: bool) -> DataFrame:
-    rows = ranked(both, keys, "v")
-    out = rows.groupBy(*keys).agg(F.sum(F.when(F.col("one") == 1, F.col("_rank"))).alias("_r"), F.count_if(F.col("one") == 1).alias("n1"), F.count_if(F.col("one") == 0).alias("n2"), F.sum((F.col("_ties") * F.col("_ties") - 1).cast("double")).alias("_t"))
+    rows = ranked(both, keys, "v", "one")
+    of = lambda one: F.sum(F.when(F.col("one") == one, F.col("_n")).otherwise(0))
+    out = rows.groupBy(*keys).agg(F.sum(F.when(F.col("one") == 1, F.col("_rank") * F.col("_n"))).alias("_r"), of(1).alias("n1"), of(0).alias("n2"), F.sum((F.col("_n") * (F.col("_ties") * F.col("_ties") - 1)).cast("double")).alias("_t"))
     out = out.select(*keys, (F.col("_r") - F.col("n1") * (F.col("n1") + 1) / 2).alias("statistic"), "n1", "n2", F.col("_t").alias("ties"))
 
     def p(r: dict) -> float:
@@ -154,9 +190,9 @@ def _rank_sum(both: DataFrame, keys: list[str], p_value: bool, exact: bool) -> D
 
 def signed_rank(df: DataFrame, keys: list[str], a: str, b: str, p_value: bool = True) -> DataFrame:
     """Wilcoxon's signed-rank V of a - b, zeros dropped."""
-    d = df.select(*keys, (F.col(a) - F.col(b)).alias("_d")).where("_d IS NOT NULL AND _d <> 0").withColumn("_abs", F.abs("_d"))
-    rows = ranked(d, keys, "_abs")
-    out = rows.groupBy(*keys).agg(F.sum(F.when(F.col("_d") > 0, F.col("_rank")).otherwise(0)).alias("statistic"), F.count("*").alias("n"), F.sum((F.col("_ties") * F.col("_ties") - 1).cast("double")).alias("ties"))
+    d = df.select(*keys, (F.col(a) - F.col(b)).alias("_d")).where("_d IS NOT NULL AND _d <> 0").withColumns({"_abs": F.abs("_d"), "_up": F.col("_d") > 0})
+    rows = ranked(d, keys, "_abs", "_up")
+    out = rows.groupBy(*keys).agg(F.sum(F.when(F.col("_up"), F.col("_rank") * F.col("_n")).otherwise(0)).alias("statistic"), F.sum("_n").alias("n"), F.sum((F.col("_n") * (F.col("_ties") * F.col("_ties") - 1)).cast("double")).alias("ties"))
 
     def p(r: dict) -> float:
         if r["n"] < 50 and r["ties"] == 0:

@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+@cache
+def _own() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='tracewell-')}"
 
 
 def folder(spark: SparkSession, kind: str) -> str:
-    """A new folder in the shared one that the cluster names in spark.checkpoint.dir; a temporary
-    one of this machine only where that isn't set, as in local runs."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tracewell-')}"
+    """A new folder in the shared one that the cluster names in spark.checkpoint.dir. Only a local
+    session without that setting gets a temporary folder of this machine; elsewhere executors
+    wouldn't share it."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = _own()
     return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, kind: str) -> DataFrame:
+    """Write a table in the shared folder and read it back, so that what follows reads it as often as
+    it needs without working it out anew."""
+    path = folder(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
