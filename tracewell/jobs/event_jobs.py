@@ -84,7 +84,11 @@ def j4_peri_event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return peri.around(s, e, ["blockname"], "event_us", "event_ts", 12 * HOUR, 24 * HOUR)
 
 
-@query("j4_peri_event_apart")
+@query(
+    "j4_peri_event_apart",
+    f"""WITH RECURSIVE {AROUND_SQL}, kept AS (SELECT blockname, min(event_ts) AS t FROM e GROUP BY 1 UNION ALL SELECT k.blockname, (SELECT min(e.event_ts) FROM e WHERE e.blockname = k.blockname AND e.event_ts >= k.t + {24 * HOUR}) AS t FROM kept k WHERE k.t IS NOT NULL)
+SELECT near.* FROM near JOIN kept ON near.blockname = kept.blockname AND near.event_ts = kept.t""",
+)
 def j4_peri_event_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, e = _series(spark, sf_dir)
     return peri.around(s, e, ["blockname"], "event_us", "event_ts", 12 * HOUR, 24 * HOUR, apart=True)

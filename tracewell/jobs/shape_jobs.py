@@ -118,7 +118,7 @@ def k3_sorted_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "n").select("o_orderkey", "n")
 
 
-@query("k4_sample_rows")
+@query("k4_sample_rows", "SELECT * FROM events WHERE CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 1000")
 def k4_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.sample_rows(spark.read.parquet(f"{sf_dir}/events.parquet"), ["event_id"], 0.1)
 

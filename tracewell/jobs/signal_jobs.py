@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewell.jobs.orthogonal import fit_sql
 from tracewell.jobs.registry import query
 from tracewell.operators import bins, signal
 from tracewell.sources.adapters import EVENTS_SQL, FS, STREAMS_SQL, events, streams
@@ -64,8 +65,8 @@ def w4_sample_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAIRED_SQL = f"""{TIMED_SQL}, parts AS (SELECT *, CASE WHEN channel LIKE '%C' THEN '2' ELSE '1' END AS fiber_id, substr(channel, 2, 3) AS wave FROM timed WHERE time > 0.5),
-paired AS (SELECT s.blockname, s.fiber_id, s.sample_idx, s.time, s.wave AS signal_wavelength, c.wave AS control_wavelength, s.raw_au AS signal, c.raw_au AS control
-  FROM parts s JOIN parts c ON s.blockname = c.blockname AND s.fiber_id = c.fiber_id AND s.sample_idx = c.sample_idx AND s.wave IN ('465') AND c.wave = '405')"""
+paired AS (SELECT blockname, fiber_id, sample_idx, time, '465' AS signal_wavelength, '405' AS control_wavelength, max(raw_au) FILTER (wave = '465') AS signal, max(raw_au) FILTER (wave = '405') AS control
+  FROM parts WHERE wave IN ('465', '405') GROUP BY blockname, fiber_id, sample_idx, time HAVING count(DISTINCT wave) = 2)"""
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,9 +100,16 @@ def a7_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("blockname", "fiber_id", "sample_idx", F.round("signal_zscore", 6).alias("signal_zscore"), F.round("signal_dff", 9).alias("signal_dff"))
 
 
-@query("a8_streams_fitted")
+def _scores(delta: str, value: str) -> str:
+    w = "OVER (PARTITION BY blockname, fiber_id)"
+    return f"round({value}, 2) AS {delta}, round(({value} - avg({value}) {w}) / nullif(stddev_samp({value}) {w}, 0), 5) AS {delta}_zscore, round(({value} - avg({value}) {w}) / (100 + avg({value}) {w}), 3) AS {delta}_dff"
+
+
+@query("a8_streams_fitted", f"WITH {PAIRED_SQL}, {fit_sql('fc', 'paired', ['blockname', 'fiber_id'], 'control', {'control_fitted': 'signal'}, 3)}, {fit_sql('fits', 'fc', ['blockname', 'fiber_id'], 'time', {'poly_signal': 'signal', 'poly_control': 'control'}, 4)} SELECT blockname, fiber_id, sample_idx, {_scores('delta_signal_fitted_control', '(signal - control_fitted)')}, {_scores('delta_signal_poly', '(signal - poly_signal)')}, {_scores('delta_control_poly', '(control - poly_control)')} FROM fits")
 def a8_streams_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signal.fitted(pairs(spark, sf_dir))
+    out = signal.fitted(pairs(spark, sf_dir))
+    digits = {"": 2, "_zscore": 5, "_dff": 3}
+    return out.select("blockname", "fiber_id", "sample_idx", *[F.round(f"{d}{k}", n).alias(f"{d}{k}") for d in signal.DELTAS for k, n in digits.items()])
 
 
 @query("a12_stream_info", f"WITH {TIMED_SQL} SELECT blockname, channel, count(*) AS size, round(min(time), 6) AS start_time, round(max(time), 6) AS end_time, round((count(*) - 1) / nullif(max(time) - min(time), 0), 6) AS fs FROM timed GROUP BY ALL")

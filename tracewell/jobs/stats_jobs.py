@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tracewell.jobs.registry import query
 from tracewell.operators import stats
+from tracewell.sources import scratch
 
 TRIALS_SQL = """tr AS (SELECT c.c_custkey AS subject, c.c_mktsegment AS grp, c.c_nationkey AS nation, o.o_orderpriority AS pri, o.o_orderstatus AS status, o.o_orderkey AS k,
   floor(o.o_totalprice) AS price, floor(c.c_acctbal * 10) + o.o_orderkey % 97 AS acct FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"""
@@ -116,18 +117,87 @@ def t13_anova_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_scaled(stats.anova_within(trials(spark, sf_dir), [], "subject", ["pri"], "price")), ss_effect=3, ss_error=3)
 
 
-@query("t14_anova_two_within")
+FACTORS = {"half": "k % 2 = 0", "early": "pri < '3'", "open": "status = 'O'"}
+
+
+def _factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trials(spark, sf_dir).withColumns({"half": F.when(F.expr(FACTORS["half"]), "a").otherwise("b"), "early": F.when(F.expr(FACTORS["early"]), "x").otherwise("y"), "open": F.when(F.expr(FACTORS["open"]), "o").otherwise("p"), "bank": F.col("nation") % 3})
+
+
+def signs_sql(within: list[str], between: str | None = None, bank: bool = False) -> str:
+    """SQL of the analysis with factors of two levels: the one contrast of each effect is a sum of the
+    cells with signs."""
+    by = ["bank"] if bank else []
+    keys, n = "".join(f"{k}, " for k in by), 1 << len(within)
+    cell = ", ".join(f"CASE WHEN {FACTORS[w]} THEN 1 ELSE -1 END AS {w}" for w in within)
+    names = {":".join(w for i, w in enumerate(within) if m >> i & 1) or "(intercept)": " * ".join(w for i, w in enumerate(within) if m >> i & 1) or "1" for m in range(n)}
+    scores = " UNION ALL ".join(f"SELECT {keys}subject, g, '{e}' AS effect, sum(y * {s}) / sqrt({n}.0::DOUBLE) AS s FROM c GROUP BY ALL HAVING count(*) = {n}" for e, s in names.items())
+    tests = "SELECT {k}effect, u * u * k * k / h AS ss, err, 1.0::DOUBLE AS d, n - k AS de FROM o"
+    if between:
+        tests += f" UNION ALL SELECT {{k}}CASE effect WHEN '(intercept)' THEN '{between}' ELSE '{between}:' || effect END, sq - sm * sm / n, err, k - 1, n - k FROM o WHERE k > 1"
+    return f"""WITH {TRIALS_SQL}, c AS (SELECT {'nation % 3 AS bank, ' if bank else ''}subject, {between or "'all'"} AS g, {cell}, avg(price) AS y FROM tr GROUP BY ALL), s AS ({scores}),
+p AS (SELECT {keys}effect, g, avg(s) AS m, var_pop(s) * count(*) AS v, count(*) AS n FROM s GROUP BY ALL),
+o AS (SELECT {keys}effect, avg(m) AS u, count(*) AS k, sum(1.0::DOUBLE / n) AS h, sum(m * n) AS sm, sum(m * m * n) AS sq, sum(n) AS n, sum(v) AS err FROM p GROUP BY ALL), t AS ({tests.format(k=keys)})
+SELECT {keys}effect, round(ss / 1e6, 3) AS ss_effect, round(err / 1e6, 3) AS ss_error, CAST(d AS DOUBLE) AS df_effect, CAST(de AS DOUBLE) AS df_error, round(CASE WHEN d > 0 AND de > 0 AND err > 0 THEN (ss / d) / (err / de) END, 6) AS statistic FROM t"""
+
+
+def _signs(spark: SparkSession, sf_dir: str, within: list[str], between: str | None = None, bank: bool = False) -> DataFrame:
+    out = stats.anova_within(_factors(spark, sf_dir), ["bank"] if bank else [], "subject", within, "price", between)
+    return rounded(_scaled(out), ss_effect=3, ss_error=3)
+
+
+@query("t14_anova_two_within", signs_sql(["half", "early"]))
 def t14_anova_two_within(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = trials(spark, sf_dir).withColumn("half", F.when(F.col("k") % 2 == 0, "a").otherwise("b")).withColumn("early", F.when(F.col("pri") < "3", "x").otherwise("y"))
-    return stats.anova_within(t, [], "subject", ["half", "early"], "price")
+    return _signs(spark, sf_dir, ["half", "early"])
+
+
+@query("t14_anova_two_within_grouped", signs_sql(["half", "early"], bank=True))
+def t14_anova_two_within_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _signs(spark, sf_dir, ["half", "early"], bank=True)
 
 
-@query("t15_anova_mixed")
+@query("t14_anova_three_within", signs_sql(["half", "early", "open"]))
+def t14_anova_three_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _signs(spark, sf_dir, ["half", "early", "open"])
+
+
+@query("t15_anova_mixed_two_within", signs_sql(["half", "early"], "grp"))
+def t15_anova_mixed_two_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _signs(spark, sf_dir, ["half", "early"], "grp")
+
+
+@query("t15_anova_mixed_grouped", signs_sql(["half"], "grp", bank=True))
+def t15_anova_mixed_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _signs(spark, sf_dir, ["half"], "grp", bank=True)
+
+
+MIXED_SQL = f"""WITH {TRIALS_SQL}, c AS (SELECT subject, grp, pri, avg(price) AS y FROM tr GROUP BY ALL), w AS (SELECT *, avg(y) OVER (PARTITION BY subject) AS ms, count(*) OVER (PARTITION BY subject) AS cells FROM c QUALIFY cells = (SELECT count(DISTINCT pri) FROM tr)),
+d AS (SELECT *, y - ms AS z, avg(y - ms) OVER (PARTITION BY grp, pri) AS zg, avg(ms) OVER (PARTITION BY grp) AS mg, avg(y - ms) OVER (PARTITION BY pri) AS zp, avg(ms) OVER () AS mw FROM w),
+n AS (SELECT count(DISTINCT pri) AS j, count(DISTINCT subject) AS n, count(DISTINCT grp) AS k FROM w), h AS (SELECT sum(1.0::DOUBLE / n) AS h FROM (SELECT count(DISTINCT subject) AS n FROM w GROUP BY grp)),
+u AS (SELECT sum(power(z, 2)) AS zz FROM (SELECT avg(zg) AS z FROM (SELECT DISTINCT grp, pri, zg FROM d) GROUP BY pri)), i AS (SELECT avg(mg) AS m FROM (SELECT DISTINCT grp, mg FROM d)),
+s AS (SELECT sum(power(z - zg, 2)) AS ew, sum(power(zg - zp, 2)) AS gw, sum(power(ms - mg, 2)) AS eb, sum(power(mg - mw, 2)) AS gb FROM d),
+t AS (SELECT '(intercept)' AS effect, j * m * m * k * k / h AS ss, eb AS err, 1 AS d, n - k AS de FROM s, n, h, i UNION ALL SELECT 'grp', gb, eb, k - 1, n - k FROM s, n UNION ALL SELECT 'pri', zz * k * k / h, ew, j - 1, (j - 1) * (n - k) FROM s, n, h, u UNION ALL SELECT 'grp:pri', gw, ew, (j - 1) * (k - 1), (j - 1) * (n - k) FROM s, n)
+SELECT effect, round(ss / 1e6, 3) AS ss_effect, round(err / 1e6, 3) AS ss_error, CAST(d AS DOUBLE) AS df_effect, CAST(de AS DOUBLE) AS df_error, round((ss / d) / (err / de), 6) AS statistic FROM t WHERE d > 0"""
+
+
+@query("t15_anova_mixed", MIXED_SQL)
 def t15_anova_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.anova_within(trials(spark, sf_dir), [], "subject", ["pri"], "price", between="grp")
+    return rounded(_scaled(stats.anova_within(trials(spark, sf_dir), [], "subject", ["pri"], "price", between="grp")), ss_effect=3, ss_error=3)
 
 
 @query("t16_significance", "SELECT o_orderkey, CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE 'n.s.' END AS sig_label, p < 0.05 AS sig FROM (SELECT o_orderkey, (o_orderkey % 1000) / 8000.0::DOUBLE AS p FROM orders)")
 def t16_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", (F.col("o_orderkey") % 1000 / 8000.0).alias("p_value"))
     return stats.significant(o).drop("p_value")
+
+
+@query("t17_saved_results", f"WITH {TRIALS_SQL}, g AS (SELECT status, grp, avg(price) AS m, count(*) AS n FROM tr GROUP BY ALL) SELECT 'means' AS result, status || ' ' || grp AS name, round(m, 4) AS value, n FROM g UNION ALL SELECT 'anova', status, CAST(count(*) - 1 AS DOUBLE), CAST(sum(n) AS BIGINT) FROM g GROUP BY status")
+def t17_saved_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result tables written below one folder, one as Parquet and one as CSV, and read again."""
+    t, folder = trials(spark, sf_dir), scratch.folder(spark, "results")
+    means = t.groupBy("status", "grp").agg(F.round(F.avg("price"), 4).alias("m"), F.count("*").alias("n"))
+    stats.save_results({"means": means}, folder)
+    stats.save_results({"anova": stats.anova_between(t, ["status"], "price", "grp")}, folder, "csv")
+    read = spark.read.parquet(f"{folder}/means").select(F.lit("means").alias("result"), F.concat_ws(" ", "status", "grp").alias("name"), F.col("m").alias("value"), "n")
+    again = spark.read.option("header", True).csv(f"{folder}/anova")
+    return read.unionByName(again.select(F.lit("anova").alias("result"), F.col("status").alias("name"), F.col("df_effect").cast("double").alias("value"), (F.col("df_effect").cast("double") + F.col("df_error").cast("double") + 1).cast("long").alias("n")))
