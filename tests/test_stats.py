@@ -102,3 +102,20 @@ def test_sigmoid_finds_its_curve_or_says_so(spark):
 def test_labels(spark):
     df = spark.createDataFrame([(0.0001,), (0.005,), (0.04,), (0.5,), (None,)], "p_value double")
     assert [r.sig_label for r in stats.significant(df).collect()] == ["***", "**", "*", "n.s.", None]
+
+
+def test_cumulated_in_ranges_equals_one_sort(spark):
+    import numpy as np
+
+    g = np.random.default_rng(3)
+    rows = [(int(k), float(v), int(n)) for k, v, n in zip(g.integers(0, 3, 3000), g.normal(size=3000), g.integers(1, 5, 3000))] + [(9, 1.0, 2)]
+    df = spark.createDataFrame(rows, "k int, v double, n int").repartition(5)
+    got = {(r.k, r.v): (r._before_n, r._whole_n) for r in stats.cumulated(df, ["k"], "v", ["n"]).collect()}
+    for k in (0, 1, 2, 9):
+        own = sorted(r for r in rows if r[0] == k)
+        before = 0
+        for _, v, n in own:
+            assert got[k, v] == (before, sum(r[2] for r in own))
+            before += n
+    whole = {r.v: r._before_n for r in stats.cumulated(df.drop("k"), [], "v", ["n"]).collect()}
+    assert max(whole.values()) == sum(r[2] for r in rows) - max(rows, key=lambda r: r[1])[2]

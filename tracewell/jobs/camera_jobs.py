@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tracewell.jobs.orthogonal import fit_sql
 from tracewell.jobs.registry import query
 from tracewell.operators import camera
 from tracewell.sources.adapters import STREAM_ORDER
@@ -121,6 +122,31 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return camera.cycles_paired(_timed(spark, sf_dir), ids, BRANCH)
 
 
-@query("a9_normalised_cycles")
+def fits_sql(cycles: str, control: int, time: int) -> str:
+    """Common table expressions from `cycles` to `fits`."""
+    keys = [*BRANCH, "channel_wavelength"]
+    return f"""cc AS (SELECT session_name, blockname, branch_id, cycle_number, avg(raw_au) AS control FROM {cycles} WHERE channel_wavelength = '405' GROUP BY ALL),
+cp AS (SELECT s.session_name, s.blockname, s.branch_id, s.channel_wavelength, s.cycle_number, s.time, s.raw_au AS signal, control FROM {cycles} s JOIN cc USING (session_name, blockname, branch_id, cycle_number) WHERE s.channel_wavelength <> '405'),
+{fit_sql('fc', 'cp', keys, 'control', {'control_fitted': 'signal'}, control)}, {fit_sql('fits', 'fc', keys, 'time', {'poly_signal': 'signal', 'poly_control': 'control'}, time)}"""
+
+
+@query("a9_normalised_cycles", f"WITH {CYCLES_SQL}, {fits_sql('cycles', 3, 4)} SELECT session_name, blockname, branch_id, channel_wavelength, cycle_number, round(signal - control_fitted, 2) AS delta_signal_fitted_control, round(signal - poly_signal, 2) AS delta_signal_poly, round(control - poly_control, 2) AS delta_control_poly FROM fits")
 def a9_normalised_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return camera.normalise_cycles(_pairs(spark, sf_dir).where("control IS NOT NULL"), BRANCH, 3, 4)
+    out = camera.normalise_cycles(_pairs(spark, sf_dir).where("control IS NOT NULL"), BRANCH, 3, 4)
+    return out.select(*BRANCH, "channel_wavelength", "cycle_number", *[F.round(d, 2).alias(d) for d in camera.DELTAS])
+
+
+@query(
+    "r3_camera_peth",
+    f"""WITH {CYCLES_SQL.replace('FROM long WHERE ts_comp IS NOT NULL', 'FROM clipped').replace(', cyc AS', ', sp AS (SELECT session_name, blockname, min(ts_comp) + 1000.0 AS a, max(ts_comp) - 3000.0 AS z FROM long GROUP BY ALL), clipped AS (SELECT long.* FROM long JOIN sp USING (session_name, blockname) WHERE ts_comp > a AND ts_comp < z), cyc AS')}, {fits_sql('cycles', 1, 2)},
+asked AS (SELECT session_name, frame_counter * 25.0::DOUBLE + 990 AS t, frame_counter AS event_number FROM frames WHERE frame_counter % 60 = 30), seen AS (SELECT a.session_name, event_number, min(ts_comp) AS ts FROM asked a JOIN clock c ON c.session_name = a.session_name AND c.ts_comp >= a.t GROUP BY ALL),
+near AS (SELECT f.*, event_number, CAST(round(f.time * 1000) AS BIGINT) - CAST(round(s.ts * 1000) AS BIGINT) AS rel FROM fits f JOIN seen s USING (session_name)),
+m AS (SELECT session_name, blockname, branch_id, channel_wavelength, event_number, CAST(ceil((rel + 500000) / 250000.0::DOUBLE) AS BIGINT) AS bin, round(avg(signal - control_fitted), 2) AS delta_signal_fitted_control FROM near WHERE rel > -500000 AND rel < 1000000 GROUP BY ALL)
+SELECT * EXCLUDE (bin), bin * 250000 - 500000 AS time_rel FROM m QUALIFY bin < max(bin) OVER (PARTITION BY session_name, blockname, branch_id, event_number)""",
+)
+def r3_camera_peth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f, ids = frames(spark, sf_dir), channels(spark, sf_dir)
+    marks = f.where("frame_counter % 60 = 30").select("session_name", (F.col("timestamp") + 990).alias("event_ms"), F.col("frame_counter").alias("event_number"))
+    kinds = ids.select(*BRANCH, "channel_wavelength", F.when(F.col("channel_wavelength") == "405", "control").otherwise("signal").alias("channel_id"))
+    out = camera.processed(f, clock(f), ids, kinds, log(spark, sf_dir), marks, 1, 2, 0.5, 1.0, 0.25)["streams_peth"]
+    return out.select(*BRANCH, "channel_wavelength", "event_number", "time_rel", F.round(camera.DELTAS[0], 2).alias(camera.DELTAS[0]))

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
-MODULES = ("signal_jobs", "session_jobs", "event_jobs", "stats_jobs", "shape_jobs", "camera_jobs", "summary_jobs", "source_jobs")
+MODULES = ("signal_jobs", "session_jobs", "event_jobs", "stats_jobs", "shape_jobs", "camera_jobs", "summary_jobs", "source_jobs", "operant_jobs")
 
 
 def _load() -> None:

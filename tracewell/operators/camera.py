@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewell.operators.align import next_frame
+from tracewell.operators.peri import histogram
 from tracewell.operators.signal import DELTAS, normalised, polynomial_fits
+from tracewell.sources.scratch import saved
 
 
 def region_rows(frames: DataFrame, keys: list[str]) -> DataFrame:
@@ -86,9 +89,31 @@ def cycles_paired(rows: DataFrame, channels: DataFrame, keys: list[str], value:
     return signal.where(F.col("signal").isNotNull()).join(control, [*keys, "cycle_number"], "left")
 
 
-def normalise_cycles(pairs: DataFrame, keys: list[str], degree_control: int, degree_time: int) -> DataFrame:
+def normalise_cycles(pairs: DataFrame, keys: list[str], degree_control: int | str, degree_time: int | str) -> DataFrame:
     """Fits, residuals, z-scores and dF/F by session, branch and wavelength."""
-    by = [*keys, "channel_wavelength"]
+    by, pairs = [*keys, "channel_wavelength"], saved(pairs, "cycles")
     out = polynomial_fits(pairs, by, [("control", "signal", degree_control, "control_fitted"), ("time", "signal", degree_time, "poly_signal"), ("time", "control", degree_time, "poly_control")])
     out = out.withColumns({DELTAS[0]: F.col("signal") - F.col("control_fitted"), DELTAS[1]: F.col("signal") - F.col("poly_signal"), DELTAS[2]: F.col("control") - F.col("poly_control")})
     return normalised(out, by, DELTAS)
+
+
+def processed(frames: DataFrame, clock: DataFrame, channels: DataFrame, kinds: DataFrame, log: DataFrame, events: DataFrame, degree_control: int | str, degree_time: int | str, before: float, after: float, width: float) -> dict[str, DataFrame]:
+    """The whole job of a camera system, all sessions and branches at once: frames on the computer's
+    clock, the log's channels, the block without its trimmed ends, signals beside the controls of their
+    cycle, fits (streams_session), events on the first frame after them (events), and the series around
+    them (streams_peth). `kinds` names signal and control channels of a branch, `events` has
+    (session_name, event_ms, event_number); windows are in seconds."""
+    branch = ["session_name", "blockname", "branch_id"]
+    timed = with_clock(frames, clock)
+    rows = of_channels(region_rows(timed, ["session_name", "frame_counter", "led_state", "ts_comp"]), channels)
+    rows = clip_by_trim(rows.where("ts_comp IS NOT NULL"), log)
+    rows = rows.select(*branch, "channel_wavelength", F.col("ts_comp").alias("time"), F.col("raw_au").alias("au_smooth_ma"))
+    fits = saved(normalise_cycles(cycles_paired(rows, kinds, branch).where("control IS NOT NULL"), branch, degree_control, degree_time), "camera-fits")
+    seen = next_frame(events, timed.where("ts_comp IS NOT NULL").select("session_name", F.col("ts_comp").alias("_frame_ms"), "ts_comp"), "session_name", "event_ms", "_frame_ms", "ts_comp")
+    on_clock = seen.select("session_name", "event_number", F.round(F.col("ts_comp") * 1000).cast("long").alias("event_us"))
+    series = fits.withColumn("time_us", F.round(F.col("time") * 1000).cast("long"))
+    us = [round(x * 1_000_000) for x in (before, after, width)]
+    wanted = on_clock.join(log.select(*branch).distinct(), "session_name")
+    measures = ["signal", "control", "control_fitted", *DELTAS]
+    around = histogram(series, wanted, branch, "time_us", "event_us", ["event_number"], *us, measures, more=["channel_wavelength"])
+    return {"streams_session": fits, "events": on_clock, "streams_peth": around}
