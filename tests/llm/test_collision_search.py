@@ -36,6 +36,23 @@ def test_recall_against_brute_force(spark, monkeypatch, block, n, d):
     assert hits >= 0.9 * 20 * len(got) and len(got) == len(range(0, n, 20))
 
 
+def test_recall_on_the_given_vectors(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, np.array(r.embedding, float)) for r in table.collect()]
+    ids, x = np.array([k for k, _ in rows]), np.stack([v for _, v in rows])
+    hits = asked = 0
+    found = {}
+    for r in collision_search.search(table).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    for i in np.flatnonzero(ids % 20 == 0):
+        scores = x @ x[i]
+        scores[i] = -np.inf
+        hits += len(found[ids[i]] & set(ids[np.argsort(-scores)[:20]].tolist()))
+        asked += 20
+    print("recall", hits / asked)
+    assert hits >= 0.9 * asked
+
+
 def test_copies_go_by_the_smaller_id(spark):
     rows = [(k, [1.0, 2.0, 3.0]) for k in range(200)] + [(k, [3.0, -1.0, 0.5]) for k in range(200, 260)]
     got = run(spark, rows, k=5)

@@ -57,6 +57,29 @@ def test_rules_are_learned_and_native(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_conjunctions_are_grown_and_held_out_documents_follow(spark):
+    """Bad: short words and few to a line, both; either alone is good. A third of the labels is held out."""
+    r = random.Random(4)
+    docs, labels = [], []
+    for k in range(1500):
+        short, thin = r.random() < 0.4, r.random() < 0.4
+        words = [("ab" if short else "longwordhere") + str(r.randrange(90000)) for _ in range(60)]
+        docs.append((k, ("\n" if thin else " ").join(words)))
+        labels.append((k, int(not (short and thin))))
+    stats = quality_rules.statistics(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    rules = quality_rules.learn(stats, spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id bigint, quality int"))
+    assert max(len(x.tests) for x in rules) >= 2
+    kept = {x.doc_id: x.kept for x in quality_rules.judged(stats, rules).collect()}
+    held = [(k, y) for k, y in labels if k % 3 == 0]
+    assert sum(kept[k] == bool(y) for k, y in held) > 0.97 * len(held)
+
+
+def test_the_first_rule_met_decides(spark):
+    rules = [quality_rules.Rule((quality_rules.Test("words", True, 30.0),), keep=True), quality_rules.Rule((quality_rules.Test("words", True, 20.0),))]
+    rows = spark.createDataFrame([(n, " ".join(f"w{i}" for i in range(n))) for n in (15, 25, 35)], "doc_id bigint, text string")
+    assert {r.doc_id: r.kept for r in quality_rules.judged(quality_rules.statistics(rows), rules).collect()} == {15: True, 25: False, 35: True}
+
+
 def test_without_labels_only_the_base_decides(spark):
     docs, labels, _ = labelled(spark, 60)
     stats = quality_rules.statistics(docs)

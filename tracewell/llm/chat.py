@@ -110,9 +110,10 @@ def formatted(turns: DataFrame, template: Template | None = None, key: str = "co
     return rows.mapInArrow(run, f"{key} {dict(rows.dtypes)[key]}, turn_no bigint, segment int, role string, text string, loss boolean, fault string")
 
 
-def read_back(segments: DataFrame, template: Template | None = None, key: str = "conv_id") -> DataFrame:
-    """One row a conversation, from the segments' text and loss flags as `formatted` left them:
-    n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, valid, fault."""
+def read_back(segments: DataFrame, template: Template | None = None, key: str = "conv_id", in_order: bool = False) -> DataFrame:
+    """One row a conversation, from the segments' text and loss flags: n_turns, turns_sha256,
+    loss_chars, loss_sha256, formatted_chars, valid, fault. Segments are put in order first, unless they
+    come straight from `formatted`, which leaves them so (`in_order`)."""
     template = template or Template()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,5 +158,7 @@ def read_back(segments: DataFrame, template: Template | None = None, key: str =
             close()
             yield batch()
 
+    if not in_order:
+        segments = segments.repartition(key).sortWithinPartitions(key, "turn_no", "segment")
     rows = segments.select(key, "segment", "text", "loss", "fault")
     return rows.mapInArrow(run, f"{key} {dict(rows.dtypes)[key]}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, valid boolean, fault string")

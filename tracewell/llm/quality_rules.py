@@ -1,8 +1,8 @@
 """Quality rules: a decision list learned from labelled statistics, all in native expressions.
 
 `statistics` computes a row of numbers a document with built-in functions only. `learn` covers the
-low-quality labelled documents one rule at a time: a rule is grown by the threshold that most
-raises its FOIL gain, pruned on the other half of the labelled rows, and the rows it catches are
+low-quality labelled documents one rule at a time: a rule is grown on two thirds of the labelled rows
+by the thresholds that most raise its FOIL gain, pruned on the last third, and the rows it catches are
 set aside before the next one. Every step is one small grouped count over all labelled rows, so
 nothing but counts by (statistic, bin) reaches the driver. `verdict` turns the ordered list into
 one `CASE WHEN` expression.
@@ -159,8 +159,8 @@ def _entropy_gain(p: float, n: float, p0: float, n0: float) -> float:
 def learn(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", max_rules: int = 6, max_tests: int = 3, min_hits: int = 10, min_precision: float = 0.9) -> list[Rule]:
     """Learn an ordered list of rejecting rules from `labels` (1: good, 0: bad) over `stats`.
 
-    Two thirds of the labelled rows grow rules, the rest prune them; both halves are all labelled
-    rows dealt by a hash of the key. `min_precision` is the least share of bad documents that a
+    Two thirds of the labelled rows grow rules, the rest prune them; both parts together are all
+    labelled rows, dealt by a hash of the key. `min_precision` is the least share of bad documents that a
     rule must catch among those it rejects, on the pruning rows as well."""
     known = labels.where(F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).alias("_low"), F.max(label).alias("_high"))
     known = known.where(F.col("_low") == F.col("_high")).select(F.col(key), (F.col("_low") == 0).alias("_bad"))

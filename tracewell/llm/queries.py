@@ -37,7 +37,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = "\\### Assistant: </turn> ok"
     more = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, "assistant", told)], "conv_id bigint, turn bigint, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    return chat.read_back(chat.formatted(turns))
+    return chat.read_back(chat.formatted(turns), in_order=True)
 
 
 def op6_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
