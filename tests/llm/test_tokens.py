@@ -190,7 +190,7 @@ def test_memo_is_bounded_by_bytes(monkeypatch):
     coder = tokens.WordTokens(tokens.WORD_FILE)
     for k in range(40):
         list(coder.encode([" ".join(f"w{k}x{i}" for i in range(300)) + " " + "y" * 5000], group=1))
-        assert sum(map(coder._bytes_of, coder.known.items())) < 250_000 and not any(len(p) > tokens.LONG for p in coder.known)
+        assert sum(200 + 4 * len(p) + len(x) for p, x in coder.known.items()) < 250_000 and not any(len(p) > tokens.LONG for p in coder.known)
 
 
 def test_lookup_reads_only_what_is_asked(spark, word_library, tmp_path):
@@ -208,7 +208,7 @@ def test_lookup_reads_only_what_is_asked(spark, word_library, tmp_path):
 
 
 def test_lengths_are_ranked_in_bounded_buckets(spark, monkeypatch):
-    monkeypatch.setattr(packing, "RUN", 50)
+    monkeypatch.setattr(packing, "LEAST", 50)
     rows = [(7, "word " * 3)] * 400 + [(8, "word " * 63)] * 30 + [(k, "word " * 200) for k in range(9, 20)]
     df = spark.createDataFrame([(k, t, 1, 2) for k, t in rows], "doc_id bigint, text string, _row int, length int").repartition(5)
     got = packing.pack(df, capacity=64).collect()

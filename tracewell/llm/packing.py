@@ -13,7 +13,7 @@ and so are the gaps of open sequences; a superstep sweeps runs, not rows:
 
 The supersteps see counts by length, so what the driver holds is bounded by `capacity`, whatever
 the input. All rows stay in Spark: a piece's rank within its length is its row number in a bucket of
-that length (one for every `RUN` pieces) plus the bucket's start, and one join on (length, rank range)
+that length (none holds more than a small share of all pieces) plus the bucket's start, and one join on (length, rank range)
 against the bounded plan gives it its sequence and offset. Pieces as long as a sequence fill one each,
 without a shuffle.
 
@@ -38,7 +38,7 @@ from tracewell.llm import tokens
 from tracewell.llm.common import saved
 
 CAPACITY = 2048
-RUN = 100_000  # pieces of one length that are ranked in one task, about
+RUN, LEAST, SHARES = 100_000, 256, 1024  # pieces of a length ranked together: one in SHARES of all, within LEAST and RUN, about
 
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = 0, vocabulary: str = tokens.WORD_FILE, with_ids: bool = False) -> DataFrame:
@@ -135,12 +135,13 @@ def packed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     full = rows.where(F.col("length") == capacity).select(*columns, (-1 - F.col("_row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rows = rows.where(F.col("length") < capacity)
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
-    buckets = spark.createDataFrame([(n, -(-c // RUN)) for n, c in counts.items()] or [(0, 1)], "length bigint, _buckets int")
+    run = max(LEAST, min(RUN, sum(counts.values()) // SHARES))
+    buckets = spark.createDataFrame([(n, -(-c // run)) for n, c in counts.items()] or [(0, 1)], "length bigint, _buckets int")
     rows = rows.join(F.broadcast(buckets), "length").withColumn("_bucket", F.pmod(F.xxhash64("_row"), F.col("_buckets")).cast("int"))
     ranked = rows.withColumn("_in", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("_row")) - 1)
     sizes = rows.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("_from", F.coalesce(F.sum("_n").over(before), F.lit(0)))  # a row for every RUN pieces
+    starts = sizes.withColumn("_from", F.coalesce(F.sum("_n").over(before), F.lit(0)))  # a row a bucket
     steps = spark.createDataFrame(plan(counts, capacity) or [(0, 0, 0, 1, 0, 0)], "_length bigint, _first bigint, _pieces bigint, _each bigint, _sequence bigint, _offset bigint")
     placed = ranked.join(starts.select("length", "_bucket", "_from"), ["length", "_bucket"]).withColumn("_rank", F.col("_from") + F.col("_in"))
     met = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_first") + F.col("_pieces"))

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-MEMO, LONG = 160 << 20, 256  # bytes, at most, of the parts that a worker remembers; longer parts are not kept
+MEMO, LONG = 240 << 20, 256  # bytes, at most, of the parts that a worker remembers; longer parts are not kept
 #: The chain of a tokenizer whose parts between blanks can be encoded one by one.
 DROPS_SPACE = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -90,26 +90,20 @@ class _Memo:
 
     def encode(self, texts: list[str | None], group: int = 64) -> Iterator[bytes]:
         for a in range(0, len(texts), group):
-            cut = [self.parts(t) if t else [] for t in texts[a : a + group]]
+            if self.held > MEMO:  # the older half stays: frequent parts come early
+                self.known = dict(islice(self.known.items(), len(self.known) // 2))
+                self.held = sum(200 + 4 * len(p) + len(x) for p, x in self.known.items())
             known = self.known
-            missing = list({p for parts in cut for p in parts if p not in known})
-            if missing:
-                if self.held > MEMO:  # the older half stays: frequent parts come early
-                    self.known = known = dict(islice(known.items(), len(known) // 2))
-                    self.held = sum(map(self._bytes_of, known.items()))
-                    missing = list({p for parts in cut for p in parts if p not in known})
-                known.update(zip(missing, self.new(missing), strict=True))
-            for parts in cut:
-                yield b"".join(map(known.__getitem__, parts))
+            cut = [self.parts(t) if t else [] for t in texts[a : a + group]]
+            found = [list(map(known.get, parts)) for parts in cut]
+            missing = list({p for parts, got in zip(cut, found, strict=True) if None in got for p, x in zip(parts, got, strict=True) if x is None})
+            known.update(zip(missing, self.new(missing), strict=True))
+            for parts, got in zip(cut, found, strict=True):
+                yield b"".join([known[p] if x is None else x for p, x in zip(parts, got, strict=True)] if None in got else got)
             for p in missing:
                 if len(p) > LONG:
                     del known[p]
-                else:
-                    self.held += self._bytes_of((p, known[p]))
-
-    @staticmethod
-    def _bytes_of(item: tuple[str, bytes]) -> int:
-        return 200 + 4 * len(item[0]) + len(item[1])
+            self.held += sum(200 + 4 * len(p) + len(known[p]) for p in missing if len(p) <= LONG)
 
 
 class WordTokens(_Memo):
@@ -123,22 +117,30 @@ class WordTokens(_Memo):
         # A plain word, of letters that need no normalising but lower case, and a mark after it.
         self._plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)").fullmatch
         self._bytes = dict(enumerate(byte_letters()))
+        self._marks: dict[str, bytes] = {}
 
     def parts(self, text: str) -> list[str]:
         return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if self.by_blanks else [text]
 
     def new(self, parts: list[str]) -> list[bytes]:
-        """Plain words go straight to the library's model, other parts through its whole chain."""
+        """Plain words go straight to the library's model, or to the memo where their form in lower case
+        and without the mark is known; other parts go through the library's whole chain."""
         out, rest = [], []
-        tokenize = self.library.model.tokenize
+        tokenize, known, fresh = self.library.model.tokenize, self.known, {}
         for i, p in enumerate(parts):
             if not self.by_blanks or (m := self._plain(p)) is None:
                 rest.append(i)
                 out.append(b"")
                 continue
-            word = m[1].lower()
-            ids = [t.id for t in tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(self._bytes))]
-            out.append(_packed(ids + [t.id for t in tokenize(m[2])] if m[2] else ids))
+            word, mark = m[1].lower(), m[2]
+            ids = known.get(word) or fresh.get(word)
+            if ids is None:
+                ids = fresh[word] = _packed([t.id for t in tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(self._bytes))])
+            if mark:
+                if mark not in self._marks:
+                    self._marks[mark] = _packed([t.id for t in tokenize(mark)])
+                ids += self._marks[mark]
+            out.append(ids)
         for i, e in zip(rest, self.library.encode_batch_fast([parts[i] for i in rest], add_special_tokens=False), strict=True):
             out[i] = _packed(e.ids)
         return out
