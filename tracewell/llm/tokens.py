@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-MEMO, LONG = 240 << 20, 256  # bytes, at most, of the parts that a worker remembers; longer parts are not kept
+MEMO, LONG = 176 << 20, 256  # bytes, at most, of the parts that a worker remembers; longer parts are not kept
 #: The chain of a tokenizer whose parts between blanks can be encoded one by one.
 DROPS_SPACE = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
