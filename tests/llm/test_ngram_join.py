@@ -75,6 +75,52 @@ def test_many_blocks_and_frequent_grams_lose_no_link(spark, monkeypatch):
     assert found(spark, docs, size=5, percent=80) == brute(docs, 5, 80)
 
 
+def all_links(spark, docs, **how):
+    """Links by pairs of texts' sets and by document, of the operator and by brute force."""
+    size, percent = how["size"], how["percent"]
+    sets = {k: gram_set(t, size) for k, t in docs}
+    want, common = dict.fromkeys(sets, 0), {}
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a != b and sets[a] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                want[a] += 1
+                if sets[a] != sets[b]:
+                    common[frozenset([sets[a], sets[b]])] = both
+    rows, pairs = ngram_join.links(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5), **how)
+    rows = rows.collect()
+    of = {r["class"]: sets[r.doc_id] for r in rows if r["class"] is not None}
+    assert len(rows) == len(docs) and len(of) == len({s for s in sets.values() if s})
+    assert all((r["class"] is None) == (not sets[r.doc_id]) and r.n_shingles == len(sets[r.doc_id]) for r in rows)
+    found = [(frozenset([of[p.u], of[p.v]]), p.common) for p in pairs.collect()]
+    assert len(found) == len({f for f, _ in found})
+    return ({r.doc_id: r.n_links for r in rows}, dict(found)), (want, common)
+
+
+def test_links_equal_brute_force(spark):
+    got, want = all_links(spark, corpus(21), size=4, percent=85)
+    assert got == want and want[1]
+
+
+def test_links_between_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 3)
+    words = [f"w{i}" for i in range(400)]
+    chain = [(2000 + k, " ".join(words[k : k + 100])) for k in range(0, 60, 2)]
+    got, want = all_links(spark, corpus(22, 120) + chain, size=5, percent=80)
+    assert got == want and len(want[1]) > 100
+
+
+def test_links_of_repeated_rows_nulls_and_an_empty_table(spark):
+    rows = [(1, "a b c d e", 9), (1, "a b c d e", 9), (None, "a b c d e", 9), (2, None, 9), (None, "", 9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, u int")
+    of, pairs = ngram_join.links(df)
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in of.collect()), key=repr) == sorted([(1, 2, 2), (1, 2, 2), (None, 2, 2), (2, 0, 0), (None, 0, 0)], key=repr)
+    assert pairs.collect() == []
+    of, pairs = ngram_join.links(df.limit(0))
+    assert of.collect() == [] and pairs.collect() == []
+
+
 def test_repeated_rows_nulls_and_extra_columns(spark):
     rows = [(1, "a b c d e", "x", 9), (1, "a b c d e", "y", 9), (None, "a b c d e", "z", 9), (2, None, None, 9)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, cls string, n int")

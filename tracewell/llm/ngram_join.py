@@ -1,5 +1,5 @@
-"""Connected components of the exact Jaccard join of documents on word n-grams. Pairs already connected
-are skipped, so the links themselves, and their number for a document, are not produced.
+"""Exact Jaccard join of documents on word n-grams: `joined` gives its connected components, skipping
+pairs already connected; `links` gives every link between classes and the number of links a document has.
 
 1. A pass over the texts hashes each document's distinct n-grams. Documents of equal sets (by 128 bits
    of hash) form one class; only classes take part from here on.
@@ -313,15 +313,20 @@ class _Sets:
 
     def linked(self, grams: np.ndarray, rows: np.ndarray, percent: int) -> np.ndarray:
         """Which of `rows` link with the set `grams`."""
+        return self.common(grams, rows, percent)[0]
+
+    def common(self, grams: np.ndarray, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of `rows` link with the set `grams`, and the sizes of their intersections."""
         near = rows[(100 * self.sizes[rows] >= percent * len(grams)) & (100 * len(grams) >= percent * self.sizes[rows])]
         if not len(near):
-            return near
+            return near, near
         where = np.searchsorted(self.values, grams)
         where = where[(where < len(self.values)) & (self.values[np.minimum(where, len(self.values) - 1)] == grams)]
         self.mark[where] = 1
         both = np.array([int(self.mark[self.at[self.starts[r] : self.starts[r + 1]]].sum()) for r in near])
         self.mark[where] = 0
-        return near[100 * both >= percent * (self.sizes[near] + len(grams) - both)]
+        hit = 100 * both >= percent * (self.sizes[near] + len(grams) - both)
+        return near[hit], both[hit]
 
 
 def _sets_of(pdf: pd.DataFrame, size: int) -> tuple[pd.DataFrame, list[np.ndarray]]:
@@ -405,10 +410,80 @@ def _against(size: int, percent: int):
     return run
 
 
+def _pairs(size: int, percent: int, within: bool):
+    """All links (u, v, common) of a block's classes, `within` it or with its guests."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        own, own_sets = _sets_of(pdf if within else pdf[~pdf["guest"]], size)
+        others, sets = (own, own_sets) if within else _sets_of(pdf[pdf["guest"]], size)
+        out = []
+        if len(own) and len(others):
+            held, cls = _Sets(own_sets), own["cls"].to_numpy()
+            for i, (u, grams) in enumerate(zip(others["cls"].tolist(), sets, strict=True)):
+                at, both = held.common(grams, np.arange(i + 1 if within else 0, len(cls)), percent)
+                out += [(min(u, v), max(u, v), n) for v, n in zip(cls[at].tolist(), both.tolist(), strict=True)]
+        return pd.DataFrame(out, columns=["u", "v", "common"]).astype(np.int64)
+
+    return run
+
+
+def _signed_block(size: int):
+    """The larger signatures of a block's classes, each a cluster of its own."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, sets = _sets_of(pdf, size)
+        bits = pd.Series([bitmap(s, width(FINE * len(s))) for s in sets], dtype=object, index=pdf.index)
+        return pdf.assign(root=pdf["cls"], bits=bits)[["cls", "root", "comp", "block", "n", "bits"]]
+
+    return run
+
+
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85) -> DataFrame:
     """(key, n_shingles, component_id) of every row of `docs`, linking sets whose Jaccard similarity
     is `percent` / 100 or more."""
     key_type = dict(docs.dtypes)[key]
+    sig, classes, possible = _candidates(docs, key, text, size, percent)
+    clusters = saved(_verified(docs, classes, possible, key, text, size, percent), "clusters")
+    named = classes.select("cls", "first").join(clusters, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    least = saved(named.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("_n")), "roots")
+    # The largest components, HOT at most, are broadcast, so that no task gets all classes of one.
+    count = least.agg(F.sum("_n")).first()[0] or 0
+    large = F.broadcast(least.where(F.col("_n") > count / HOT).select("root", "component_id"))
+    known = named.join(large, "root", "left").select("cls", "root", "component_id", F.col("component_id").isNull().alias("_open"))
+    small = known.where("_open").select("cls", "root").join(least.where(F.col("_n") <= count / HOT).select("root", "component_id"), "root", "left")
+    of_class = known.where("not _open").select("cls", "component_id").union(small.select("cls", "component_id"))
+    out = sig.select("key", "n", "cls").join(of_class, "cls", "left")
+    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).cast(key_type)
+    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+def links(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
+    """Every link. First, for each row of `docs`, (key, n_shingles, class, n_links): the number of its
+    class, null without an n-gram, and the number of other rows it links with, those of its own class
+    included. Second, for every two linked classes, (u, v, common), u < v, with the size of their
+    intersection.
+
+    Nothing is skipped: a component of G classes costs G * G / 2 signature compares, and an intersection
+    for each pair whose signatures leave a link possible. Tasks hold a block and a batch, as in `joined`."""
+    sig, classes, possible = _candidates(docs, key, text, size, percent)
+    held = _members(docs, classes, possible, key, text)
+    inner = held.repartition("comp", "block").groupBy("comp", "block").applyInPandas(_pairs(size, percent, True), "u bigint, v bigint, common bigint")
+    wide = held.where("blocks > 1").withColumn("root", F.col("cls"))
+    signed = wide.repartition("comp", "block").groupBy("comp", "block").applyInPandas(_signed_block(size), "cls bigint, root bigint, comp bigint, block int, n bigint, bits binary")
+    signed = saved(signed, "block-signatures")
+    visits = saved(_visits(signed, signed, percent, later=True), "visits")
+    guests = visits.join(wide.drop("block", "comp"), "cls")
+    outer = _meeting(wide, guests).groupBy("comp", "block", "batch").applyInPandas(_pairs(size, percent, False), "u bigint, v bigint, common bigint")
+    pairs = saved(inner.unionByName(outer), "links")
+
+    ends = pairs.select(F.col("u").alias("cls"), F.col("v").alias("other")).union(pairs.select("v", "u"))
+    met = ends.join(classes.select(F.col("cls").alias("other"), "copies"), "other").groupBy("cls").agg(F.sum("copies").alias("_met"))
+    counts = classes.select("cls", "copies").join(met, "cls", "left").select("cls", (F.col("copies") - 1 + F.coalesce("_met", F.lit(0))).alias("n_links"))
+    rows = sig.select("key", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(counts, "cls", "left")
+    return rows.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("cls").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")), pairs
+
+
+def _candidates(docs: DataFrame, key: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, their classes, and the components of possible links."""
     sig, classes = _classes(saved(signatures(docs, key, text, size, percent), "signatures"))
 
     # One row a class, with its tokens: the row of its first key (several, where that key repeats).
@@ -423,34 +498,12 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     shared = shared.groupBy("cls").agg(F.collect_list(F.struct("token", "frequent")).alias("shared"))  # at most a class's own tokens
     rows = one.join(shared, "cls").select("cls", "n", "tokens", "bits", "shared").mapInArrow(_prefixes(percent), "token bigint, band int, cls bigint, n bigint, bits binary, home boolean")
     rows = _celled(rows, sig).repartition("token", "band", "cell").sortWithinPartitions("token", "band", "cell")
-    possible = components(rows.mapInArrow(_tiles(percent), "u bigint, v bigint"))
-
-    clusters = saved(_verified(docs, classes, possible, key, text, size, percent), "clusters")
-    named = classes.select("cls", "first").join(clusters, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    least = saved(named.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("_n")), "roots")
-    # The largest components, HOT at most, are broadcast, so that no task gets all classes of one.
-    count = least.agg(F.sum("_n")).first()[0] or 0
-    large = F.broadcast(least.where(F.col("_n") > count / HOT).select("root", "component_id"))
-    known = named.join(large, "root", "left").select("cls", "root", "component_id", F.col("component_id").isNull().alias("_open"))
-    small = known.where("_open").select("cls", "root").join(least.where(F.col("_n") <= count / HOT).select("root", "component_id"), "root", "left")
-    of_class = known.where("not _open").select("cls", "component_id").union(small.select("cls", "component_id"))
-    out = sig.select("key", "n", "cls").join(of_class, "cls", "left")
-    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).cast(key_type)
-    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return sig, classes, components(rows.mapInArrow(_tiles(percent), "u bigint, v bigint"))
 
 
 def _verified(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """(cls, root): the clusters that exact links make of the possible components.
-
-    What is known of a component is written before it is joined, and groups are dealt anew before they
-    are worked on: else Spark would keep the join's dealing by component, and so a component in a task."""
-    members = saved(possible.select(F.col("node").alias("cls"), F.col("root").alias("comp")).join(classes, "cls"), "possible")
-    sizes = saved(members.groupBy("comp").agg(_cut().alias("blocks")), "component-sizes")
-    members = members.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    # A class's text is found by key and hash, as null and repeated keys do not tell texts apart.
-    texts = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
-    held = texts.join(members, F.col("_key").eqNullSafe(F.col("first")) & (F.col("_hash") == F.col("hash")))
-    held = saved(held.select("comp", "block", "blocks", "cls", "n", "text").dropDuplicates(["cls"]), "members")
+    """(cls, root): the clusters that exact links make of the possible components."""
+    held = _members(docs, classes, possible, key, text)
     local = held.groupBy("comp", "block").applyInPandas(_block(size, percent), "cls bigint, root bigint, comp bigint, block int, n bigint, bits binary")
     local = saved(local, "block-clusters")
 
@@ -474,29 +527,48 @@ def _verified(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str
     final = now.join(merged.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
     return final.select("cls", F.coalesce("top", "root").alias("root"))
 
+def _members(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str, text: str) -> DataFrame:
+    """(comp, block, blocks, cls, n, text): the classes of possible components, dealt over blocks.
+
+    What is known of a component is written before it is joined, and groups are dealt anew before they
+    are worked on: else Spark would keep the join's dealing by component, and so a component in a task."""
+    members = saved(possible.select(F.col("node").alias("cls"), F.col("root").alias("comp")).join(classes, "cls"), "possible")
+    sizes = saved(members.groupBy("comp").agg(_cut().alias("blocks")), "component-sizes")
+    members = members.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    # A class's text is found by key and hash, as null and repeated keys do not tell texts apart.
+    texts = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
+    held = texts.join(members, F.col("_key").eqNullSafe(F.col("first")) & (F.col("_hash") == F.col("hash")))
+    return saved(held.select("comp", "block", "blocks", "cls", "n", "text").dropDuplicates(["cls"]), "members")
+
 
 def _cut() -> Column:
     """How many blocks or batches hold the classes of a group."""
     return F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int")
 
 
-def _visits(own: DataFrame, outside: DataFrame, percent: int) -> DataFrame:
-    """(comp, block, batch, cls): the blocks that each class of `outside` has to visit. Signatures of a
-    component's guests, in batches of a block's size, meet those of each block."""
+def _visits(own: DataFrame, outside: DataFrame, percent: int, later: bool = False) -> DataFrame:
+    """(comp, block, batch, cls): the blocks that each class of `outside` has to visit, if `later` only
+    those after its own. Signatures of a component's guests, in batches of a block's size, meet those of
+    each block."""
     columns = ["comp", "block", "batch", "cls", "n", "root", "bits", "guest"]
     outside = saved(outside, "outside")
     batches = outside.groupBy("comp").agg(_cut().alias("batches"))
     batches = saved(batches.join(own.groupBy("comp").agg(F.max("block").alias("_last")), "comp"), "batches")
-    dealt = outside.drop("block").join(batches, "comp").withColumn("batch", F.pmod(F.xxhash64(F.lit("guest"), "cls"), F.col("batches")).cast("int"))
-    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_last")))).withColumn("guest", F.lit(True))
+    dealt = outside.withColumnRenamed("block", "_own").join(batches, "comp").withColumn("batch", F.pmod(F.xxhash64(F.lit("guest"), "cls"), F.col("batches")).cast("int"))
+    first = F.col("_own") + 1 if later else F.lit(0)
+    dealt = dealt.where(first <= F.col("_last")).withColumn("block", F.explode(F.sequence(first, F.col("_last")))).withColumn("guest", F.lit(True))
     hosts = own.join(batches, "comp").withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1))).withColumn("guest", F.lit(False))
     both = hosts.select(columns).unionByName(dealt.select(columns)).repartition("comp", "block", "batch")
     return both.groupBy("comp", "block", "batch").applyInPandas(_possible(percent), "comp bigint, block int, batch int, cls bigint")
 
 
 def _meet(own: DataFrame, guests: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links of guests, which name the blocks they visit and their batch, with those blocks."""
+    """Links of guests with the blocks they visit, but those between classes already connected."""
+    return _meeting(own, guests).groupBy("comp", "block", "batch").applyInPandas(_against(size, percent), "u bigint, v bigint")
+
+
+def _meeting(own: DataFrame, guests: DataFrame) -> DataFrame:
+    """Guests, which name the blocks they visit and their batch, and the rows of those blocks."""
     columns = ["comp", "block", "batch", "cls", "root", "text", "guest"]
     hosts = own.join(guests.select("comp", "block", "batch").distinct(), ["comp", "block"]).withColumn("guest", F.lit(False))
-    both = hosts.select(columns).unionByName(guests.withColumn("guest", F.lit(True)).select(columns)).repartition("comp", "block", "batch")
-    return both.groupBy("comp", "block", "batch").applyInPandas(_against(size, percent), "u bigint, v bigint")
+    return hosts.select(columns).unionByName(guests.withColumn("guest", F.lit(True)).select(columns)).repartition("comp", "block", "batch")
