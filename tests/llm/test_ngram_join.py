@@ -94,6 +94,8 @@ def all_links(spark, docs, **how):
     assert all((r["class"] is None) == (not sets[r.doc_id]) and r.n_shingles == len(sets[r.doc_id]) for r in rows)
     found = [(frozenset([of[p.u], of[p.v]]), p.common) for p in pairs.collect()]
     assert len(found) == len({f for f, _ in found})
+    components = brute(docs, size, percent)
+    assert all(components[r.doc_id] == (r.n_shingles, r.component_id) for r in rows)
     return ({r.doc_id: r.n_links for r in rows}, dict(found)), (want, common)
 
 

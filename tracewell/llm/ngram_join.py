@@ -411,18 +411,20 @@ def _against(size: int, percent: int):
 
 
 def _pairs(size: int, percent: int, within: bool):
-    """All links (u, v, common) of a block's classes, `within` it or with its guests."""
+    """All links (u, v, common, tree) of a block's classes, `within` it or with its guests; those of the
+    tree connect all classes that they connect."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         own, own_sets = _sets_of(pdf if within else pdf[~pdf["guest"]], size)
         others, sets = (own, own_sets) if within else _sets_of(pdf[pdf["guest"]], size)
-        out = []
+        out, told = [], _Union()
         if len(own) and len(others):
             held, cls = _Sets(own_sets), own["cls"].to_numpy()
             for i, (u, grams) in enumerate(zip(others["cls"].tolist(), sets, strict=True)):
                 at, both = held.common(grams, np.arange(i + 1 if within else 0, len(cls)), percent)
-                out += [(min(u, v), max(u, v), n) for v, n in zip(cls[at].tolist(), both.tolist(), strict=True)]
-        return pd.DataFrame(out, columns=["u", "v", "common"]).astype(np.int64)
+                out += [(min(u, v), max(u, v), n, told.join(u, v)) for v, n in zip(cls[at].tolist(), both.tolist(), strict=True)]
+        u, v, common, tree = zip(*out, strict=True) if out else ((), (), (), ())
+        return pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64), "common": np.array(common, np.int64), "tree": np.array(tree, bool)})
 
     return run
 
@@ -441,45 +443,55 @@ def _signed_block(size: int):
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85) -> DataFrame:
     """(key, n_shingles, component_id) of every row of `docs`, linking sets whose Jaccard similarity
     is `percent` / 100 or more."""
-    key_type = dict(docs.dtypes)[key]
     sig, classes, possible = _candidates(docs, key, text, size, percent)
-    clusters = saved(_verified(docs, classes, possible, key, text, size, percent), "clusters")
-    named = classes.select("cls", "first").join(clusters, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    least = saved(named.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("_n")), "roots")
-    # The largest components, HOT at most, are broadcast, so that no task gets all classes of one.
-    count = least.agg(F.sum("_n")).first()[0] or 0
-    large = F.broadcast(least.where(F.col("_n") > count / HOT).select("root", "component_id"))
-    known = named.join(large, "root", "left").select("cls", "root", "component_id", F.col("component_id").isNull().alias("_open"))
-    small = known.where("_open").select("cls", "root").join(least.where(F.col("_n") <= count / HOT).select("root", "component_id"), "root", "left")
-    of_class = known.where("not _open").select("cls", "component_id").union(small.select("cls", "component_id"))
-    out = sig.select("key", "n", "cls").join(of_class, "cls", "left")
-    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).cast(key_type)
-    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
+    clusters = saved(_verified(_members(docs, classes, possible, key, text), size, percent), "clusters")
+    return _named(sig, classes, clusters, key).drop("class")
+
 
 def links(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
-    """Every link. First, for each row of `docs`, (key, n_shingles, class, n_links): the number of its
-    class, null without an n-gram, and the number of other rows it links with, those of its own class
-    included. Second, for every two linked classes, (u, v, common), u < v, with the size of their
-    intersection.
+    """Every link. First, for each row of `docs`, (key, n_shingles, component_id, class, n_links): as
+    `joined`, with the number of its class, null without an n-gram, and the number of other rows it links
+    with, those of its own class included. Second, for every two linked classes, (u, v, common), u < v,
+    with the size of their intersection.
 
     Nothing is skipped: a component of G classes costs G * G / 2 signature compares, and an intersection
-    for each pair whose signatures leave a link possible. Tasks hold a block and a batch, as in `joined`."""
+    for each pair whose signatures leave a link possible. Tasks hold a block and a batch, as in `joined`,
+    and only links of a task's tree go on to the components."""
     sig, classes, possible = _candidates(docs, key, text, size, percent)
     held = _members(docs, classes, possible, key, text)
-    inner = held.repartition("comp", "block").groupBy("comp", "block").applyInPandas(_pairs(size, percent, True), "u bigint, v bigint, common bigint")
+    schema = "u bigint, v bigint, common bigint, tree boolean"
+    inner = held.repartition("comp", "block").groupBy("comp", "block").applyInPandas(_pairs(size, percent, True), schema)
     wide = held.where("blocks > 1").withColumn("root", F.col("cls"))
     signed = wide.repartition("comp", "block").groupBy("comp", "block").applyInPandas(_signed_block(size), "cls bigint, root bigint, comp bigint, block int, n bigint, bits binary")
     signed = saved(signed, "block-signatures")
     visits = saved(_visits(signed, signed, percent, later=True), "visits")
     guests = visits.join(wide.drop("block", "comp"), "cls")
-    outer = _meeting(wide, guests).groupBy("comp", "block", "batch").applyInPandas(_pairs(size, percent, False), "u bigint, v bigint, common bigint")
+    outer = _meeting(wide, guests).groupBy("comp", "block", "batch").applyInPandas(_pairs(size, percent, False), schema)
     pairs = saved(inner.unionByName(outer), "links")
 
     ends = pairs.select(F.col("u").alias("cls"), F.col("v").alias("other")).union(pairs.select("v", "u"))
     met = ends.join(classes.select(F.col("cls").alias("other"), "copies"), "other").groupBy("cls").agg(F.sum("copies").alias("_met"))
     counts = classes.select("cls", "copies").join(met, "cls", "left").select("cls", (F.col("copies") - 1 + F.coalesce("_met", F.lit(0))).alias("n_links"))
-    rows = sig.select("key", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(counts, "cls", "left")
-    return rows.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("cls").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")), pairs
+    clusters = components(pairs.where("tree")).select(F.col("node").alias("cls"), "root")
+    return _named(sig, classes, clusters, key, counts), pairs.drop("tree")
+
+
+def _named(sig: DataFrame, classes: DataFrame, clusters: DataFrame, key: str, counts: DataFrame | None = None) -> DataFrame:
+    """(key, n_shingles, component_id, class[, n_links]) of every row of `sig`."""
+    named = classes.select("cls", "first").join(clusters, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    least = saved(named.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("_n")), "roots")
+    # The largest components, HOT at most, are broadcast, so that no task gets all classes of one.
+    count = least.agg(F.sum("_n")).first()[0] or 0
+    large = F.broadcast(least.where(F.col("_n") > count / HOT).select("root", "component_id"))
+    known = named.join(large, "root", "left").select("cls", "root", "component_id", F.col("component_id").isNull().alias("_open"))
+    small = known.where("_open").select("cls", "root").join(least.where(F.col("_n") <= count / HOT).select("root", "component_id"), "root", "left")
+    of_class = known.where("not _open").select("cls", "component_id").union(small.select("cls", "component_id"))
+    if counts is not None:
+        of_class = of_class.join(counts, "cls")
+    out = sig.select("key", "n", "cls").join(of_class, "cls", "left")
+    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).cast(dict(sig.dtypes)["key"])
+    more = [] if counts is None else [F.coalesce("n_links", F.lit(0)).alias("n_links")]
+    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"), F.when(F.col("n") > 0, F.col("cls")).alias("class"), *more)
 
 
 def _candidates(docs: DataFrame, key: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -501,9 +513,8 @@ def _candidates(docs: DataFrame, key: str, text: str, size: int, percent: int) -
     return sig, classes, components(rows.mapInArrow(_tiles(percent), "u bigint, v bigint"))
 
 
-def _verified(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
+def _verified(held: DataFrame, size: int, percent: int) -> DataFrame:
     """(cls, root): the clusters that exact links make of the possible components."""
-    held = _members(docs, classes, possible, key, text)
     local = held.groupBy("comp", "block").applyInPandas(_block(size, percent), "cls bigint, root bigint, comp bigint, block int, n bigint, bits binary")
     local = saved(local, "block-clusters")
 

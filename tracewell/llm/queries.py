@@ -19,7 +19,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.joined(table(spark, sf_dir, "documents"), size=4, percent=85)
+    rows, _ = ngram_join.links(table(spark, sf_dir, "documents"), size=4, percent=85)
+    return rows.drop("class")
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +84,9 @@ n AS (SELECT doc_id, len(s) AS n FROM g), e AS (SELECT doc_id, unnest(s) AS x FR
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
 l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * o >= 85 * (na.n + nb.n - o)),
 u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
-r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.doc_id)
-SELECT n.doc_id, n AS n_shingles, min(c) AS component_id FROM n JOIN r USING (doc_id) GROUP BY ALL"""
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.doc_id),
+k AS (SELECT a AS doc_id, count(*) AS n_links FROM u GROUP BY a)
+SELECT n.doc_id, n AS n_shingles, min(c) AS component_id, coalesce(n_links, 0) AS n_links FROM n JOIN r USING (doc_id) LEFT JOIN k USING (doc_id) GROUP BY ALL"""
 
 WARC_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS m FROM p)
 SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(x, CAST(1 + 5 * (k // 4) AS BIGINT), 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest,
