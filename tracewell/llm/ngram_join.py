@@ -410,21 +410,30 @@ def _against(size: int, percent: int):
     return run
 
 
-def _pairs(size: int, percent: int, within: bool):
-    """All links (u, v, common, tree) of a block's classes, `within` it or with its guests; those of the
-    tree connect all classes that they connect."""
+def _pairs(size: int, percent: int, within: bool, counts: bool):
+    """Links of a block's classes, `within` it or with its guests: all as (u, v, common), or, if `counts`,
+    (u, u, rows of the classes that u links with) and (u, v, 0) for enough links to connect what all
+    connect, so a task emits a few rows a class however many links there are."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         own, own_sets = _sets_of(pdf if within else pdf[~pdf["guest"]], size)
         others, sets = (own, own_sets) if within else _sets_of(pdf[pdf["guest"]], size)
-        out, told = [], _Union()
+        out, told, met = [], _Union(), defaultdict(int)
         if len(own) and len(others):
-            held, cls = _Sets(own_sets), own["cls"].to_numpy()
-            for i, (u, grams) in enumerate(zip(others["cls"].tolist(), sets, strict=True)):
+            held, cls, copies = _Sets(own_sets), own["cls"].to_numpy(), own["copies"].to_numpy()
+            for i, (u, mine, grams) in enumerate(zip(others["cls"].tolist(), others["copies"].tolist(), sets, strict=True)):
                 at, both = held.common(grams, np.arange(i + 1 if within else 0, len(cls)), percent)
-                out += [(min(u, v), max(u, v), n, told.join(u, v)) for v, n in zip(cls[at].tolist(), both.tolist(), strict=True)]
-        u, v, common, tree = zip(*out, strict=True) if out else ((), (), (), ())
-        return pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64), "common": np.array(common, np.int64), "tree": np.array(tree, bool)})
+                for v, theirs, n in zip(cls[at].tolist(), copies[at].tolist(), both.tolist(), strict=True):
+                    if not counts:
+                        out.append((min(u, v), max(u, v), n))
+                        continue
+                    met[u] += theirs
+                    met[v] += mine
+                    if told.join(u, v):
+                        out.append((u, v, 0))
+        out += [(u, u, n) for u, n in met.items()]
+        u, v, common = zip(*out, strict=True) if out else ((), (), ())
+        return pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64), "common": np.array(common, np.int64)})
 
     return run
 
@@ -456,24 +465,27 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 
     Nothing is skipped: a component of G classes costs G * G / 2 signature compares, and an intersection
     for each pair whose signatures leave a link possible. Tasks hold a block and a batch, as in `joined`,
-    and only links of a task's tree go on to the components."""
+    and sum the links of a class before they are shuffled. The second table is worked out only when it is
+    read."""
     sig, classes, possible = _candidates(docs, key, text, size, percent)
     held = _members(docs, classes, possible, key, text)
-    schema = "u bigint, v bigint, common bigint, tree boolean"
-    inner = held.repartition("comp", "block").groupBy("comp", "block").applyInPandas(_pairs(size, percent, True), schema)
     wide = held.where("blocks > 1").withColumn("root", F.col("cls"))
     signed = wide.repartition("comp", "block").groupBy("comp", "block").applyInPandas(_signed_block(size), "cls bigint, root bigint, comp bigint, block int, n bigint, bits binary")
     signed = saved(signed, "block-signatures")
     visits = saved(_visits(signed, signed, percent, later=True), "visits")
     guests = visits.join(wide.drop("block", "comp"), "cls")
-    outer = _meeting(wide, guests).groupBy("comp", "block", "batch").applyInPandas(_pairs(size, percent, False), schema)
-    pairs = saved(inner.unionByName(outer), "links")
 
-    ends = pairs.select(F.col("u").alias("cls"), F.col("v").alias("other")).union(pairs.select("v", "u"))
-    met = ends.join(classes.select(F.col("cls").alias("other"), "copies"), "other").groupBy("cls").agg(F.sum("copies").alias("_met"))
+    def found(counts: bool) -> DataFrame:
+        schema = "u bigint, v bigint, common bigint"
+        inner = held.repartition("comp", "block").groupBy("comp", "block").applyInPandas(_pairs(size, percent, True, counts), schema)
+        outer = _meeting(wide, guests).groupBy("comp", "block", "batch").applyInPandas(_pairs(size, percent, False, counts), schema)
+        return inner.unionByName(outer)
+
+    told = saved(found(counts=True), "links")
+    met = told.where("u = v").groupBy(F.col("u").alias("cls")).agg(F.sum("common").alias("_met"))
     counts = classes.select("cls", "copies").join(met, "cls", "left").select("cls", (F.col("copies") - 1 + F.coalesce("_met", F.lit(0))).alias("n_links"))
-    clusters = components(pairs.where("tree")).select(F.col("node").alias("cls"), "root")
-    return _named(sig, classes, clusters, key, counts), pairs.drop("tree")
+    clusters = components(told).select(F.col("node").alias("cls"), "root")
+    return _named(sig, classes, clusters, key, counts), found(counts=False)
 
 
 def _named(sig: DataFrame, classes: DataFrame, clusters: DataFrame, key: str, counts: DataFrame | None = None) -> DataFrame:
@@ -522,7 +534,7 @@ def _verified(held: DataFrame, size: int, percent: int) -> DataFrame:
     wide = held.where("blocks > 1").join(local.select("cls", "root"), "cls")
     counted = local.groupBy("comp", "root").agg(F.count("*").alias("c"))
     largest = saved(counted.groupBy("comp").agg(F.max_by("root", F.struct("c", "root")).alias("lead")), "largest")
-    lead = wide.join(largest, "comp").where("cls = lead").select("comp", "cls", "root", "text", "blocks")
+    lead = wide.join(largest, "comp").where("cls = lead").select("comp", "cls", "root", "copies", "text", "blocks")
     spread = lead.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))).withColumn("batch", F.lit(0))
     merged = components(_meet(wide, spread, size, percent))
     now = local.join(merged.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left").withColumn("root", F.coalesce("up", "root")).drop("up")
@@ -539,7 +551,7 @@ def _verified(held: DataFrame, size: int, percent: int) -> DataFrame:
     return final.select("cls", F.coalesce("top", "root").alias("root"))
 
 def _members(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str, text: str) -> DataFrame:
-    """(comp, block, blocks, cls, n, text): the classes of possible components, dealt over blocks.
+    """(comp, block, blocks, cls, n, copies, text): the classes of possible components, dealt over blocks.
 
     What is known of a component is written before it is joined, and groups are dealt anew before they
     are worked on: else Spark would keep the join's dealing by component, and so a component in a task."""
@@ -549,7 +561,7 @@ def _members(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str,
     # A class's text is found by key and hash, as null and repeated keys do not tell texts apart.
     texts = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
     held = texts.join(members, F.col("_key").eqNullSafe(F.col("first")) & (F.col("_hash") == F.col("hash")))
-    return saved(held.select("comp", "block", "blocks", "cls", "n", "text").dropDuplicates(["cls"]), "members")
+    return saved(held.select("comp", "block", "blocks", "cls", "n", "copies", "text").dropDuplicates(["cls"]), "members")
 
 
 def _cut() -> Column:
@@ -580,6 +592,6 @@ def _meet(own: DataFrame, guests: DataFrame, size: int, percent: int) -> DataFra
 
 def _meeting(own: DataFrame, guests: DataFrame) -> DataFrame:
     """Guests, which name the blocks they visit and their batch, and the rows of those blocks."""
-    columns = ["comp", "block", "batch", "cls", "root", "text", "guest"]
+    columns = ["comp", "block", "batch", "cls", "root", "copies", "text", "guest"]
     hosts = own.join(guests.select("comp", "block", "batch").distinct(), ["comp", "block"]).withColumn("guest", F.lit(False))
     return hosts.select(columns).unionByName(guests.withColumn("guest", F.lit(True)).select(columns)).repartition("comp", "block", "batch")
