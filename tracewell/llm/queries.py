@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import byte_bpe, chat, collision_search, html_wrappers, ngram_join, packing, quality_rules, token_files, toxicity, warc
+from tracewell.llm import byte_bpe, chat, collision_search, html_wrappers, merkle, ngram_join, packing, quality_rules, ranked_search, token_counts, token_files, toxicity, warc
 from tracewell.llm.common import saved, table
 
 
@@ -63,6 +63,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    altered = {"text": F.translate("text", capitals, capitals.lower())}
+    leaves = merkle.leaves(table(spark, sf_dir, "documents"), "lang", "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], tampered, altered)
+    rows = merkle.manifest(leaves).withColumnRenamed("key", "doc_id")
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"), vocabulary="byte_bpe_50k.json", limit=1024)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -75,6 +92,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_token_files": op9_token_files,
         "op10_packing": op10_packing,
+        "op11_merkle": op11_merkle,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_token_counts": op13_token_counts,
     }
 
 
@@ -100,7 +120,35 @@ f AS (SELECT *, CASE WHEN (prev, role) IN (('', 'system'), ('', 'user'), ('syste
 c AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256, coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY k), '') AS said, CAST(sum(chars) AS BIGINT) AS formatted_chars, arg_min(bad, k) AS fault, arg_max(role, k) AS ended FROM f GROUP BY conv_id)
 SELECT conv_id, n_turns, turns_sha256, length(said) AS loss_chars, sha256(said) AS loss_sha256, formatted_chars, coalesce(fault, CASE WHEN ended <> 'assistant' THEN 'the end after ' || ended END) IS NULL AS valid, coalesce(fault, CASE WHEN ended <> 'assistant' THEN 'the end after ' || ended END) AS fault FROM c"""
 
+_CRC = "xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT), lambda c, d: list_reduce(range(8), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(c, d)), 4294967295), 4294967295)"
+MERKLE_SQL = f"""WITH RECURSIVE f AS (SELECT doc_id, lang, text, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS other FROM (SELECT *, {_CRC} AS crc FROM documents)),
+leaf AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h, sha256(head || coalesce(strlen(other) || ':' || other, '-')) AS o FROM f),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM leaf),
+t(lang, lvl, pos, h) AS (SELECT lang, 0, pos, h FROM p UNION ALL
+ SELECT lang, any_value(lvl) + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS c FROM t) WHERE c > 1 GROUP BY lang, pos // 8),
+s AS (SELECT lang, max(lvl) AS top, arg_max(h, lvl) AS subroot FROM t GROUP BY lang),
+g(lang, lvl, pos, h) AS (SELECT NULL::VARCHAR, 0, row_number() OVER (ORDER BY lang NULLS FIRST) - 1, subroot FROM s UNION ALL
+ SELECT NULL, any_value(lvl) + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM (SELECT *, count(*) OVER () AS c FROM g) WHERE c > 1 GROUP BY pos // 8),
+r AS (SELECT arg_max(h, lvl) AS root, max(lvl) AS height FROM g),
+w AS (SELECT p.doc_id, p.h, p.o, p.lang, p.pos, s.top, s.subroot, row_number() OVER () AS id, g.pos AS at FROM p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang JOIN g ON g.lvl = 0 AND g.h = s.subroot),
+x AS (SELECT w.id, t.lvl, coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos < (w.pos >> (3 * t.lvl))), '') AS a, coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos > (w.pos >> (3 * t.lvl))), '') AS b
+ FROM w JOIN t ON w.lang IS NOT DISTINCT FROM t.lang AND t.lvl < w.top AND t.pos // 8 = (w.pos >> (3 * t.lvl + 3)) GROUP BY w.id, t.lvl
+ UNION ALL SELECT w.id, w.top + g.lvl, coalesce(string_agg(g.h, '' ORDER BY g.pos) FILTER (g.pos < (w.at >> (3 * g.lvl))), ''), coalesce(string_agg(g.h, '' ORDER BY g.pos) FILTER (g.pos > (w.at >> (3 * g.lvl))), '')
+ FROM w JOIN r ON true JOIN g ON g.lvl < r.height AND g.pos // 8 = (w.at >> (3 * g.lvl + 3)) GROUP BY w.id, w.top, g.lvl),
+q AS (SELECT id, string_agg(a || b, '' ORDER BY lvl) AS sibs FROM x GROUP BY id),
+z(id, lvl, h) AS (SELECT id, 0, o FROM w UNION ALL SELECT z.id, z.lvl + 1, sha256(a || z.h || b) FROM z JOIN x ON x.id = z.id AND x.lvl = z.lvl),
+e AS (SELECT id, arg_max(h, lvl) AS folded FROM z GROUP BY id)
+SELECT doc_id, h AS leaf, subroot, root, sha256(coalesce(sibs, '')) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM w CROSS JOIN r LEFT JOIN q USING (id) JOIN e USING (id)"""
+
+RANKED_SQL = r"""WITH d AS (SELECT doc_id, row_number() OVER () AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+i AS (SELECT item_id, k, t, count(*) AS q FROM (SELECT item_id, row_number() OVER () AS k, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+n AS (SELECT id, any_value(doc_id) AS doc_id, count(*) AS n FROM d GROUP BY id), c AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS l FROM n),
+f AS (SELECT id, t, count(*) AS tf FROM d WHERE t IN (SELECT t FROM i) GROUP BY ALL), v AS (SELECT t, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f CROSS JOIN c GROUP BY t, nn),
+s AS (SELECT item_id, k, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // l))))::BIGINT AS score FROM i JOIN f USING (t) JOIN v USING (t) JOIN n USING (id) CROSS JOIN c GROUP BY item_id, k, id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0 QUALIFY rank <= 20"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express; the others are held against brute force in tests."""
-    return {"op2_ngram_join": JOIN_SQL, "op3_warc": WARC_SQL, "op5_chat": CHAT_SQL}
+    return {"op2_ngram_join": JOIN_SQL, "op3_warc": WARC_SQL, "op5_chat": CHAT_SQL, "op11_merkle": MERKLE_SQL, "op12_ranked_search": RANKED_SQL}
