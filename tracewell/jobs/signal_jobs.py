@@ -9,6 +9,7 @@ from tracewell.jobs.orthogonal import fit_sql
 from tracewell.jobs.registry import query
 from tracewell.operators import bins, signal
 from tracewell.sources.adapters import EVENTS_SQL, FS, STREAMS_SQL, events, streams
+from tracewell.sources.scratch import saved
 
 K_SQL = "CASE WHEN channel LIKE '_405%' THEN 4 WHEN channel LIKE '_465%' THEN 5 ELSE 0 END"
 
@@ -82,7 +83,7 @@ def a8_paired_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a5_linear_fit", f"WITH {PAIRED_SQL}, f AS (SELECT blockname, fiber_id, regr_slope(signal, control) AS b, regr_intercept(signal, control) AS a FROM paired GROUP BY ALL) SELECT blockname, fiber_id, sample_idx, round(a + b * control, 3) AS control_fitted FROM paired JOIN f USING (blockname, fiber_id)")
 def a5_linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = signal.polynomial_fit(pairs(spark, sf_dir), ["blockname", "fiber_id"], "control", "signal", 1, "control_fitted")
+    out = signal.polynomial_fit(saved(pairs(spark, sf_dir), "pairs"), ["blockname", "fiber_id"], "control", "signal", 1, "control_fitted")
     return out.select("blockname", "fiber_id", "sample_idx", F.round("control_fitted", 3).alias("control_fitted"))
 
 
@@ -96,7 +97,7 @@ A7_SQL = "round((signal - m) / s, 6) AS signal_zscore, round((signal - m) / (100
 
 @query("a7_normalised", f"WITH {PAIRED_SQL}, st AS (SELECT blockname, fiber_id, avg(signal) AS m, nullif(stddev_samp(signal), 0) AS s FROM paired GROUP BY ALL) SELECT blockname, fiber_id, sample_idx, {A7_SQL} FROM paired JOIN st USING (blockname, fiber_id)")
 def a7_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = signal.normalised(pairs(spark, sf_dir), ["blockname", "fiber_id"], ["signal"])
+    out = signal.normalised(saved(pairs(spark, sf_dir), "pairs"), ["blockname", "fiber_id"], ["signal"])
     return out.select("blockname", "fiber_id", "sample_idx", F.round("signal_zscore", 6).alias("signal_zscore"), F.round("signal_dff", 9).alias("signal_dff"))
 
 
@@ -107,7 +108,7 @@ def _scores(delta: str, value: str) -> str:
 
 @query("a8_streams_fitted", f"WITH {PAIRED_SQL}, {fit_sql('fc', 'paired', ['blockname', 'fiber_id'], 'control', {'control_fitted': 'signal'}, 3)}, {fit_sql('fits', 'fc', ['blockname', 'fiber_id'], 'time', {'poly_signal': 'signal', 'poly_control': 'control'}, 4)} SELECT blockname, fiber_id, sample_idx, {_scores('delta_signal_fitted_control', '(signal - control_fitted)')}, {_scores('delta_signal_poly', '(signal - poly_signal)')}, {_scores('delta_control_poly', '(control - poly_control)')} FROM fits")
 def a8_streams_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = signal.fitted(pairs(spark, sf_dir))
+    out = signal.fitted(saved(pairs(spark, sf_dir), "pairs"))
     digits = {"": 2, "_zscore": 5, "_dff": 3}
     return out.select("blockname", "fiber_id", "sample_idx", *[F.round(f"{d}{k}", n).alias(f"{d}{k}") for d in signal.DELTAS for k, n in digits.items()])
 

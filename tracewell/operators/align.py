@@ -2,61 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-FRAMES = 64  # stretches of a session
+from tracewell.operators.scan import ranges, scan
+from tracewell.sources.scratch import saved
 
 
 def by_ticks(received: DataFrame, events: DataFrame, tick: str = "tick_clock_out", key: str = "blockname", order: tuple[str, ...] = ()) -> DataFrame:
     """Times of events on the recorder's clock: the k-th tick sent is the k-th received, other events
     keep their distance from the last tick sent; those before the first tick are dropped. `received`
     has (key, ts), `events` (key, event_id_char, ts)."""
-    k = Window.partitionBy(key).orderBy("ts")
-    got = received.select(key, F.col("ts").alias("_got"), F.row_number().over(k).alias("_k"))
-    sent = events.withColumn("_tick", F.col("event_id_char") == tick)
-    nth = Window.partitionBy(key, "_tick").orderBy("ts", *order)
-    sent = sent.withColumn("_k", F.when(F.col("_tick"), F.row_number().over(nth))).join(got, [key, "_k"], "left")
-    # A tick stands before the other events of its time.
-    upto = Window.partitionBy(key).orderBy(F.col("ts"), F.desc("_tick"), *order).rowsBetween(Window.unboundedPreceding, 0)
-    last = F.last(F.when(F.col("_tick"), F.col("ts")), ignorenulls=True).over(upto)
-    seen = F.last(F.when(F.col("_tick"), F.col("_got")), ignorenulls=True).over(upto)
-    out = sent.withColumns({"_from": last, "_at": seen}).where(F.col("_at").isNotNull())
-    return out.withColumn("ts_rec_system", F.col("_at") + F.col("ts") - F.col("_from")).drop("_tick", "_k", "_got", "_from", "_at")
+    got, many = ranges(received.select(key, "ts"), [key], "ts")
+    got = scan(got, [key], ["ts"], many, number="_k").select(key, F.col("ts").alias("_at"), "_k")
+    sent, many = ranges(events.withColumn("_late", (F.col("event_id_char") != tick).cast("int")), [key], "ts")
+    # A tick stands before the other events of its time. The number of ticks up to an event names its last one.
+    sent = saved(scan(sent, [key], ["ts", "_late", *order], many, sums={"_k": 1 - F.col("_late")}).where("_k > 0"), "ticks")
+    ticks = sent.where("_late = 0").select(key, "_k", F.col("ts").alias("_from"))
+    most = received.groupBy(key).agg(F.count("*").alias("_most"))
+    rows = sent.join(ticks, [key, "_k"]).join(most, key).withColumn("_k", F.least("_k", "_most"))  # the last one received stands for those after it
+    out = rows.join(got, [key, "_k"])
+    return out.withColumn("ts_rec_system", F.col("_at") + F.col("ts") - F.col("_from")).drop("_late", "_k", "_from", "_at", "_most")
 
 
 def next_frame(events: DataFrame, frames: DataFrame, key: str, event_time: str, frame_time: str, frame_value: str) -> DataFrame:
-    """The value of the first frame at or after each event; events beyond the recording go. Sessions
-    are cut in FRAMES stretches of time. In each, a union in time order is filled up from behind, and
-    what no frame of the stretch answers takes the first frame of a later stretch."""
-    span = frames.groupBy(key).agg(F.min(frame_time).alias("_from"), F.greatest(F.lit(1e-9), (F.max(frame_time) - F.min(frame_time)).cast("double") / FRAMES).alias("_step"))
+    """The value of the first frame at or after each event; events beyond the recording go. One scan
+    over frames and events in time order, read backwards; a frame stands behind the events of its time."""
     kind = dict(frames.dtypes)[frame_value]
-    e = events.withColumns({"_t": F.col(event_time), "_f": F.lit(1), frame_value: F.lit(None).cast(kind)})
-    f = frames.select(key, F.col(frame_time).alias("_t"), F.lit(2).alias("_f"), frame_value)
-    both = e.unionByName(f, allowMissingColumns=True).join(span, key)
-    part = F.greatest(F.lit(-1), F.least(F.lit(FRAMES), F.floor((F.col("_t") - F.col("_from")) / F.col("_step"))))
-    both = both.withColumn("_part", part.cast("int")).drop("_from", "_step")
-    firsts = both.where("_f = 2").groupBy(key, "_part").agg(F.min_by(frame_value, "_t").alias("_next"))
-    later = Window.partitionBy(key).orderBy("_part").rowsBetween(1, Window.unboundedFollowing)  # FRAMES + 2 rows a session
-    every = both.select(key).distinct().withColumn("_part", F.explode(F.sequence(F.lit(-1), F.lit(FRAMES))))
-    beyond = every.join(firsts, [key, "_part"], "left").select(key, "_part", F.first("_next", ignorenulls=True).over(later).alias("_next"))
-    on = Window.partitionBy(key, "_part").orderBy("_t", "_f").rowsBetween(0, Window.unboundedFollowing)
-    filled = both.withColumn(frame_value, F.first(frame_value, ignorenulls=True).over(on)).where("_f = 1")
-    filled = filled.join(beyond, [key, "_part"], "left").withColumn(frame_value, F.coalesce(frame_value, "_next"))
-    return filled.where(F.col(frame_value).isNotNull()).drop("_t", "_f", "_part", "_next")
+    e = events.withColumns({"_t": F.col(event_time), "_f": F.lit(1), "_v": F.lit(None).cast(kind)})
+    f = frames.select(key, F.col(frame_time).alias("_t"), F.lit(2).alias("_f"), F.col(frame_value).alias("_v"))
+    both, many = ranges(e.unionByName(f, allowMissingColumns=True), [key], "_t")
+    filled = scan(both, [key], ["_t", "_f"], many, nexts={"_next": F.col("_v")}).where("_f = 1 AND _next IS NOT NULL")
+    return filled.withColumn(frame_value, F.col("_next")).drop("_t", "_f", "_v", "_next")
 
 
 def local_delta(reference: DataFrame, external: DataFrame, names: list[str], key: str = "blockname", time: str = "event_ts") -> DataFrame:
     """External events on the reference clock: both sides start at their first shared event, the k-th
     shared events of a name are matched, and the step between them is carried on to the events that
     follow."""
-    whole = Window.partitionBy(key)
-    nth = Window.partitionBy(key, "event_id_char").orderBy(time)
 
     def shared(df: DataFrame, name: str) -> DataFrame:
         rows = df.where(F.col("event_id_char").isin(names) & (F.col(time) > 0 if name == "x" else F.lit(True)))
-        rows = rows.withColumns({f"_trim_{name}": F.min(time).over(whole), "_k": F.row_number().over(nth)})
+        first = rows.groupBy(key).agg(F.min(time).alias(f"_trim_{name}"))
+        rows, many = ranges(rows.select(key, "event_id_char", time), [key, "event_id_char"], time)
+        rows = scan(rows, [key, "event_id_char"], [time], many, number="_k").join(first, key)
         return rows.select(key, "event_id_char", "_k", f"_trim_{name}", F.col(time).alias(f"_t_{name}"))
 
     met = shared(reference, "r").join(shared(external, "x"), [key, "event_id_char", "_k"])
@@ -64,8 +53,8 @@ def local_delta(reference: DataFrame, external: DataFrame, names: list[str], key
     trims = met.groupBy(key).agg(F.min("_trim_r").alias("_trim_r"), F.min("_trim_x").alias("_trim_x"))
     steps = met.groupBy(key, "event_id_char", F.col("_t_x").alias(time)).agg(F.min("_step").alias("_step"))
     rows = external.join(trims, key).join(steps, [key, "event_id_char", time], "left")
-    upto = Window.partitionBy(key).orderBy(time, "event_id_char").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("step_factor", F.last("_step", ignorenulls=True).over(upto))
+    rows, many = ranges(rows, [key], time)
+    rows = scan(rows, [key], [time, "event_id_char"], many, lasts={"step_factor": F.col("_step")})
     return rows.withColumn(f"{time}_tdt", F.col(time) - F.col("_trim_x") + F.col("_trim_r") + F.col("step_factor")).drop("_trim_r", "_trim_x", "_step")
 
 

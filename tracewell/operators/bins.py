@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewell.operators.scan import met, ranges, scan
 from tracewell.sources.scratch import saved
 
 
@@ -26,10 +27,10 @@ def downsample(streams: DataFrame, rate: float | str, keys: list[str], time: str
     measures = measures or [c for c, t in streams.dtypes if c not in (*keys, *own, time) and t in ("double", "float", "bigint", "int")]
     # Every bin starts at the session's first sample, so one small aggregate is joined back.
     origin = streams.groupBy(session[0]).agg(F.bround(F.min(time), 2).alias("_t0"))
-    rows = streams.join(origin, session[0]).withColumn("_bin", right_bin(F.col(time), F.col("_t0"), per)).where("_bin > 0")
+    rows = met(streams, origin, session[:1]).withColumn("_bin", right_bin(F.col(time), F.col("_t0"), per)).where("_bin > 0")
     means = rows.groupBy(*keys, *own, "_t0", "_bin").agg(*[F.avg(m).alias(m) for m in measures])
     last = means.groupBy(*session).agg(F.max("_bin").alias("_last"))
-    out = means.join(last, session).where(F.col("_bin") < F.col("_last"))
+    out = met(means, last, session).where(F.col("_bin") < F.col("_last"))
     return out.select(*keys, (F.col("_t0") + F.col("_bin") / per).alias(time), *measures)
 
 
@@ -69,10 +70,9 @@ def interpolate(df: DataFrame, keys: list[str], time: str, value: str, step: int
     """Linear interpolation on the grid from the first time of each group in steps of `step`. Each
     stretch between two rows makes its own grid points, so a group is never expanded in one place.
     Rows at equal times are averaged first."""
-    one = df.groupBy(*keys, time).agg(F.avg(value).alias(value))
-    ordered = Window.partitionBy(*keys).orderBy(time)
-    first = F.min(time).over(Window.partitionBy(*keys))
-    rows = one.withColumns({"_next": F.lead(time).over(ordered), "_to": F.lead(value).over(ordered), "_t0": first})
+    one, many = ranges(df.groupBy(*keys, time).agg(F.avg(value).alias(value)), keys, time)
+    rows = scan(one, keys, [time], many, following={"_next": F.col(time), "_to": F.col(value)})
+    rows = met(rows, df.groupBy(*keys).agg(F.min(time).alias("_t0")), keys)
     a = F.ceil((F.col(time) - F.col("_t0")) / F.lit(step)).cast("long")
     z = F.when(F.col("_next").isNull(), F.floor((F.col(time) - F.col("_t0")) / F.lit(step))).otherwise(F.ceil((F.col("_next") - F.col("_t0")) / F.lit(step)) - 1).cast("long")
     rows = rows.withColumns({"_a": a, "_z": z}).where("_a <= _z").withColumn("_k", F.explode(F.sequence("_a", "_z")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewell.operators.align import next_frame
 from tracewell.operators.peri import histogram
+from tracewell.operators.scan import ranges, scan
 from tracewell.operators.signal import DELTAS, normalised, polynomial_fits
 from tracewell.sources.scratch import saved
 
@@ -76,8 +77,9 @@ def without_artefacts(frames: DataFrame, sds: float, key: str = "session_name")
 
 def with_cycles(rows: DataFrame, keys: list[str], channel: str = "channel_wavelength", time: str = "time") -> DataFrame:
     """Number of each sample of a channel, and the mean time of the samples of one number."""
-    numbered = rows.withColumn("cycle_number", F.row_number().over(Window.partitionBy(*keys, channel).orderBy(time)))
-    return numbered.withColumn(time, F.avg(time).over(Window.partitionBy(*keys, "cycle_number")))
+    rows, many = ranges(rows, [*keys, channel], time)
+    numbered = scan(rows, [*keys, channel], [time], many, number="cycle_number")
+    return numbered.withColumn(time, F.avg(time).over(Window.partitionBy(*keys, "cycle_number")))  # a row a channel
 
 
 def cycles_paired(rows: DataFrame, channels: DataFrame, keys: list[str], value: str = "au_smooth_ma") -> DataFrame:

@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.operators.events import bouts
+from tracewell.operators.scan import ranges, scan
+from tracewell.sources.scratch import saved
 
 
 def edges(states: DataFrame, keys: list[str], time: str, state: str, last_high: bool = False) -> DataFrame:
     """Onset and offset of each high stretch of a sampled state, numbered. The offset is the first
     low sample after it, or with `last_high` its last high sample; a stretch that doesn't end has a
     null offset (or its last sample). A recording that starts high has its onset there."""
-    ordered = Window.partitionBy(*keys).orderBy(time)
-    rows = states.select(*keys, time, state).distinct().withColumn("_p", F.lag(state, 1, 0).over(ordered))
-    rows = rows.withColumn("_on", ((F.col(state) == 1) & (F.col("_p") == 0)).cast("int"))
-    rows = rows.withColumn("event_number", F.sum("_on").over(ordered.rowsBetween(Window.unboundedPreceding, 0))).where("event_number > 0")
+    rows, many = ranges(states.select(*keys, time, state).distinct(), keys, time)
+    rows = scan(rows.withColumn("_at", F.col("_cut")), keys, [time, state], many, previous={"_p": F.col(state)})
+    rows = rows.withColumn("_on", ((F.col(state) == 1) & (F.coalesce("_p", F.lit(0)) == 0)).cast("long")).withColumnRenamed("_at", "_cut")
+    rows = scan(saved(rows, "edges") if many else rows, keys, [time, state], many, sums={"event_number": F.col("_on")}).where("event_number > 0")
     end = F.max(F.when(F.col(state) == 1, F.col(time))) if last_high else F.min(F.when((F.col(state) == 0), F.col(time)))
     return rows.groupBy(*keys, "event_number").agg(F.min(time).alias("onset"), end.alias("offset"))
 
@@ -24,11 +26,11 @@ def peaks(streams: DataFrame, keys: list[str], time: str, value: str, step: int,
     """Peaks above a threshold: samples at or above it that follow each other within 1.1 `step` make a
     run, its largest sample (the earliest of equals) is its peak, and peaks with another less than
     `apart` ahead are dropped. Numbered a stream."""
-    ordered = Window.partitionBy(*keys).orderBy(time)
-    above = streams.where(F.col(value) >= threshold)
-    gap = F.col(time) - F.lag(time).over(ordered)
-    above = above.withColumn("_new", F.coalesce(gap > step * 1.1, F.lit(True)).cast("int"))
-    above = above.withColumn("_run", F.sum("_new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    above, many = ranges(streams.where(F.col(value) >= threshold), keys, time)
+    above = scan(above.withColumn("_at", F.col("_cut")), keys, [time, value], many, previous={"_p": F.col(time)})
+    fresh = F.coalesce(F.col(time) - F.col("_p") > step * 1.1, F.lit(True)).cast("long")
+    above = above.withColumn("_new", fresh).withColumnRenamed("_at", "_cut")
+    above = scan(saved(above, "peaks") if many else above, keys, [time, value], many, sums={"_run": F.col("_new")})
     top = above.groupBy(*keys, "_run").agg(F.max(F.struct(F.col(value), (-F.col(time)).alias("_t"))).alias("_top"))
     found = top.select(*keys, (-F.col("_top._t")).alias("event_time"), F.col(f"_top.{value}").alias(value), F.lit("peak").alias("event_id_char"), F.concat_ws("\0", *keys).alias("_stream"))
     kept = bouts(found, ["peak"], (apart, apart), (0, 9999), ("==", "<"), "filtered_peak", "event_time", "_stream") if apart else found
@@ -39,10 +41,12 @@ def response_sets(events: DataFrame, closing: str, time: str = "event_ts", key:
     """Numbers the closing events of a session and gives each number to the events that lead up to
     it; what no closing event follows is dropped."""
     rows = events.distinct().where(F.col(time).isNotNull())
-    nth = Window.partitionBy(key, "event_id_char").orderBy(time)
-    rows = rows.withColumn("_n", F.when(F.col("event_id_char") == closing, F.row_number().over(nth)))
-    on = Window.partitionBy(key).orderBy(time, "event_id_char").rowsBetween(0, Window.unboundedFollowing)
-    return rows.withColumn("response_set", F.first("_n", ignorenulls=True).over(on)).where(F.col("response_set").isNotNull()).drop("_n")
+    rows, many = ranges(rows, [key], time)
+    closed = F.col("event_id_char") == closing
+    # A closing event's number is that of its kind so far, and those before it up to the last one are its own.
+    rows = scan(rows, [key], [time, "event_id_char"], many, sums={"_n": closed.cast("long")}, nexts={"_closing": F.when(closed, F.col(time))})
+    rows = rows.where(F.col("_closing").isNotNull())
+    return rows.withColumn("response_set", (F.col("_n") + F.when(closed, 0).otherwise(1)).cast("int")).drop("_n", "_closing")
 
 
 def periods(sets: DataFrame, before: int, after: int, time: str = "event_ts", key: str = "blockname") -> DataFrame:

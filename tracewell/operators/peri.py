@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewell.operators.scan import met, ranges, scan
+from tracewell.sources.scratch import saved
+
 
 def keep_apart(events: DataFrame, keys: list[str], time: str, gap: int) -> DataFrame:
     """Without events that start less than `gap` after the last kept event of their group. Events at
@@ -53,16 +56,34 @@ def around(series: DataFrame, events: DataFrame, keys: list[str], series_time: s
 
 def histogram(series: DataFrame, events: DataFrame, keys: list[str], series_time: str, event_time: str, event_keys: list[str], before: int | str, after: int | str, width: int | str, measures: list[str], more: list[str] | None = None) -> DataFrame:
     """Peri-event time histogram: means of the measures by event and right-closed bin named by its
-    right edge; the last bin of each event is dropped. `before`, `after` and `width` are numbers, or name
-    columns: the first two of both tables, the width of the events."""
-    rows = around(series, events, keys, series_time, event_time, before, after)
-    by = [*keys, *(more or []), *event_keys, event_time]
-    rows = rows.withColumn("_bin", F.ceil((F.col("rel_time") + _of(before)) / _of(width)).cast("long"))
-    told = [x for x in dict.fromkeys((before, width)) if isinstance(x, str)]
-    means = rows.groupBy(*by, *told, "_bin").agg(*[F.avg(m).alias(m) for m in measures])
+    right edge, over samples strictly inside the event's window; the last bin of each event is dropped.
+    `before`, `after` and `width` are numbers or name columns of the events. Nulls and NaNs don't count.
+
+    Samples are summed up once in time order, and the edges of all events' bins look up what has been
+    summed up to them: a bin is the difference of its edges. So an event costs its bins, not its samples,
+    however much the windows overlap. Sums are kept in two parts, the first of which is exact."""
+    more, told = more or [], list(dict.fromkeys(x for x in (before, after, width) if isinstance(x, str)))
+    group, by = [*keys, *more], [*keys, *more, *event_keys, event_time]
+    one = events.select(*keys, *event_keys, event_time, *told).distinct()
+    one = met(one, saved(series.select(*group).distinct(), "peri-groups"), keys) if more else one
+    span = _of(before) + _of(after)
+    edges = one.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(span / _of(width)))))
+    edges = edges.withColumns({"_t": F.col(event_time) - _of(before) + F.least(F.col("_b") * _of(width), span - 1), "_kind": F.lit(1)})  # the window is open: up to the microsecond before its end
+    values = {m: F.when(~F.isnan(F.col(m).cast("double")), F.col(m).cast("double")) for m in measures}
+    samples = series.select(*group, F.col(series_time).cast("long").alias("_t"), F.lit(0).alias("_kind"), *[v.alias(f"_v_{m}") for m, v in values.items()])
+    both, many = ranges(samples.unionByName(edges, allowMissingColumns=True), group, "_t")
+    high = lambda m: F.floor(F.col(f"_v_{m}") * 1024) / 1024
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    sums = {"_rows": (1 - F.col("_kind")).cast("long")}
+    for m in measures:
+        sums |= {f"_h_{m}": zero(high(m)), f"_l_{m}": zero(F.col(f"_v_{m}") - high(m)), f"_n_{m}": F.when(F.col(f"_v_{m}").isNotNull(), 1).otherwise(0).cast("long")}
+    seen = scan(both, group, ["_t", "_kind"], many, sums=sums).where("_kind = 1")
+    ordered = Window.partitionBy(*by).orderBy("_b")  # a row a bin
+    bins = seen.select(*by, *told, "_b", *[(F.col(c) - F.lag(c).over(ordered)).alias(c) for c in sums]).where("_b > 0 AND _rows > 0")
     last = Window.partitionBy(*keys, *event_keys, event_time)
-    kept = means.withColumn("_last", F.max("_bin").over(last)).where("_bin < _last")
-    return kept.select(*by, (F.col("_bin") * _of(width) - _of(before)).alias("time_rel"), *measures)
+    kept = bins.withColumn("_last", F.max("_b").over(last)).where("_b < _last")
+    means = [F.try_divide(F.col(f"_h_{m}") + F.col(f"_l_{m}"), F.col(f"_n_{m}")).alias(m) for m in measures]
+    return kept.select(*by, (F.col("_b") * _of(width) - _of(before)).alias("time_rel"), *means)
 
 
 def local_zscore(peth: DataFrame, keys: list[str], start: int, end: int, measures: list[str], time: str = "time_rel") -> DataFrame:

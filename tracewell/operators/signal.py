@@ -7,64 +7,90 @@ as a halo, so a window never needs a whole channel in one task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+from tracewell.operators.scan import met
 from tracewell.sources.scratch import saved
 
-CHUNK = 1 << 20  # samples of a channel in one window partition
+CHUNK = 1 << 16  # samples of a channel in one window partition
+UNIT, SLACK = 1 << 40, 1 << 10  # a window's length as placed on its chunk, and what rounding may move a place by
 SESSION = ["blockname", "channel"]
 
 
-def over_frame(df: DataFrame, keys: list[str], order: str, before: int, after: int, columns: dict[str, Column], chunk: int = CHUNK) -> DataFrame:
-    """Window aggregates over the rows from `before` ahead to `after` behind each row, with channels
-    cut in chunks. `order` numbers a channel's rows without gaps; `columns` are unbound aggregates."""
-    reach = max(before, after)
-    own = F.floor(F.col(order) / chunk)
-    near = F.array_distinct(F.array(own, F.floor((F.col(order) - reach) / chunk), F.floor((F.col(order) + reach) / chunk)))
-    if reach > chunk:
-        near = F.sequence(F.floor((F.col(order) - reach) / chunk), F.floor((F.col(order) + reach) / chunk))
-    rows = df.withColumn("_own", own).withColumn("_chunk", F.explode(near))
-    frame = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(-before, after)
-    return rows.withColumns({k: v.over(frame) for k, v in columns.items()}).where("_chunk = _own").drop("_chunk", "_own")
-
-
 def moving_average(streams: DataFrame, windows: DataFrame, edges: str = "partial", value: str = "raw_au", out: str = "au_smooth_ma", chunk: int = CHUNK) -> DataFrame:
     """Centred moving average of k samples a channel; `windows` has (blockname, channel, k).
 
     `partial` averages what there is at the ends of a channel and, for even k, reaches k/2 samples
     back and k/2 - 1 on; `drop` keeps full windows only and reaches k/2 - 1 back and k/2 on. A window
-    of no sample, or null, passes samples through. One window a distinct k, as frames are literal."""
-    rows = streams.join(windows.select(*SESSION, F.col("k").cast("int").alias("_k")), SESSION, "left").withColumn("_k", F.greatest(F.coalesce("_k", F.lit(0)), F.lit(0)))
-    sizes = [r[0] for r in windows.select(F.greatest(F.coalesce(F.col("k").cast("int"), F.lit(0)), F.lit(0))).distinct().collect()]  # parameters, not data
-    parts = [rows.where("_k = 0").withColumn(out, F.col(value)).drop("_k")]
-    for k in sorted(x for x in sizes if x):
-        before, after = (k // 2, (k - 1) // 2) if edges == "partial" else ((k - 1) // 2, k // 2)
-        one = over_frame(rows.where(F.col("_k") == k), SESSION, "sample_idx", before, after, {out: F.avg(value), "_n": F.count(F.lit(1))}, chunk)
-        parts.append((one.where(F.col("_n") == k) if edges == "drop" else one).drop("_n", "_k"))
-    done = parts[0]
-    for p in parts[1:]:
-        done = done.unionByName(p)
-    return done
+    of no sample, or null, passes samples through. Nulls don't count; a window that holds a NaN or an
+    infinity has no average.
+
+    One window node serves all lengths. In each chunk samples are placed at sample / k, so a window reaches
+    one half back and on whatever its k, and its sum is the difference of two prefix sums, whose frames
+    grow by a row at a time. A prefix sum is kept in two parts, of which the first is exact while it is below
+    2^43, and the second is less than 2^-10 a sample."""
+    told = windows.select(*SESSION, F.greatest(F.coalesce(F.col("k").cast("int"), F.lit(0)), F.lit(0)).alias("_k"))
+    rows = met(streams, told, SESSION, "left").withColumn("_k", F.coalesce("_k", F.lit(0)))
+    back, on = ("_k div 2", "(_k - 1) div 2") if edges == "partial" else ("(_k - 1) div 2", "_k div 2")
+    own = F.floor(F.col("sample_idx") / chunk)
+    near = F.sequence(F.floor((F.col("sample_idx") - F.expr(on)) / chunk), F.floor((F.col("sample_idx") + F.expr(back)) / chunk))
+    near = F.when(F.col("_k") > 1, near).otherwise(F.array(own))
+    rows = rows.withColumn("_own", own).withColumn("_chunk", F.explode(near))
+    rows = rows.withColumn("_at", F.expr(f"(sample_idx - _chunk * {chunk}L) * {UNIT}L div greatest(_k, 1)"))
+    finite = F.abs(F.col(value).cast("double")) < float("inf")
+    v = F.when(finite, F.col(value).cast("double"))
+    rows = rows.withColumn("_v", v).withColumn("_hi", F.floor(F.col("_v") * 1024) / 1024).withColumn("_lo", F.col("_v") - F.col("_hi"))
+    rows = rows.withColumn("_odd", F.when(F.col(value).isNotNull() & ~finite, 1))
+    ordered = Window.partitionBy(*SESSION, "_chunk").orderBy("_at")
+    less, more = UNIT // 2 - SLACK, UNIT // 2 + SLACK
+    reach = (less, -more) if edges == "partial" else (more, -less)
+    parts = {}
+    for side, to in zip(("z", "a"), reach, strict=True):
+        frame = ordered.rangeBetween(Window.unboundedPreceding, to)
+        parts |= {f"_{side}_{c}": F.coalesce(F.sum(f"_{c}").over(frame), F.lit(0.0)) for c in ("hi", "lo")}
+        parts |= {f"_{side}_n": F.count("_v").over(frame), f"_{side}_odd": F.count("_odd").over(frame), f"_{side}_all": F.count(F.lit(1)).over(frame)}
+    done = rows.withColumns(parts).where("_chunk = _own")
+    of = lambda c: F.col(f"_z_{c}") - F.col(f"_a_{c}")
+    mean = F.when(of("odd") == 0, F.try_divide(of("hi") + of("lo"), of("n")))
+    done = done.withColumn(out, F.when(F.col("_k") == 0, F.col(value)).otherwise(mean))
+    if edges == "drop":
+        done = done.where((F.col("_k") == 0) | (of("all") == F.col("_k")))
+    return done.select(*streams.columns, out)
 
 
 def moving_zscore(streams: DataFrame, before: int, value: str, keys: list[str], order: str = "sample_idx", chunk: int = CHUNK) -> DataFrame:
     """Adds `<value>_moving`: each sample against mean and deviation of the `before` samples ahead of
-    it, itself not among them; null for the first ones and where nothing varies."""
-    reach = before
-    own = F.floor(F.col(order) / chunk)
-    halo = F.array_distinct(F.array(own, F.floor((F.col(order) + reach) / chunk)))
-    if reach > chunk:
-        halo = F.sequence(own, F.floor((F.col(order) + reach) / chunk))
-    frame = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(-before, -1)
-    rows = streams.withColumn("_own", own).withColumn("_chunk", F.explode(halo))
-    rows = rows.withColumns({"_mu": F.avg(value).over(frame), "_sd": F.stddev_samp(value).over(frame), "_n": F.count(value).over(frame)})
-    z = F.when(F.col("_n") == before, F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd")))
-    return rows.where("_chunk = _own").withColumn(f"{value}_moving", z).drop("_chunk", "_own", "_mu", "_sd", "_n")
+    it, itself not among them; null for the first ones and where nothing varies.
+
+    The cost of a sample doesn't follow from `before`: samples lie in blocks of that many, and those ahead of
+    one are the end of a block and the start of the next. Counts, means and squared deviations are
+    gathered from each block's start on and from its end back, row by row, and the two are merged; nothing is
+    subtracted, so large drifts cost no digits. Chunks hold whole blocks, with the block ahead as a halo."""
+    size = max(1, chunk // before) * before
+    own = F.floor(F.col(order) / size)
+    rows = streams.withColumn("_own", own).withColumn("_chunk", F.explode(F.array_distinct(F.array(own, F.floor((F.col(order) + before) / size)))))
+    rows = rows.withColumn("_block", F.floor(F.col(order) / before)).where((F.col("_chunk") == F.col("_own")) | ((F.col("_block") + 1) * before == F.col("_chunk") * size))
+    part = Window.partitionBy(*keys, "_chunk", "_block")
+    told = {"n": F.count(value), "m": F.avg(value), "s": F.var_pop(value), "lo": F.min(value), "hi": F.max(value)}
+    rows = rows.withColumns({f"_e{c}": f.over(part.orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)) for c, f in told.items()})
+    rows = rows.withColumns({f"_b{c}": f.over(part.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)) for c, f in told.items()})
+    ahead = Window.partitionBy(*keys, "_chunk").orderBy("_block", order)
+    rows = rows.withColumns({f"_l{c}": F.lag(f"_e{c}", before).over(ahead) for c in told}).where("_chunk = _own")
+    n1, n2 = F.coalesce("_ln", F.lit(0)), F.coalesce("_bn", F.lit(0))
+    m1, m2, s1, s2 = (F.coalesce(c, F.lit(0.0)) for c in ("_lm", "_bm", "_ls", "_bs"))
+    n = n1 + n2
+    mean = m1 + (m2 - m1) * F.try_divide(n2, n)
+    spread = n1 * s1 + n2 * s2 + (m2 - m1) * (m2 - m1) * F.try_divide(n1 * n2, n)
+    varies = F.greatest("_lhi", "_bhi") > F.least("_llo", "_blo")
+    z = F.when((n == before) & varies, F.try_divide(F.col(value) - mean, F.sqrt(F.try_divide(spread, n - 1))))
+    return rows.withColumn(f"{value}_moving", z).select(*streams.columns, f"{value}_moving")
 
 
 def sample_time(streams: DataFrame, info: DataFrame, zero_based: bool = False) -> DataFrame:
@@ -83,46 +109,132 @@ def paired(streams: DataFrame, signals: DataFrame, value: str = "au_smooth_ma",
     control_wavelength); a channel belongs to the wavelength that its name contains."""
     rows = streams if trim is None else streams.where(F.col("time") > trim)
     rows = rows.withColumn("fiber_id", fiber_id()).withColumn("_wave", F.regexp_extract("channel", r"(\d{3})", 1))
-    keys = ["blockname", "fiber_id", "sample_idx"]
-    signal = rows.join(signals, "blockname").where(F.col("_wave") == F.col("signal_wavelength")).select(*keys, "time", "signal_wavelength", "control_wavelength", F.col(value).alias("signal"))
-    control = rows.select(*keys, F.col("_wave").alias("control_wavelength"), F.col(value).alias("control"))
-    return signal.join(control, [*keys, "control_wavelength"])
+    one = F.struct(F.col("_wave").alias("wave"), "time", F.col(value).alias("v"))
+    held = rows.groupBy("blockname", "fiber_id", "sample_idx").agg(F.collect_list(one).alias("_waves"))  # a value a channel
+    both = "flatten(transform(filter(_waves, s -> s.wave = signal_wavelength), s -> transform(filter(_waves, c -> c.wave = control_wavelength), c -> struct(s.time as time, s.v as signal, c.v as control))))"
+    names = ["signal_wavelength", "control_wavelength"]
+    pairs = held.join(signals.select("blockname", *names), "blockname").select("blockname", "fiber_id", "sample_idx", *names, F.explode(F.expr(both)).alias("_p"))
+    return pairs.select("blockname", "fiber_id", "sample_idx", "_p.time", *names, "_p.signal", "_p.control")
 
 
 def polynomial_fits(df: DataFrame, keys: list[str], fits: list[tuple[str, str, int | str, str]], most: int = 4) -> DataFrame:
     """For each (x, y, degree, out) adds `out`, the least-squares polynomial of y on x in each group. A
     degree is a number, or names a column with one value a group, `most` at most.
 
-    One aggregate gathers the mean and spread of every x, a second the moments of the scaled x, with
-    map-side sums; the small normal equations are solved a group, and the coefficients come back in a
-    join. Rows with a null x or y don't count for their fit. With fewer distinct x than coefficients
-    the least solution is taken."""
-    xs = list(dict.fromkeys(f[0] for f in fits))
-    spread = lambda x: F.when(F.stddev_pop(x) > 1e-200, F.stddev_pop(x)).otherwise(1.0)
-    scale = df.groupBy(*keys).agg(*[F.avg(x).alias(f"_m_{x}") for x in xs], *[spread(x).alias(f"_s_{x}") for x in xs])
-    scaled = df.join(scale, keys)
-    sums = []
-    tops = [most if isinstance(f[2], str) else f[2] for f in fits]
+    The fit is worked out in polynomials that are orthogonal on the group's own x, q0, q1, ..., given
+    by their three-term recurrence, so that powers of x never meet in an ill-conditioned system. Three
+    aggregates with map-side sums, a small table each: the range of every x and the mean of every y; sums of
+    Chebyshev polynomials of the scaled x, which give the recurrence; and sums of q times q and q times y
+    over the rows, whose almost diagonal system gives the coefficients and takes back what rounding has left of
+    orthogonality. Rows with a null x or y don't count for their fit. With fewer distinct x than
+    coefficients the polynomials that vanish on all of them are left out. Null keys are a group."""
+    xs, ys = (list(dict.fromkeys(f[i] for f in fits)) for i in (0, 1))
     told = list(dict.fromkeys(f[2] for f in fits if isinstance(f[2], str)))
-    for i, (x, y, _, _) in enumerate(fits):
-        degree, t = tops[i], F.when(F.col(y).isNotNull(), (F.col(x) - F.col(f"_m_{x}")) / F.col(f"_s_{x}"))
-        power = [F.when(t.isNotNull(), 1.0)]
-        for _ in range(2 * degree):
-            power.append(power[-1] * t)
-        sums.append(F.array(*[F.coalesce(F.sum(p), F.lit(0.0)) for p in power], *[F.coalesce(F.sum(power[k] * F.col(y)), F.lit(0.0)) for k in range(degree + 1)]).alias(f"_c{i}"))
-    moved = [f"_{n}_{x}" for n in "ms" for x in xs]
-    gathered = scaled.groupBy(*keys, *moved).agg(*sums, *[F.max(c).alias(f"_d_{c}") for c in told])
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    tops = [most if isinstance(f[2], str) else f[2] for f in fits]
+    half, mid = (lambda x: (F.max(x) / 2 - F.min(x) / 2)), (lambda x: (F.max(x) / 2 + F.min(x) / 2))
+    spans = [F.when(half(x) > 1e-200, half(x)).otherwise(1.0).alias(f"_s_{x}") for x in xs]
+    scale = df.groupBy(*keys).agg(*[mid(x).alias(f"_m_{x}") for x in xs], *spans, *[F.avg(y).alias(f"_y_{y}") for y in ys], *[F.max(c).alias(f"_d_{c}") for c in told])
+    scale = saved(scale, "fit-scales")
+    at = lambda x: (F.col(x) - F.col(f"_m_{x}")) / F.col(f"_s_{x}")
+    wide = [f"_{n}_{x}" for n in "ms" for x in xs]
+    rows = met(df, scale.select(*keys, *wide), keys)
+    cheb = [F.array(*[F.coalesce(F.sum(t), F.lit(0.0)) for t in _chebyshev(F.when(F.col(y).isNotNull(), at(x)), 2 * top)]).alias(f"_c{i}") for i, ((x, y, _, _), top) in enumerate(zip(fits, tops, strict=True))]
+    sums = rows.groupBy(*keys).agg(*cheb)
+    bases = saved(_by_group(met(sums, scale, keys), {f"_r{i}": (lambda r, i=i, top=top: _recurrence(np.asarray(r[f"_c{i}"]), top)) for i, top in enumerate(tops)}, [f"_c{i}" for i in range(len(fits))]), "fit-bases")
+    rows = met(df, bases.drop(*[f"_d_{c}" for c in told]), keys)
+    gathered = []
+    for i, ((x, y, _, _), top) in enumerate(zip(fits, tops, strict=True)):
+        q = _orthogonal(f"_r{i}", top, F.when(F.col(y).isNotNull(), at(x)))
+        products = [q[a] * q[b] for a in range(top + 1) for b in range(a + 1)] + [p * (F.col(y) - F.col(f"_y_{y}")) for p in q]
+        gathered.append(F.array(*[F.coalesce(F.sum(p), F.lit(0.0)) for p in products]).alias(f"_c{i}"))
+    own = [(lambda r, f=f: r[f"_d_{f[2]}"] if isinstance(f[2], str) else f[2]) for f in fits]
+    solve = {f"_b{i}": (lambda r, i=i, top=top: _solved(np.asarray(r[f"_c{i}"]), top, min(top, int(own[i](r))))) for i, top in enumerate(tops)}
+    solved = _by_group(met(rows.groupBy(*keys).agg(*gathered), bases, keys), solve, [*[f"_c{i}" for i in range(len(fits))], *[f"_d_{c}" for c in told]])
+    out = met(df, saved(solved, "fits"), keys)
+    for i, (x, y, _, name) in enumerate(fits):
+        q = _orthogonal(f"_r{i}", tops[i], at(x))
+        out = out.withColumn(name, sum((F.element_at(f"_b{i}", k + 1) * q[k] for k in range(1, tops[i] + 1)), F.element_at(f"_b{i}", 1) * q[0]) + F.col(f"_y_{y}"))
+    return out.select(*df.columns, *[f[3] for f in fits])
+
+
+def _by_group(table: DataFrame, columns: dict[str, Callable[[dict], list[float]]], used: list[str]) -> DataFrame:
+    """A table of one row a group with more columns, arrays that follow from a row; `used` go."""
+    schema = StructType([f for f in table.schema.fields if f.name not in used] + [StructField(c, ArrayType(DoubleType())) for c in columns])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = [b[f"_d_{f[2]}"] if isinstance(f[2], str) else [f[2]] * len(b) for f in fits]
-            yield b.assign(**{f"_c{i}": [_solved(np.asarray(s), top, min(top, int(d))) for s, d in zip(b[f"_c{i}"], own[i], strict=True)] for i, top in enumerate(tops)})
+            rows = b.to_pylist()
+            kept = [b.column(f.name) for f in schema.fields[: -len(columns)]]
+            made = [pa.array([f(r) for r in rows], pa.list_(pa.float64())) for f in columns.values()]
+            yield pa.RecordBatch.from_arrays([*kept, *made], names=schema.names)
+
+    return table.mapInArrow(run, schema)
+
+
+def _chebyshev(t: Column, top: int) -> list[Column]:
+    out = [F.when(t.isNotNull(), 1.0), t]
+    while len(out) <= top:
+        out.append(2 * t * out[-1] - out[-2])
+    return out[: top + 1]
+
+
+def _orthogonal(recurrence: str, top: int, t: Column) -> list[Column]:
+    """q0 to q_top at t; `recurrence` holds 1 / b0, then a and 1 / b and b of each step."""
+    r = lambda k: F.element_at(recurrence, k)
+    out = [F.when(t.isNotNull(), r(1))]
+    for k in range(top):
+        step = (t - r(3 * k + 2)) * out[-1]
+        out.append((step - r(3 * k + 4) * out[-2] if k else step) * r(3 * k + 3))
+    return out
+
+
+def _recurrence(sums: np.ndarray, top: int) -> list[float]:
+    """The recurrence of the polynomials that are orthonormal on points, from their sums of Chebyshev
+    polynomials up to 2 * top. A polynomial that all but vanishes on the points gets 1 / b = 0, and
+    so do those after it."""
+    n = sums[0]
+    if n <= 0:
+        return [0.0] * (3 * top + 1)
+    grid = np.array([[(sums[i + j] + sums[abs(i - j)]) / 2 for j in range(top + 1)] for i in range(top + 1)])
+
+    def times_t(c: np.ndarray) -> np.ndarray:
+        out = np.zeros(top + 1)
+        out[1:] += c[:-1] / 2
+        out[: top] += c[1:] / 2
+        if top:
+            out[1] += c[0] / 2  # t T0 = T1
+        return out
+
+    out, before, q, b = [1 / np.sqrt(n)], np.zeros(top + 1), np.eye(top + 1)[0] / np.sqrt(n), 0.0
+    for _ in range(top):
+        up = times_t(q)
+        a = up @ grid @ q
+        new = up - a * q - b * before
+        for old in (before, q):  # once more, for what rounding has left
+            new -= (new @ grid @ old) * old
+        size = new @ grid @ new
+        small = size <= 1e-13 * (up @ grid @ up) or not q.any()
+        nb = 0.0 if small else float(np.sqrt(size))
+        out += [float(a), 0.0 if small else 1 / nb, float(b)]
+        before, q, b = q, new * 0 if small else new / nb, nb
+    return out
 
-    solved = gathered.mapInPandas(solve, gathered.schema)
-    out = df.join(solved.drop(*[f"_d_{c}" for c in told]), keys, "left")
-    for i, (x, _, _, name) in enumerate(fits):
-        out = out.withColumn(name, _polynomial(f"_c{i}", tops[i], (F.col(x) - F.col(f"_m_{x}")) / F.col(f"_s_{x}")))
-    return out.drop(*moved, *[f"_c{i}" for i in range(len(fits))])
+
+def polynomial_fit(df: DataFrame, keys: list[str], x: str, y: str, degree: int, out: str) -> DataFrame:
+    return polynomial_fits(df, keys, [(x, y, degree, out)])
+
+
+def _solved(sums: np.ndarray, top: int, degree: int) -> list[float]:
+    """Coefficients of the first `degree` + 1 orthogonal polynomials from the lower triangle of their
+    products and their products with y, filled up with zeros to `top`."""
+    m, grid = top + 1, np.zeros((top + 1, top + 1))
+    grid[np.tril_indices(m)] = sums[: m * (m + 1) // 2]
+    grid += np.tril(grid, -1).T
+    live = [k for k in range(degree + 1) if grid[k, k] > 1e-3]  # 1, but for those that vanish
+    out = np.zeros(m)
+    if live:
+        out[live] = np.linalg.solve(grid[np.ix_(live, live)], sums[m * (m + 1) // 2 :][live])
+    return out.tolist()
 
 
 def _polynomial(coefficients: str, degree: int, at: Column) -> Column:
@@ -132,17 +244,6 @@ def _polynomial(coefficients: str, degree: int, at: Column) -> Column:
     return value
 
 
-def polynomial_fit(df: DataFrame, keys: list[str], x: str, y: str, degree: int, out: str) -> DataFrame:
-    return polynomial_fits(df, keys, [(x, y, degree, out)])
-
-
-def _solved(sums: np.ndarray, top: int, degree: int) -> list[float]:
-    """Coefficients of `degree` from the moments sum t**k (k to 2 * top) and sum t**k * y, filled up
-    with zeros to `top`."""
-    grid = np.array([[sums[i + j] for j in range(degree + 1)] for i in range(degree + 1)])
-    return np.linalg.lstsq(grid, sums[2 * top + 1 :][: degree + 1], rcond=1e-12)[0].tolist() + [0.0] * (top - degree)
-
-
 def huber_fit(df: DataFrame, keys: list[str], x: str, y: str, out: str, degree: int = 4, epsilon: float = 1.35, alpha: float = 1e-4, rounds: int = 100) -> DataFrame:
     """Adds `out`, a robust polynomial of `y` on `x` in each group: the minimum of Huber's joint loss
     over coefficients and scale, by reweighted least squares on scaled features, converged.
@@ -201,8 +302,8 @@ def _huber_round(known: DataFrame, state: DataFrame, keys: list[str], degree: in
 
 def normalised(df: DataFrame, keys: list[str], deltas: list[str]) -> DataFrame:
     """Adds `<delta>_zscore` and `<delta>_dff` from one aggregate a group, joined back."""
-    stats = df.groupBy(*keys).agg(*[f(d).alias(f"_{n}_{d}") for d in deltas for n, f in (("m", F.avg), ("s", F.stddev_samp))])
-    out = df.join(stats, keys)
+    stats = saved(df.groupBy(*keys).agg(*[f(d).alias(f"_{n}_{d}") for d in deltas for n, f in (("m", F.avg), ("s", F.stddev_samp))]), "deviations")
+    out = met(df, stats, keys)
     for d in deltas:
         mean, high = F.col(f"_m_{d}"), 100 + F.col(f"_m_{d}")
         out = out.withColumn(f"{d}_zscore", F.try_divide(F.col(d) - mean, F.col(f"_s_{d}"))).withColumn(f"{d}_dff", F.try_divide(F.col(d) - mean, high))
@@ -214,9 +315,9 @@ DELTAS = ["delta_signal_fitted_control", "delta_signal_poly", "delta_control_pol
 
 
 def fitted(pairs: DataFrame, degree_control: int | str = 3, degree_time: int | str = 4, model: str = "polynomial", keys: list[str] | None = None) -> DataFrame:
-    """Fits of a session's paired signals, their residuals, z-scores and dF/F. The pairs are written
-    once, as moments, coefficients and deviations each need a pass. Degrees are numbers or columns."""
-    keys, pairs = keys or FIT_KEYS, saved(pairs, "pairs")
+    """Fits of a session's paired signals, their residuals, z-scores and dF/F. Every step reads the pairs
+    anew, so they should be a written table. Degrees are numbers or columns."""
+    keys = keys or FIT_KEYS
     fits = [("time", "signal", degree_time, "poly_signal"), ("time", "control", degree_time, "poly_control")]
     if model == "huber":
         out = polynomial_fits(huber_fit(pairs, keys, "control", "signal", "control_fitted"), keys, fits)

@@ -9,6 +9,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: list[tuple[SparkSession, str]] = []  # folders asked for
 
 @cache
 def _own() -> str:
@@ -24,7 +25,19 @@ def folder(spark: SparkSession, kind: str) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = _own()
-    return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _MADE.append((spark, f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"))
+    return _MADE[-1][1]
+
+
+def clear() -> int:
+    """Delete the folders that this process has asked for so far, through the cluster's own file systems,
+    and say how many were there. Tables read from them are gone then, so it is for the end of a job."""
+    gone = 0
+    while _MADE:
+        spark, where = _MADE.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(where)
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
 
 
 def saved(df: DataFrame, kind: str) -> DataFrame:
