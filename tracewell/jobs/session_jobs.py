@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from tracewell.jobs.orthogonal import fit_sql
 from tracewell.jobs.registry import query
-from tracewell.operators import session
+from tracewell.jobs.signal_jobs import stationary
+from tracewell.operators import session, signal
+from tracewell.operators.scan import met
 from tracewell.sources.adapters import EVENTS_SQL, FS, STREAMS_SQL, events, streams
 
 
@@ -31,10 +33,10 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select(F.regexp_replace("blockname", "^u", "b").alias("blockname"), name.alias("event_id_char"), (F.col("event_us") % 10_000_000).alias("event_us"), "event_id")
 
 
-def _fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _recording(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> session.Recording:
     s = streams(spark, sf_dir)
     info = s.select("blockname", "channel").distinct().withColumn("fs", F.lit(FS))
-    return session.fitted(s, info, _log(spark, sf_dir))
+    return session.processed(s, info, log if log is not None else _log(spark, sf_dir), _events(spark, sf_dir))
 
 
 KEYS = ["blockname", "fiber_id", "signal_wavelength", "control_wavelength"]
@@ -64,7 +66,7 @@ m AS (SELECT {', '.join(KEYS)}, t0, rate, CAST(ceil((time - t0) * CAST(rate AS D
 SELECT * EXCLUDE (t0, rate, bin), round(t0 + bin / CAST(rate AS DOUBLE), 6) AS time FROM m QUALIFY bin < max(bin) OVER (PARTITION BY blockname, fiber_id)""",
 )
 def r2_session_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = session.downsampled(_fits(spark, sf_dir), _log(spark, sf_dir))
+    out = _recording(spark, sf_dir).streams_session
     return _shown(out.withColumn("time", F.round("time", 6)), [*KEYS, "time"])
 
 
@@ -74,7 +76,12 @@ wanted AS (SELECT n.*, row_number() OVER (PARTITION BY blockname, event_id_char
 
 @query("r2_session_events", f"WITH {LOG_SQL}, {WANTED_SQL} SELECT blockname, event_id_char, event_us, event_number FROM wanted")
 def r2_session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return session.events_of_interest(_events(spark, sf_dir), _log(spark, sf_dir)).select("blockname", "event_id_char", "event_us", "event_number")
+    return _recording(spark, sf_dir).events_peth.select("blockname", "event_id_char", "event_us", "event_number")
+
+
+@query("r2_session_all_events", f"WITH {LOG_SQL}, {WANTED_SQL} SELECT blockname, event_id_char, event_us, row_number() OVER (PARTITION BY blockname, event_id_char ORDER BY event_us) AS event_number FROM named JOIN log USING (blockname)")
+def r2_session_all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recording(spark, sf_dir).events.select("blockname", "event_id_char", "event_us", "event_number")
 
 
 @query(
@@ -84,6 +91,24 @@ m AS (SELECT {', '.join(KEYS)}, event_id_char, event_number, event_us, pre, rate
 SELECT * EXCLUDE (pre, rate, bin), CAST(bin * (1000000 // rate) - pre AS BIGINT) AS time_rel FROM m QUALIFY bin < max(bin) OVER (PARTITION BY blockname, event_id_char, event_number, event_us)""",
 )
 def r2_session_peth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _log(spark, sf_dir)
-    out = session.around_events(_fits(spark, sf_dir), session.events_of_interest(_events(spark, sf_dir), log), log)
+    out = _recording(spark, sf_dir).streams_peth
     return _shown(out, [*KEYS, "event_id_char", "event_number", "event_us", "time_rel"])
+
+
+@query(
+    "r2_session_models",
+    f"""WITH {FITS_SQL}, models AS (SELECT *, CASE WHEN CAST(substr(blockname, 2) AS BIGINT) % 4 = 1 THEN 'huber' ELSE 'polynomial' END AS fit_model FROM fits)
+SELECT {', '.join(KEYS)}, fit_model, count(*) AS n, CASE WHEN fit_model = 'polynomial' THEN round(round(sqrt(sum((signal - control_fitted) ** 2) / count(*)), 6), 3) END AS spread, true AS stationary FROM models GROUP BY {', '.join(KEYS)}, fit_model""",
+)
+def r2_session_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions whose logs ask for the robust fit beside others: the spread of a polynomial's residuals,
+    and whether each fit is where its own model's loss is least."""
+    model = F.when(F.substring("blockname", 2, 20).cast("bigint") % 4 == 1, "huber").otherwise("polynomial")
+    fits = _recording(spark, sf_dir, _log(spark, sf_dir).withColumn("fit_model", model)).fits.withColumn("fit_model", model)
+    least = signal.huber_states(fits.where("fit_model = 'huber'"), KEYS, "control", "signal").select(*KEYS, "_m", "_s", "_c", "_sigma", "_n")
+    rest, square = F.col("delta_signal_fitted_control"), F.col("delta_signal_fitted_control") ** 2
+    both = met(fits.where("fit_model = 'huber'"), least.drop("_n"), KEYS)
+    robust = stationary(both, KEYS, rest).withColumns({"fit_model": F.lit("huber"), "spread": F.lit(None).cast("double")})
+    told = fits.where("fit_model = 'polynomial'").groupBy(*KEYS).agg(F.count("*").alias("n"), F.sqrt(F.sum(square) / F.count("*")).alias("_rms"), F.sum(rest).alias("_r"), F.sum(rest * F.col("control")).alias("_rc"), F.sum(F.abs(rest * F.col("control"))).alias("_all"))
+    plain = told.select(*KEYS, F.lit("polynomial").alias("fit_model"), "n", F.round(F.round("_rms", 6), 3).alias("spread"), ((F.abs("_r") <= 1e-7 * (1 + F.col("_rms") * F.col("n"))) & (F.abs("_rc") <= 1e-6 * (1 + F.col("_all")))).alias("stationary"))
+    return plain.unionByName(robust.select(plain.columns))

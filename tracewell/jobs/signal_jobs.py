@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.jobs.orthogonal import fit_sql
 from tracewell.jobs.registry import query
 from tracewell.operators import bins, signal
+from tracewell.operators.scan import met
 from tracewell.sources.adapters import EVENTS_SQL, FS, STREAMS_SQL, events, streams
 from tracewell.sources.scratch import saved
 
@@ -92,6 +93,28 @@ def a6_huber_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signal.huber_fit(pairs(spark, sf_dir), signal.FIT_KEYS, "control", "signal", "control_fitted")
 
 
+def stationary(rows: DataFrame, keys: list[str], rest: Column) -> DataFrame:
+    """(keys, n, stationary): whether the residuals `rest` of a robust fit, with its state beside them, leave
+    Huber's joint loss no slope, neither in the coefficients nor in the scale."""
+    t, bound = (F.col("control") - F.col("_m")) / F.col("_s"), signal.EPSILON * F.col("_sigma")
+    rows = rows.withColumn("_r", rest).withColumn("_psi", F.greatest(-bound, F.least(bound, F.col("_r"))) / F.col("_sigma")).withColumn("_t", t)
+    slopes = [F.sum(F.col("_psi") * F.col("_t") ** k).alias(f"_g{k}") for k in range(5)] + [F.sum(F.abs(F.col("_psi") * F.col("_t") ** k)).alias(f"_w{k}") for k in range(5)]
+    scale = F.sum(F.when(F.abs("_r") <= bound, (F.col("_r") / F.col("_sigma")) ** 2).otherwise(signal.EPSILON**2))
+    told = rows.groupBy(*keys, "_c", "_sigma").agg(F.count("*").alias("n"), *slopes, scale.alias("_scale"))
+    flat = F.lit(True)
+    for k in range(5):
+        flat = flat & (F.abs(F.col(f"_g{k}") - (signal.ALPHA * F.element_at("_c", k + 1) if k else 0)) <= 1e-5 * (1 + F.col(f"_w{k}")))
+    # A scale at its floor belongs to points that the curve meets exactly.
+    return told.select(*keys, "n", (flat & ((F.col("_sigma") <= 1e-9) | (F.abs(F.col("_scale") - F.col("n")) <= 1e-5 * F.col("n")))).alias("stationary"))
+
+
+@query("a6_huber_optimum", f"WITH {PAIRED_SQL} SELECT blockname, fiber_id, count(*) AS n, true AS stationary FROM paired GROUP BY ALL")
+def a6_huber_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every group's robust fit is where its loss is least."""
+    own, keys = saved(pairs(spark, sf_dir), "pairs"), ["blockname", "fiber_id"]
+    return stationary(met(own, signal.huber_states(own, keys, "control", "signal"), keys), keys, F.col("signal") - signal.polynomial("_c", 4, (F.col("control") - F.col("_m")) / F.col("_s")))
+
+
 A7_SQL = "round((signal - m) / s, 6) AS signal_zscore, round((signal - m) / (100 + m), 9) AS signal_dff"
 
 

@@ -70,7 +70,7 @@ def interpolate(df: DataFrame, keys: list[str], time: str, value: str, step: int
     """Linear interpolation on the grid from the first time of each group in steps of `step`. Each
     stretch between two rows makes its own grid points, so a group is never expanded in one place.
     Rows at equal times are averaged first."""
-    one, many = ranges(df.groupBy(*keys, time).agg(F.avg(value).alias(value)), keys, time)
+    one, many = ranges(df.groupBy(*keys, time).agg(F.avg(value).alias(value)), keys, time, of=df)
     rows = scan(one, keys, [time], many, following={"_next": F.col(time), "_to": F.col(value)})
     rows = met(rows, df.groupBy(*keys).agg(F.min(time).alias("_t0")), keys)
     a = F.ceil((F.col(time) - F.col("_t0")) / F.lit(step)).cast("long")

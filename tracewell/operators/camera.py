@@ -77,7 +77,7 @@ def without_artefacts(frames: DataFrame, sds: float, key: str = "session_name")
 
 def with_cycles(rows: DataFrame, keys: list[str], channel: str = "channel_wavelength", time: str = "time") -> DataFrame:
     """Number of each sample of a channel, and the mean time of the samples of one number."""
-    rows, many = ranges(rows, [*keys, channel], time)
+    rows, many = ranges(saved(rows, "channels"), [*keys, channel], time)
     numbered = scan(rows, [*keys, channel], [time], many, number="cycle_number")
     return numbered.withColumn(time, F.avg(time).over(Window.partitionBy(*keys, "cycle_number")))  # a row a channel
 

@@ -14,7 +14,7 @@ def edges(states: DataFrame, keys: list[str], time: str, state: str, last_high:
     """Onset and offset of each high stretch of a sampled state, numbered. The offset is the first
     low sample after it, or with `last_high` its last high sample; a stretch that doesn't end has a
     null offset (or its last sample). A recording that starts high has its onset there."""
-    rows, many = ranges(states.select(*keys, time, state).distinct(), keys, time)
+    rows, many = ranges(states.select(*keys, time, state).distinct(), keys, time, of=states)
     rows = scan(rows.withColumn("_at", F.col("_cut")), keys, [time, state], many, previous={"_p": F.col(state)})
     rows = rows.withColumn("_on", ((F.col(state) == 1) & (F.coalesce("_p", F.lit(0)) == 0)).cast("long")).withColumnRenamed("_at", "_cut")
     rows = scan(saved(rows, "edges") if many else rows, keys, [time, state], many, sums={"event_number": F.col("_on")}).where("event_number > 0")
@@ -41,7 +41,7 @@ def response_sets(events: DataFrame, closing: str, time: str = "event_ts", key:
     """Numbers the closing events of a session and gives each number to the events that lead up to
     it; what no closing event follows is dropped."""
     rows = events.distinct().where(F.col(time).isNotNull())
-    rows, many = ranges(rows, [key], time)
+    rows, many = ranges(rows, [key], time, of=events)
     closed = F.col("event_id_char") == closing
     # A closing event's number is that of its kind so far, and those before it up to the last one are its own.
     rows = scan(rows, [key], [time, "event_id_char"], many, sums={"_n": closed.cast("long")}, nexts={"_closing": F.when(closed, F.col(time))})

@@ -25,17 +25,17 @@ def met(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner")
     return left.join(right.withColumnsRenamed(named), on, how).drop(*named.values())
 
 
-def ranges(df: DataFrame, keys: list[str], order: str, rows: int | None = None) -> tuple[DataFrame, bool]:
+def ranges(df: DataFrame, keys: list[str], order: str, rows: int | None = None, of: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Adds `_cut`, the number of each row's range in its group, ascending with the number `order`; and
     whether any group has more than one. Equal values of `order` stay together. Large groups are counted
-    by fine cells of `order`, and neighbouring cells make a range; `df` is read once, or three times
-    where there are such groups."""
+    by fine cells of `order`, and neighbouring cells make a range. Groups are counted first, which reads
+    `df` once more, or `of`, a table that is cheaper to read and has no fewer rows a group."""
     rows = rows or ROWS
     at = F.col(order).cast("double")
-    spans = saved(df.groupBy(*keys).agg(F.min(at).alias("_cut_lo"), F.max(at).alias("_cut_hi"), F.count("*").alias("_cut_rows")).where(F.col("_cut_rows") > rows), "spans")
+    spans = (df if of is None else of).groupBy(*keys).agg(F.min(at).alias("_cut_lo"), F.max(at).alias("_cut_hi"), F.count("*").alias("_cut_rows")).where(F.col("_cut_rows") > rows)
     if spans.isEmpty():
         return df.withColumn("_cut", F.lit(0).cast("long")), False
-    spans = spans.withColumn("_cut_cells", F.ceil(CELLS * F.col("_cut_rows") / rows)).withColumn("_cut_step", (F.col("_cut_hi") - F.col("_cut_lo")) / F.col("_cut_cells"))
+    spans = saved(spans, "spans").withColumn("_cut_cells", F.ceil(CELLS * F.col("_cut_rows") / rows)).withColumn("_cut_step", (F.col("_cut_hi") - F.col("_cut_lo")) / F.col("_cut_cells"))
     cell = F.least(F.col("_cut_cells") - 1, F.floor(F.try_divide(at - F.col("_cut_lo"), F.col("_cut_step"))))
     placed = met(df, spans.drop("_cut_rows", "_cut_hi"), keys, "left").withColumn("_cut_cell", F.coalesce(cell, F.lit(0))).drop("_cut_lo", "_cut_cells", "_cut_step")
     counts = placed.groupBy(*keys, "_cut_cell").agg(F.count("*").alias("_cut_n"))

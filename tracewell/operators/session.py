@@ -7,6 +7,8 @@ the distinct lists of events of interest are, which are settings.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,10 +77,38 @@ def around_events(fits: DataFrame, wanted: DataFrame, log: DataFrame) -> DataFra
     return peri.histogram(series, rows, ["blockname"], "time_us", "event_us", ["event_id_char", "event_number"], "peth_pre", "peth_post", "_bin_us", MEASURES, more=signal.FIT_KEYS[1:])
 
 
-def processed(streams: DataFrame, info: DataFrame, log: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
-    """All results of a recording: streams_session, events, events_peth and streams_peth, each with
-    the sessions' blockname; the fitted samples, which three of them need, are written once."""
-    fits = saved(fitted(streams, info, log), "session-fits")
-    wanted = saved(events_of_interest(events, log), "session-events")
-    every = ev.numbered(shape.select_sessions(events, log), ["blockname", "event_id_char"], ["event_us"])
-    return {"streams_session": downsampled(fits, log), "events": every, "events_peth": wanted, "streams_peth": around_events(fits, wanted, log)}
+class Recording:
+    """The results of a recording, each worked out when it is first asked for: `streams_session`, `events`,
+    `events_peth`, `streams_peth`. The fitted samples (`fits`) and the wanted events, which several of them
+    need, are written once."""
+
+    def __init__(self, streams: DataFrame, info: DataFrame, log: DataFrame, events: DataFrame) -> None:
+        self.streams, self.info, self.log, self.all_events = streams, info, log, events
+
+    @cached_property
+    def fits(self) -> DataFrame:
+        return saved(fitted(self.streams, self.info, self.log), "session-fits")
+
+    @cached_property
+    def events_peth(self) -> DataFrame:
+        return saved(events_of_interest(self.all_events, self.log), "session-events")
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return ev.numbered(shape.select_sessions(self.all_events, self.log), ["blockname", "event_id_char"], ["event_us"])
+
+    @cached_property
+    def streams_session(self) -> DataFrame:
+        return downsampled(self.fits, self.log)
+
+    @cached_property
+    def streams_peth(self) -> DataFrame:
+        return around_events(self.fits, self.events_peth, self.log)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in ("streams_session", "events", "events_peth", "streams_peth")}
+
+
+def processed(streams: DataFrame, info: DataFrame, log: DataFrame, events: DataFrame) -> Recording:
+    """The whole job over all included sessions of the log."""
+    return Recording(streams, info, log, events)

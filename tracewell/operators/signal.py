@@ -20,6 +20,7 @@ from tracewell.operators.scan import met
 from tracewell.sources.scratch import saved
 
 CHUNK = 1 << 16  # samples of a channel in one window partition
+SLIDE = 32  # samples of a window that are summed anew for each sample
 UNIT, SLACK = 1 << 40, 1 << 10  # a window's length as placed on its chunk, and what rounding may move a place by
 SESSION = ["blockname", "channel"]
 
@@ -37,7 +38,7 @@ def moving_average(streams: DataFrame, windows: DataFrame, edges: str = "partial
     grow by a row at a time. A prefix sum is kept in two parts, of which the first is exact while it is below
     2^43, and the second is less than 2^-10 a sample."""
     told = windows.select(*SESSION, F.greatest(F.coalesce(F.col("k").cast("int"), F.lit(0)), F.lit(0)).alias("_k"))
-    rows = met(streams, told, SESSION, "left").withColumn("_k", F.coalesce("_k", F.lit(0)))
+    rows = met(streams, saved(told, "windows"), SESSION, "left").withColumn("_k", F.coalesce("_k", F.lit(0)))
     back, on = ("_k div 2", "(_k - 1) div 2") if edges == "partial" else ("(_k - 1) div 2", "_k div 2")
     own = F.floor(F.col("sample_idx") / chunk)
     near = F.sequence(F.floor((F.col("sample_idx") - F.expr(on)) / chunk), F.floor((F.col("sample_idx") + F.expr(back)) / chunk))
@@ -67,12 +68,21 @@ def moving_average(streams: DataFrame, windows: DataFrame, edges: str = "partial
 
 def moving_zscore(streams: DataFrame, before: int, value: str, keys: list[str], order: str = "sample_idx", chunk: int = CHUNK) -> DataFrame:
     """Adds `<value>_moving`: each sample against mean and deviation of the `before` samples ahead of
-    it, itself not among them; null for the first ones and where nothing varies.
+    it, itself not among them; null for the first ones and where nothing varies. Up to SLIDE samples are added up
+    for each sample.
 
-    The cost of a sample doesn't follow from `before`: samples lie in blocks of that many, and those ahead of
+    Beyond, the cost of a sample doesn't follow from `before`: samples lie in blocks of that many, and those ahead of
     one are the end of a block and the start of the next. Counts, means and squared deviations are
     gathered from each block's start on and from its end back, row by row, and the two are merged; nothing is
     subtracted, so large drifts cost no digits. Chunks hold whole blocks, with the block ahead as a halo."""
+    if before <= SLIDE:
+        own = F.floor(F.col(order) / chunk)
+        near = F.sequence(own, F.floor((F.col(order) + before) / chunk))
+        frame = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(-before, -1)
+        rows = streams.withColumn("_own", own).withColumn("_chunk", F.explode(near))
+        rows = rows.withColumns({"_mu": F.avg(value).over(frame), "_sd": F.stddev_samp(value).over(frame), "_n": F.count(value).over(frame)}).where("_chunk = _own")
+        z = F.when(F.col("_n") == before, F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd")))
+        return rows.withColumn(f"{value}_moving", z).select(*streams.columns, f"{value}_moving")
     size = max(1, chunk // before) * before
     own = F.floor(F.col(order) / size)
     rows = streams.withColumn("_own", own).withColumn("_chunk", F.explode(F.array_distinct(F.array(own, F.floor((F.col(order) + before) / size)))))
@@ -138,23 +148,23 @@ def polynomial_fits(df: DataFrame, keys: list[str], fits: list[tuple[str, str, i
     at = lambda x: (F.col(x) - F.col(f"_m_{x}")) / F.col(f"_s_{x}")
     wide = [f"_{n}_{x}" for n in "ms" for x in xs]
     rows = met(df, scale.select(*keys, *wide), keys)
-    cheb = [F.array(*[F.coalesce(F.sum(t), F.lit(0.0)) for t in _chebyshev(F.when(F.col(y).isNotNull(), at(x)), 2 * top)]).alias(f"_c{i}") for i, ((x, y, _, _), top) in enumerate(zip(fits, tops, strict=True))]
-    sums = rows.groupBy(*keys).agg(*cheb)
+    rows = rows.select(*keys, *[F.when(F.col(y).isNotNull(), at(x)).alias(f"_t{i}") for i, (x, y, _, _) in enumerate(fits)])
+    rows = _chebyshev(rows, tops)
+    sums = rows.groupBy(*keys).agg(*[_sums([F.col(f"_t{i}_{k}") for k in range(2 * top + 1)]).alias(f"_c{i}") for i, top in enumerate(tops)])
     bases = saved(_by_group(met(sums, scale, keys), {f"_r{i}": (lambda r, i=i, top=top: _recurrence(np.asarray(r[f"_c{i}"]), top)) for i, top in enumerate(tops)}, [f"_c{i}" for i in range(len(fits))]), "fit-bases")
     rows = met(df, bases.drop(*[f"_d_{c}" for c in told]), keys)
+    rows = rows.select(*keys, *[f"_r{i}" for i in range(len(fits))], *[c for i, (x, y, _, _) in enumerate(fits) for c in (F.when(F.col(y).isNotNull(), at(x)).alias(f"_t{i}"), (F.col(y) - F.col(f"_y_{y}")).alias(f"_v{i}"))])
+    rows = _orthogonal(rows, tops)
     gathered = []
-    for i, ((x, y, _, _), top) in enumerate(zip(fits, tops, strict=True)):
-        q = _orthogonal(f"_r{i}", top, F.when(F.col(y).isNotNull(), at(x)))
-        products = [q[a] * q[b] for a in range(top + 1) for b in range(a + 1)] + [p * (F.col(y) - F.col(f"_y_{y}")) for p in q]
-        gathered.append(F.array(*[F.coalesce(F.sum(p), F.lit(0.0)) for p in products]).alias(f"_c{i}"))
+    for i, top in enumerate(tops):
+        q = [F.col(f"_q{i}_{k}") for k in range(top + 1)]
+        gathered.append(_sums([q[a] * q[b] for a in range(top + 1) for b in range(a + 1)] + [p * F.col(f"_v{i}") for p in q]).alias(f"_c{i}"))
     own = [(lambda r, f=f: r[f"_d_{f[2]}"] if isinstance(f[2], str) else f[2]) for f in fits]
     solve = {f"_b{i}": (lambda r, i=i, top=top: _solved(np.asarray(r[f"_c{i}"]), top, min(top, int(own[i](r))))) for i, top in enumerate(tops)}
     solved = _by_group(met(rows.groupBy(*keys).agg(*gathered), bases, keys), solve, [*[f"_c{i}" for i in range(len(fits))], *[f"_d_{c}" for c in told]])
-    out = met(df, saved(solved, "fits"), keys)
-    for i, (x, y, _, name) in enumerate(fits):
-        q = _orthogonal(f"_r{i}", tops[i], at(x))
-        out = out.withColumn(name, sum((F.element_at(f"_b{i}", k + 1) * q[k] for k in range(1, tops[i] + 1)), F.element_at(f"_b{i}", 1) * q[0]) + F.col(f"_y_{y}"))
-    return out.select(*df.columns, *[f[3] for f in fits])
+    out = _orthogonal(met(df, saved(solved, "fits"), keys).withColumns({f"_t{i}": at(f[0]) for i, f in enumerate(fits)}), tops)
+    values = [sum((F.element_at(f"_b{i}", k + 1) * F.col(f"_q{i}_{k}") for k in range(top + 1)), F.col(f"_y_{fits[i][1]}")) for i, top in enumerate(tops)]
+    return out.select(*df.columns, *[v.alias(f[3]) for v, f in zip(values, fits, strict=True)])
 
 
 def _by_group(table: DataFrame, columns: dict[str, Callable[[dict], list[float]]], used: list[str]) -> DataFrame:
@@ -171,21 +181,32 @@ def _by_group(table: DataFrame, columns: dict[str, Callable[[dict], list[float]]
     return table.mapInArrow(run, schema)
 
 
-def _chebyshev(t: Column, top: int) -> list[Column]:
-    out = [F.when(t.isNotNull(), 1.0), t]
-    while len(out) <= top:
-        out.append(2 * t * out[-1] - out[-2])
-    return out[: top + 1]
+def _sums(columns: list[Column]) -> Column:
+    return F.array(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in columns])
 
 
-def _orthogonal(recurrence: str, top: int, t: Column) -> list[Column]:
-    """q0 to q_top at t; `recurrence` holds 1 / b0, then a and 1 / b and b of each step."""
-    r = lambda k: F.element_at(recurrence, k)
-    out = [F.when(t.isNotNull(), r(1))]
-    for k in range(top):
-        step = (t - r(3 * k + 2)) * out[-1]
-        out.append((step - r(3 * k + 4) * out[-2] if k else step) * r(3 * k + 3))
-    return out
+def _chebyshev(rows: DataFrame, tops: list[int]) -> DataFrame:
+    """Adds `_t<i>_<k>`, the Chebyshev polynomials of `_t<i>` up to 2 * top, a step of all fits at a time, as
+    each needs the two before it."""
+    rows = rows.withColumns({f"_t{i}_0": F.when(F.col(f"_t{i}").isNotNull(), 1.0) for i in range(len(tops))} | {f"_t{i}_1": F.col(f"_t{i}") for i, top in enumerate(tops) if top})
+    for k in range(2, 2 * max(tops) + 1):
+        rows = rows.withColumns({f"_t{i}_{k}": 2 * F.col(f"_t{i}") * F.col(f"_t{i}_{k - 1}") - F.col(f"_t{i}_{k - 2}") for i, top in enumerate(tops) if k <= 2 * top})
+    return rows
+
+
+def _orthogonal(rows: DataFrame, tops: list[int]) -> DataFrame:
+    """Adds `_q<i>_<k>`, the orthogonal polynomials at `_t<i>`. `_r<i>` holds their recurrence: 1 / b0,
+    then a and 1 / b and b of each step."""
+    r = lambda i, k: F.element_at(f"_r{i}", k)
+    rows = rows.withColumns({f"_q{i}_0": F.when(F.col(f"_t{i}").isNotNull(), r(i, 1)) for i in range(len(tops))})
+    for k in range(max(tops)):
+        steps = {}
+        for i, top in enumerate(tops):
+            if k < top:
+                step = (F.col(f"_t{i}") - r(i, 3 * k + 2)) * F.col(f"_q{i}_{k}")
+                steps[f"_q{i}_{k + 1}"] = (step - r(i, 3 * k + 4) * F.col(f"_q{i}_{k - 1}") if k else step) * r(i, 3 * k + 3)
+        rows = rows.withColumns(steps)
+    return rows
 
 
 def _recurrence(sums: np.ndarray, top: int) -> list[float]:
@@ -237,41 +258,50 @@ def _solved(sums: np.ndarray, top: int, degree: int) -> list[float]:
     return out.tolist()
 
 
-def _polynomial(coefficients: str, degree: int, at: Column) -> Column:
+def polynomial(coefficients: str, degree: int, at: Column) -> Column:
+    """The polynomial at a place, by its array of coefficients."""
     value = F.lit(0.0)
     for k in range(degree, -1, -1):
         value = value * at + F.element_at(coefficients, k + 1)
     return value
 
 
-def huber_fit(df: DataFrame, keys: list[str], x: str, y: str, out: str, degree: int = 4, epsilon: float = 1.35, alpha: float = 1e-4, rounds: int = 100) -> DataFrame:
+EPSILON, ALPHA = 1.35, 1e-4  # of the robust fit: where its loss turns linear, and its penalty
+
+
+def huber_fit(df: DataFrame, keys: list[str], x: str, y: str, out: str, degree: int = 4, epsilon: float = EPSILON, alpha: float = ALPHA, rounds: int = 100) -> DataFrame:
     """Adds `out`, a robust polynomial of `y` on `x` in each group: the minimum of Huber's joint loss
-    over coefficients and scale, by reweighted least squares on scaled features, converged.
+    over coefficients and scale (`huber_states`). Rows with a null x or y don't count and get null."""
+    fits = huber_states(df, keys, x, y, degree, epsilon, alpha, rounds).drop("_sigma", "_n")
+    value = polynomial("_c", degree, (F.col(x) - F.col("_m")) / F.col("_s"))
+    return met(df, fits, keys, "left").withColumn(out, F.when(F.col(y).isNotNull(), value)).drop("_m", "_s", "_c")
+
+
+def huber_states(df: DataFrame, keys: list[str], x: str, y: str, degree: int = 4, epsilon: float = EPSILON, alpha: float = ALPHA, rounds: int = 100) -> DataFrame:
+    """A row a group: the coefficients `_c` on (x - _m) / _s and the scale `_sigma` where Huber's joint loss
+    is least, by reweighted least squares on scaled features, converged.
 
     Every round is one aggregate of weighted moments over the groups still moving, so no group is held
-    in a task; what is known of a group (its coefficients and scale) is a row of a small table, written
-    each round. Rows with a null x or y don't count and get null."""
+    in a task; what is known of those groups (coefficients and scale) is a row each of a small table, one
+    written a round. Groups that have settled are left where they were written."""
     known = saved(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")), "huber-rows")
-    start = known.groupBy(*keys).agg(F.avg("_x").alias("_m"), F.when(F.stddev_pop("_x") > 0, F.stddev_pop("_x")).otherwise(1.0).alias("_s"), F.count("*").alias("_n"), F.percentile_approx("_y", 0.5, 10_000).alias("_mid"))
-    middle = known.join(start, keys).groupBy(*keys).agg(F.greatest(F.lit(1e-12), 1.4826 * F.percentile_approx(F.abs(F.col("_y") - F.col("_mid")), 0.5, 10_000)).alias("_sigma"))
-    state = start.drop("_mid").join(middle, keys).withColumns({"_c": F.lit(None).cast("array<double>"), "_done": F.lit(False)})
-    state = saved(state, "huber")
+    start = saved(known.groupBy(*keys).agg(F.avg("_x").alias("_m"), F.when(F.stddev_pop("_x") > 0, F.stddev_pop("_x")).otherwise(1.0).alias("_s"), F.count("*").alias("_n"), F.percentile_approx("_y", 0.5, 10_000).alias("_mid")), "huber-starts")
+    middle = met(known, start, keys).groupBy(*keys).agg(F.greatest(F.lit(1e-12), 1.4826 * F.percentile_approx(F.abs(F.col("_y") - F.col("_mid")), 0.5, 10_000)).alias("_sigma"))
+    moving = saved(met(start.drop("_mid"), middle, keys).withColumns({"_c": F.lit(None).cast("array<double>"), "_done": F.lit(False)}), "huber")
+    settled = moving.where("_done")
     for _ in range(rounds):
-        moving = state.where("not _done")
         if moving.isEmpty():
             break
         moved = saved(_huber_round(known, moving, keys, degree, epsilon, alpha), "huber")
-        state = saved(state.where("_done").unionByName(moved), "huber")
-    fits = state.select(*keys, "_m", "_s", "_c")
-    value = _polynomial("_c", degree, (F.col(x) - F.col("_m")) / F.col("_s"))
-    return df.join(fits, keys, "left").withColumn(out, F.when(F.col(y).isNotNull(), value)).drop("_m", "_s", "_c")
+        settled, moving = settled.unionByName(moved.where("_done")), moved.where("not _done")
+    return saved(settled.unionByName(moving).drop("_done"), "huber-fits")
 
 
 def _huber_round(known: DataFrame, state: DataFrame, keys: list[str], degree: int, epsilon: float, alpha: float) -> DataFrame:
     """The state after one more round: moments under the weights that the old state gives."""
-    rows = known.join(state, keys)
+    rows = met(known, state, keys)
     t = (F.col("_x") - F.col("_m")) / F.col("_s")
-    rest = F.abs(F.col("_y") - _polynomial("_c", degree, t))
+    rest = F.abs(F.col("_y") - polynomial("_c", degree, t))
     bound = epsilon * F.col("_sigma")
     rows = rows.withColumns({"_t": t, "_r": rest}).withColumn("_w", F.when(F.col("_r").isNull() | (F.col("_r") <= bound), 1.0).otherwise(bound / F.col("_r")))
     power = [F.col("_w")]
