@@ -205,7 +205,8 @@ def test_smoothing_has_one_window(spark):
 
 
 @pytest.mark.parametrize("chunk", [6, 50, 1 << 16])
-def test_moving_zscore_keeps_its_digits_under_drift(spark, chunk):
+def test_moving_zscore_keeps_its_digits_under_drift(spark, chunk, monkeypatch):
+    monkeypatch.setattr(signal, "SLIDE", 1)
     g = np.random.default_rng(11)
     values = np.arange(200) * 1e7 + g.normal(size=200)
     values[100:120] = 0.1
@@ -239,3 +240,14 @@ def test_null_groups_stay(spark):
     df = spark.createDataFrame([("b", None, float(t), float(t)) for t in range(8)], "blockname string, fiber_id string, time double, v double")
     assert signal.normalised(df, ["blockname", "fiber_id"], ["v"]).count() == 8
     assert bins.downsample(df, 1.0, ["blockname", "fiber_id"]).count() == 6
+
+
+def test_robust_fits_of_large_and_small_groups_agree(spark, monkeypatch):
+    g = np.random.default_rng(13)
+    data = [(k or None, float(x), float(3 * x - x**2 + g.standard_t(2))) for k in ("a", "") for x in g.normal(size=150)]
+    df = spark.createDataFrame(data, "g string, x double, y double").repartition(3)
+    fits = {}
+    for limit in (1000, 10):
+        monkeypatch.setattr(signal, "TOGETHER", limit)
+        fits[limit] = {(r.g, r.x): r.f for r in signal.huber_fit(df, ["g"], "x", "y", "f").collect()}
+    assert len(fits[10]) == 300 and all(v == pytest.approx(fits[1000][k], rel=1e-5, abs=1e-5) for k, v in fits[10].items())

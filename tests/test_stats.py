@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from tracewell.functions import dist
+from tracewell.operators import scan
 from tracewell.operators import stats
 
 
@@ -119,3 +120,21 @@ def test_cumulated_in_ranges_equals_one_sort(spark):
             before += n
     whole = {r.v: r._before_n for r in stats.cumulated(df.drop("k"), [], "v", ["n"]).collect()}
     assert max(whole.values()) == sum(r[2] for r in rows) - max(rows, key=lambda r: r[1])[2]
+
+
+def test_null_groups_are_groups(spark):
+    g = np.random.default_rng(21)
+    data = [(k, j, "ab"[j % 2], float(g.normal()), float(g.normal())) for k in ("x", None) for j in range(24)]
+    df = spark.createDataFrame(data, "g string, i int, f string, a double, b double")
+    tests = [stats.ks(df, ["g"], "a", "b"), stats.kruskal(df, ["g"], "a", "f"), stats.rank_sum(df, ["g"], "a", "b"), stats.signed_rank(df, ["g"], "a", "b"), stats.t_grouped(df, ["g"], "f", "a"), stats.pairwise_rank_sum(df, ["g"], "a", "f")]
+    assert [sorted((r.g or "" for r in t.collect())) for t in tests] == [["", "x"]] * 6
+    assert {r.g for r in stats.cross_correlation(df, ["g"], "i", "a", "b", 2).collect()} == {"x", None}
+
+
+def test_ranges_of_large_groups_change_no_statistic(spark, monkeypatch):
+    g = np.random.default_rng(22)
+    df = spark.createDataFrame([(k, "abc"[j % 3], float(g.integers(0, 40)), float(g.normal())) for k in ("x", None) for j in range(90)], "g string, f string, a double, b double")
+    run = lambda: [sorted(map(tuple, t.collect()), key=repr) for t in (stats.ks(df, ["g"], "a", "b"), stats.kruskal(df, ["g"], "a", "f"), stats.pairwise_rank_sum(df, ["g"], "a", "f"))]
+    whole = run()
+    monkeypatch.setattr(scan, "ROWS", 10)
+    assert repr(run()) == repr(whole)

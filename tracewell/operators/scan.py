@@ -20,6 +20,8 @@ CELLS = 16  # cells that are counted for a range
 def met(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on the columns `keys` of both sides, where a null is a value like any other. The left
     side's stay."""
+    if not keys:
+        return left.join(right, F.lit(True), how)  # one group a side
     named = {k: f"_met_{k}" for k in keys}
     on = [F.col(k).eqNullSafe(F.col(n)) for k, n in named.items()]
     return left.join(right.withColumnsRenamed(named), on, how).drop(*named.values())

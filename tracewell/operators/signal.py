@@ -267,6 +267,7 @@ def polynomial(coefficients: str, degree: int, at: Column) -> Column:
 
 
 EPSILON, ALPHA = 1.35, 1e-4  # of the robust fit: where its loss turns linear, and its penalty
+TOGETHER = 1 << 18  # rows of a group whose robust fit is worked out in one task
 
 
 def huber_fit(df: DataFrame, keys: list[str], x: str, y: str, out: str, degree: int = 4, epsilon: float = EPSILON, alpha: float = ALPHA, rounds: int = 100) -> DataFrame:
@@ -281,20 +282,61 @@ def huber_states(df: DataFrame, keys: list[str], x: str, y: str, degree: int = 4
     """A row a group: the coefficients `_c` on (x - _m) / _s and the scale `_sigma` where Huber's joint loss
     is least, by reweighted least squares on scaled features, converged.
 
-    Every round is one aggregate of weighted moments over the groups still moving, so no group is held
-    in a task; what is known of those groups (coefficients and scale) is a row each of a small table, one
-    written a round. Groups that have settled are left where they were written."""
+    Groups of up to TOGETHER rows are worked out each in one task. For larger ones every round is one
+    aggregate of weighted moments over the groups still moving, so no task holds them; what is known of those groups
+    (coefficients and scale) is a row each of a small table, one written a round. Groups that have settled are
+    left where they were written. Both ways take the same steps."""
     known = saved(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")), "huber-rows")
     start = saved(known.groupBy(*keys).agg(F.avg("_x").alias("_m"), F.when(F.stddev_pop("_x") > 0, F.stddev_pop("_x")).otherwise(1.0).alias("_s"), F.count("*").alias("_n"), F.percentile_approx("_y", 0.5, 10_000).alias("_mid")), "huber-starts")
     middle = met(known, start, keys).groupBy(*keys).agg(F.greatest(F.lit(1e-12), 1.4826 * F.percentile_approx(F.abs(F.col("_y") - F.col("_mid")), 0.5, 10_000)).alias("_sigma"))
     moving = saved(met(start.drop("_mid"), middle, keys).withColumns({"_c": F.lit(None).cast("array<double>"), "_done": F.lit(False)}), "huber")
-    settled = moving.where("_done")
+    small = met(known, moving.where(F.col("_n") <= TOGETHER).drop("_done", "_c"), keys)
+    settled = small.groupBy(*keys).applyInArrow(_huber_alone(keys, degree, epsilon, alpha, rounds), moving.drop("_done").select(*keys, "_m", "_s", "_n", "_sigma", "_c").schema)
+    moving = moving.where(F.col("_n") > TOGETHER)
+    columns = settled.columns
     for _ in range(rounds):
         if moving.isEmpty():
             break
         moved = saved(_huber_round(known, moving, keys, degree, epsilon, alpha), "huber")
-        settled, moving = settled.unionByName(moved.where("_done")), moved.where("not _done")
-    return saved(settled.unionByName(moving).drop("_done"), "huber-fits")
+        settled, moving = settled.unionByName(moved.where("_done").select(columns)), moved.where("not _done")
+    return saved(settled.unionByName(moving.select(columns)), "huber-fits")
+
+
+def _huber_step(sums: np.ndarray, sigma: float, old: np.ndarray | None, n: int, inner: float, outer: int, degree: int, epsilon: float, alpha: float) -> tuple[float, np.ndarray, bool]:
+    """Scale and coefficients after one step from weighted moments (of t up to 2 * degree, then of t and y),
+    the squares inside the bound and the number outside it; and whether they have settled."""
+    ridge = alpha * np.eye(degree + 1)
+    ridge[0, 0] = 0.0
+    grid = np.array([[sums[i + j] for j in range(degree + 1)] for i in range(degree + 1)]) / sigma + ridge
+    new = np.linalg.lstsq(grid, np.asarray(sums[2 * degree + 1 :]) / sigma, rcond=1e-12)[0]
+    # The scale that minimises n * sigma + sum of losses, for the split inside / outside.
+    free, scale = n - epsilon**2 * outer, sigma
+    if old is not None and free > 0 and inner == inner:
+        scale = max(1e-12, float(np.sqrt(inner / free)))
+    done = old is not None and np.max(np.abs(new - old)) <= 1e-9 * (1 + np.max(np.abs(new))) and abs(scale - sigma) <= 1e-9 * sigma
+    return scale, new, bool(done)
+
+
+def _huber_alone(keys: list[str], degree: int, epsilon: float, alpha: float, rounds: int) -> Callable[[pa.Table], pa.Table]:
+    """The steps over all rows of a group at once."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        x, y = rows.column("_x").to_numpy(), rows.column("_y").to_numpy()
+        mean, spread, n, sigma = (rows.column(c)[0].as_py() for c in ("_m", "_s", "_n", "_sigma"))
+        powers = np.vander((x - mean) / spread, 2 * degree + 1, increasing=True)
+        c = None
+        for _ in range(10 * rounds):
+            rest = None if c is None else np.abs(y - powers[:, : degree + 1] @ c)
+            inside = np.ones(len(y), bool) if rest is None else rest <= epsilon * sigma
+            w = np.ones(len(y)) if rest is None else np.where(inside, 1.0, epsilon * sigma / np.maximum(rest, 1e-300))
+            sums = np.concatenate([w @ powers, (w * y) @ powers[:, : degree + 1]])
+            sigma, c, done = _huber_step(sums, sigma, c, n, float("nan") if rest is None else float((rest[inside] ** 2).sum()), int((~inside).sum()), degree, epsilon, alpha)
+            if done:
+                break
+        one = rows.slice(0, 1).select([*keys, "_m", "_s", "_n"])
+        return one.append_column("_sigma", pa.array([sigma], pa.float64())).append_column("_c", pa.array([c.tolist()], pa.list_(pa.float64())))
+
+    return run
 
 
 def _huber_round(known: DataFrame, state: DataFrame, keys: list[str], degree: int, epsilon: float, alpha: float) -> DataFrame:
@@ -310,22 +352,13 @@ def _huber_round(known: DataFrame, state: DataFrame, keys: list[str], degree: in
     sums = F.array(*[F.sum(p) for p in power], *[F.sum(p * F.col("_y")) for p in power[: degree + 1]])
     inside = F.col("_r") <= bound
     gathered = rows.groupBy(*keys, "_m", "_s", "_n", "_sigma", "_c").agg(sums.alias("_sums"), F.sum(F.when(inside, F.col("_r") * F.col("_r"))).alias("_in"), F.count_if(~inside).alias("_out"))
-    ridge = alpha * np.eye(degree + 1)
-    ridge[0, 0] = 0.0
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for sums, sigma, old, n, inner, outer in zip(b["_sums"], b["_sigma"], b["_c"], b["_n"], b["_in"], b["_out"], strict=True):
-                grid = np.array([[sums[i + j] for j in range(degree + 1)] for i in range(degree + 1)]) / sigma + ridge
-                new = np.linalg.lstsq(grid, np.asarray(sums[2 * degree + 1 :]) / sigma, rcond=1e-12)[0]
-                # The scale that minimises n * sigma + sum of losses, for the split inside / outside.
-                free, scale = n - epsilon**2 * outer, sigma
-                if old is not None and free > 0 and inner == inner:
-                    scale = max(1e-12, float(np.sqrt(inner / free)))
-                done = old is not None and np.max(np.abs(new - np.asarray(old))) <= 1e-9 * (1 + np.max(np.abs(new))) and abs(scale - sigma) <= 1e-9 * sigma
-                out.append((scale, new.tolist(), bool(done)))
-            yield b[[*keys, "_m", "_s", "_n"]].assign(_sigma=[o[0] for o in out], _c=[o[1] for o in out], _done=[o[2] for o in out])
+                out.append(_huber_step(np.asarray(sums), sigma, None if old is None else np.asarray(old), n, inner, outer, degree, epsilon, alpha))
+            yield b[[*keys, "_m", "_s", "_n"]].assign(_sigma=[o[0] for o in out], _c=[o[1].tolist() for o in out], _done=[o[2] for o in out])
 
     return gathered.mapInPandas(solve, state.select(*keys, "_m", "_s", "_n", "_sigma", "_c", "_done").schema)
 

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tracewell.functions import dist
+from tracewell.operators.scan import met, ranges
+from tracewell.sources.scratch import saved
 
 CHUNK = 1 << 20  # rows of a series in one window partition
 
@@ -76,7 +78,7 @@ def t_grouped(df: DataFrame, keys: list[str], factor: str, value: str, p_value:
     estimate1. Groups without exactly two levels have null statistics and `levels` tells why."""
     known = df.where(F.col(factor).isNotNull() & F.col(value).isNotNull())
     ends = known.groupBy(*keys).agg(F.min(factor).alias("_a"), F.max(factor).alias("_b"), F.count_distinct(factor).alias("levels"))
-    rows = known.join(ends, keys)
+    rows = met(known, ends, keys)
     first, second = F.when(F.col(factor) == F.col("_a"), F.col(value)), F.when((F.col(factor) == F.col("_b")) & (F.col("levels") == 2), F.col(value))
     out = rows.groupBy(*keys, "levels").agg(F.avg(first).alias("estimate1"), F.var_samp(first).alias("_va"), F.count(first).alias("n1"), F.avg(second).alias("estimate2"), F.var_samp(second).alias("_vb"), F.count(second).alias("n2"))
     return _welch(out, p_value)
@@ -93,24 +95,24 @@ def correlation(df: DataFrame, keys: list[str], x: str, y: str, p_value: bool =
     return with_values(out, {"p_value": lambda r: dist.t_two_sided(r["statistic"], r["parameter"])}) if p_value else out
 
 
-CUTS = 64  # ranges that a group is cut in
-
-
 def cumulated(rows: DataFrame, keys: list[str], value: str, sums: list[str]) -> DataFrame:
     """Adds `_before_<c>`, the sum of c over the rows ahead of each in its group's order by value, and
-    `_whole_<c>`, that of the group. Groups are cut in CUTS ranges at quantiles of their values; sums run
-    within a range, and a small table of the ranges' sums adds the rest, so no task sorts a group."""
+    `_whole_<c>`, that of the group. Large groups are cut in ranges of their values; sums run within a
+    range, and a small table of the ranges' sums adds the rest, so no task sorts one. Null keys are a group.
+    """
     if not keys:
         return cumulated(rows.withColumn("_one_group", F.lit(0)), ["_one_group"], value, sums).drop("_one_group")
-    bounds = rows.groupBy(*keys).agg(F.percentile_approx(F.col(value).cast("double"), [k / CUTS for k in range(1, CUTS)], 1000).alias("_bounds"))
-    placed = rows.join(bounds, keys).withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col(value)))).drop("_bounds")
-    totals = placed.groupBy(*keys, "_range").agg(*[F.sum(c).alias(c) for c in sums])
-    ahead, all_ = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
-    totals = totals.select(*keys, "_range", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"_before_{c}") for c in sums], *[F.sum(c).over(all_).alias(f"_whole_{c}") for c in sums])
-    inside = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    own = placed.withColumns({f"_own_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
-    met = own.join(totals, [*keys, "_range"])
-    return met.withColumns({f"_before_{c}": F.col(f"_before_{c}") + F.col(f"_own_{c}") for c in sums}).drop("_range", *[f"_own_{c}" for c in sums])
+    placed, many = ranges(rows, keys, value)
+    inside = Window.partitionBy(*keys, "_cut").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    own = placed.withColumns({f"_before_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
+    if not many:
+        whole = Window.partitionBy(*keys, "_cut").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return own.withColumns({f"_whole_{c}": F.sum(c).over(whole) for c in sums}).drop("_cut")
+    totals = placed.groupBy(*keys, "_cut").agg(*[F.sum(c).alias(c) for c in sums])
+    ahead, all_ = Window.partitionBy(*keys).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
+    totals = saved(totals.select(*keys, "_cut", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"_ahead_{c}") for c in sums], *[F.sum(c).over(all_).alias(f"_whole_{c}") for c in sums]), "range-sums")
+    out = met(own, totals, [*keys, "_cut"])
+    return out.withColumns({f"_before_{c}": F.col(f"_before_{c}") + F.col(f"_ahead_{c}") for c in sums}).drop("_cut", *[f"_ahead_{c}" for c in sums])
 
 
 def cross_correlation(df: DataFrame, keys: list[str], order: str, x: str, y: str, lags: int) -> DataFrame:
@@ -127,8 +129,8 @@ def cross_correlation(df: DataFrame, keys: list[str], order: str, x: str, y: str
     halo = at.withColumn("_own", own).withColumn("_chunk", F.explode(F.array_distinct(F.array(own, F.floor((F.col("_i") - lags) / chunk), F.floor((F.col("_i") + lags) / chunk)))))
     on = Window.partitionBy(*keys, "_chunk").orderBy("_i")
     steps = range(-lags, lags + 1)
-    met = halo.withColumns({f"_x{k + lags}": F.lead("_x", k).over(on) for k in steps}).where("_chunk = _own").join(stats, keys)
-    sums = met.groupBy(*keys, "_n", "_sx", "_sy").agg(*[F.sum((F.col(f"_x{k + lags}") - F.col("_mx")) * (F.col("_y") - F.col("_my"))).alias(f"_s{k + lags}") for k in steps])
+    near = met(halo.withColumns({f"_x{k + lags}": F.lead("_x", k).over(on) for k in steps}).where("_chunk = _own"), stats, keys)
+    sums = near.groupBy(*keys, "_n", "_sx", "_sy").agg(*[F.sum((F.col(f"_x{k + lags}") - F.col("_mx")) * (F.col("_y") - F.col("_my"))).alias(f"_s{k + lags}") for k in steps])
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_s{k + lags}").alias("_s")) for k in steps]))
     out = sums.select(*keys, "_n", "_sx", "_sy", pairs.alias("_p")).select(*keys, "_n", "_sx", "_sy", "_p.*").where("_s IS NOT NULL")
     return out.select(*keys, "lag", F.try_divide(F.col("_s"), F.col("_n") * F.col("_sx") * F.col("_sy")).alias("acf"))
@@ -207,9 +209,9 @@ def pairwise_rank_sum(df: DataFrame, keys: list[str], value: str, group: str, p_
     adjustment. Levels are few; rows meet their level's pairs in an equi-join."""
     known = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
     levels = known.select(*keys, F.col(group).alias("_l")).distinct()
-    pairs = levels.withColumnRenamed("_l", "group1").join(levels.withColumnRenamed("_l", "group2"), keys).where("group1 < group2")
+    pairs = met(levels.withColumnRenamed("_l", "group1"), levels.withColumnRenamed("_l", "group2"), keys).where("group1 < group2")
     sides = pairs.select(*keys, "group1", "group2", F.explode(F.array(F.struct(F.col("group1").alias("_l"), F.lit(1).alias("one")), F.struct(F.col("group2").alias("_l"), F.lit(0).alias("one")))).alias("_s")).select(*keys, "group1", "group2", "_s.*")
-    both = known.select(*keys, F.col(group).alias("_l"), F.col(value).cast("double").alias("v")).join(sides, [*keys, "_l"])
+    both = met(known.select(*keys, F.col(group).alias("_l"), F.col(value).cast("double").alias("v")), sides, [*keys, "_l"])
     return _rank_sum(both, [*keys, "group1", "group2"], p_value, exact=False)
 
 
@@ -298,7 +300,7 @@ def tukey_between(df: DataFrame, keys: list[str], value: str, group: str, p_valu
     pool = per.groupBy(*keys).agg(F.sum(F.col("_v") * F.col("_n")).alias("_ss"), (F.sum("_n") - F.count("*")).cast("double").alias("parameter"), F.count("*").alias("levels"))
     a = per.select(*keys, F.col("_g").alias("group1"), F.col("_m").alias("_m1"), F.col("_n").alias("_n1"))
     b = per.select(*keys, F.col("_g").alias("group2"), F.col("_m").alias("_m2"), F.col("_n").alias("_n2"))
-    out = a.join(b, keys).where("group1 < group2").join(pool, keys)
+    out = met(met(a, b, keys).where("group1 < group2"), pool, keys)
     error = F.sqrt(F.col("_ss") / F.col("parameter") * (1 / F.col("_n1") + 1 / F.col("_n2")))
     out = out.select(*keys, "group1", "group2", (F.col("_m1") - F.col("_m2")).alias("estimate"), error.alias("std_error"), "parameter", "levels").withColumn("statistic", F.try_divide("estimate", "std_error"))
     return with_values(out, {"p_value": lambda r: dist.studentised_range_upper(abs(r["statistic"]) * math.sqrt(2), int(r["levels"]), r["parameter"])}) if p_value else out
