@@ -185,3 +185,23 @@ def test_articles_against_an_independent_reader(spark):
     want = {r.page_id: plain(r.html) for r in pages.collect()}
     got = {r.page_id: r.text for r in h.extracted(pages).collect()}
     assert len(want) > 100 and got == want
+
+
+def test_shared_headings_and_quotations_of_articles_stay():
+    pages = [f"<article><h1>Title {k}</h1><h2>Summary</h2><p>Story number {k} is told here.</p><blockquote>Shared quotation of a classic.</blockquote><p>End of {k}.</p></article>" for k in range(5)]
+    assert text_of(*pages, which=3) == "Title 3\nSummary\nStory number 3 is told here.\nShared quotation of a classic.\nEnd of 3."
+
+
+def test_names_count_whole():
+    kept = [("p", "social-policy"), ("div", "side-effects"), ("p", "search-history"), ("div", "related-work"), ("p", "promo-1"), ("section", "comment-theory")]
+    gone = [("div", "cookie-banner"), ("div", "site-footer"), ("section", "comment-list"), ("div", "related-posts"), ("ul", "share-buttons"), ("div", "ad"), ("div", "ad-slot")]
+    body = "".join(f"<{n} class={c}>Text of {c}</{n}>" for n, c in kept + gone)
+    pages = [f"<article><h1>T {k}</h1><p>Own words {k}.</p>{body.replace('Text of', f'Text {k} of')}</article>" for k in range(4)]
+    assert text_of(*pages, which=1) == "\n".join(["T 1", "Own words 1.", *[f"Text 1 of {c}" for _, c in kept]])
+
+
+def test_tags_of_any_length_and_open_quotes():
+    long = "data:x,>" * 20_000
+    assert text_of(f'<article><p>One</p><img src="{long}"><p title="{long}">Two</p></article>') == "One\nTwo"
+    open_quote = '<article><p>One</p><a href="x>two</a>' + "<b c='d>three</b> " * 5000 + "</article>"
+    assert text_of(open_quote).startswith("One\ntwo")

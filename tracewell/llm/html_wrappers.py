@@ -13,17 +13,19 @@ counts its pages, characters and characters in links, and keeps the text that mo
 
 Extraction aligns a page with its host's wrapper and takes the text of the slots that the wrapper's
 elements leave: those inside menus, headers, footers, sidebars, notices, adverts, forms and reader
-comments (by element or class) go; where the page has an article or main element, those outside it
-go. In what is left, text that most of the host's distinct pages, three at least, share in a slot goes,
-and so do repeated groups that are nearly all links (inside an article, only those that most of the
-pages have). Shared text that makes up half of a page's article or more stays: such pages are near
-copies, not a template. Text that the wrapper alone decides on stays where nothing else would be left
-of a page. Elements that the wrapper lacks are judged like their parents; a wrapper without any
-element gives no text.
-
-Defined cases: a null page is empty, an empty page has the empty text; a quote left open in a tag, or
-a tag with quotes of more than `LONGEST` characters, ends at the first `>`; a null url or one without a
-host is a host of its own name ""; elements may nest to any depth; repeated rows are extracted each.
+comments (by element, or by the whole name of a box) go; where the page has an article or main element, those
+outside it go. On pages without one, text that most of the host's distinct pages, three at least, share in a
+slot goes, and so do repeated groups that are nearly all links. Inside an article headings, quotations and
+other text stay, shared or not; what goes are repeated groups of links that most pages have, and boxes (a
+`div`, a list, a table) of which all text is shared. Shared text that makes up half of a page's article
+or more stays: such pages are near copies, not a template. Text that the wrapper alone decides on stays
+where nothing else would be left of a page. Elements that the wrapper lacks are judged like their parents; a
+wrapper without any element gives no text.
+
+Defined cases: a null page is empty, an empty page has the empty text; a tag of any length ends at its
+first `>` outside quotes; if a tag's quotes never close, it ends at its first `>`, and quotes mean nothing in
+the rest of that page; a null url or one without a host is a host of its own name ""; elements may nest to
+any depth; repeated rows are extracted each.
 Extra columns are ignored.
 """
 
@@ -44,9 +46,8 @@ from tracewell.llm.common import saved
 HOSTS = 5000  # wrappers that a task holds before it passes them on
 SHARES, SALTED = 1000, 1000  # hosts with more than one in SHARES pages are cut in parts of about SALTED
 MANY, PERIOD = 64, 6  # different brothers of a list that is aligned in order; brothers of a repeated sequence
-LONGEST = 1 << 16
 _NAME = re.compile(r"<(/?)([a-zA-Z][\w:-]*+)")
-_ATTRIBUTES = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_STOP = re.compile(r"[>\"']")
 _KIND = re.compile(r"(?<![\w-])(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "select", "canvas", "audio", "video"}
 _VOID = {"br", "img", "hr", "meta", "link", "input", "wbr", "area", "base", "col", "embed", "source", "track", "param"}
@@ -54,13 +55,24 @@ _INLINE = {"b", "i", "em", "strong", "span", "u", "small", "sub", "sup", "code",
 _CLOSES_P = {"p", "div", "ul", "ol", "dl", "table", "section", "article", "nav", "aside", "header", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "figure", "main", "hr", "address", "fieldset", "details"}
 _OWN_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"ul", "ol", "dl", "table", "article", "section", "div", "body", "main", "nav", "aside", "footer", "header", "form"}
-#: Elements and words of class, id or role that hold no main text.
+#: Elements that hold no main text, and the boxes whose classes, ids and roles may say so.
 _AWAY = {"nav", "aside", "footer", "form", "menu", "dialog", "button", "head"}
-_AWAY_WORDS = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banners?|cookies?\w*|consent|gdpr|notices?|alerts?|menus?|nav|navigation|navbar|navigations|sidebars?|side|footers?|breadcrumbs?|comments?|commentlist|disqus|replies|respond|shar(?:e|ing)|social|related|recommend\w*|newsletters?|subscri\w+|signup|login|popups?|modals?|widgets?|pagers?|pagination|copyright|disclaimer|toolbar|masthead|search|complementary|contentinfo)(?:$|[^a-z])"
+_BOXES = {"div", "section", "ul", "ol", "dl", "table", "header", "figure", "fieldset", "details", "center", "address"}
+#: Words that a box without main text is called by, and words that only say where or what kind of box it is.
+_AWAY_WORDS = frozenset(
+    """ad ads advert adverts advertisement advertising adsense sponsor sponsors sponsored promo promos promotion banner banners cookie
+    cookies consent gdpr notice notices alert alerts menu menus nav navigation navbar navigations sidebar sidebars side footer footers
+    breadcrumb breadcrumbs comment comments commentlist disqus replies respond share sharing social related recommend recommended
+    recommendations newsletter newsletters subscribe subscription signup login popup popups modal modals widget widgets pager pagers
+    pagination copyright disclaimer toolbar masthead search complementary contentinfo""".split()
+)
+_HEADER_WORDS = frozenset(("header", "siteheader", "pageheader", "topbar"))
+_MAIN_WORDS = frozenset(("main", "article", "articlebody"))
+_PLACES = frozenset(
+    """0 site page top bottom left right upper lower box boxes bar bars list lists item items link links button buttons icon icons wrapper wrap
+    container area block blocks section slot unit panel panels group inner outer primary secondary global user reader thread form field input
+    posts stories articles more count text body content title label heading post article main center middle column col row""".split()
 )
-_HEADER = re.compile(r"(?:^|[^a-z])(?:header|site-?header|page-?header|topbar)(?:$|[^a-z])")
-_MAIN = re.compile(r"(?:^|[^a-z])(?:articlebody|main|article)(?:$|[^a-z])")
 
 # A node: [key, repeated, optional, children, slot, blocks of a page's own text]; a slot: [pages, chars,
 # link chars, hash, votes]. The key of an element is its name and kinds, that of a repeated sequence its
@@ -72,8 +84,17 @@ def _node(key: str) -> list:
     return [key, False, False, [], None, []]
 
 
+def _called(word: str, names: frozenset[str]) -> bool:
+    """Whether a class, id or role is one of the names, or a name with words of place alone: `site-footer` and
+    `cookie-notice` are, `side-effects` and `social-policy` are not."""
+    if word in names:
+        return True
+    parts = re.split(r"[-_]+", word)
+    return any(x in names for x in parts) and all(x in names or x in _PLACES or x in _AWAY_WORDS for x in parts)
+
+
 def _says(word: str) -> bool:
-    return bool(_AWAY_WORDS.search(word) or _HEADER.search(word) or _MAIN.search(word))
+    return _called(word, _AWAY_WORDS) or _called(word, _HEADER_WORDS) or _called(word, _MAIN_WORDS)
 
 
 def _key(name: str, attributes: str) -> str:
@@ -100,6 +121,7 @@ class Page:
     def __init__(self, source: str) -> None:
         self.root = _node("")
         self.lines: dict[int, list[str]] = {}
+        self.open_quote = False  # a tag has been met whose quotes never close
         stack, names = [self.root], [""]
         opened: dict[str, int] = {}  # elements in the stack by name
         block = links = at = done = 0
@@ -151,8 +173,7 @@ class Page:
         if done < len(source):
             self._text(source[done:], stack, block, links > 0)
 
-    @staticmethod
-    def _tag(source: str, at: int, last: int) -> tuple[int, str, bool, str] | None:
+    def _tag(self, source: str, at: int, last: int) -> tuple[int, str, bool, str] | None:
         """End, name, whether it closes, and attributes of the tag at a `<`; no name: a comment or
         declaration; None: text. `last` is the place of the last `>`."""
         if source.startswith("<!--", at):
@@ -165,12 +186,23 @@ class Page:
         m = _NAME.match(source, at)
         if m is None:
             return None
-        q = _ATTRIBUTES.match(source, m.end(), m.end() + LONGEST)
-        if q is not None:
-            return q.end(), m[2].lower(), bool(m[1]), q[1]
-        end = source.find(">", m.end())
+        end = -1 if self.open_quote else self._end(source, m.end())
+        if end < 0:
+            self.open_quote = True
+            end = source.find(">", m.end())
         return None if end < 0 else (end + 1, m[2].lower(), bool(m[1]), source[m.end() : end])
 
+    @staticmethod
+    def _end(source: str, at: int) -> int:
+        """Place of the first `>` outside quotes, -1 if a quote stays open."""
+        while (m := _STOP.search(source, at)) is not None:
+            if m[0] == ">":
+                return m.start()
+            at = source.find(m[0], m.end()) + 1
+            if not at:
+                break
+        return -1
+
     @staticmethod
     def _cut(stack: list, names: list[str], opened: dict[str, int], k: int) -> None:
         for name in names[k:]:
@@ -398,15 +430,23 @@ def expression(node: list) -> str:
 
 
 def _away(key: str, in_main: bool) -> bool:
-    name, _, kinds = key.partition(".")
-    if name in _AWAY or (kinds and name not in ("html", "body", "article", "main") and _AWAY_WORDS.search(kinds)):
+    """Whether an element holds no main text by its name or by what it is called; within the main part the
+    names of paragraphs, headings or quotations count only where they are such a word alone."""
+    name, *kinds = key.split(".")
+    if name in _AWAY:
         return True
-    return not in_main and (name == "header" or bool(kinds and name not in ("html", "body") and _HEADER.search(kinds)))
+    if name in ("html", "body", "article", "main"):
+        return False
+    if in_main and name not in _BOXES:
+        return any(k in _AWAY_WORDS for k in kinds)
+    if any(_called(k, _AWAY_WORDS) for k in kinds):
+        return True
+    return not in_main and (name == "header" or any(_called(k, _HEADER_WORDS) for k in kinds))
 
 
 def _is_main(key: str) -> bool:
-    name, _, kinds = key.partition(".")
-    return name in ("article", "main") or bool(kinds and name in ("div", "section") and _MAIN.search(kinds))
+    name, *kinds = key.split(".")
+    return name in ("article", "main") or (name in ("div", "section") and any(_called(k, _MAIN_WORDS) for k in kinds))
 
 
 def _template(text: list, slot: list | None, pages: int) -> bool:
@@ -437,11 +477,16 @@ def main_text(source: str, wrapper: list, pages: int, linked: dict[int, tuple[bo
     linked = links(wrapper) if linked is None else linked
     page = Page(source)
     has_main = False
-    found: list[tuple[list[int], int, bool, bool, bool]] = []  # blocks, chars, inside the main part, linkish, shared
-    todo: list[tuple[list, list | None, bool, bool, bool]] = [(fold(page.root, own=True), wrapper, False, False, False)]
+    found: list[tuple[list[int], int, bool, bool, bool, int]] = []  # blocks, chars, inside the main part, linkish, shared, box
+    boxes: list[list] = [[-1, True]]  # of the main part: the box around, and whether most pages share all of its text
+    todo: list[tuple[list, list | None, bool, bool, bool, int]] = [(fold(page.root, own=True), wrapper, False, False, False, 0)]
     while todo:
-        node, like, away, in_main, linkish = todo.pop()
+        node, like, away, in_main, linkish, box = todo.pop()
         if node[0] and node[0][0] != "(":
+            name = node[0].split(".")[0]
+            if in_main and name in _BOXES and not away:
+                boxes.append([box, True])
+                box = len(boxes) - 1
             in_main = in_main or (not away and _is_main(node[0]))
             away = away or _away(node[0], in_main)
         if like is not None and like[1] and not (away or linkish):
@@ -454,13 +499,22 @@ def main_text(source: str, wrapper: list, pages: int, linked: dict[int, tuple[bo
                 continue
             child, match = mine[i], theirs[j] if j >= 0 else None
             if child[0] != TEXT:
-                todo.append((child, match, away, in_main, linkish))
+                todo.append((child, match, away, in_main, linkish, box))
             elif not away:
-                found.append((child[5], child[4][1], in_main, linkish, _template(child, match, pages)))
+                shared = _template(child, match, pages)
+                found.append((child[5], child[4][1], in_main, linkish, shared, box))
+                boxes[box][1] = boxes[box][1] and shared
+    for around, shared in reversed(boxes[1:]):  # boxes come after those around them
+        boxes[around][1] = boxes[around][1] and shared
+    gone = [False] * len(boxes)
+    for k, (around, shared) in enumerate(boxes):
+        gone[k] = k > 0 and (gone[around] or shared)
     texts = [x for x in found if x[2] or not has_main]
     texts = [x for x in texts if has_main or not x[3]]
+    # In the main part a shared text goes only with a box that is shared as a whole.
+    template = lambda x: gone[x[5]] if has_main else x[4]
     copied = has_main and 2 * sum(x[1] for x in texts if x[4]) >= sum(x[1] for x in texts)
-    left = [x for x in texts if not x[3] and (copied or not x[4])]
+    left = [x for x in texts if not x[3] and (copied or not template(x))]
     return page.joined([b for x in left for b in x[0]]) or page.joined([b for x in texts for b in x[0]])
 
 
