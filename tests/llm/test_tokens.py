@@ -220,3 +220,27 @@ def test_lengths_are_ranked_in_bounded_buckets(spark, monkeypatch):
         v.sort()
         assert [o for o, _ in v] == np.concatenate([[0], np.cumsum([n for _, n in v])[:-1]]).tolist() and sum(n for _, n in v) <= 64
     assert len(places) <= -(-sum(p.length for p in got) // 64) + 1
+
+
+def test_runs_of_one_read():
+    offsets, counts = np.array([0, 3, 5, 9, 20]), np.array([3, 2, 4, 1, 2])
+    assert list(token_files._spans(offsets, counts, 2)) == [(0, 4), (4, 5)]
+    assert list(token_files._spans(offsets, counts, 2, gap=10)) == [(0, 5)]
+    assert list(token_files._spans(offsets[:0], counts[:0], 2)) == []
+
+
+def test_small_reads_and_small_shards_change_nothing(spark, word_library, tmp_path, monkeypatch):
+    rows = [(k, t) for k, t in enumerate(TEXTS + noise(6, 60))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(token_files, "SHARD_ROWS", 9)
+    assert token_files.shard_count(df, "text") == -(-len(rows) // 9)
+    shards = token_files.write(df, folder=f"file://{tmp_path}/s")
+    assert shards.count() > 4
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_files.read(shards, "bigint").collect()}
+    start = 0
+    for k, t in rows:
+        ids = word_ids(word_library, t, [2])
+        assert got[k] == (start, len(ids), crc(ids))
+        start += len(ids)
+    found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in token_files.lookup(shards, df.where("doc_id % 3 = 0").select("doc_id")).collect()}
+    assert found == {k: word_ids(word_library, t, [2]) for k, t in rows if k % 3 == 0}

@@ -37,6 +37,8 @@ from tracewell.llm.wordhash import mix
 MAGIC = b"TIDX0001"
 GAMMA = 1.6  # bits a key has at each level
 LEVELS = 64
+SHARD_BYTES, SHARD_ROWS = 256 << 20, 1 << 20  # text and rows of a shard, about
+READ, GAP = 8 << 20, 1 << 14  # bytes read at once; ids not asked for that a lookup reads over
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -161,13 +163,21 @@ def numbered(keys: list) -> list[tuple[object, int]]:
     return out
 
 
+def shard_count(docs: DataFrame, text: str) -> int:
+    """So many shards that one holds about SHARD_BYTES of text and SHARD_ROWS rows at most, and that no
+    partition of a shuffle is idle."""
+    size, rows = docs.agg(F.sum(F.octet_length(text)), F.count("*")).first()
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(partitions, -(-(size or 0) // SHARD_BYTES), -(-rows // SHARD_ROWS))
+
+
 def write(docs: DataFrame, key: str = "doc_id", text: str = "text", folder: str | None = None, end_id: int | None = 2, shards: int | None = None, vocabulary: str = tokens.WORD_FILE) -> DataFrame:
     """Write the shards; returns their list (folder, shard, docs, ids, kind, first, last, start), one
     row a shard: kind is the type of the ids, first and last are its least and largest keys (null keys
     don't count), start is the number of ids in all shards before."""
     spark = docs.sparkSession
     folder = folder or shared_dir(spark, "token-files")
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or shard_count(docs, text)
     tail = [] if end_id is None else [end_id]
     key_type = dict(docs.dtypes)[key]
     key_arrow = _arrow(key_type)
@@ -212,6 +222,23 @@ def _payload(folder: str, shard: int, size: int) -> pa.NativeFile:
     return data
 
 
+def _spans(offsets: np.ndarray, counts: np.ndarray, size: int, gap: int = 0) -> Iterator[tuple[int, int]]:
+    """Runs of documents [i, j) whose ids, in ascending places, lie at most `gap` ids apart and take up to READ
+    bytes together, or that are one document: what one read of the payload brings."""
+    i = 0
+    for j in range(1, len(offsets) + 1):
+        if j == len(offsets) or not 0 <= offsets[j] - offsets[j - 1] - counts[j - 1] <= gap or (offsets[j] + counts[j] - offsets[i]) * size > READ:
+            yield i, j
+            i = j
+
+
+def _ids(data: pa.NativeFile, offsets: np.ndarray, counts: np.ndarray, kind: str) -> list[bytes]:
+    """The ids of a run of documents, as little-endian unsigned 32-bit numbers."""
+    size, first = np.dtype(kind).itemsize, int(offsets[0])
+    held = np.frombuffer(data.read_at(size * (int(offsets[-1] + counts[-1]) - first), size * first), kind).astype("<u4")
+    return [held[o : o + n].tobytes() for o, n in zip((offsets - first).tolist(), counts.tolist(), strict=True)]
+
+
 def _arrow(key_type: str) -> pa.DataType:
     return pa.int64() if key_type in ("bigint", "long") else pa.int32() if key_type == "int" else pa.string()
 
@@ -229,14 +256,14 @@ def read(shards: DataFrame, key_type: str, key: str = "doc_id", with_ids: bool =
                     raise ValueError(f"shard {r['shard']}: a key of the list isn't in its index")
                 size = np.dtype(r["kind"]).itemsize
                 with _payload(r["folder"], r["shard"], size * r["ids"]) as data:
-                    for a in range(0, len(offsets), 1000):
-                        part = [np.frombuffer(data.read_at(size * int(n), size * int(o)), r["kind"]).astype("<u4").tobytes() for o, n in zip(offsets[a : a + 1000], counts[a : a + 1000], strict=True)]
-                        cols = [index.keys[a : a + 1000], (offsets[a : a + 1000] + r["start"]).tolist(), counts[a : a + 1000].tolist(), [zlib.crc32(p) for p in part], part]
+                    for a, z in _spans(offsets, counts, size):
+                        part = _ids(data, offsets[a:z], counts[a:z], r["kind"])
+                        cols = [index.keys[a:z], (offsets[a:z] + r["start"]).tolist(), counts[a:z].tolist(), [zlib.crc32(p) for p in part], part]
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (keys, pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)][: 4 + with_ids], names=[key, "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids])
 
     keys = _arrow(key_type)
     n = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return shards.repartition(n, "shard").mapInArrow(run, f"{key} {key_type}, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * with_ids)
+    return shards.repartitionByRange(n, "shard").mapInArrow(run, f"{key} {key_type}, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * with_ids)
 
 
 def lookup(shards: DataFrame, asked: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -263,8 +290,13 @@ def lookup(shards: DataFrame, asked: DataFrame, key: str = "doc_id") -> DataFram
                 some = b.column(0).slice(i, j - i).to_pylist()
                 offsets, counts = index.find([(k, 0) for k in some])
                 size = np.dtype(r["kind"]).itemsize
+                there = np.flatnonzero(offsets >= 0)
+                there = there[np.argsort(offsets[there], kind="stable")]
+                rows = []
                 with _payload(r["folder"], r["shard"], size * r["ids"]) as data:
-                    rows = [(k, int(o) + r["start"], int(n), np.frombuffer(data.read_at(size * int(n), size * int(o)), r["kind"]).astype("<u4").tobytes()) for k, o, n in zip(some, offsets, counts, strict=True) if o >= 0]
+                    for a, z in _spans(offsets[there], counts[there], size, GAP):
+                        part = there[a:z]
+                        rows += [(some[k], int(offsets[k]) + r["start"], int(counts[k]), ids) for k, ids in zip(part.tolist(), _ids(data, offsets[part], counts[part], r["kind"]), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], t) for c, t in enumerate((_arrow(key_type), pa.int64(), pa.int64(), pa.binary()))], names=[key, "start", "n_tokens", "ids"])
 
     return near.mapInArrow(run, f"{key} {key_type}, start bigint, n_tokens bigint, ids binary")
