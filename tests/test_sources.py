@@ -60,3 +60,80 @@ def test_names_and_types(spark):
 def test_colours(spark):
     df = spark.createDataFrame([(100,), (490,), (600,), (None,)], "w int")
     assert [r.c for r in df.select(shape.wavelength_colour(F.col("w")).alias("c")).collect()] == ["#000000", "#00FFFF", "#FFBE00", "#000000"]
+
+
+def test_a_large_arrow_file_is_read_by_runs_and_columns(spark, tmp_path, monkeypatch):
+    from tracewell.sources import arrow
+
+    t = pa.table({"k": list(range(1000)), "s": [f"n{k}" for k in range(1000)], "unused": ["x" * 50] * 1000})
+    for name in ("a", "b"):
+        with pa.OSFile(f"{tmp_path}/{name}.arrow", "wb") as out, pa.ipc.new_file(out, t.schema) as w:
+            for k in range(0, 1000, 100):
+                w.write_batch(t.slice(k, 100).to_batches()[0])
+    monkeypatch.setattr(arrow, "RUN", 20_000)
+    assert arrow.plan(spark, str(tmp_path)).count() > 4
+    got = files.load(spark, f"{tmp_path}/*.arrow", "s string, k int, missing double")
+    assert got.columns == ["s", "k", "missing"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(f"n{k}", k, None) for k in range(1000)] * 2, key=str)
+
+
+def test_files_of_one_schema_are_one_scan(spark, tmp_path):
+    for k in range(6):
+        value = F.lit(k) if k % 2 else F.lit(f"v{k}")
+        spark.range(2).select("id", value.alias("v")).coalesce(1).write.parquet(f"{tmp_path}/in{k}")
+        (next((tmp_path / f"in{k}").glob("part-*.parquet"))).rename(tmp_path / f"in{k}" / f"ses_{k}_events.parquet")
+    spark.range(9).coalesce(1).write.parquet(f"{tmp_path}/other")
+    df = files.read_united(spark, str(tmp_path), holds=["ses"], starts=["ses_"], ends="_events")
+    assert sorted((r.fn, r.v) for r in df.select("fn", "v").distinct().collect()) == [(f"ses_{k}", str(k) if k % 2 else f"v{k}") for k in range(6)]
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+
+
+def test_commits_are_whole_and_added_once(spark, tmp_path):
+    import pytest
+
+    from tracewell.sources import commits
+
+    path = f"{tmp_path}/d"
+    one, two = (spark.createDataFrame([("a", k), ("b" if k == 1 else "c", k)], "blockname string, v int") for k in (1, 2))
+    rows = lambda key="blockname": sorted(map(tuple, commits.read(spark, path, key).collect()))
+    with pytest.raises(FileNotFoundError):
+        commits.read(spark, path)
+    files.write_sessions(one, path, token="b0")
+    assert rows() == [("a", 1), ("b", 1)]
+    two.write.parquet(f"{path}/_batch=00000001-dead")  # a job that died before its commit
+    assert rows() == [("a", 1), ("b", 1)]
+    files.write_sessions(two, path, token="b1")
+    files.write_sessions(two, path, token="b1")  # and ran again, twice
+    assert rows() == [("a", 2), ("b", 1), ("c", 2)]
+    files.write_sessions(one, path, overwrite=False)
+    assert rows() == [("a", 2), ("b", 1), ("c", 2)]
+    commits.compact(spark, path, "blockname")
+    assert rows() == [("a", 2), ("b", 1), ("c", 2)] and len(commits.records(spark, path)) == 1
+
+
+def test_a_batch_that_runs_again_is_there_once(spark, tmp_path):
+    from tracewell.streaming import incremental
+
+    source, target, seen = (f"{tmp_path}/{k}" for k in ("in", "out", "seen"))
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "blockname string, v int")
+    df.where("v = 1").write.parquet(source)
+
+    def dies(batch):
+        raise ValueError("lost")
+
+    for process, more in ((dies, None), (lambda b: b, None), (lambda b: b, df.where("v = 2"))):
+        if more is not None:
+            more.write.mode("append").parquet(source)
+        try:
+            incremental.process_new_files(spark, source, df.schema, process, target, seen)
+        except Exception as e:  # the stream reports what its batch raised
+            assert "lost" in str(e)
+    assert sorted(map(tuple, files.read_sessions(spark, target).collect())) == [("a", 1), ("b", 2)]
+
+
+def test_scratch_is_cleared(spark):
+    from tracewell.sources import scratch
+
+    scratch._MADE.clear()
+    kept = scratch.saved(spark.range(3), "x")
+    assert kept.count() == 3 and scratch.clear() == 1 and scratch.clear() == 0

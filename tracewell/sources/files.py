@@ -7,10 +7,13 @@ from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StructType
 
+from tracewell.sources import arrow, commits
+
 #: Known tables; others are read with inferred types.
 STREAMS = "blockname string, start_date string, channel string, raw_au double, sample_idx bigint"
 EPOCHS = "blockname string, start_date string, name string, onset double, offset double"
@@ -23,24 +26,13 @@ def load(spark: SparkSession, path: str, schema: str | StructType | None = None)
     if path.endswith(".parquet") or schema is None and not path.endswith((".csv", ".feather", ".arrow")):
         df = spark.read.parquet(path)
     elif path.endswith((".feather", ".arrow")):
-        df = arrow_files(spark, path, schema)
+        df = arrow.read(spark, path, schema)
     else:
         df = spark.read.csv(path, schema=schema, header=True, nullValue="NA")
     doubles = [c for c, t in df.dtypes if t in ("double", "float")]
     return df.withColumns({c: F.nanvl(c, F.lit(None)) for c in doubles}) if doubles else df
 
 
-def arrow_files(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """Arrow IPC files, each read whole by one task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for data in b.column(0):
-                yield from pa.ipc.open_file(pa.BufferReader(data.as_buffer())).read_all().to_batches()
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
-
-
 def wanted(name: Column, holds: list[str] | None = None, starts: list[str] | None = None, ends: str | None = None) -> Column:
     """Whether a file's name holds one of the strings, starts with one of the prefixes and has the
     suffix; an empty list asks for nothing."""
@@ -76,19 +68,50 @@ def united(tables: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: (lambda p: p[0].unionByName(p[1], allowMissingColumns=True))(coerced(a, b)), tables)
 
 
+def read_united(spark: SparkSession, path: str, holds: list[str] | None = None, starts: list[str] | None = None, ends: str = "", out: str = "fn") -> DataFrame:
+    """All Parquet files below `path` whose names hold, start with and end with what is asked for, as one table
+    with their name (without the suffix and `.parquet`) in `out`. A first job reads the files' schemas; files
+    of one schema are one scan, and only the schemas, which are few, are reconciled and united."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select("path")
+    name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.parquet$", "")
+    listed = listed.where(wanted(name, holds, starts, ends or None))
+
+    def schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for uri in b.column(0).to_pylist():
+                with arrow._open(uri) as data:
+                    kept = pq.read_schema(data)
+                    found.append((kept.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"").decode() or str(kept.remove_metadata()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string())], names=["path", "kind"])
+
+    if arrow._known(spark, path):
+        kinds = listed.mapInArrow(schemas, "path string, kind string").groupBy("kind").agg(F.collect_list("path").alias("paths")).collect()  # names of files, which a scan lists too
+    else:
+        kinds = [{"paths": [r["path"]]} for r in listed.collect()]
+    tables = []
+    for kind in sorted(kinds, key=lambda r: min(r["paths"])):
+        one = with_file_name(spark.read.parquet(*sorted(kind["paths"])), out)
+        tables.append(one.withColumn(out, stem(F.regexp_replace(out, r"\.parquet$", ""), [ends]) if ends else F.regexp_replace(out, r"\.parquet$", "")))
+    if not tables:
+        raise FileNotFoundError(f"no file of these names in {path}")
+    return united(tables)
+
+
 def not_in(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of `new` whose keys `old` hasn't."""
     return new.join(old.select(keys).distinct(), keys, "left_anti")
 
 
-def combine(new: DataFrame, path: str, key: str = "med_file_name", append: bool = True) -> DataFrame:
-    """Add to the dataset at `path` the files that it hasn't, or write it anew; returns it."""
+def combine(new: DataFrame, path: str, key: str = "med_file_name", append: bool = True, token: str | None = None) -> DataFrame:
+    """Add to the dataset at `path` the files that it hasn't, or begin it anew, as one commit; returns the
+    dataset. What a job that died has left is never seen; the same `token` adds nothing twice."""
     spark = new.sparkSession
-    if append and exists(spark, path):
-        not_in(new, spark.read.parquet(path), [key]).write.mode("append").parquet(path)
+    if append and commits.records(spark, path):
+        commits.commit(not_in(new, commits.read(spark, path), [key]).select(new.columns), path, token)
     else:
-        new.write.mode("overwrite").parquet(path)
-    return spark.read.schema(new.schema).parquet(path)
+        commits.commit(new, path, token, anew=True)
+    return commits.read(spark, path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -125,12 +148,14 @@ def session_work_list(log: DataFrame, inputs: DataFrame, outputs: DataFrame, suf
     return log.join(there, "session_name", "left_semi").join(done, "blockname", "left_anti").select("session_name").distinct()
 
 
-def write_sessions(df: DataFrame, path: str, overwrite: bool = True, key: str = "blockname") -> None:
-    """Write a table in a folder a session: sessions in `df` replace their old folders, or with
-    `overwrite` false only those not yet there are added."""
+def write_sessions(df: DataFrame, path: str, overwrite: bool = True, key: str = "blockname", token: str | None = None) -> None:
+    """Add a table of sessions as one commit: sessions in `df` stand in for their old rows, or with
+    `overwrite` false only those not yet there are added. `read_sessions` reads whole sessions only."""
     spark = df.sparkSession
-    if not overwrite and exists(spark, path):
-        df = not_in(df, spark.read.parquet(path).select(key), [key])
-        df.write.mode("append").partitionBy(key).parquet(path)
-    else:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    if not overwrite and commits.records(spark, path):
+        df = not_in(df, commits.read(spark, path).select(key), [key]).select(df.columns)
+    commits.commit(df.repartition(key).sortWithinPartitions(key), path, token)
+
+
+def read_sessions(spark: SparkSession, path: str, key: str = "blockname") -> DataFrame:
+    return commits.read(spark, path, key)
