@@ -251,3 +251,18 @@ def test_robust_fits_of_large_and_small_groups_agree(spark, monkeypatch):
         monkeypatch.setattr(signal, "TOGETHER", limit)
         fits[limit] = {(r.g, r.x): r.f for r in signal.huber_fit(df, ["g"], "x", "y", "f").collect()}
     assert len(fits[10]) == 300 and all(v == pytest.approx(fits[1000][k], rel=1e-5, abs=1e-5) for k, v in fits[10].items())
+
+
+def test_long_runs_are_marked_by_doubling(spark, rows, monkeypatch):
+    g = np.random.default_rng(14)
+    data = [(k, int(t)) for k in ("a", None) for t in [*np.cumsum(g.integers(0, 6, 200)), 5000, 5003, 5011]]
+    df = spark.createDataFrame(data, "g string, at bigint").repartition(4)
+    kept = {}
+    for k, t in sorted(data, key=lambda x: (x[0] or "", x[1])):
+        own = kept.setdefault(k, [])
+        if not own or not 0 < t - own[-1] < 10:
+            own.append(t)
+    for limit in (1000, 8):
+        monkeypatch.setattr(peri, "WALK", limit)
+        got = collected(peri.keep_apart(df, ["g"], "at", 10))
+        assert got == sorted([(k, t) for k, own in kept.items() for t in own], key=repr)

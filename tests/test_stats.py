@@ -138,3 +138,20 @@ def test_ranges_of_large_groups_change_no_statistic(spark, monkeypatch):
     whole = run()
     monkeypatch.setattr(scan, "ROWS", 10)
     assert repr(run()) == repr(whole)
+
+
+def test_curves_of_large_and_small_groups_agree(spark, monkeypatch):
+    g = np.random.default_rng(23)
+    x = np.linspace(0, 30, 60)
+    rows = [(k or None, float(p), float(12 / (1 + np.exp((15 - p) / s)) + g.normal() * 0.2)) for k, s in (("a", 2.0), ("", 4.0)) for p in x for _ in range(2)]
+    rows += [("flat", float(p), 1.0) for p in x] + [("few", 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(3)
+    fits = {}
+    for limit in (1000, 1):
+        monkeypatch.setattr(stats, "CURVE", limit)
+        got = stats.sigmoid(df, ["g"], "x", "y", points=3).collect()
+        fits[limit] = {(r.g, r.x): (r.asym, r.xmid, r.scal, r.y) for r in got}
+        assert len(got) == len(fits[limit]) == 12
+    for k, v in fits[1000].items():
+        assert fits[1][k] == (pytest.approx(v, rel=1e-6) if v[0] is not None else v)
+    assert fits[1]["a", 0.0][:3] == pytest.approx((12, 15, 2), rel=0.1) and fits[1]["flat", 0.0][0] is None and fits[1]["few", 0.0][0] is None

@@ -91,11 +91,20 @@ def t10_pairwise_rank_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stats.pairwise_rank_sum(trials(spark, sf_dir), ["status"], "price", "grp"))
 
 
-@query("t11_sigmoid")
+# Plain Gauss-Newton steps from the coefficients that the values were made with, solved by Cramer's rule.
+CURVE_SQL = """c AS (SELECT grp, (k % 30)::DOUBLE AS x, avg(price % 7 + 100 / (1 + exp((12 - k % 30) / 3))) AS y, count(*) AS w FROM tr GROUP BY grp, k % 30),
+st(grp, n, a, m, s) AS (SELECT DISTINCT grp, 0, 103.0::DOUBLE, 12.0::DOUBLE, 3.0::DOUBLE FROM c UNION ALL
+ SELECT grp, n + 1, a + (b1 * (a22 * a33 - a23 * a23) - a12 * (b2 * a33 - a23 * b3) + a13 * (b2 * a23 - a22 * b3)) / det, m + (a11 * (b2 * a33 - a23 * b3) - b1 * (a12 * a33 - a23 * a13) + a13 * (a12 * b3 - b2 * a13)) / det, s + (a11 * (a22 * b3 - b2 * a23) - a12 * (a12 * b3 - b2 * a13) + b1 * (a12 * a23 - a22 * a13)) / det
+ FROM (SELECT *, a11 * (a22 * a33 - a23 * a23) - a12 * (a12 * a33 - a23 * a13) + a13 * (a12 * a23 - a22 * a13) AS det FROM (
+  SELECT grp, n, a, m, s, sum(w * g * g) AS a11, sum(w * g * p) AS a12, sum(w * g * q) AS a13, sum(w * p * p) AS a22, sum(w * p * q) AS a23, sum(w * q * q) AS a33, sum(w * g * r) AS b1, sum(w * p * r) AS b2, sum(w * q * r) AS b3 FROM (
+   SELECT *, y - a * g AS r, -a * g * (1 - g) / s AS p, a * g * (1 - g) * (m - x) / (s * s) AS q FROM (SELECT st.*, c.x, c.y, c.w, 1 / (1 + exp((m - x) / s)) AS g FROM st JOIN c USING (grp) WHERE n < 15)) GROUP BY ALL)))"""
+
+
+@query("t11_sigmoid", f"WITH RECURSIVE {TRIALS_SQL}, {CURVE_SQL} SELECT grp, round(a, 4) AS asym, round(m, 4) AS xmid, round(s, 4) AS scal, round(k * 30 / 99.0::DOUBLE, 6) AS x, round(a / (1 + exp((m - k * 30 / 99.0::DOUBLE) / s)), 4) AS y FROM st, range(100) AS t(k) WHERE n = 15")
 def t11_sigmoid(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = trials(spark, sf_dir).withColumn("x", F.col("k") % 30)
     t = t.withColumn("y", F.col("price") % 7 + 100 / (1 + F.exp((12 - F.col("x")) / 3)))
-    return stats.sigmoid(t, ["grp"], "x", "y")
+    return rounded(stats.sigmoid(t, ["grp"], "x", "y"), asym=4, xmid=4, scal=4, y=4)
 
 
 @query("t12_anova_between", f"WITH {TRIALS_SQL}, g AS (SELECT status, grp, avg(price) AS m, var_pop(price) AS v, count(*) AS n FROM tr GROUP BY ALL), a AS (SELECT status, avg(price) AS mm FROM tr GROUP BY 1), s AS (SELECT status, sum(n * power(m - mm, 2)) AS e, sum(v * n) AS r, count(*) - 1 AS d1, sum(n) - count(*) AS d2 FROM g JOIN a USING (status) GROUP BY 1) SELECT status, round(e / 1e6, 3) AS ss_effect, round(r / 1e6, 3) AS ss_error, CAST(d1 AS DOUBLE) AS df_effect, CAST(d2 AS DOUBLE) AS df_error, round((e / d1) / (r / d2), 6) AS statistic FROM s")

@@ -13,13 +13,24 @@ from tracewell.operators.scan import met, ranges, scan
 from tracewell.sources.scratch import saved
 
 
+WALK = 1 << 16  # events of a run that are walked in one task
+
+
 def keep_apart(events: DataFrame, keys: list[str], time: str, gap: int) -> DataFrame:
     """Without events that start less than `gap` after the last kept event of their group. Events at
-    the same time as it stay. What is kept depends on what was kept before, so each run of events
-    that follow each other closely is walked in order; runs are split first by a window."""
-    ordered = Window.partitionBy(*keys).orderBy(time)
-    run = events.withColumn("_new", (F.col(time) - F.lag(time).over(ordered) >= gap) | F.lag(time).over(ordered).isNull())
-    run = run.withColumn("_run", F.sum(F.col("_new").cast("int")).over(ordered.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    the same time as it stay.
+
+    What is kept depends on what was kept before. Events that follow each other closely are a run, whose
+    first is kept; runs of up to WALK events are walked in order. In longer ones each time is linked to the
+    first one at least `gap` later, and the times that can be reached from the first are marked by doubling:
+    a round joins the marked times with links twice as long as the round before."""
+    cut, many = ranges(events.withColumn("_tie", F.monotonically_increasing_id()), keys, time)
+    cut = scan(cut.withColumn("_at", F.col("_cut")), keys, [time, "_tie"], many, previous={"_p": F.col(time)})
+    fresh = F.coalesce(F.col(time) - F.col("_p") >= gap, F.lit(True)).cast("long")
+    run = cut.withColumn("_new", fresh).withColumnRenamed("_at", "_cut")
+    run = saved(scan(saved(run, "runs") if many else run, keys, [time, "_tie"], many, sums={"_run": F.col("_new")}).drop("_new", "_p", "_tie"), "runs")
+    by = [*keys, "_run"]
+    long = saved(run.groupBy(*by).agg(F.count("*").alias("_n")).where(F.col("_n") > WALK).drop("_n"), "long-runs")
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         kept, last = [], None
@@ -29,7 +40,28 @@ def keep_apart(events: DataFrame, keys: list[str], time: str, gap: int) -> DataF
             last = t if kept[-1] else last
         return pdf[kept]
 
-    return run.groupBy(*keys, "_run").applyInPandas(walk, run.schema).drop("_run")
+    if long.isEmpty():
+        return run.groupBy(*by).applyInPandas(walk, run.schema).drop("_run")
+    walked = met(run, long, by, "left_anti").groupBy(*by).applyInPandas(walk, run.schema)
+    rest = met(run, long, by, "left_semi")
+    return walked.unionByName(met(rest, _reached(rest, by, time, gap), [*by, time], "left_semi")).drop("_run")
+
+
+def _reached(rows: DataFrame, by: list[str], time: str, gap: int) -> DataFrame:
+    """(by, time): the first time of each group, the first one at least `gap` after it, and so on."""
+    times = saved(rows.select(*by, time).distinct(), "run-times")
+    probes = times.select(*by, (F.col(time) + gap).alias("_t"), F.lit(0).alias("_kind"), F.col(time).alias("_from"))
+    both = probes.unionByName(times.select(*by, F.col(time).alias("_t"), F.lit(1).alias("_kind")), allowMissingColumns=True)
+    both, many = ranges(both, by, "_t")
+    links = scan(both, by, ["_t", "_kind"], many, nexts={"_to": F.when(F.col("_kind") == 1, F.col("_t"))})
+    links = saved(links.where("_kind = 0 AND _to IS NOT NULL").select(*by, F.col("_from").alias(time), "_to"), "links")
+    marked = saved(times.groupBy(*by).agg(F.min(time).alias(time)), "marked")
+    while not links.isEmpty():
+        more = met(links, marked, [*by, time], "left_semi").select(*by, F.col("_to").alias(time))
+        marked = saved(marked.unionByName(more).distinct(), "marked")
+        onward = links.select(*by, F.col(time).alias("_to"), F.col("_to").alias("_far"))
+        links = saved(met(links, onward, [*by, "_to"]).select(*by, time, F.col("_far").alias("_to")), "links")
+    return marked
 
 
 def _of(x: int | str) -> Column:

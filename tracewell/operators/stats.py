@@ -12,9 +12,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from tracewell.functions import dist
 from tracewell.operators.scan import met, ranges
@@ -215,26 +216,73 @@ def pairwise_rank_sum(df: DataFrame, keys: list[str], value: str, group: str, p_
     return _rank_sum(both, [*keys, "group1", "group2"], p_value, exact=False)
 
 
-def sigmoid(df: DataFrame, keys: list[str], x: str, y: str, points: int = 100, low: float = 0.0, high: float = 30.0) -> DataFrame:
-    """Logistic curve asym / (1 + exp((xmid - x) / scal)) fitted a group by damped Gauss-Newton: its
-    coefficients and predictions on a grid; nulls where it doesn't converge. A group is small: means of
-    y by x are taken first."""
-    means = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, F.col(x).cast("double").alias("_x")).agg(F.avg(y).alias("_y"), F.count("*").alias("_w"))
-    kinds = dict(df.dtypes)
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", asym double, xmid double, scal double, x double, y double"
-    grid = np.linspace(low, high, points)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = _logistic(pdf["_x"].to_numpy(float), pdf["_y"].to_numpy(float), pdf["_w"].to_numpy(float))
-        out = pd.DataFrame({k: [pdf[k].iloc[0]] * points for k in keys})
-        a, m, s = found if found is not None else (None, None, None)
-        return out.assign(asym=a, xmid=m, scal=s, x=grid, y=None if found is None else a / (1 + np.exp(np.clip((m - grid) / s, -700, 700))))
+CURVE = 1 << 16  # distinct x of a group whose curve is fitted in one task
 
-    return means.groupBy(*keys).applyInPandas(fit, schema)
 
-
-def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float, float] | None:
-    if len(np.unique(x)) < 4 or np.ptp(y) == 0:
+def sigmoid(df: DataFrame, keys: list[str], x: str, y: str, points: int = 100, low: float = 0.0, high: float = 30.0, rounds: int = 200) -> DataFrame:
+    """Logistic curve asym / (1 + exp((xmid - x) / scal)) fitted a group by damped Gauss-Newton: its
+    coefficients and predictions on a grid; nulls where it doesn't converge.
+
+    Means of y by x are taken first. Groups of up to CURVE distinct x are fitted each in one task. For larger
+    ones every round is one aggregate of the normal equations at the groups' next coefficients, and a small
+    table of a row a group, written each round, holds what is known of them. Both ways take the same steps."""
+    means = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*keys, F.col(x).cast("double").alias("_x")).agg(F.avg(y).cast("double").alias("_y"), F.count("*").cast("double").alias("_w"))
+    means = saved(means, "curve-means")
+    sizes = saved(means.groupBy(*keys).agg(F.count("*").alias("_n")), "curve-sizes")
+    kinds = dict(df.dtypes)
+    named = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", " * bool(keys)
+
+    def alone(rows: pa.Table) -> pa.Table:
+        found = _logistic(*(rows.column(c).to_numpy() for c in ("_x", "_y", "_w")), rounds)
+        return rows.slice(0, 1).select(keys).append_column("_b", pa.array([found], pa.list_(pa.float64())))
+
+    fits = met(means, sizes.where(F.col("_n") <= CURVE), keys, "left_semi").groupBy(*keys).applyInArrow(alone, f"{named}_b array<double>")
+    large = sizes.where(F.col("_n") > CURVE)
+    if not large.isEmpty():
+        fits = fits.unionByName(_large_curves(met(means, large, keys, "left_semi"), keys, rounds))
+    b = [F.element_at("_b", k) for k in (1, 2, 3)]
+    grid = F.explode(F.array(*[F.lit(float(v)) for v in np.linspace(low, high, points)])).alias("x")
+    out = fits.select(*keys, *[v.alias(n) for v, n in zip(b, ("asym", "xmid", "scal"), strict=True)], grid)
+    power = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), (F.col("xmid") - F.col("x")) / F.col("scal")))
+    return out.withColumn("y", F.when(F.col("asym").isNotNull(), F.col("asym") / (1 + F.exp(power))))
+
+
+def _large_curves(means: DataFrame, keys: list[str], rounds: int) -> DataFrame:
+    """(keys, _b) of groups of any size, a round of all of them at a time."""
+    top = F.when(F.max("_y") > 0, F.max("_y") * 1.05).otherwise(1.0)
+    tops = saved(means.groupBy(*keys).agg(top.alias("_top"), (F.max("_y") > F.min("_y")).alias("_varies"), F.count("*").alias("_n")), "curve-tops")
+    inside = met(means, tops, keys).where((F.col("_y") > 0) & (F.col("_y") < F.col("_top"))).withColumn("_z", F.log(F.col("_y") / (F.col("_top") - F.col("_y"))))
+    lines = inside.groupBy(*keys, "_top", "_varies", "_n").agg(F.regr_slope("_z", "_x").alias("_m"), F.regr_intercept("_z", "_x").alias("_c"), F.count("*").alias("_in"))
+    begin = F.when((F.col("_n") >= 4) & F.col("_varies") & (F.col("_in") >= 2) & (F.col("_m") != 0), F.array(F.col("_top"), -F.col("_c") / F.col("_m"), 1 / F.col("_m")))
+    none = {"_b": "array<double>", "_held": "array<double>", "_loss": "double"}
+    state = lines.select(*keys, begin.alias("_new")).withColumns({c: F.lit(None).cast(t) for c, t in none.items()} | {"_damp": F.lit(1e-3)}).where("_new IS NOT NULL")
+    state = saved(state, "curve")
+    done = met(tops.select(*keys), state, keys, "left_anti").withColumn("_b", F.lit(None).cast("array<double>"))
+    schema = StructType([*state.schema.fields, StructField("_done", BooleanType())])
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [r | _logistic_step(r) for r in b.to_pylist()]
+            columns = [b.column(k) if k in keys else pa.array([r[k] for r in rows], pa.list_(pa.float64()) if k in ("_new", "_b", "_held") else pa.bool_() if k == "_done" else pa.float64()) for k in schema.names]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    for _ in range(rounds):
+        if state.isEmpty():
+            break
+        rows = met(means, state, keys)
+        a, mid, scale = (F.element_at("_new", k) for k in (1, 2, 3))
+        rows = rows.withColumn("_g", 1 / (1 + F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), (mid - F.col("_x")) / scale)))))
+        rows = rows.withColumns({"_d": a * F.col("_g") * (1 - F.col("_g")), "_r": F.col("_y") - a * F.col("_g")})
+        rows = rows.withColumns({"_j0": F.col("_g"), "_j1": -F.col("_d") / scale, "_j2": F.col("_d") * (mid - F.col("_x")) / (scale * scale)})
+        products = [F.col(f"_j{i}") * F.col(f"_j{j}") for i in range(3) for j in range(i, 3)] + [F.col(f"_j{i}") * F.col("_r") for i in range(3)] + [F.col("_r") * F.col("_r")]
+        sums = rows.groupBy(*keys, *[c for c in state.columns if c not in keys]).agg(F.array(*[F.sum(F.col("_w") * p) for p in products]).alias("_sums"))
+        moved = saved(sums.mapInArrow(step, schema), "curve")
+        done, state = done.unionByName(moved.where("_done").select(*keys, "_b")), moved.where("not _done").drop("_done")
+    return done.unionByName(state.select(*keys, F.lit(None).cast("array<double>").alias("_b")))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int) -> list[float] | None:
+    if len(x) < 4 or np.ptp(y) == 0:
         return None
     top = y.max() * 1.05 if y.max() > 0 else 1.0
     inside = (y > 0) & (y < top)
@@ -243,32 +291,45 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
     slope, cut = np.polyfit(x[inside], np.log(y[inside] / (top - y[inside])), 1)
     if slope == 0:
         return None
-    b, damp = np.array([top, -cut / slope, 1 / slope]), 1e-3
-
-    def curve(p: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(np.clip((p[1] - x) / p[2], -700, 700)))
-
-    loss = float((w * (y - b[0] * curve(b)) ** 2).sum())
-    for _ in range(200):
-        g = curve(b)
-        d = b[0] * g * (1 - g)
-        jac = np.stack([g, -d / b[2], d * (b[1] - x) / b[2] ** 2], axis=1)
-        grid = jac.T @ (jac * w[:, None])
-        step = np.linalg.lstsq(grid + damp * np.diag(np.maximum(np.diag(grid), 1e-12)), jac.T @ (w * (y - b[0] * g)), rcond=None)[0]
-        new = b + step
-        now = float((w * (y - new[0] * curve(new)) ** 2).sum()) if new[2] != 0 else math.inf
-        if now <= loss:
-            done = loss - now <= 1e-12 * (loss + 1e-300) and np.max(np.abs(step)) <= 1e-6 * (1 + np.max(np.abs(b)))
-            b, loss, damp = new, now, damp / 5
-            if done:
-                return tuple(b.tolist()) if np.isfinite(b).all() else None
-        else:
-            damp *= 5
-            if damp > 1e12:
-                return tuple(b.tolist()) if np.isfinite(b).all() else None
+    state = {"_new": [top, -cut / slope, 1 / slope], "_b": None, "_held": None, "_loss": None, "_damp": 1e-3}
+    for _ in range(rounds):
+        a, mid, scale = state["_new"]
+        g = 1 / (1 + np.exp(np.clip((mid - x) / scale, -700, 700)))
+        d, rest = a * g * (1 - g), y - a * g
+        jac = np.stack([g, -d / scale, d * (mid - x) / scale**2])
+        grid, slopes = (jac * w) @ jac.T, (jac * w) @ rest
+        state |= _logistic_step(state | {"_sums": [*grid[np.triu_indices(3)], *slopes, float((w * rest**2).sum())]})
+        if state["_done"]:
+            return state["_b"]
     return None
 
 
+def _logistic_step(r: dict) -> dict:
+    """What is known of a group after the normal equations at its next coefficients `_new` have been summed
+    up: they are taken if the loss is no larger, else the damping grows; and the coefficients to try then."""
+    b, held, loss, damp, done = r["_b"], r["_held"], r["_loss"], r["_damp"], False
+    now = r["_sums"][9] if r["_sums"][9] == r["_sums"][9] else math.inf
+    if b is None or now <= loss:
+        if b is not None:
+            step = np.abs(np.subtract(r["_new"], b)).max()
+            done = loss - now <= 1e-12 * (loss + 1e-300) and step <= 1e-6 * (1 + np.abs(b).max())
+            damp /= 5
+        b, held, loss = list(map(float, r["_new"])), list(map(float, r["_sums"])), float(now)
+    else:
+        damp *= 5
+        done = damp > 1e12
+    grid = np.zeros((3, 3))
+    grid[np.triu_indices(3)] = held[:6]
+    grid += np.triu(grid, 1).T
+    finite = bool(np.isfinite(held).all() and np.isfinite(b).all())
+    new = b
+    if finite and not done:
+        new = (b + np.linalg.lstsq(grid + damp * np.diag(np.maximum(np.diag(grid), 1e-12)), np.array(held[6:9]), rcond=None)[0]).tolist()
+    if not finite or new[2] == 0:
+        b, done = None, True
+    return {"_new": new, "_b": b, "_held": held, "_loss": loss, "_damp": damp, "_done": bool(done)}
+
+
 def stars(p: str = "p_value") -> Column:
     """Label of a p-value: three stars to none."""
     return F.when(F.col(p) < 0.001, "***").when(F.col(p) < 0.01, "**").when(F.col(p) < 0.05, "*").when(F.col(p).isNotNull(), "n.s.")
