@@ -137,3 +137,33 @@ def test_scratch_is_cleared(spark):
     scratch._MADE.clear()
     kept = scratch.saved(spark.range(3), "x")
     assert kept.count() == 3 and scratch.clear() == 1 and scratch.clear() == 0
+
+
+def box_subject(name, group, scalars, arrays, day="03/05/24"):
+    """A subject of an operant-box file, as the boxes write it: rows of five values, each after its number."""
+    lines = ["\r", "\r", f"Start Date: {day}", f"End Date: {day}", f"Subject: {name}", "Experiment: xy", f"Group: {group}", "Box: 2", "Start Time:  8:05:09", "End Time:  9:05:11", "MSN: own_program"]
+    lines += [f"{k}:{v:12.3f}" for k, v in scalars.items()]
+    for k, values in arrays.items():
+        lines.append(f"{k}:")
+        lines += [f"{a:6d}:" + "".join(f"{v:13.3f}" for v in values[a : a + 5]) for a in range(0, len(values), 5)]
+    return lines
+
+
+def test_box_file_to_tidy_tables(spark):
+    counts = [0.0] * 21
+    counts[9], counts[12] = 7.0, 4.0
+    one = box_subject("xy01", "1", {"T": 3600, "V": 33}, {"A": [0.0, 60.0] + [0.0] * 19, "C": counts, "E": [1, 3, 4, 9, 1, 2, 77], "F": [0.5, 1.25, 2, 3, 4, 5, 6.125]})
+    two = box_subject("xy02", "0", {"T": 1800}, {"C": [0.0] * 12 + [2.0], "E": [3.0], "F": [12.5]})
+    text = "\r\n".join(["File: C:\\boxes\\xy_2024_03_05", "", *one, *two]) + "\r\n"
+    texts = spark.createDataFrame([("2024_03_05_xy", text)], "file string, text string")
+    variables = spark.createDataFrame([("right", "C", "10"), ("left", "C", "13"), ("event_id", "E", "vector"), ("event_ts", "F", "vector")], "id string, med_var string, index string")
+    names = spark.createDataFrame([(1, "lick"), (3, "cue_on"), (4, "cue_off"), (9, "pump")], "event_id int, event_id_char string")
+    values = textlog.box_values(texts)
+    tidy = textlog.box_univariate(values, variables, ["right", "left"]).select("file", "n_sbj", "right", "left", "experiment", "group", "start_date", "subject")
+    assert sorted(map(tuple, tidy.collect())) == [("2024_03_05_xy", 1, 7.0, 4.0, "xy", "1", "03/05/24", "xy01"), ("2024_03_05_xy", 2, 0.0, 2.0, "xy", "0", "03/05/24", "xy02")]
+    events = textlog.box_events(values, variables, names, ["event_id", "event_ts"]).select("n_sbj", "event_num", "event_id", "event_ts", "event_id_char")
+    told = {1: "lick", 3: "cue_on", 4: "cue_off", 9: "pump"}
+    want = [(1, k + 1, e, t, told.get(e)) for k, (e, t) in enumerate(zip([1, 3, 4, 9, 1, 2, 77], [0.5, 1.25, 2.0, 3.0, 4.0, 5.0, 6.125]))] + [(2, 1, 3, 12.5, "cue_on")]
+    assert sorted(map(tuple, events.collect()), key=lambda r: r[:2]) == want
+    assert sorted((r.n_sbj, r.value) for r in values.where("med_var = 'T'").collect()) == [(1, "3600.000"), (2, "1800.000")]
+    assert values.where("n_sbj = 1 AND med_var = 'A'").count() == 21
