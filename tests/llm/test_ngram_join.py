@@ -240,3 +240,31 @@ def test_sets_with_half_a_hash_in_common_stay_apart(spark):
     assert sorted((r.first, r.copies) for r in classes.collect()) == [(1, 2), (3, 1), (4, 1)]
     whole, again = ngram_join._classes(sig.where("key in (1, 2)"))
     assert whole.count() == 2 and [(r.cls, r.copies) for r in again.collect()] == [(5, 2)]
+
+
+def test_blocks_of_far_sizes_never_meet(spark, monkeypatch):
+    """A possible component of many sizes: a class visits only blocks that hold sizes within the bound."""
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
+    members = spark.createDataFrame([(1, c, n) for c, n in enumerate([10] * 9 + list(range(11, 60)) + [200, 201, 202] + list(range(300, 320)))], "comp bigint, cls bigint, n bigint")
+    rows = {r.n: r for r in ngram_join._by_size(members, 80).collect()}
+    for n, r in rows.items():
+        near = [x for m, x in rows.items() if 100 * min(n, m) >= 80 * max(n, m)]
+        assert r.low <= min(x["at"] for x in near) and r.high >= max(x["at"] + x.parts - 1 for x in near)
+        far = [x for m, x in rows.items() if 100 * min(n, m) < 78 * max(n, m)]
+        assert all(x["at"] + x.parts - 1 <= r.low or x["at"] >= r.high for x in far)
+    assert rows[10].parts == 3 and rows[10].high < rows[200].low and rows[200].high <= rows[300].low
+    sizes = [r.n for r in members.collect()]
+    assert max(r.blocks for r in rows.values()) <= len(sizes) // 4 + 3
+
+
+def test_bit_counts_come_before_intersections():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (50, 55, 60, 300, 310)]
+    sets += [np.unique(np.concatenate([sets[0][:48], rng.integers(0, 2**63, 3).astype(np.uint64)])), sets[4][:300]]
+    held = ngram_join._Sets(sets)
+    for grams in sets:
+        near = np.array([k for k, s in enumerate(sets) if 100 * min(len(s), len(grams)) >= 80 * max(len(s), len(grams))])
+        want = [k for k in near if 100 * len(np.intersect1d(grams, sets[k])) >= 80 * len(np.union1d(grams, sets[k]))]
+        left = held._possible(grams, near, 80)
+        assert set(want) <= set(left.tolist()) < set(near.tolist()) | {-1}
+        assert held.linked(grams, np.arange(len(sets)), 80).tolist() == want

@@ -11,8 +11,9 @@ pairs already connected; `links` gives every link between classes and the number
    in cells, so a task holds two sides at most. Inside a tile classes are sorted by size, and for sizes
    close enough the bit counts of hashed bitmap signatures bound the overlap from above. A pair that
    passes is a possible link; a tile emits possible links that connect what its pairs connect.
-4. Components of possible links are cut in blocks of bounded size. In a block the sorted arrays of
-   the n-grams are intersected exactly, skipping only pairs already connected. Between blocks of
+4. Components of possible links are cut in blocks of bounded size, in order of the sets' sizes, so only blocks
+   of near sizes meet. In a block, where bit counts leave a link possible, the sorted arrays of the n-grams
+   are intersected exactly, skipping only pairs already connected. Between blocks of
    one component, all classes are held against the root of its largest cluster. What stays outside
    that cluster meets the blocks in batches of a block's size, first by larger signatures only; the
    text of a class goes only to the blocks where the bit counts leave a link possible. So no link
@@ -35,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.llm import wordhash
@@ -302,7 +303,8 @@ def _celled(rows: DataFrame, sig: DataFrame) -> DataFrame:
 
 
 class _Sets:
-    """The n-gram sets of a block over dense numbers, to intersect one set with many exactly."""
+    """The n-gram sets of a block over dense numbers, to intersect one set with many exactly, those that
+    the bit counts of their signatures leave a chance."""
 
     def __init__(self, sets: list[np.ndarray]) -> None:
         self.sizes = np.array([len(s) for s in sets], np.int64)
@@ -310,6 +312,23 @@ class _Sets:
         self.values, at = np.unique(every, return_inverse=True)
         self.at, self.starts = at, np.concatenate([[0], np.cumsum(self.sizes)])
         self.mark = np.zeros(len(self.values), np.int32)
+        bits = np.array([width(n) for n in self.sizes.tolist()])
+        self.stacks: list[tuple[np.ndarray, np.ndarray]] = []  # rows of one width, and their signatures
+        self.stack_of, self.place = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
+        for k, w in enumerate(sorted(set(bits.tolist()))):
+            rows = np.flatnonzero(bits == w)
+            self.stacks.append((rows, np.stack([np.frombuffer(bitmap(sets[r], w), np.uint64) for r in rows])))
+            self.stack_of[rows], self.place[rows] = k, np.arange(len(rows))
+
+    def _possible(self, grams: np.ndarray, rows: np.ndarray, percent: int) -> np.ndarray:
+        """Those of `rows` whose overlap with the set `grams` may be large enough by the bit counts."""
+        mine, m, kept = np.frombuffer(bitmap(grams, width(len(grams))), np.uint64), len(grams), []
+        for k in np.unique(self.stack_of[rows]).tolist():
+            some = rows[self.stack_of[rows] == k]
+            n = self.sizes[some]
+            most = _most(n, self.stacks[k][1][self.place[some]], m, mine)
+            kept.append(some[(100 + percent) * most >= percent * (m + n)])
+        return np.sort(np.concatenate(kept)) if kept else rows
 
     def linked(self, grams: np.ndarray, rows: np.ndarray, percent: int) -> np.ndarray:
         """Which of `rows` link with the set `grams`."""
@@ -318,6 +337,7 @@ class _Sets:
     def common(self, grams: np.ndarray, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
         """Which of `rows` link with the set `grams`, and the sizes of their intersections."""
         near = rows[(100 * self.sizes[rows] >= percent * len(grams)) & (100 * len(grams) >= percent * self.sizes[rows])]
+        near = self._possible(grams, near, percent) if len(near) else near
         if not len(near):
             return near, near
         where = np.searchsorted(self.values, grams)
@@ -453,7 +473,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     """(key, n_shingles, component_id) of every row of `docs`, linking sets whose Jaccard similarity
     is `percent` / 100 or more."""
     sig, classes, possible = _candidates(docs, key, text, size, percent)
-    clusters = saved(_verified(_members(docs, classes, possible, key, text), size, percent), "clusters")
+    clusters = saved(_verified(_members(docs, classes, possible, key, text, percent), size, percent), "clusters")
     return _named(sig, classes, clusters, key).drop("class")
 
 
@@ -468,11 +488,11 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     and sum the links of a class before they are shuffled. The second table is worked out only when it is
     read."""
     sig, classes, possible = _candidates(docs, key, text, size, percent)
-    held = _members(docs, classes, possible, key, text)
+    held = _members(docs, classes, possible, key, text, percent)
     wide = held.where("blocks > 1").withColumn("root", F.col("cls"))
     signed = wide.repartition("comp", "block").groupBy("comp", "block").applyInPandas(_signed_block(size), "cls bigint, root bigint, comp bigint, block int, n bigint, bits binary")
     signed = saved(signed, "block-signatures")
-    visits = saved(_visits(signed, signed, percent, later=True), "visits")
+    visits = saved(_visits(signed, signed, held.select("cls", "low", "high"), percent, later=True), "visits")
     guests = visits.join(wide.drop("block", "comp"), "cls")
 
     def found(counts: bool) -> DataFrame:
@@ -543,25 +563,47 @@ def _verified(held: DataFrame, size: int, percent: int) -> DataFrame:
     lead_root = saved(now.join(largest, "comp").where("cls = lead").select("comp", F.col("root").alias("lead_root")), "lead-roots")
     several = now.where(F.col("bits").isNotNull())
     outside = several.join(lead_root, "comp").where("root <> lead_root").drop("lead_root")
-    visits = saved(_visits(several, outside, percent), "visits")
+    visits = saved(_visits(several, outside, held.select("cls", "low", "high"), percent), "visits")
     guests = visits.join(wide.drop("root", "block", "comp"), "cls").join(now.select("cls", "root"), "cls")
     second = _meet(wide.drop("root").join(now.select("cls", "root"), "cls"), guests, size, percent)
     merged = components(second)
     final = now.join(merged.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
     return final.select("cls", F.coalesce("top", "root").alias("root"))
 
-def _members(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str, text: str) -> DataFrame:
-    """(comp, block, blocks, cls, n, copies, text): the classes of possible components, dealt over blocks.
+def _members(docs: DataFrame, classes: DataFrame, possible: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+    """(comp, block, blocks, low, high, cls, n, copies, text): the classes of possible components, dealt over
+    blocks by size; those that a class may link with are in the blocks from low to high.
 
     What is known of a component is written before it is joined, and groups are dealt anew before they
     are worked on: else Spark would keep the join's dealing by component, and so a component in a task."""
     members = saved(possible.select(F.col("node").alias("cls"), F.col("root").alias("comp")).join(classes, "cls"), "possible")
-    sizes = saved(members.groupBy("comp").agg(_cut().alias("blocks")), "component-sizes")
-    members = members.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    sizes = saved(_by_size(members, percent), "component-sizes")
+    members = members.join(sizes, ["comp", "n"]).withColumn("block", (F.col("at") + F.pmod(F.xxhash64("cls"), F.col("parts"))).cast("int"))
     # A class's text is found by key and hash, as null and repeated keys do not tell texts apart.
     texts = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
     held = texts.join(members, F.col("_key").eqNullSafe(F.col("first")) & (F.col("_hash") == F.col("hash")))
-    return saved(held.select("comp", "block", "blocks", "cls", "n", "copies", "text").dropDuplicates(["cls"]), "members")
+    return saved(held.select("comp", "block", "blocks", "low", "high", "cls", "n", "copies", "text").dropDuplicates(["cls"]), "members")
+
+
+def _by_size(members: DataFrame, percent: int) -> DataFrame:
+    """(comp, n, at, parts, blocks, low, high): the blocks of the classes of each size `n` of a component, from
+    `at` on, `parts` of them; how many blocks the component has; and the first and last block that may
+    hold a class of a size near enough to link. A component's sizes in order fill its blocks, a block with
+    one size or some that follow each other; a row a size, so a component's rows are few."""
+    share = F.greatest(F.count("*") / BLOCK_CLASSES, F.sum("n") / BLOCK_GRAMS)
+    rows = members.groupBy("comp", "n").agg(share.alias("_share"))
+    ordered = Window.partitionBy("comp").orderBy("n")
+    rows = rows.withColumn("_before", F.coalesce(F.sum("_share").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    rows = rows.withColumns({"at": F.floor("_before").cast("int"), "parts": F.greatest(F.lit(1), F.ceil("_share")).cast("int")})
+    rows = rows.withColumn("_end", F.col("at") + F.col("parts") - 1)
+    # Sizes of a factor of 100 / percent lie within a fixed reach of their logarithms, rounded outwards.
+    scale = 1 << 30
+    near = Window.partitionBy("comp").orderBy("_log")
+    reach = math.ceil(math.log(100 / percent) * scale) + 2
+    rows = rows.withColumn("_log", F.floor(F.log("n") * scale).cast("long"))
+    low, high = F.min("at").over(near.rangeBetween(-reach, reach)), F.max("_end").over(near.rangeBetween(-reach, reach))
+    blocks = F.max("_end").over(Window.partitionBy("comp")) + 1
+    return rows.select("comp", "n", "at", "parts", blocks.cast("int").alias("blocks"), low.cast("int").alias("low"), high.cast("int").alias("high"))
 
 
 def _cut() -> Column:
@@ -569,17 +611,17 @@ def _cut() -> Column:
     return F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int")
 
 
-def _visits(own: DataFrame, outside: DataFrame, percent: int, later: bool = False) -> DataFrame:
+def _visits(own: DataFrame, outside: DataFrame, reach: DataFrame, percent: int, later: bool = False) -> DataFrame:
     """(comp, block, batch, cls): the blocks that each class of `outside` has to visit, if `later` only
-    those after its own. Signatures of a component's guests, in batches of a block's size, meet those of
+    those after its own. `reach` has (cls, low, high): no other blocks hold classes of a size near enough. Signatures of a component's guests, in batches of a block's size, meet those of
     each block."""
     columns = ["comp", "block", "batch", "cls", "n", "root", "bits", "guest"]
-    outside = saved(outside, "outside")
+    outside = saved(outside.join(reach, "cls"), "outside")
     batches = outside.groupBy("comp").agg(_cut().alias("batches"))
-    batches = saved(batches.join(own.groupBy("comp").agg(F.max("block").alias("_last")), "comp"), "batches")
+    batches = saved(batches, "batches")
     dealt = outside.withColumnRenamed("block", "_own").join(batches, "comp").withColumn("batch", F.pmod(F.xxhash64(F.lit("guest"), "cls"), F.col("batches")).cast("int"))
-    first = F.col("_own") + 1 if later else F.lit(0)
-    dealt = dealt.where(first <= F.col("_last")).withColumn("block", F.explode(F.sequence(first, F.col("_last")))).withColumn("guest", F.lit(True))
+    first = F.greatest(F.col("low"), F.col("_own") + 1) if later else F.col("low")
+    dealt = dealt.where(first <= F.col("high")).withColumn("block", F.explode(F.sequence(first, F.col("high")))).withColumn("guest", F.lit(True))
     hosts = own.join(batches, "comp").withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1))).withColumn("guest", F.lit(False))
     both = hosts.select(columns).unionByName(dealt.select(columns)).repartition("comp", "block", "batch")
     return both.groupBy("comp", "block", "batch").applyInPandas(_possible(percent), "comp bigint, block int, batch int, cls bigint")
