@@ -28,6 +28,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ from tracewell.llm import tokens
 from tracewell.llm.common import saved
 
 CAPACITY = 2048
+TEXTS = 256  # held as Python strings at once
 RUN, LEAST, SHARES = 100_000, 256, 1024  # pieces of a length ranked together: one in SHARES of all, within LEAST and RUN, about
 
 
@@ -49,15 +51,18 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokens.word_tokens(vocabulary)
+        pa.default_memory_pool().release_unused()  # a worker that has done other work first may hold its memory
         for b in batches:
             rows: list[tuple] = []
             at: list[int] = []
-            for k, ids in enumerate(coder.encode(b.column(1).to_pylist())):
+            # Texts are taken from the batch a few at a time, and ids are kept only where they are asked for.
+            parts = (b.column(1).slice(a, TEXTS).to_pylist() for a in range(0, b.num_rows, TEXTS))
+            for k, ids in enumerate(chain.from_iterable(map(coder.encode, parts))):
                 ids += end
                 for i, a in enumerate(range(0, len(ids), step)):
                     part = ids[a : a + step]
                     at.append(k)
-                    rows.append((i, a // 4, len(part) // 4, zlib.crc32(part), part))
+                    rows.append((i, a // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
             cols = [b.column(0).take(pa.array(at, pa.int64()))]
             cols += [pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
             if with_ids:
