@@ -90,7 +90,7 @@ def a5_linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a6_huber_fit")
 def a6_huber_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signal.huber_fit(pairs(spark, sf_dir), signal.FIT_KEYS, "control", "signal", "control_fitted")
+    return signal.huber_fit(saved(pairs(spark, sf_dir), "pairs"), signal.FIT_KEYS, "control", "signal", "control_fitted")
 
 
 def stationary(rows: DataFrame, keys: list[str], rest: Column) -> DataFrame:
