@@ -9,6 +9,7 @@ from tracewell.jobs.orthogonal import fit_sql
 from tracewell.jobs.registry import query
 from tracewell.operators import camera
 from tracewell.sources.adapters import STREAM_ORDER
+from tracewell.sources.scratch import saved
 
 FRAMES_SQL = f"""fr AS (SELECT 's' || l_suppkey AS session_name, row_number() OVER (PARTITION BY l_suppkey ORDER BY {', '.join(STREAM_ORDER)}) AS frame_counter, floor(l_extendedprice) AS region0r, floor(l_extendedprice) + l_quantity AS region1g, floor(l_extendedprice) * 2 AS region2r FROM lineitem),
 frames AS (SELECT *, frame_counter * 25.0::DOUBLE AS timestamp, CAST(frame_counter % 3 + 1 AS INTEGER) AS led_state, CAST(frame_counter // 10 % 2 AS INTEGER) AS input0 FROM fr),
@@ -57,7 +58,7 @@ long AS (SELECT * FROM regions JOIN channels USING (session_name, led_state, roi
 
 
 def long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = frames(spark, sf_dir)
+    f = saved(frames(spark, sf_dir), "frames")
     rows = camera.region_rows(camera.with_clock(f, clock(f)), ["session_name", "frame_counter", "led_state", "ts_comp"])
     return camera.of_channels(rows, channels(spark, sf_dir))
 
@@ -89,7 +90,7 @@ def w16_clock_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("j14_stamps", f"WITH {FRAMES_SQL} SELECT DISTINCT session_name, frame_counter, timestamp AS ts_npm, ts_comp FROM frames LEFT JOIN clock USING (session_name, frame_counter)")
 def j14_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = frames(spark, sf_dir)
+    f = saved(frames(spark, sf_dir).select("session_name", "frame_counter", "timestamp"), "frames")
     return camera.stamps(camera.with_clock(f, clock(f)))
 
 
@@ -145,7 +146,7 @@ m AS (SELECT session_name, blockname, branch_id, channel_wavelength, event_numbe
 SELECT * EXCLUDE (bin), bin * 250000 - 500000 AS time_rel FROM m QUALIFY bin < max(bin) OVER (PARTITION BY session_name, blockname, branch_id, event_number)""",
 )
 def r3_camera_peth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f, ids = frames(spark, sf_dir), channels(spark, sf_dir)
+    f, ids = saved(frames(spark, sf_dir), "frames"), channels(spark, sf_dir)
     marks = f.where("frame_counter % 60 = 30").select("session_name", (F.col("timestamp") + 990).alias("event_ms"), F.col("frame_counter").alias("event_number"))
     kinds = ids.select(*BRANCH, "channel_wavelength", F.when(F.col("channel_wavelength") == "405", "control").otherwise("signal").alias("channel_id"))
     out = camera.processed(f, clock(f), ids, kinds, log(spark, sf_dir), marks, 1, 2, 0.5, 1.0, 0.25)["streams_peth"]

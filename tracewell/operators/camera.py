@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.operators.align import next_frame
 from tracewell.operators.peri import histogram
-from tracewell.operators.scan import ranges, scan
-from tracewell.operators.signal import DELTAS, normalised, polynomial_fits
+from tracewell.operators.scan import ranges, scan, tasks_of
+from tracewell.operators.signal import DELTAS, fitted_deltas
 from tracewell.sources.scratch import saved
 
 
 def region_rows(frames: DataFrame, keys: list[str]) -> DataFrame:
     """One row a frame and region column `region<k><colour>`: roi, channel_color, raw_au."""
     regions = [c for c in frames.columns if c.startswith("region")]
-    rows = frames.unpivot(keys, regions, "_region", "raw_au")
-    return rows.withColumns({"roi": F.regexp_extract("_region", r"(\d+)", 1).cast("int"), "channel_color": F.substring("_region", -1, 1)}).drop("_region")
+    told = [(c, re.search(r"\d+", c)) for c in regions]  # names are read once, not with each row
+    cells = [F.struct(F.col(c).alias("raw_au"), F.lit(int(n[0]) if n else None).cast("int").alias("roi"), F.lit(c[-1]).alias("channel_color")) for c, n in told]
+    return frames.select(*keys, F.inline(F.array(*cells)))
 
 
 def log_channels(log: DataFrame, packed: list[str], keys: list[str], separator: str = r"[^0-9A-Za-z.]+") -> DataFrame:
@@ -30,8 +33,12 @@ def log_channels(log: DataFrame, packed: list[str], keys: list[str], separator:
 
 
 def with_clock(frames: DataFrame, clock: DataFrame) -> DataFrame:
-    """Frames with the computer's time, by session and frame number."""
-    return frames.join(clock, ["session_name", "frame_counter"], "left")
+    """Frames with the computer's time, by session and frame number, in as many tasks as the frames need."""
+    by = ["session_name", "frame_counter"]
+    tasks = tasks_of(frames)
+    if tasks:
+        frames, clock = frames.repartition(tasks, *by), clock.repartition(tasks, *by)
+    return frames.join(clock.hint("merge"), by, "left")  # as long as the frames
 
 
 def of_channels(rows: DataFrame, channels: DataFrame) -> DataFrame:
@@ -55,6 +62,7 @@ def clip_by_clock(rows: DataFrame, ticks: DataFrame, log: DataFrame, time: str =
 
 def clip_by_trim(rows: DataFrame, log: DataFrame, time: str = "ts_comp") -> DataFrame:
     """Rows that are later than the trimmed start and earlier than the trimmed end of their block."""
+    rows = saved(rows, "block-rows")
     span = rows.groupBy("session_name", "blockname").agg(F.min(time).alias("_a"), F.max(time).alias("_z"))
     span = span.join(log.select("session_name", "blockname", "tm_trim_start", "tm_trim_end").distinct(), ["session_name", "blockname"])
     span = span.select("session_name", "blockname", (F.col("_a") + F.col("tm_trim_start") * 1000).alias("_a"), (F.col("_z") - F.col("tm_trim_end") * 1000).alias("_z"))
@@ -75,28 +83,28 @@ def without_artefacts(frames: DataFrame, sds: float, key: str = "session_name")
     return rows.join(limit, key).where(F.col("_limit").isNull() | F.isnan("_limit") | (F.col("_red") <= F.col("_limit"))).drop("_red", "_limit")
 
 
-def with_cycles(rows: DataFrame, keys: list[str], channel: str = "channel_wavelength", time: str = "time") -> DataFrame:
-    """Number of each sample of a channel, and the mean time of the samples of one number."""
+def with_cycles(rows: DataFrame, keys: list[str], channel: str = "channel_wavelength", time: str = "time", also: dict[str, Column] | None = None) -> DataFrame:
+    """Number of each sample of a channel, and the mean time of the samples of one number; `also` names
+    other aggregates of those samples."""
     rows, many = ranges(saved(rows, "channels"), [*keys, channel], time)
     numbered = scan(rows, [*keys, channel], [time], many, number="cycle_number")
-    return numbered.withColumn(time, F.avg(time).over(Window.partitionBy(*keys, "cycle_number")))  # a row a channel
+    cycle = Window.partitionBy(*keys, "cycle_number")  # a row a channel
+    return numbered.withColumns({time: F.avg(time).over(cycle)} | {c: v.over(cycle) for c, v in (also or {}).items()})
 
 
 def cycles_paired(rows: DataFrame, channels: DataFrame, keys: list[str], value: str = "au_smooth_ma") -> DataFrame:
     """Signal samples with the mean of the control samples of their cycle; `channels` tells by
     channel_wavelength which channel_id ('signal' or 'control') it is."""
-    met = with_cycles(rows.join(channels, [*keys, "channel_wavelength"], "left"), keys)
-    control = met.where("channel_id = 'control'").groupBy(*keys, "cycle_number").agg(F.avg(value).alias("control"))
+    control = F.avg(F.when(F.col("channel_id") == "control", F.col(value)))
+    met = with_cycles(rows.join(channels, [*keys, "channel_wavelength"], "left"), keys, also={"control": control})
     signal = met.where("channel_id = 'signal'").withColumnRenamed(value, "signal").drop("channel_id")
-    return signal.where(F.col("signal").isNotNull()).join(control, [*keys, "cycle_number"], "left")
+    return signal.where(F.col("signal").isNotNull())
 
 
 def normalise_cycles(pairs: DataFrame, keys: list[str], degree_control: int | str, degree_time: int | str) -> DataFrame:
     """Fits, residuals, z-scores and dF/F by session, branch and wavelength."""
     by, pairs = [*keys, "channel_wavelength"], saved(pairs, "cycles")
-    out = polynomial_fits(pairs, by, [("control", "signal", degree_control, "control_fitted"), ("time", "signal", degree_time, "poly_signal"), ("time", "control", degree_time, "poly_control")])
-    out = out.withColumns({DELTAS[0]: F.col("signal") - F.col("control_fitted"), DELTAS[1]: F.col("signal") - F.col("poly_signal"), DELTAS[2]: F.col("control") - F.col("poly_control")})
-    return normalised(out, by, DELTAS)
+    return fitted_deltas(pairs, by, [("control", "signal", degree_control, "control_fitted"), ("time", "signal", degree_time, "poly_signal"), ("time", "control", degree_time, "poly_control")])
 
 
 def processed(frames: DataFrame, clock: DataFrame, channels: DataFrame, kinds: DataFrame, log: DataFrame, events: DataFrame, degree_control: int | str, degree_time: int | str, before: float, after: float, width: float) -> dict[str, DataFrame]:
@@ -106,7 +114,7 @@ def processed(frames: DataFrame, clock: DataFrame, channels: DataFrame, kinds: D
     them (streams_peth). `kinds` names signal and control channels of a branch, `events` has
     (session_name, event_ms, event_number); windows are in seconds."""
     branch = ["session_name", "blockname", "branch_id"]
-    timed = with_clock(frames, clock)
+    timed = saved(with_clock(frames, clock), "timed-frames")
     rows = of_channels(region_rows(timed, ["session_name", "frame_counter", "led_state", "ts_comp"]), channels)
     rows = clip_by_trim(rows.where("ts_comp IS NOT NULL"), log)
     rows = rows.select(*branch, "channel_wavelength", F.col("ts_comp").alias("time"), F.col("raw_au").alias("au_smooth_ma"))
