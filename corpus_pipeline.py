@@ -13,6 +13,7 @@ from tracewell.llm.common import saved, table
 
 
 ROW = "_tracewell_row"
+MEMO = 48 << 20  # bytes of parts of texts that a packing task remembers, beside the workers of other stages
 
 
 def _with_row(docs: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their sequence and offset."""
-    return packing.pack(docs)
+    return packing.pack(docs, memo=MEMO)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -2,10 +2,12 @@ import bisect
 import collections
 import hashlib
 import random
+import shutil
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -193,6 +195,28 @@ def test_memo_is_bounded_by_bytes(monkeypatch):
         assert sum(200 + 4 * len(p) + len(x) for p, x in coder.known.items()) < 250_000 and not any(len(p) > tokens.LONG for p in coder.known)
 
 
+def test_packing_with_a_bound_forgets_what_its_tasks_remembered(spark, tmp_path):
+    own = str(tmp_path / "own.json")  # a memo of its own in each worker
+    shutil.copy(public_tokenizers.path(tokens.WORD_FILE), own)
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(300)) + "\nthe same, always") for k in range(200)] + [(200, None), (201, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    bound = 50_000
+
+    def held(batches):
+        for b in batches:
+            coder = tokens._LOADED.get(("word", own))
+            yield pa.RecordBatch.from_arrays([pa.array([-1 if coder is None else coder.held])], names=["held"])
+
+    got = packing.pieces(df, vocabulary=own, memo=bound).collect()
+    kept = [r.held for r in spark.range(64).repartition(16).mapInArrow(held, "held bigint").collect()]
+    assert 0 in kept and max(kept) == 0
+    coder = tokens.WordTokens(own)
+    for _, t in rows:
+        list(coder.encode([t], group=1, most=bound))
+        assert coder.held < 4 * bound
+    assert sorted(got) == sorted(packing.pieces(df, vocabulary=own).collect())
+
+
 def test_lookup_reads_only_what_is_asked(spark, word_library, tmp_path):
     rows = [(k, t) for k, t in enumerate(TEXTS + noise(9, 120))] + [(5, "again")] * 3 + [(None, "none")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)

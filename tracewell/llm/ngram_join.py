@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.llm import wordhash
-from tracewell.llm.common import saved
+from tracewell.llm.common import release, saved
 from tracewell.llm.components import components
 
 BELOW = np.uint64(int(0.22 * 2**64))  # hashes whose frequency is counted
@@ -113,6 +113,7 @@ def signatures(docs: DataFrame, key: str, text: str, size: int, percent: int) ->
                 toks.append(grams[:cut].view(np.int64))
                 bits.append(bitmap(grams, width(len(grams))) if len(grams) else b"")
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(check, pa.int64()), pa.array(toks, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["key", "hash", "n", "cls", "check", "tokens", "bits"])
+        release()
 
     return docs.select(key, F.xxhash64(text), text).mapInArrow(run, f"key {dict(docs.dtypes)[key]}, hash bigint, n bigint, cls bigint, check bigint, tokens array<bigint>, bits binary")
 
@@ -203,6 +204,7 @@ def _prefixes(percent: int):
                         else:
                             out.append((t, -9, cls, n, bits, True))
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()))], names=["token", "band", "cls", "n", "bits", "home"])
+        release()
 
     return run
 
@@ -283,6 +285,8 @@ def _tiles(percent: int):
         if len(rows) > 1:
             out = edges(_tile(rows, percent))
             yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], names=["u", "v"])
+        seen.parent.clear()
+        release()
 
     return run
 

@@ -36,28 +36,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.llm import tokens
-from tracewell.llm.common import saved
+from tracewell.llm.common import release, saved
 
 CAPACITY = 2048
 TEXTS = 256  # held as Python strings at once
 RUN, LEAST, SHARES = 100_000, 256, 1024  # pieces of a length ranked together: one in SHARES of all, within LEAST and RUN, about
 
 
-def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = 0, vocabulary: str = tokens.WORD_FILE, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = 0, vocabulary: str = tokens.WORD_FILE, with_ids: bool = False, memo: int | None = None) -> DataFrame:
     """(key, piece, start, length, ids_crc32[, ids]) of every document's ids and its end id; only
-    documents longer than `capacity` are cut."""
+    documents longer than `capacity` are cut. `memo`: bytes of parts of texts that a task remembers, and
+    forgets when it ends; None: as many as `tokens.MEMO`, kept for the worker's next task."""
     end = np.array([end_id], "<u4").tobytes()
     step = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokens.word_tokens(vocabulary)
-        pa.default_memory_pool().release_unused()  # a worker that has done other work first may hold its memory
+        release()  # a worker that has done other work first may hold its memory
+        try:
+            yield from cut(coder, batches)
+        finally:
+            if memo is not None:
+                coder.forget()
+                release()
+
+    def cut(coder: tokens.WordTokens, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []
             at: list[int] = []
             # Texts are taken from the batch a few at a time, and ids are kept only where they are asked for.
             parts = (b.column(1).slice(a, TEXTS).to_pylist() for a in range(0, b.num_rows, TEXTS))
-            for k, ids in enumerate(chain.from_iterable(map(coder.encode, parts))):
+            for k, ids in enumerate(chain.from_iterable(coder.encode(p, most=memo) for p in parts)):
                 ids += end
                 for i, a in enumerate(range(0, len(ids), step)):
                     part = ids[a : a + step]
@@ -157,8 +166,8 @@ def packed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return full.unionByName(placed.select(full.columns))
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = 0, vocabulary: str = tokens.WORD_FILE, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = 0, vocabulary: str = tokens.WORD_FILE, with_ids: bool = False, memo: int | None = None) -> DataFrame:
     """Tokenise and pack. The pieces, without ids some tens of bytes each, are written once in the
     shared folder and read for the counts and for the placing."""
-    rows = pieces(docs, key, text, capacity, end_id, vocabulary, with_ids).withColumn("_row", F.monotonically_increasing_id())
+    rows = pieces(docs, key, text, capacity, end_id, vocabulary, with_ids, memo).withColumn("_row", F.monotonically_increasing_id())
     return packed(saved(rows, "pieces"), capacity)
