@@ -52,3 +52,17 @@ def test_entry_names_only_known_queries(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).limit(1).count() == 1
+
+
+def test_trials_send_no_customers_through_the_driver(spark):
+    from tracewell.jobs import stats_jobs
+
+    found = stats_jobs.trials(spark, SF)
+    assert found.count() > 0
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cross_correlation_joins_the_trials_once(spark):
+    plan = registry.queries()["t5_cross_correlation"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "c_custkey" not in plan and "o_custkey" not in plan
