@@ -66,3 +66,8 @@ def test_trials_send_no_customers_through_the_driver(spark):
 def test_cross_correlation_joins_the_trials_once(spark):
     plan = registry.queries()["t5_cross_correlation"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "c_custkey" not in plan and "o_custkey" not in plan
+
+
+def test_ks_joins_the_trials_once(spark):
+    plan = registry.queries()["t6_ks"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "c_custkey" not in plan and "o_custkey" not in plan

@@ -65,7 +65,8 @@ def t5_cross_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("t6_ks", f"WITH {TRIALS_SQL}, b AS (SELECT grp, price AS v, 1 AS a, 0 AS b FROM tr UNION ALL SELECT grp, acct, 0, 1 FROM tr), c AS (SELECT grp, v, sum(a) AS a, sum(b) AS b FROM b GROUP BY ALL), r AS (SELECT grp, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER g AS na, sum(b) OVER g AS nb FROM c WINDOW w AS (PARTITION BY grp ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), g AS (PARTITION BY grp)) SELECT grp, round(max(abs(ca / CAST(na AS DOUBLE) - cb / CAST(nb AS DOUBLE))), 6) AS statistic, CAST(max(na) AS BIGINT) AS n1, CAST(max(nb) AS BIGINT) AS n2 FROM r GROUP BY 1")
 def t6_ks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(stats.ks(trials(spark, sf_dir), ["grp"], "price", "acct"))
+    t = scratch.saved(trials(spark, sf_dir).select("grp", "price", "acct"), "trials")  # read several times
+    return rounded(stats.ks(t, ["grp"], "price", "acct"))
 
 
 RANKED = "rank() OVER (PARTITION BY {p} ORDER BY {v}) + (count(*) OVER (PARTITION BY {p}, {v}) - 1) / 2.0::DOUBLE AS rk, count(*) OVER (PARTITION BY {p}, {v}) AS ties"
